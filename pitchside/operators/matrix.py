@@ -1,7 +1,8 @@
 """Player x club scores: score(p, c) = sum over a feature list of p[f] / c[f].
 
-Single-target queries (one club, one player) score against a scalar-subquery
-row: no join, no shuffle, filter pushed to the scan. The full matrix and the
+Single-target queries (one club, one player) read that one row first (a
+bounded one-row action) and score against its values as literals: no join,
+no shuffle, filter pushed to the scan. The full matrix and the
 batch top-K queries expand each player over a size-checked array of club
 weights (``inline`` of a scalar subquery): output is players x clubs rows,
 linear in players, computed in one codegen'd projection per player.
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import position_group, reciprocal, weighted_sum
 from ..schema import FEATURES, normalize_group
-from .targets import pick_club, pick_player, row_values
+from .targets import pick_club, pick_player, row_literals
 from .topk import top_k, top_k_per_group
 
 MAX_ARRAY_ENTRIES = 200_000   # clubs x groups carried in one weights array
@@ -44,7 +45,8 @@ def club_scores(players: DataFrame, teams: DataFrame, club: str, features: Seque
                 group_label: str, on_zero: str = "error", transform: str = "reciprocal") -> DataFrame:
     """Every player scored for one club: (ID, Name, Club, team, grp, score)."""
     w_row = team_weights(pick_club(teams, club), features, on_zero, transform)
-    w, present = row_values(w_row, features)
+    w, found = row_literals(w_row, features)
+    present = F.lit(found)
     return players.where(present).select(
         *_card(players),
         F.lit(club).alias("team"),
@@ -57,7 +59,8 @@ def player_scores(players: DataFrame, teams: DataFrame, features: Sequence[str],
                   player_id=None, name: str | None = None, on_zero: str = "error") -> DataFrame:
     """One player scored for every club: (ID, Name, Club, team, grp, score)."""
     target = pick_player(players, player_id, name)
-    v, present = row_values(target, ["ID", "Name", "Club", *features])
+    v, found = row_literals(target, ["ID", "Name", "Club", *features])
+    present = F.lit(found)
     weights = team_weights(teams, features, on_zero)
     return weights.where(present).select(
         v["ID"].alias("ID"),
@@ -118,16 +121,17 @@ def _weights_array(weights: Sequence[tuple[str, DataFrame]], width: int) -> Colu
 
 def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]],
                   on_zero: str = "error", transform: str = "reciprocal",
-                  max_array_entries: int = MAX_ARRAY_ENTRIES) -> DataFrame:
+                  max_array_entries: int = MAX_ARRAY_ENTRIES, n_clubs: int | None = None) -> DataFrame:
     """Long matrix (ID, Name, Club, team, grp, score) for every player, club and group.
 
     The number of clubs is counted first (teams is a small materialized table)
     so the weights array stays within ``max_array_entries``; more clubs are
-    split into hash blocks.
+    split into hash blocks. A caller that already knows the count passes
+    ``n_clubs``.
     """
     groups = dict(groups)
     width = max(len(f) for f in groups.values())
-    n_clubs = teams.count()
+    n_clubs = teams.count() if n_clubs is None else n_clubs
     blocks = max(1, math.ceil(n_clubs * len(groups) / max_array_entries))
     needed = sorted({f for fl in groups.values() for f in fl}, key=lambda f: (FEATURES + [f]).index(f))
     base = players.select("ID", "Name", "Club", *needed)
@@ -145,15 +149,15 @@ def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Seq
     return out
 
 
-def mvp_all_clubs(players, teams, groups, k=10, reverse=False, on_zero="error"):
+def mvp_all_clubs(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None):
     """Top-K players for every (club, group)."""
-    m = matrix_scores(players, teams, groups, on_zero)
+    m = matrix_scores(players, teams, groups, on_zero, n_clubs=n_clubs)
     return top_k_per_group(m, k, ["team", "grp"], "score", ascending=reverse)
 
 
-def mvt_all_players(players, teams, groups, k=10, reverse=False, on_zero="error"):
+def mvt_all_players(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None):
     """Top-K clubs for every (player, group)."""
-    m = matrix_scores(players, teams, groups, on_zero)
+    m = matrix_scores(players, teams, groups, on_zero, n_clubs=n_clubs)
     return top_k_per_group(m, k, ["ID", "grp"], "score", ascending=reverse, tiebreak=("team",))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import improvement, total, weighted_sum
 from ..schema import FEATURES, MAX_WEAK_PLAYERS, WEAK_DIVISOR, WEAK_WEIGHT_FACTOR, WEIGHT_TOTAL
-from .targets import pick_club, pick_player, row_values
+from .targets import pick_club, pick_player, row_literals
 from .topk import top_k
 
 RANK_TOLERANCE = 1e-5   # > the 1e-6 score rounding step plus float noise
@@ -80,7 +80,8 @@ def _club_plan(teams: DataFrame, club: str, features: Sequence[str]):
     cols = [F.col(f).alias(f"weak_{f}") for f in features]
     cols += [F.when(F.col(f), F.lit(WEAK_WEIGHT_FACTOR) * base).otherwise(base).alias(f"w_{f}") for f in features]
     row = flags.select(*cols)
-    values, present = row_values(row, [f"weak_{f}" for f in features] + [f"w_{f}" for f in features])
+    values, found = row_literals(row, [f"weak_{f}" for f in features] + [f"w_{f}" for f in features])
+    present = F.lit(found)
     weak = [values[f"weak_{f}"] for f in features]
     weights = [values[f"w_{f}"] for f in features]
     return weak, weights, present
@@ -104,7 +105,8 @@ def best_replacements(players: DataFrame, teams: DataFrame, club: str, player_id
                       features: Sequence[str] = FEATURES) -> DataFrame:
     """Top-K players outside the club by improvement over one player, weighted by the club's weak features."""
     _, weights, present = _club_plan(teams, club, features)
-    current, p_present = row_values(pick_player(players, player_id), features)
+    current, p_found = row_literals(pick_player(players, player_id), features)
+    p_present = F.lit(p_found)
     candidates = players.where((F.col("Club") != F.lit(club)) & present & p_present)
     scored = candidates.select(
         F.lit(player_id).cast("long").alias("player_id"),

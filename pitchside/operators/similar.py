@@ -1,6 +1,6 @@
 """Most similar players: top-K by the projection of each candidate on the target.
 
-The target row enters as scalar-subquery values (no join); candidates are
+The target row is read once and enters as literals (no join); candidates are
 scored in one codegen'd projection and cut by ``TakeOrderedAndProject``.
 The card columns come from the same scan, so no join back is needed.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import norm, projection_similarity
 from ..schema import FEATURES
-from .targets import pick_player, row_values
+from .targets import pick_player, row_literals, row_values
 from .topk import top_k
 
 SIMILAR_CARD = ["Name", "Age", "Nationality", "Club", "Height_cm", "Weight_lbs"]
@@ -22,7 +22,8 @@ SIMILAR_CARD = ["Name", "Age", "Nationality", "Club", "Height_cm", "Weight_lbs"]
 def similar_players(players: DataFrame, player_id=None, name: str | None = None, k: int = 10,
                     features: Sequence[str] = FEATURES, card: Sequence[str] = SIMILAR_CARD) -> DataFrame:
     target = pick_player(players, player_id, name)
-    v, present = row_values(target, ["ID", *features])
+    v, found = row_literals(target, ["ID", *features])
+    present = F.lit(found)
     t = [v[f] for f in features]
     scored = players.where((F.col("ID") != v["ID"]) & present).select(
         "ID", *card, projection_similarity(features, t, norm(t)).alias("score"),

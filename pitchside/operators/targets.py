@@ -1,11 +1,10 @@
-"""One-row targets (one club, one player) as scalar subqueries.
+"""One-row targets (one club, one player).
 
 Scoring every player against ONE club, or every club against ONE player,
-needs that single row's values in every task. A scalar subquery is the
-plain-Spark way: the one-row aggregate runs once, its values are inlined into
-the projection, and the scoring stage is a pure scan + project with no join
-operator at all. All values of one target merge into a single subquery
-(Catalyst's MergeScalarSubqueries).
+needs that single row's values in every task; no join is needed for that.
+``row_literals`` reads the row once (a bounded one-row action) and returns
+typed literals; ``row_values`` keeps it lazy as one struct-valued scalar
+subquery, for values that must stay inside the plan (e.g. a vector column).
 """
 
 from __future__ import annotations
@@ -25,9 +24,30 @@ def row_values(one_row: DataFrame, columns: Sequence[str]) -> tuple[dict[str, Co
         F.count(F.lit(1)).alias("__n"),
         *[F.max(c).alias(c) for c in columns],
     )
-    values = {c: agg.select(c).scalar() for c in columns}
-    n = agg.select("__n").scalar()
-    return values, n == F.lit(1)
+    # One struct-valued subquery; every value is a field of it, so the
+    # subquery is planned and run once however many places use it.
+    row = agg.select(F.struct(*agg.columns).alias("r")).scalar()
+    values = {c: row.getField(c) for c in columns}
+    return values, row.getField("__n") == F.lit(1)
+
+
+def row_literals(one_row: DataFrame, columns: Sequence[str]) -> tuple[dict[str, Column], bool]:
+    """({column: literal}, present) from a DataFrame holding at most one row.
+
+    One small job reads the row (at most 2 rows are fetched, to reject an
+    ambiguous target); its values become typed literals, so the scoring plan
+    that uses them is a plain scan + projection that Catalyst can
+    constant-fold. This is what a scalar subquery does at run time, without
+    carrying the subquery plan into every expression that uses a value.
+    """
+    picked = one_row.select(*columns)
+    rows = picked.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("target is not unique")
+    types = dict((f.name, f.dataType) for f in picked.schema.fields)
+    if not rows:
+        return {c: F.lit(None).cast(types[c]) for c in columns}, False
+    return {c: F.lit(rows[0][c]).cast(types[c]) for c in columns}, True
 
 
 def pick_player(players: DataFrame, player_id=None, name: str | None = None, id_col: str = "ID",

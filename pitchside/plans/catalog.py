@@ -61,19 +61,29 @@ def _teams(spark, sf_dir):
     return load_views(spark, sf_dir)[1]
 
 
+_MODELS: dict = {}
+
+
 def _model(spark, sf_dir):
-    players, teams = load_views(spark, sf_dir)
-    return fit(players, teams)
+    """The fitted model, once per application and data folder (fit, then query many times)."""
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if memo not in _MODELS:
+        players, teams = load_views(spark, sf_dir)
+        _MODELS[memo] = fit(players, teams)
+    return _MODELS[memo]
+
+
+_CSV: dict = {}
 
 
 def _players_csv(spark, sf_dir) -> str:
     """The players table written once as a header CSV file (the reference's input format)."""
-    path = work_path(spark, "csv", stable_key(sf_dir), "players")
-    try:
-        spark.read.option("header", True).csv(path).schema
-    except Exception:
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if memo not in _CSV:
+        path = work_path(spark, "csv", stable_key(sf_dir), "players")
         CSV.write_players(_players(spark, sf_dir), path)
-    return path
+        _CSV[memo] = path
+    return _CSV[memo]
 
 
 # --- sources -------------------------------------------------------------

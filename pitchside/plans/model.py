@@ -23,6 +23,7 @@ class ScoutModel:
     teams: DataFrame
     groups: dict[str, list[str]] = field(default_factory=dict)
     on_zero: str = "error"
+    n_clubs: int | None = None
 
     def features(self, group: str) -> list[str]:
         if group.upper() == "ALL":
@@ -51,20 +52,20 @@ class ScoutModel:
         return {**self.groups, "ALL": list(FEATURES)}
 
     def matrix(self) -> DataFrame:
-        return M.matrix_scores(self.players, self.teams, self.all_groups(), self.on_zero)
+        return M.matrix_scores(self.players, self.teams, self.all_groups(), self.on_zero, n_clubs=self.n_clubs)
 
     def mvp_all_clubs(self, k: int = 10, reverse: bool = False) -> DataFrame:
-        return M.mvp_all_clubs(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero)
+        return M.mvp_all_clubs(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero, self.n_clubs)
 
     def mvt_all_players(self, k: int = 10, reverse: bool = False) -> DataFrame:
-        return M.mvt_all_players(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero)
+        return M.mvt_all_players(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero, self.n_clubs)
 
 
 def fit(players: DataFrame, teams: DataFrame | None = None, on_zero: str = "error",
         method: str = "ml") -> ScoutModel:
     teams = club_means(players) if teams is None else teams
     groups = group_features(feature_votes(players, method=method))
-    return ScoutModel(players, teams, groups, on_zero)
+    return ScoutModel(players, teams, groups, on_zero, teams.count())
 
 
 def recommend(model: ScoutModel, player=None, team: str | None = None, position: str = "DEF",

@@ -62,7 +62,7 @@ def stable_key(*parts: str) -> str:
     return hashlib.sha1("\x1f".join(parts).encode()).hexdigest()[:16]
 
 
-def materialize(df: DataFrame, path: str, build=None) -> DataFrame:
+def materialize(df: DataFrame, path: str, build=None, schema=None) -> DataFrame:
     """Read the parquet table at ``path``; if it is missing, write ``df`` there first.
 
     Writing a table (rather than caching) cuts the lineage durably: a lost
@@ -70,10 +70,11 @@ def materialize(df: DataFrame, path: str, build=None) -> DataFrame:
     still get column pruning and filter pushdown.
     """
     spark = df.sparkSession
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException:
         pass
     out = build(df) if build is not None else df
     out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return reader.parquet(path)

@@ -17,7 +17,7 @@ import posixpath
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..schema import FEATURES, RATINGS
+from ..schema import FEATURES, PLAYER_SCHEMA, RATINGS, TEAM_SCHEMA
 from ..session import materialize, stable_key, work_path
 
 VIEW_VERSION = "v1"
@@ -80,21 +80,31 @@ def club_means(players: DataFrame, features=FEATURES, club: str = "Club") -> Dat
     )
 
 
+_LOADED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
 def load_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(players, teams), each written once as parquet in the shared work folder.
 
     Players are range-clustered on ID so a point lookup on ID touches one file
-    at scale; teams are tiny (one row per club).
+    at scale; teams are tiny (one row per club). Within one application the
+    DataFrames are reused, so repeated queries skip the file listing.
     """
+    memo = (spark.sparkContext.applicationId, posixpath.normpath(sf_dir))
+    if memo in _LOADED:
+        return _LOADED[memo]
     key = stable_key(VIEW_VERSION, posixpath.normpath(sf_dir))
     players = materialize(
         build_players(spark, sf_dir),
         work_path(spark, "views", key, "players"),
         build=lambda df: df.repartitionByRange("ID").sortWithinPartitions("ID"),
+        schema=PLAYER_SCHEMA,
     )
     teams = materialize(
         club_means(players),
         work_path(spark, "views", key, "teams"),
         build=lambda df: df.coalesce(1),
+        schema=TEAM_SCHEMA,
     )
+    _LOADED[memo] = (players, teams)
     return players, teams
