@@ -36,12 +36,11 @@ def rating_votes(corr_long: DataFrame, n_top: int = TOP_FEATURES_PER_RATING) ->
     )
 
 
-def feature_votes(players: DataFrame, ratings: Sequence[str] = RATINGS, features: Sequence[str] = FEATURES,
-                  n_top: int = TOP_FEATURES_PER_RATING, n_keep: int = FEATURES_PER_GROUP,
-                  method: str = "ml") -> DataFrame:
-    """(grp, rank, feature, votes, first_rating_idx, first_rank) for each group's kept features."""
-    c = corr_between(players, features, ratings, method)
-    votes = rating_votes(c, n_top).where(F.col("grp").isNotNull())
+def vote_features(corr_long: DataFrame, n_top: int = TOP_FEATURES_PER_RATING,
+                  n_keep: int = FEATURES_PER_GROUP) -> DataFrame:
+    """Votes from long correlations (x = feature, y = rating):
+    (grp, rank, feature, votes, first_rating_idx, first_rank) for each group's kept features."""
+    votes = rating_votes(corr_long, n_top).where(F.col("grp").isNotNull())
     agg = votes.groupBy("grp", "feature").agg(
         F.count(F.lit(1)).alias("votes"),
         F.min(F.struct("rating_idx", "rank")).alias("first"),
@@ -57,6 +56,13 @@ def feature_votes(players: DataFrame, ratings: Sequence[str] = RATINGS, features
     )
 
 
+def feature_votes(players: DataFrame, ratings: Sequence[str] = RATINGS, features: Sequence[str] = FEATURES,
+                  n_top: int = TOP_FEATURES_PER_RATING, n_keep: int = FEATURES_PER_GROUP,
+                  method: str = "ml") -> DataFrame:
+    """Correlate every feature with every rating, then vote (see ``vote_features``)."""
+    return vote_features(corr_between(players, features, ratings, method), n_top, n_keep)
+
+
 def group_features(votes: DataFrame) -> dict[str, list[str]]:
     """Collect the kept feature names per group (at most 3 x 12 strings) plus ALL = every feature."""
     out: dict[str, list[str]] = {}
