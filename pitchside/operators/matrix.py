@@ -104,6 +104,18 @@ def lvp_from_list(players, teams, club, ids: Sequence[int] = (), features=FEATUR
 # The full matrix and its batch top-K forms.
 # ---------------------------------------------------------------------------
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an expanding operator at least one input partition per core.
+
+    Each player row fans out to clubs x groups score rows, so an input sized
+    for a plain scan (one split for a small table) would leave the expansion
+    on one task. A large input already has enough splits and is left alone
+    (no extra shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _weights_array(weights: Sequence[tuple[str, DataFrame]], width: int) -> Column:
     """One array<struct<team, grp, w0..w{width-1}>> holding every (club, group) weight row."""
     parts = []
@@ -133,8 +145,8 @@ def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Seq
     width = max(len(f) for f in groups.values())
     n_clubs = teams.count() if n_clubs is None else n_clubs
     blocks = max(1, math.ceil(n_clubs * len(groups) / max_array_entries))
-    needed = sorted({f for fl in groups.values() for f in fl}, key=lambda f: (FEATURES + [f]).index(f))
-    base = players.select("ID", "Name", "Club", *needed)
+    needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
+    base = spread(players.select("ID", "Name", "Club", *needed))
     out = None
     for b in range(blocks):
         block = teams if blocks == 1 else teams.where(F.pmod(F.xxhash64("Club"), F.lit(blocks)) == b)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..schema import HIST_BINS
 from .topk import top_k
@@ -69,17 +69,43 @@ def value_counts(df: DataFrame, key: str) -> DataFrame:
 def nunique(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """(column, nunique): distinct non-NULL values per column.
 
-    Exact counts plan as one Expand + two-level aggregate (values are
-    de-duplicated per partition before the shuffle); ``approx=True`` uses
-    HyperLogLog sketches instead, a fixed-size buffer per column.
+    Exact: every row is unpivoted into narrow (column index, value) pairs, one
+    stream per type family (integral as long, fractional as double, the rest
+    as string); pairs are de-duplicated per partition before one shuffle on
+    (column, value), then counted per column. Much lighter than one wide
+    multi-distinct aggregate, and a column with few values collapses before
+    the shuffle. ``approx=True`` uses fixed-size HyperLogLog sketches instead.
     """
     cols = list(columns or df.columns)
-    fn = (lambda c: F.approx_count_distinct(F.col(f"`{c}`"))) if approx else (lambda c: F.count_distinct(F.col(f"`{c}`")))
-    agg = df.agg(*[fn(c).alias(f"d{i}") for i, c in enumerate(cols)])
-    entries = []
+    if approx:
+        agg = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(cols)])
+        entries = []
+        for i, c in enumerate(cols):
+            entries += [F.lit(c), F.col(f"d{i}")]
+        return agg.select(F.stack(F.lit(len(cols)), *entries).alias("column", "nunique"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    families: dict[str, list[Column]] = {}
     for i, c in enumerate(cols):
-        entries += [F.lit(c), F.col(f"d{i}")]
-    return agg.select(F.stack(F.lit(len(cols)), *entries).alias("column", "nunique"))
+        t = types[c]
+        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            fam, v = "long", F.col(f"`{c}`").cast("long")
+        elif isinstance(t, (T.FloatType, T.DoubleType)):
+            fam, v = "double", F.col(f"`{c}`").cast("double")
+        else:
+            fam, v = "string", F.col(f"`{c}`").cast("string")
+        families.setdefault(fam, []).append(F.struct(F.lit(i).alias("i"), v.alias("v")))
+    names = F.array(*[F.lit(c) for c in cols])
+    out = None
+    for items in families.values():
+        pairs = df.select(F.explode(F.array(*items)).alias("e")).select("e.i", "e.v").where(F.col("v").isNotNull())
+        counted = pairs.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("nunique"))
+        out = counted if out is None else out.unionByName(counted)
+    # Columns that are entirely NULL still get a row (0).
+    every = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("i"))
+    return every.join(out, "i", "left").select(
+        F.element_at(names, F.col("i") + 1).alias("column"),
+        F.coalesce(F.col("nunique"), F.lit(0)).cast("long").alias("nunique"),
+    )
 
 
 def null_flags(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

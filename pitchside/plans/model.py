@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from ..operators import batch as B
 from ..operators import matrix as M
 from ..operators.votes import feature_votes, group_features
 from ..schema import FEATURES, normalize_group
@@ -54,11 +55,13 @@ class ScoutModel:
     def matrix(self) -> DataFrame:
         return M.matrix_scores(self.players, self.teams, self.all_groups(), self.on_zero, n_clubs=self.n_clubs)
 
-    def mvp_all_clubs(self, k: int = 10, reverse: bool = False) -> DataFrame:
-        return M.mvp_all_clubs(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero, self.n_clubs)
+    def mvp_all_clubs(self, k: int = 10, reverse: bool = False, method: str = "batch") -> DataFrame:
+        fn = B.mvp_all_clubs if method == "batch" else M.mvp_all_clubs
+        return fn(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero, self.n_clubs)
 
-    def mvt_all_players(self, k: int = 10, reverse: bool = False) -> DataFrame:
-        return M.mvt_all_players(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero, self.n_clubs)
+    def mvt_all_players(self, k: int = 10, reverse: bool = False, method: str = "batch") -> DataFrame:
+        fn = B.mvt_all_players if method == "batch" else M.mvt_all_players
+        return fn(self.players, self.teams, self.all_groups(), k, reverse, self.on_zero, self.n_clubs)
 
 
 def fit(players: DataFrame, teams: DataFrame | None = None, on_zero: str = "error",

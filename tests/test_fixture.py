@@ -200,3 +200,17 @@ def test_empty_players(spark):
     assert M.mvp_for_team(empty, teams(spark), "X", F5, "ALL").count() == 0
     assert S.similar_players(empty, 3, features=F5).count() == 0
     assert R.replace_mode(empty, teams(spark), "X", features=F5).count() == 0
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+@pytest.mark.parametrize("k", [1, 2, 10])
+def test_batch_topk_equals_window(spark, k, reverse):
+    from pitchside.operators import batch as B
+
+    p = players(spark).withColumn("f3", F.when(F.col("ID").isin(2, 5), None).otherwise(F.col("f3")))
+    t = teams(spark)
+    groups = {"A": F5, "B": ["f1", "f2"], "C": ["f3", "f5"]}
+    for fast, slow in ((B.mvp_all_clubs, M.mvp_all_clubs), (B.mvt_all_players, M.mvt_all_players)):
+        a = sorted(map(tuple, fast(p, t, groups, k, reverse, on_zero="null").collect()), key=repr)
+        b = sorted(map(tuple, slow(p, t, groups, k, reverse, on_zero="null").collect()), key=repr)
+        assert a == b
