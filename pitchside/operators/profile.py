@@ -62,6 +62,22 @@ def club_overall_ci(players: DataFrame, clubs: Sequence[str] | None = None, valu
                       (F.col("mean") + half).alias("ci_high"))
 
 
+def vector_group_means(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """Element-wise mean of an array column per group: (key, n, mean array).
+
+    Each vector is exploded into (key, position, value) and averaged per
+    (key, position) with partial aggregation, so a hot group is combined per
+    partition; each group's result is gathered back into one array of the
+    vector's length (bounded by the dimension, not by the group size).
+    """
+    exploded = df.where(F.col(key).isNotNull()).select(key, F.posexplode(vector).alias("pos", "v"))
+    per_pos = exploded.groupBy(key, "pos").agg(F.avg(F.col("v").cast("double")).alias("m"), F.count("v").alias("n"))
+    gathered = per_pos.groupBy(key).agg(
+        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("s")
+    )
+    return gathered.select(key, "n", F.transform("s", lambda e: e["m"]).alias("mean"))
+
+
 def value_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
 

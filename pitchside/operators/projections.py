@@ -28,6 +28,11 @@ def project_range(df: DataFrame, first: str, last: str, keep: Sequence[str] = ("
     return df.select(*keep, *[c for c in col_range(df, first, last) if c not in keep])
 
 
+def project_ordinal(df: DataFrame, position: int, keep: Sequence[str] = ()) -> DataFrame:
+    """One column picked by its 0-based position in the table."""
+    return df.select(*keep, df.columns[position])
+
+
 def unpivot_features(teams: DataFrame, features: Sequence[str] = FEATURES, key: str = "Club") -> DataFrame:
     """Features as rows: (key, feature, value)."""
     return teams.unpivot([key], list(features), "feature", "value")

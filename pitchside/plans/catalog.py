@@ -103,6 +103,11 @@ def scan_strict(spark, sf_dir):
     return rounded(CSV.read_strict(spark, _players_csv(spark, sf_dir)))
 
 
+@query
+def scan_malformed_count(spark, sf_dir):
+    return CSV.count_malformed(spark, _players_csv(spark, sf_dir))
+
+
 @query
 def preview(spark, sf_dir):
     return rounded(PR.preview(_players(spark, sf_dir)))
@@ -125,6 +130,11 @@ def project_range(spark, sf_dir):
     return rounded(PJ.project_range(_players(spark, sf_dir), "LS", "RB"))
 
 
+@query
+def project_ordinal(spark, sf_dir):
+    return PJ.project_ordinal(_players(spark, sf_dir), 1, keep=("ID",))
+
+
 @query
 def unpivot_features(spark, sf_dir):
     return rounded(PJ.unpivot_features(_teams(spark, sf_dir)))
@@ -187,6 +197,12 @@ def club_means(spark, sf_dir):
     return rounded(_teams(spark, sf_dir))
 
 
+@query
+def embedding_means(spark, sf_dir):
+    df = PR.vector_group_means(table(spark, sf_dir, "embeddings"), "label", "embedding")
+    return df.select("label", "n", F.transform("mean", lambda x: F.round(x, SCORE_SCALE)).alias("mean"))
+
+
 @query
 def club_means_int(spark, sf_dir):
     t = _teams(spark, sf_dir)
@@ -269,7 +285,7 @@ def club_age_quartiles(spark, sf_dir):
 
 @query
 def club_age_density(spark, sf_dir):
-    return rounded(PR.group_density(_players(spark, sf_dir), "Club", "Age", SIX_CLUBS))
+    return rounded(PR.group_density(_players(spark, sf_dir), "Club", "Age"))
 
 
 @query

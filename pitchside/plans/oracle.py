@@ -131,6 +131,7 @@ def oracle(name: str, sql: str) -> None:
 # --- sources / projections ---------------------------------------------------
 
 oracle("scan_players", with_views(f"SELECT {_all_cols_rounded()} FROM players"))
+oracle("scan_strict", with_views(f"SELECT {_all_cols_rounded()} FROM players"))
 oracle("scan_blank_as_empty", with_views(
     "SELECT " + ", ".join(
         f"COALESCE({q(c)}, '') AS {q(c)}" if c in ("Name", "Nationality", "Club", "Position")
@@ -146,6 +147,8 @@ oracle("table_info", with_views(" UNION ALL ".join(
     f"count({q(c)}) AS non_null, count(*) AS \"rows\" FROM players"
     for i, c in enumerate(PLAYER_COLS))))
 
+oracle("scan_malformed_count", with_views('SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS malformed FROM players'))
+oracle("project_ordinal", with_views('SELECT "ID", "Name" FROM players'))
 oracle("project_features", with_views(f"SELECT {_all_cols_rounded(['ID', *FEATURES])} FROM players"))
 oracle("project_range", with_views(f"SELECT {_all_cols_rounded(['ID', *RATINGS])} FROM players"))
 oracle("unpivot_features", with_views(
@@ -197,6 +200,11 @@ oracle("topk", with_views(
     f"FROM players ORDER BY \"Overall\" DESC, \"ID\" LIMIT {K}"))
 oracle("club_means", with_views(
     "SELECT \"Club\", " + ", ".join(r6(q(f), f) for f in FEATURES) + " FROM teams"))
+oracle("embedding_means", """WITH e AS (
+  SELECT label, CAST(x AS DOUBLE) AS x, i FROM embeddings, unnest(embedding) WITH ORDINALITY AS u(x, i)
+  WHERE label IS NOT NULL
+), m AS (SELECT label, i, avg(x) AS m, count(x) AS n FROM e GROUP BY label, i)
+SELECT label, max(n) AS n, list(round(m, 6) ORDER BY i) AS mean FROM m GROUP BY label""")
 oracle("club_means_int", with_views(
     "SELECT \"Club\", " + ", ".join(f"CAST(trunc({q(f)}) AS INTEGER) AS {q(f)}" for f in FEATURES) + " FROM teams"))
 for _name, _dir in (("clubs_age_sum_top", "DESC"), ("clubs_age_sum_bottom", "ASC")):
@@ -265,7 +273,7 @@ FROM players WHERE "Club" IS NOT NULL GROUP BY "Club\""""))
 
 oracle("club_age_density", with_views(f""", sel AS (
   SELECT "Club", CAST("Age" AS DOUBLE) AS v FROM players
-  WHERE "Club" IN ({_six}) AND "Age" IS NOT NULL
+  WHERE "Club" IS NOT NULL AND "Age" IS NOT NULL
 ), st AS (
   SELECT "Club", count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS lo, max(v) AS hi
   FROM sel GROUP BY "Club"

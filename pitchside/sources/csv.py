@@ -27,22 +27,37 @@ def blanks_as_empty(df: DataFrame) -> DataFrame:
     return df.na.fill("", subset=strings)
 
 
+def _lines(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
+    lines = spark.read.text(path)
+    if header:
+        # Every part file starts with the header line; drop those lines.
+        lines = lines.where(F.col("value") != F.lit(",".join(schema.names)))
+    return lines
+
+
 def read_strict(spark: SparkSession, path: str, schema: T.StructType = PLAYER_SCHEMA,
                 header: bool = True) -> DataFrame:
-    """Only rows with exactly the schema's field count and types; the rest are dropped."""
-    return rename_columns(
-        spark.read.schema(schema).option("header", header).option("mode", "DROPMALFORMED").csv(path)
-    )
+    """Only lines with exactly as many comma-separated fields as the schema has.
+
+    The width check splits on every comma (no quoting), the strict-width rule
+    of the source; the kept lines are parsed with the schema by ``from_csv``.
+    """
+    lines = _lines(spark, path, schema, header)
+    kept = lines.where(F.size(F.split(F.col("value"), ",", -1)) == len(schema.fields))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = kept.select(F.from_csv(F.col("value"), ddl).alias("r"))
+    return rename_columns(parsed.select("r.*"))
 
 
 def count_malformed(spark: SparkSession, path: str, schema: T.StructType = PLAYER_SCHEMA,
                     header: bool = True) -> DataFrame:
-    """(rows, malformed) in one pass: PERMISSIVE mode with a corrupt-record column."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    df = (spark.read.schema(with_corrupt).option("header", header).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.count("_corrupt_record").alias("malformed"))
+    """(rows, malformed): data lines, and lines whose field count differs from the schema's."""
+    lines = _lines(spark, path, schema, header)
+    width = F.size(F.split(F.col("value"), ",", -1))
+    return lines.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(width != len(schema.fields), F.lit(1))).alias("malformed"),
+    )
 
 
 def write_players(df: DataFrame, path: str) -> None:

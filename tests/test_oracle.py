@@ -21,7 +21,7 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_listed():
-    rows_only = {"scan_strict"}
+    rows_only = set()
     assert set(QUERIES) - set(SQL) == rows_only
 
 
@@ -36,8 +36,18 @@ def test_matches_oracle(spark, con, name):
     assert Counter(a) == Counter(b)
 
 
-def test_rows_only_scan_strict(spark):
-    assert QUERIES["scan_strict"](spark, SF001).count() == QUERIES["scan_players"](spark, SF001).count()
+def test_strict_scan_drops_wrong_width_lines(spark, tmp_path):
+    from pitchside.sources import csv as CSV
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("ID", T.LongType()), T.StructField("Name", T.StringType()),
+                           T.StructField("v", T.DoubleType())])
+    p = tmp_path / "t.csv"
+    p.write_text("ID,Name,v\n1,a,1.5\n2,b\n3,c,2.5,extra\n4,d,4.0\n")
+    got = CSV.read_strict(spark, str(p), schema).orderBy("ID").collect()
+    assert [(r.ID, r.v) for r in got] == [(1, 1.5), (4, 4.0)]
+    counts = CSV.count_malformed(spark, str(p), schema).collect()[0]
+    assert (counts["rows"], counts["malformed"]) == (4, 2)
 
 
 def test_entry_smoke(spark):
