@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..schema import HIST_BINS
+from .quantiles import exact_quantiles
 from .topk import top_k
 
 
@@ -134,29 +135,36 @@ def null_flags(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return agg.select(F.stack(F.lit(len(cols)), *entries).alias("column", "has_null"))
 
 
+def _quartile_columns(qs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return qs.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("q") == i, F.col(value))).alias(name) for i, name in enumerate(["q25", "q50", "q75"])
+    ])
+
+
 def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max) for numeric columns.
 
-    Quartiles interpolate linearly between order statistics, like pandas.
-    The exact ``percentile`` keeps a value -> count map per column, so its
-    memory follows the number of DISTINCT values (small for ratings, ages,
-    counts); ``approx=True`` switches to fixed-size ``percentile_approx``.
+    Quartiles interpolate linearly between order statistics, like pandas, and
+    are exact with bounded memory (``quantiles.exact_quantiles``);
+    ``approx=True`` switches to one-pass ``percentile_approx``.
     """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(columns)
     ])).alias("e")).select("e.*")
-    if approx:
-        q = F.percentile_approx("v", [0.25, 0.5, 0.75], 100000)
-    else:
-        q = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    agg = long.groupBy("position", "column").agg(
+    stats = long.groupBy("position", "column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), q.alias("q"), F.max("v").alias("max"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
     )
-    return agg.select(
-        "column", "count", "mean", "std", "min",
-        F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
+    if approx:
+        q = long.groupBy("position", "column").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 100000).alias("q"))
+        quart = q.select("position", "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
+                         F.col("q")[2].alias("q75"))
+    else:
+        quart = _quartile_columns(exact_quantiles(long, ["position", "column"], "v", [0.25, 0.5, 0.75]),
+                                  ["position", "column"], "v")
+    return stats.join(quart, ["position", "column"], "left").select(
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
@@ -195,17 +203,16 @@ def _stats_values(one_row: DataFrame):
 
 
 def group_quartiles(df: DataFrame, key: str, value: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """Per group: n, min, q25, median, q75, max (violin-plot box)."""
+    """Per group: n, min, q25, median, q75, max (violin-plot box); exact, bounded memory."""
     p = df.where(F.col(key).isNotNull())
     if keys is not None:
         p = p.where(F.col(key).isin(list(keys)))
-    q = F.percentile(F.col(value).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     agg = p.groupBy(key).agg(
-        F.count(F.col(value)).alias("n"), F.min(value).cast("double").alias("min"), q.alias("q"),
+        F.count(F.col(value)).alias("n"), F.min(value).cast("double").alias("min"),
         F.max(value).cast("double").alias("max"),
     )
-    return agg.select(key, "n", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                      F.col("q")[2].alias("q75"), "max")
+    quart = _quartile_columns(exact_quantiles(p, [key], value, [0.25, 0.5, 0.75]), [key], value)
+    return agg.join(quart, [key], "left").select(key, "n", "min", "q25", "q50", "q75", "max")
 
 
 def group_density(df: DataFrame, key: str, value: str, keys: Sequence[str] | None = None,
