@@ -52,6 +52,12 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "ml") -> Da
     raise ValueError(method)
 
 
+def numeric_columns(df: DataFrame, candidates: Sequence[str]) -> list[str]:
+    """The candidates that exist in ``df`` with a numeric type, in the given order."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [c for c in candidates if isinstance(types.get(c), T.NumericType)]
+
+
 def corr_between(df: DataFrame, xs: Sequence[str], ys: Sequence[str], method: str = "ml") -> DataFrame:
     """(x, x_idx, y, y_idx, corr) for x in xs, y in ys; indices are positions in xs / ys."""
     xs, ys = list(xs), list(ys)

@@ -20,7 +20,7 @@ from ..operators import replace as R
 from ..operators import similar as S
 from ..operators import votes as V
 from ..operators.topk import top_k
-from ..schema import FEATURES, FIT_X, FIT_YS, RADAR_FEATURES, RATINGS, SCORE_SCALE
+from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, RATINGS, SCORE_SCALE
 from ..session import work_path, stable_key
 from ..sources import csv as CSV
 from ..sources.views import load_views, table
@@ -69,7 +69,8 @@ def _model(spark, sf_dir):
     memo = (spark.sparkContext.applicationId, sf_dir)
     if memo not in _MODELS:
         players, teams = load_views(spark, sf_dir)
-        _MODELS[memo] = fit(players, teams)
+        # A zero club mean gives NULL scores for that club (sf0.001 has two) instead of an error.
+        _MODELS[memo] = fit(players, teams, on_zero="null")
     return _MODELS[memo]
 
 
@@ -180,7 +181,7 @@ def matrix_raw_dot(spark, sf_dir):
 
 @query
 def reciprocal_weights(spark, sf_dir):
-    w = M.team_weights(_teams(spark, sf_dir), FEATURES)
+    w = M.team_weights(_teams(spark, sf_dir), FEATURES, on_zero="null")
     return rounded(w.unpivot(["Club"], FEATURES, "feature", "weight"))
 
 
@@ -263,6 +264,12 @@ def corr_with_overall(spark, sf_dir):
     return rounded(C.corr_matrix(_players(spark, sf_dir), FEATURES + ["Overall"]), 9)
 
 
+@query
+def corr_profile(spark, sf_dir):
+    p = _players(spark, sf_dir)
+    return rounded(C.corr_matrix(p, C.numeric_columns(p, PROFILE_COLUMNS)), 9)
+
+
 @query
 def corr_top_for_rating(spark, sf_dir):
     return rounded(C.corr_top_for_rating(_players(spark, sf_dir), "LB", FEATURES, 5), 9)

@@ -9,7 +9,7 @@ operator in plain SQL. Doubles are rounded like the Spark side (6 decimals,
 
 from __future__ import annotations
 
-from ..schema import FEATURES, FIT_X, FIT_YS, RADAR_FEATURES, RATINGS
+from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, RATINGS
 from .catalog import CLUB, HEX_GRID, K, LIST_IDS, PLAYER_ID, REPLACE_K, SIX_CLUBS, VEC_ID
 
 
@@ -171,7 +171,8 @@ oracle("group_position", with_views(
 
 _SCORES = """,
 scores AS (
-  SELECT p."ID", p."Name", p."Club", t."Club" AS team, g.grp, SUM(p.fv / t.tv) AS score
+  SELECT p."ID", p."Name", p."Club", t."Club" AS team, g.grp,
+    CASE WHEN bool_or(t.tv = 0 OR t.tv IS NULL OR p.fv IS NULL) THEN NULL ELSE SUM(p.fv / t.tv) END AS score
   FROM groupfeat g
   JOIN (SELECT pl.*, pp."Name", pp."Club" FROM plong pl JOIN players pp USING ("ID")) p ON p.feature = g.feature
   JOIN tlong t ON t.feature = g.feature
@@ -191,7 +192,7 @@ oracle("matrix_raw_dot", with_views(
     "SELECT p.\"ID\", t.\"Club\" AS team, round(" + " + ".join(f"p.{q(f)} * t.{q(f)}" for f in FEATURES)
     + ", 6) AS score FROM players p, teams t", votes=False))
 oracle("reciprocal_weights", with_views(
-    " UNION ALL ".join(f"SELECT \"Club\", '{f}' AS feature, round(1.0 / {q(f)}, 6) AS weight FROM teams" for f in FEATURES)))
+    " UNION ALL ".join(f"SELECT \"Club\", '{f}' AS feature, round(1.0 / nullif({q(f)}, 0), 6) AS weight FROM teams" for f in FEATURES)))
 
 # --- aggregates -----------------------------------------------------------------
 
@@ -246,6 +247,8 @@ def _corr_sql(cols) -> str:
 _corr_cols = RATINGS + FEATURES
 oracle("corr_matrix", with_views(_corr_sql(_corr_cols)))
 oracle("corr_with_overall", with_views(_corr_sql(FEATURES + ["Overall"])))
+_profile = [c for c in PROFILE_COLUMNS if c in NUMERIC]
+oracle("corr_profile", with_views(_corr_sql(_profile)))
 oracle("corr_top_for_rating", with_views(
     "SELECT feature, idx, round(c, 9) AS corr FROM (" + " UNION ALL ".join(
         f"SELECT '{f}' AS feature, {i} AS idx, corr({q(f)}, \"LB\") AS c FROM players" for i, f in enumerate(FEATURES))

@@ -47,6 +47,17 @@ RADAR_FEATURES = [
     "HeadingAccuracy", "Interceptions", "Jumping", "LongPassing", "LongShots",
     "Marking", "Penalties",
 ]
+# Columns of the profiling heatmap (source names after renaming); non-numeric
+# or absent columns drop out, as they do in a pandas correlation.
+PROFILE_COLUMNS = [
+    "Age", "Overall", "Potential", "Value", "Wage", "Acceleration", "Aggression",
+    "Agility", "Balance", "BallControl", "Composure", "Crossing", "Dribbling",
+    "FKAccuracy", "Finishing", "HeadingAccuracy", "Interceptions",
+    "International_Reputation", "Jumping", "LongPassing", "LongShots", "Marking",
+    "Penalties", "Position", "Positioning", "ShortPassing", "ShotPower",
+    "Skill_Moves", "SlidingTackle", "SprintSpeed", "Stamina", "StandingTackle",
+    "Strength", "Vision", "Volleys",
+]
 FIT_X = "Acceleration"
 FIT_YS = ["Agility", "Balance", "Dribbling", "SprintSpeed"]
 

@@ -214,3 +214,16 @@ def test_batch_topk_equals_window(spark, k, reverse):
         a = sorted(map(tuple, fast(p, t, groups, k, reverse, on_zero="null").collect()), key=repr)
         b = sorted(map(tuple, slow(p, t, groups, k, reverse, on_zero="null").collect()), key=repr)
         assert a == b
+
+
+def test_recommend_dispatch(spark):
+    from pitchside.plans.model import ScoutModel, recommend
+
+    m = ScoutModel(players(spark), teams(spark), {"DEF": F5, "MID": F5, "FWD": F5}, "null", 3)
+    with pytest.raises(RuntimeError):
+        recommend(m)
+    assert [r.ID for r in recommend(m, team="X", position="DEF", k=2).collect()] == [6, 3]
+    by_name = recommend(m, player="A. One", position="ATK", k=None).collect()
+    assert [r.team for r in by_name][:2] == ["X", "Y"] and by_name[-1].score is None
+    with pytest.raises(ValueError):
+        m.mvp_for_team("X", "GK")
