@@ -37,10 +37,6 @@ def team_weights(teams: DataFrame, features: Sequence[str] = FEATURES, on_zero:
     return teams.select(F.col(club_col), *ws)
 
 
-def _card(players: DataFrame) -> list[Column]:
-    return [F.col("ID"), F.col("Name"), F.col("Club")]
-
-
 def club_scores(players: DataFrame, teams: DataFrame, club: str, features: Sequence[str],
                 group_label: str, on_zero: str = "error", transform: str = "reciprocal") -> DataFrame:
     """Every player scored for one club: (ID, Name, Club, team, grp, score)."""
@@ -48,7 +44,7 @@ def club_scores(players: DataFrame, teams: DataFrame, club: str, features: Seque
     w, found = row_literals(w_row, features)
     present = F.lit(found)
     return players.where(present).select(
-        *_card(players),
+        F.col("ID"), F.col("Name"), F.col("Club"),
         F.lit(club).alias("team"),
         F.lit(group_label).alias("grp"),
         weighted_sum(features, [w[f] for f in features]).alias("score"),

@@ -10,10 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import HIST_BINS
 from .quantiles import exact_quantiles
+from .targets import row_values
 from .topk import top_k
 
 
@@ -198,7 +199,7 @@ def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
 
 
 def _stats_values(one_row: DataFrame):
-    from .targets import row_values
+    """A one-row statistics frame as lazy scalar-subquery values (no extra job)."""
     return row_values(one_row, one_row.columns)
 
 
