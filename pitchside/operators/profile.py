@@ -170,10 +170,13 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
 
 
 def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
-    """Equal-width density histogram: (bin, lo, hi, count, density), empty bins included.
+    """Equal-width density histogram: (bin, bin_lo, bin_hi, count, density), empty bins included.
 
-    Bins split [min, max] evenly; the maximum falls into the last bin. A
-    constant column uses [v - 0.5, v + 0.5]. density = count / (n * width).
+    Bins follow the usual uniform-bin rule: edges lo + i * (hi - lo) / bins
+    (the last edge is hi itself), a value goes to bin
+    floor((x - lo) * (bins / (hi - lo))), corrected by one when float rounding
+    puts it on the wrong side of an edge; the maximum falls into the last bin.
+    A constant column uses [v - 0.5, v + 0.5]. density = count / (n * width).
     """
     x = F.col(column).cast("double")
     stats = df.agg(F.min(x).alias("lo0"), F.max(x).alias("hi0"), F.count(x).alias("n"))
@@ -183,18 +186,29 @@ def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
         "n",
     )
     s, present = _stats_values(stats)
-    width = (s["hi"] - s["lo"]) / F.lit(bins)
-    b = F.least(F.floor((x - s["lo"]) * F.lit(bins) / (s["hi"] - s["lo"])), F.lit(bins - 1)).cast("int")
-    counts = df.where(x.isNotNull() & present).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    step = (s["hi"] - s["lo"]) / F.lit(bins)
+
+    def edge(i):
+        return F.when(i >= bins, s["hi"]).otherwise(i * step + s["lo"])
+
+    raw = F.floor((x - s["lo"]) * (F.lit(bins) / (s["hi"] - s["lo"]))).cast("int")
+    raw = F.when(raw >= bins, F.lit(bins - 1)).otherwise(raw)
+    fixed = F.when(x < edge(raw), raw - 1).otherwise(raw)
+    fixed = F.when((x >= edge(fixed + 1)) & (fixed != bins - 1), fixed + 1).otherwise(fixed)
+    counts = df.where(x.isNotNull() & present).groupBy(fixed.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     all_bins = stats.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi", "n")
     out = all_bins.join(counts, "bin", "left")
     w = (F.col("hi") - F.col("lo")) / F.lit(bins)
+
+    def col_edge(i):
+        return F.when(i >= bins, F.col("hi")).otherwise(i * w + F.col("lo"))
+
     return out.select(
         "bin",
-        (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
-        (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
+        col_edge(F.col("bin")).alias("bin_lo"),
+        col_edge(F.col("bin") + 1).alias("bin_hi"),
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
-        (F.coalesce(F.col("count"), F.lit(0)) / (F.col("n") * w)).alias("density"),
+        (F.coalesce(F.col("count"), F.lit(0)) / (F.col("n") * (col_edge(F.col("bin") + 1) - col_edge(F.col("bin"))))).alias("density"),
     )
 
 
@@ -270,11 +284,15 @@ def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int = 30) -> DataFram
     s, present = _stats_values(stats)
     nx = gridsize
     ny = int(gridsize / math.sqrt(3))
-    # A flat axis is widened by 0.1 on each side so the grid has a size.
-    xlo = F.when(s["xmax"] == s["xmin"], s["xmin"] - 0.1).otherwise(s["xmin"])
-    xhi = F.when(s["xmax"] == s["xmin"], s["xmax"] + 0.1).otherwise(s["xmax"])
-    ylo = F.when(s["ymax"] == s["ymin"], s["ymin"] - 0.1).otherwise(s["ymin"])
-    yhi = F.when(s["ymax"] == s["ymin"], s["ymax"] + 0.1).otherwise(s["ymax"])
+    # A flat axis is widened by 0.1 on each side so the grid has a size; then
+    # both ranges are padded by 1e-9 of their width, so the maximum stays
+    # inside the last cell.
+    xlo0 = F.when(s["xmax"] == s["xmin"], s["xmin"] - 0.1).otherwise(s["xmin"])
+    xhi0 = F.when(s["xmax"] == s["xmin"], s["xmax"] + 0.1).otherwise(s["xmax"])
+    ylo0 = F.when(s["ymax"] == s["ymin"], s["ymin"] - 0.1).otherwise(s["ymin"])
+    yhi0 = F.when(s["ymax"] == s["ymin"], s["ymax"] + 0.1).otherwise(s["ymax"])
+    xpad, ypad = F.lit(1e-9) * (xhi0 - xlo0), F.lit(1e-9) * (yhi0 - ylo0)
+    xlo, xhi, ylo, yhi = xlo0 - xpad, xhi0 + xpad, ylo0 - ypad, yhi0 + ypad
     px = (xd - xlo) / ((xhi - xlo) / F.lit(nx))
     py = (yd - ylo) / ((yhi - ylo) / F.lit(ny))
     pts = df.where(xd.isNotNull() & yd.isNotNull() & present).select(px.alias("px"), py.alias("py"))

@@ -260,13 +260,26 @@ oracle("age_histogram", with_views(""", stats AS (
   SELECT CASE WHEN min("Age") = max("Age") THEN min("Age") - 0.5 ELSE CAST(min("Age") AS DOUBLE) END AS lo,
          CASE WHEN min("Age") = max("Age") THEN max("Age") + 0.5 ELSE CAST(max("Age") AS DOUBLE) END AS hi,
          count("Age") AS n FROM players
-), binned AS (
-  SELECT CAST(least(floor(("Age" - lo) * 60 / (hi - lo)), 59) AS INTEGER) AS bin, count(*) AS cnt
-  FROM players, stats WHERE "Age" IS NOT NULL GROUP BY 1
+), raw AS (
+  SELECT CAST("Age" AS DOUBLE) AS x, lo, hi, (hi - lo) / 60 AS step,
+    least(CAST(floor(("Age" - lo) * (60 / (hi - lo))) AS INTEGER), 59) AS r
+  FROM players, stats WHERE "Age" IS NOT NULL
+), dec AS (
+  SELECT x, lo, hi, step,
+    CASE WHEN x < (CASE WHEN r >= 60 THEN hi ELSE r * step + lo END) THEN r - 1 ELSE r END AS r
+  FROM raw
+), fixed AS (
+  SELECT CASE WHEN x >= (CASE WHEN r + 1 >= 60 THEN hi ELSE (r + 1) * step + lo END) AND r <> 59 THEN r + 1 ELSE r END AS bin
+  FROM dec
+), binned AS (SELECT bin, count(*) AS cnt FROM fixed GROUP BY bin),
+edges AS (
+  SELECT b.bin, CASE WHEN b.bin >= 60 THEN hi ELSE b.bin * ((hi - lo) / 60) + lo END AS e0,
+    CASE WHEN b.bin + 1 >= 60 THEN hi ELSE (b.bin + 1) * ((hi - lo) / 60) + lo END AS e1, n
+  FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(60)) b CROSS JOIN stats
 )
-SELECT b.bin, round(lo + b.bin * ((hi - lo) / 60), 6) AS bin_lo, round(lo + (b.bin + 1) * ((hi - lo) / 60), 6) AS bin_hi,
-  CAST(coalesce(cnt, 0) AS BIGINT) AS count, round(coalesce(cnt, 0) / (n * ((hi - lo) / 60)), 6) AS density
-FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(60)) b CROSS JOIN stats LEFT JOIN binned USING (bin)"""))
+SELECT e.bin, round(e0, 6) AS bin_lo, round(e1, 6) AS bin_hi,
+  CAST(coalesce(cnt, 0) AS BIGINT) AS count, round(coalesce(cnt, 0) / (n * (e1 - e0)), 6) AS density
+FROM edges e LEFT JOIN binned USING (bin)"""))
 
 oracle("club_age_quartiles", with_views(
     """SELECT "Club", count("Age") AS n, CAST(min("Age") AS DOUBLE) AS min,
@@ -295,12 +308,15 @@ oracle("linear_fits", with_views(" UNION ALL ".join(
   regr_count({q(y)}, {q(FIT_X)}) AS n FROM players""" for y in FIT_YS)))
 
 _NY = int(HEX_GRID / 3 ** 0.5)
-oracle("hexbin_counts", with_views(f""", st AS (
+oracle("hexbin_counts", with_views(f""", st0 AS (
   SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.1 ELSE min(x) END AS xlo,
          CASE WHEN min(x) = max(x) THEN max(x) + 0.1 ELSE max(x) END AS xhi,
          CASE WHEN min(y) = max(y) THEN min(y) - 0.1 ELSE min(y) END AS ylo,
          CASE WHEN min(y) = max(y) THEN max(y) + 0.1 ELSE max(y) END AS yhi
   FROM (SELECT CAST("Dribbling" AS DOUBLE) AS x, CAST("Crossing" AS DOUBLE) AS y FROM players)
+), st AS (
+  SELECT xlo - 1e-9 * (xhi - xlo) AS xlo, xhi + 1e-9 * (xhi - xlo) AS xhi,
+         ylo - 1e-9 * (yhi - ylo) AS ylo, yhi + 1e-9 * (yhi - ylo) AS yhi FROM st0
 ), pts AS (
   SELECT ("Dribbling" - xlo) / ((xhi - xlo) / {HEX_GRID}) AS px, ("Crossing" - ylo) / ((yhi - ylo) / {_NY}) AS py
   FROM players, st WHERE "Dribbling" IS NOT NULL AND "Crossing" IS NOT NULL
