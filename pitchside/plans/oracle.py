@@ -197,7 +197,7 @@ oracle("reciprocal_weights", with_views(
 # --- aggregates -----------------------------------------------------------------
 
 oracle("topk", with_views(
-    f"SELECT \"ID\", \"Name\", \"Overall\", row_number() OVER (ORDER BY \"Overall\" DESC, \"ID\") AS rank "
+    f"SELECT \"ID\", \"Name\", \"Overall\", CAST(row_number() OVER (ORDER BY \"Overall\" DESC, \"ID\") AS INTEGER) AS rank "
     f"FROM players ORDER BY \"Overall\" DESC, \"ID\" LIMIT {K}"))
 oracle("club_means", with_views(
     "SELECT \"Club\", " + ", ".join(r6(q(f), f) for f in FEATURES) + " FROM teams"))
@@ -211,7 +211,7 @@ oracle("club_means_int", with_views(
 for _name, _dir in (("clubs_age_sum_top", "DESC"), ("clubs_age_sum_bottom", "ASC")):
     oracle(_name, with_views(
         f"""SELECT "Club", age_sum, round(age_mean, 6) AS age_mean, players,
-  row_number() OVER (ORDER BY age_sum {_dir}, "Club") AS rank
+  CAST(row_number() OVER (ORDER BY age_sum {_dir}, "Club") AS INTEGER) AS rank
 FROM (SELECT "Club", CAST(sum("Age") AS BIGINT) AS age_sum, avg("Age") AS age_mean, count(*) AS players
       FROM players WHERE "Club" IS NOT NULL GROUP BY "Club")
 ORDER BY age_sum {_dir}, "Club" LIMIT 5"""))
@@ -305,7 +305,7 @@ GROUP BY grid."Club", g, x, n, h"""))
 oracle("linear_fits", with_views(" UNION ALL ".join(
     f"""SELECT '{y}' AS feature, round(regr_slope({q(y)}, {q(FIT_X)}), 6) AS slope,
   round(regr_intercept({q(y)}, {q(FIT_X)}), 6) AS intercept, round(regr_r2({q(y)}, {q(FIT_X)}), 6) AS r2,
-  regr_count({q(y)}, {q(FIT_X)}) AS n FROM players""" for y in FIT_YS)))
+  CAST(regr_count({q(y)}, {q(FIT_X)}) AS BIGINT) AS n FROM players""" for y in FIT_YS)))
 
 _NY = int(HEX_GRID / 3 ** 0.5)
 oracle("hexbin_counts", with_views(f""", st0 AS (
@@ -339,7 +339,7 @@ FROM players WHERE "Crossing" IS NOT NULL AND "Dribbling" IS NOT NULL GROUP BY "
 
 for _name, _dir in (("oldest_players", "DESC"), ("youngest_players", "ASC")):
     oracle(_name, with_views(
-        f"""SELECT "ID", "Name", "Age", "Club", "Overall", row_number() OVER (ORDER BY "Age" {_dir}, "ID") AS rank
+        f"""SELECT "ID", "Name", "Age", "Club", "Overall", CAST(row_number() OVER (ORDER BY "Age" {_dir}, "ID") AS INTEGER) AS rank
 FROM players ORDER BY "Age" {_dir}, "ID" LIMIT 10"""))
 
 
@@ -367,7 +367,7 @@ s AS (
   FROM players c, t WHERE c."ID" <> t."ID"
 )
 SELECT "ID", "Name", "Age", "Nationality", "Club", "Height_cm", "Weight_lbs", round(score, 6) AS score,
-  row_number() OVER (ORDER BY round(score, 6) DESC, "ID") AS rank
+  CAST(row_number() OVER (ORDER BY round(score, 6) DESC, "ID") AS INTEGER) AS rank
 FROM s WHERE cn > 0 AND score IS NOT NULL
 ORDER BY round(score, 6) DESC, "ID" LIMIT {K}"""))
 
@@ -380,7 +380,7 @@ s AS (
   FROM e JOIN t USING (i) WHERE e.vec_id <> {VEC_ID} GROUP BY e.vec_id, e.label
 )
 SELECT vec_id, label, round(dot / nullif(tn.n, 0), 6) AS score,
-  row_number() OVER (ORDER BY round(dot / nullif(tn.n, 0), 6) DESC, vec_id) AS rank
+  CAST(row_number() OVER (ORDER BY round(dot / nullif(tn.n, 0), 6) DESC, vec_id) AS INTEGER) AS rank
 FROM s, tn WHERE cn > 0 AND tn.n > 0
 ORDER BY round(dot / nullif(tn.n, 0), 6) DESC, vec_id LIMIT {K}""")
 
@@ -422,7 +422,7 @@ wsum AS (
 for _name, _dir in (("weak_players", "DESC"), ("weak_players_asc", "ASC")):
     oracle(_name, with_views(_WEAK_PLAYERS + f"""
 SELECT "ID", "Name", "Club", round(weak_sum, 6) AS weak_sum,
-  row_number() OVER (ORDER BY round(weak_sum, 6) {_dir}, "ID") AS rank
+  CAST(row_number() OVER (ORDER BY round(weak_sum, 6) {_dir}, "ID") AS INTEGER) AS rank
 FROM wsum ORDER BY round(weak_sum, 6) {_dir}, "ID" LIMIT 10"""))
 
 _IMPROVE = _WEAK + f""",
@@ -437,7 +437,7 @@ imp AS (
 )"""
 oracle("best_replacements", with_views(_IMPROVE.format(pid=PLAYER_ID) + f"""
 SELECT CAST(player_id AS BIGINT) AS player_id, replacement_id, round(improvement, 6) AS improvement,
-  row_number() OVER (ORDER BY round(improvement, 6) DESC, replacement_id) AS rank
+  CAST(row_number() OVER (ORDER BY round(improvement, 6) DESC, replacement_id) AS INTEGER) AS rank
 FROM imp ORDER BY round(improvement, 6) DESC, replacement_id LIMIT {K}"""))
 
 oracle("replace_mode", with_views(_WEAK_PLAYERS + f""",
@@ -455,7 +455,7 @@ pairs AS (
   GROUP BY wp."ID", wp.wrank, c."ID"
 )
 SELECT player_id, replacement_id, round(improvement, 6) AS improvement,
-  row_number() OVER (ORDER BY round(improvement, 6) DESC, wrank, replacement_id) AS rank
+  CAST(row_number() OVER (ORDER BY round(improvement, 6) DESC, wrank, replacement_id) AS INTEGER) AS rank
 FROM pairs ORDER BY round(improvement, 6) DESC, wrank, replacement_id LIMIT {REPLACE_K}"""))
 
 # --- matrix recommendations -----------------------------------------------------------
@@ -465,7 +465,7 @@ _club = f"WHERE t.\"Club\" = '{CLUB}'"
 
 def _mvp(grp: str, direction: str, k) -> str:
     return with_scores(f"""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score,
-  row_number() OVER (ORDER BY round(score, 6) {direction} NULLS LAST, "ID") AS rank
+  CAST(row_number() OVER (ORDER BY round(score, 6) {direction} NULLS LAST, "ID") AS INTEGER) AS rank
 FROM scores WHERE grp = '{grp}'
 ORDER BY round(score, 6) {direction} NULLS LAST, "ID" LIMIT {k}""", where=_club)
 
@@ -474,7 +474,7 @@ oracle("mvp_for_team", _mvp("DEF", "DESC", K))
 oracle("lvp_for_team", _mvp("DEF", "ASC", K))
 _player = f"WHERE p.\"ID\" = {PLAYER_ID}"
 oracle("mvt_for_player", with_scores(f"""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score,
-  row_number() OVER (ORDER BY round(score, 6) DESC NULLS LAST, team) AS rank
+  CAST(row_number() OVER (ORDER BY round(score, 6) DESC NULLS LAST, team) AS INTEGER) AS rank
 FROM scores WHERE grp = 'FWD'
 ORDER BY round(score, 6) DESC NULLS LAST, team LIMIT {K}""", where=_player))
 oracle("mvt_for_player_all", with_scores("""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score
@@ -484,11 +484,11 @@ FROM scores s JOIN players p USING ("ID")
 WHERE grp = 'DEF' AND s."Club" = '{CLUB}' AND {GROUP_CASE.format(c='p."Position"')} = 'DEF'""", where=_club))
 _ids = ", ".join(str(i) for i in LIST_IDS)
 oracle("lvp_from_list", with_scores(f"""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score,
-  row_number() OVER (ORDER BY round(score, 6) ASC NULLS LAST, "ID") AS rank
+  CAST(row_number() OVER (ORDER BY round(score, 6) ASC NULLS LAST, "ID") AS INTEGER) AS rank
 FROM scores WHERE grp = 'ALL' AND "ID" IN ({_ids})
 ORDER BY round(score, 6) ASC NULLS LAST, "ID" LIMIT 1""", where=_club))
 oracle("lvp_all", with_scores("""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score,
-  row_number() OVER (ORDER BY round(score, 6) ASC NULLS LAST, "ID") AS rank
+  CAST(row_number() OVER (ORDER BY round(score, 6) ASC NULLS LAST, "ID") AS INTEGER) AS rank
 FROM scores WHERE grp = 'ALL'
 ORDER BY round(score, 6) ASC NULLS LAST, "ID" LIMIT 1""", where=_club))
 oracle("mvp_all_clubs", with_scores(f"""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
