@@ -135,9 +135,13 @@ def replace_mode(players: DataFrame, teams: DataFrame, club: str, k: int = 3,
         F.col("ID").alias("replacement_id"), *features,
         weighted_sum(features, weights).alias("cw"),
     )
-    kth = top_k(cands, k, "cw", tiebreak=("replacement_id",), rank_col=None, round_to=None) \
-        .agg(F.min("cw").alias("kth")).select("kth").scalar()
-    survivors = cands.where(F.col("cw") >= kth - F.lit(RANK_TOLERANCE))
+    best = top_k(cands, k, "cw", tiebreak=("replacement_id",), rank_col=None, round_to=None) \
+        .agg(F.struct(F.min("cw").alias("kth"), F.count("cw").alias("nn")).alias("s")).select("s").scalar()
+    # NULL scores rank last: they can only matter when fewer than k candidates have a score.
+    survivors = cands.where(
+        (F.col("cw") >= best.getField("kth") - F.lit(RANK_TOLERANCE))
+        | (F.col("cw").isNull() & (best.getField("nn") < F.lit(k)))
+    )
 
     pairs = survivors.select("replacement_id", *features, F.inline(worst_arr))
     scored = pairs.select(

@@ -227,3 +227,16 @@ def test_recommend_dispatch(spark):
     assert [r.team for r in by_name][:2] == ["X", "Y"] and by_name[-1].score is None
     with pytest.raises(ValueError):
         m.mvp_for_team("X", "GK")
+
+
+def test_replace_mode_with_null_features_matches_loop(spark):
+    p = players(spark).withColumn("f1", F.when(F.col("ID") == 3, None).otherwise(F.col("f1")))
+    t = teams(spark)
+    fast = [(r.player_id, r.replacement_id, r6(r.improvement)) for r in R.replace_mode(p, t, "X", k=6, features=F5).collect()]
+    worst = [r.ID for r in R.weak_players(p, t, "X", features=F5).collect()]
+    pairs = []
+    for pid in worst:
+        pairs += [(pid, r.replacement_id, r6(r.improvement)) for r in R.best_replacements(p, t, "X", pid, k=6, features=F5).collect()]
+    pairs.sort(key=lambda x: (x[2] is None, -(x[2] or 0), worst.index(x[0]), x[1]))
+    assert fast == pairs[:6]
+    assert fast[-1][2] is None
