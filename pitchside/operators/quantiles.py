@@ -44,28 +44,44 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
     small_out = small_q.select(*keys, F.posexplode("__q").alias("q", value))
 
     # Large groups: bracket each target rank, then rank inside the bracket.
-    targets = stats.where(F.col("__n") > small_limit).select(
-        *keys, "__n",
-        F.posexplode(F.array(*[
-            F.struct(F.lit(p).alias("p"), F.col("__b")[2 * i].alias("lo"), F.col("__b")[2 * i + 1].alias("hi"))
-            for i, p in enumerate(probs)
-        ])).alias("q", "t"),
-    ).select(
-        *keys, "q", F.col("t.lo").alias("lo"), F.col("t.hi").alias("hi"),
-        ((F.col("__n") - 1) * F.col("t.p")).alias("h"),
-    ).select(*keys, "q", "lo", "hi", F.floor("h").alias("r1"), F.ceil("h").alias("r2"),
-             (F.col("h") - F.floor("h")).alias("frac"))
-    joined = data.join(targets, keys)
-    below = joined.groupBy(*keys, "q").agg(F.sum((F.col("__v") < F.col("lo")).cast("long")).alias("below"))
+    # One row per group carries every bracket, so each value is read once:
+    # the values below each bracket are counted, and only values inside a
+    # bracket are emitted as (q, value) rows.
+    nq = len(probs)
+    big = stats.where(F.col("__n") > small_limit)
+    brackets = big.select(
+        *keys,
+        *[F.col("__b")[2 * i].alias(f"__lo{i}") for i in range(nq)],
+        *[F.col("__b")[2 * i + 1].alias(f"__hi{i}") for i in range(nq)],
+    )
+    targets = big.select(
+        *keys,
+        F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("q", "__p"),
+        "__n",
+    ).select(*keys, "q", ((F.col("__n") - 1) * F.col("__p")).alias("h")).select(
+        *keys, "q", F.floor("h").alias("r1"), F.ceil("h").alias("r2"), (F.col("h") - F.floor("h")).alias("frac"),
+    )
+    joined = data.join(brackets, keys)
+    below_wide = joined.groupBy(*keys).agg(*[
+        F.sum((F.col("__v") < F.col(f"__lo{i}")).cast("long")).alias(f"b{i}") for i in range(nq)
+    ])
+    below = below_wide.select(*keys, F.posexplode(F.array(*[F.col(f"b{i}") for i in range(nq)])).alias("q", "below"))
+    hits = F.filter(
+        F.array(*[
+            F.struct(F.lit(i).alias("q"), ((F.col("__v") >= F.col(f"__lo{i}")) & (F.col("__v") <= F.col(f"__hi{i}"))).alias("hit"))
+            for i in range(nq)
+        ]),
+        lambda e: e["hit"],
+    )
     inside = (
-        joined.where((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
-        .groupBy(*keys, "q", "__v").agg(F.count(F.lit(1)).alias("c"))
+        joined.select(*keys, "__v", F.explode(hits).alias("e"))
+        .groupBy(*keys, F.col("e.q").alias("q"), "__v").agg(F.count(F.lit(1)).alias("c"))
     )
     w = Window.partitionBy(*keys, "q").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         inside.withColumn("cum", F.sum("c").over(w))
         .join(below, keys + ["q"])
-        .join(targets.select(*keys, "q", "r1", "r2", "frac"), keys + ["q"])
+        .join(targets, keys + ["q"])
         .withColumn("first", F.col("below") + F.col("cum") - F.col("c"))
         .withColumn("last", F.col("below") + F.col("cum") - 1)
     )
