@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import HIST_BINS
-from .quantiles import exact_quantiles
+from .quantiles import bracket_aggs, exact_quantiles
 from .targets import row_values
 from .topk import top_k
 
@@ -153,18 +153,20 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(columns)
     ])).alias("e")).select("e.*")
+    probs = [0.25, 0.5, 0.75]
     stats = long.groupBy("position", "column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"),
+        *([] if approx else bracket_aggs("v", probs)),
     )
     if approx:
         q = long.groupBy("position", "column").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 100000).alias("q"))
         quart = q.select("position", "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
                          F.col("q")[2].alias("q75"))
     else:
-        quart = _quartile_columns(exact_quantiles(long, ["position", "column"], "v", [0.25, 0.5, 0.75]),
+        quart = _quartile_columns(exact_quantiles(long, ["position", "column"], "v", probs, stats=stats),
                                   ["position", "column"], "v")
-    return stats.join(quart, ["position", "column"], "left").select(
+    return stats.drop("__n", "__b").join(quart, ["position", "column"], "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
@@ -222,11 +224,12 @@ def group_quartiles(df: DataFrame, key: str, value: str, keys: Sequence[str] | N
     p = df.where(F.col(key).isNotNull())
     if keys is not None:
         p = p.where(F.col(key).isin(list(keys)))
+    probs = [0.25, 0.5, 0.75]
     agg = p.groupBy(key).agg(
         F.count(F.col(value)).alias("n"), F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
+        F.max(value).cast("double").alias("max"), *bracket_aggs(value, probs),
     )
-    quart = _quartile_columns(exact_quantiles(p, [key], value, [0.25, 0.5, 0.75]), [key], value)
+    quart = _quartile_columns(exact_quantiles(p, [key], value, probs, stats=agg), [key], value)
     return agg.join(quart, [key], "left").select(key, "n", "min", "q25", "q50", "q75", "max")
 
 

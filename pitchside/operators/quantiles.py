@@ -24,19 +24,30 @@ SMALL_LIMIT = 100_000
 ACCURACY = 10_000
 
 
+def bracket_aggs(value: str, probs: Sequence[float], accuracy: int = ACCURACY) -> list:
+    """The aggregates ``exact_quantiles`` needs per group (``__n``, ``__b``); a caller
+    computing other statistics per group can add these to the same aggregation."""
+    delta = 4.0 / accuracy
+    v = F.col(value).cast("double")
+    bounds = [b for p in probs for b in (max(0.0, float(p) - delta), min(1.0, float(p) + delta))]
+    return [F.count(v).alias("__n"), F.percentile_approx(v, bounds, accuracy).alias("__b")]
+
+
 def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    accuracy: int = ACCURACY, small_limit: int = SMALL_LIMIT) -> DataFrame:
-    """(keys..., q, value) for every group and probability index q (0-based)."""
+                    accuracy: int = ACCURACY, small_limit: int = SMALL_LIMIT,
+                    stats: DataFrame | None = None) -> DataFrame:
+    """(keys..., q, value) for every group and probability index q (0-based).
+
+    ``stats``: the per-group result of ``bracket_aggs`` if the caller already
+    aggregated it (with the same probs and accuracy), saving a pass.
+    """
     keys = list(keys)
     probs = [float(p) for p in probs]
-    delta = 4.0 / accuracy
     v = F.col(value).cast("double")
     data = long.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull())
-    bounds = [b for p in probs for b in (max(0.0, p - delta), min(1.0, p + delta))]
-    stats = data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", bounds, accuracy).alias("__b"),
-    )
+    if stats is None:
+        stats = long.groupBy(*keys).agg(*bracket_aggs(value, probs, accuracy))
+    stats = stats.select(*keys, "__n", "__b")
 
     # Small groups: exact percentile, bounded by small_limit values per group.
     small = data.join(stats.where(F.col("__n") <= small_limit).select(*keys), keys)
