@@ -188,16 +188,23 @@ def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
         "n",
     )
     s, present = _stats_values(stats)
-    step = (s["hi"] - s["lo"]) / F.lit(bins)
+    # Bind the two statistics once as columns: expressions below use them many times.
+    vals = df.where(x.isNotNull() & present).select(
+        x.alias("__x"), s["lo"].alias("__lo"), s["hi"].alias("__hi")
+    )
+    xv, lo, hi = F.col("__x"), F.col("__lo"), F.col("__hi")
+    step = (hi - lo) / F.lit(bins)
 
     def edge(i):
-        return F.when(i >= bins, s["hi"]).otherwise(i * step + s["lo"])
+        return F.when(i >= bins, hi).otherwise(i * step + lo)
 
-    raw = F.floor((x - s["lo"]) * (F.lit(bins) / (s["hi"] - s["lo"]))).cast("int")
+    raw = F.floor((xv - lo) * (F.lit(bins) / (hi - lo))).cast("int")
     raw = F.when(raw >= bins, F.lit(bins - 1)).otherwise(raw)
-    fixed = F.when(x < edge(raw), raw - 1).otherwise(raw)
-    fixed = F.when((x >= edge(fixed + 1)) & (fixed != bins - 1), fixed + 1).otherwise(fixed)
-    counts = df.where(x.isNotNull() & present).groupBy(fixed.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    with_raw = vals.select("__x", "__lo", "__hi", raw.alias("__r"))
+    r = F.col("__r")
+    dec = with_raw.select("__x", "__lo", "__hi", F.when(xv < edge(r), r - 1).otherwise(r).alias("__r"))
+    fixed = F.when((xv >= edge(r + 1)) & (r != bins - 1), r + 1).otherwise(r)
+    counts = dec.groupBy(fixed.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     all_bins = stats.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi", "n")
     out = all_bins.join(counts, "bin", "left")
     w = (F.col("hi") - F.col("lo")) / F.lit(bins)
@@ -284,12 +291,17 @@ def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int = 30) -> DataFram
     hexbin construction. (lattice, i, j, count)."""
     xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
     stats = df.agg(F.min(xd).alias("xmin"), F.max(xd).alias("xmax"), F.min(yd).alias("ymin"), F.max(yd).alias("ymax"))
-    s, present = _stats_values(stats)
+    s0, present = _stats_values(stats)
     nx = gridsize
     ny = int(gridsize / math.sqrt(3))
     # A flat axis is widened by 0.1 on each side so the grid has a size; then
     # both ranges are padded by 1e-9 of their width, so the maximum stays
     # inside the last cell.
+    bound = df.where(xd.isNotNull() & yd.isNotNull() & present).select(
+        xd.alias("__x"), yd.alias("__y"), *[s0[c].alias(c) for c in ("xmin", "xmax", "ymin", "ymax")]
+    )
+    s = {c: F.col(c) for c in ("xmin", "xmax", "ymin", "ymax")}
+    xd, yd = F.col("__x"), F.col("__y")
     xlo0 = F.when(s["xmax"] == s["xmin"], s["xmin"] - 0.1).otherwise(s["xmin"])
     xhi0 = F.when(s["xmax"] == s["xmin"], s["xmax"] + 0.1).otherwise(s["xmax"])
     ylo0 = F.when(s["ymax"] == s["ymin"], s["ymin"] - 0.1).otherwise(s["ymin"])
@@ -298,7 +310,7 @@ def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int = 30) -> DataFram
     xlo, xhi, ylo, yhi = xlo0 - xpad, xhi0 + xpad, ylo0 - ypad, yhi0 + ypad
     px = (xd - xlo) / ((xhi - xlo) / F.lit(nx))
     py = (yd - ylo) / ((yhi - ylo) / F.lit(ny))
-    pts = df.where(xd.isNotNull() & yd.isNotNull() & present).select(px.alias("px"), py.alias("py"))
+    pts = bound.select(px.alias("px"), py.alias("py"))
     ix1, iy1 = F.bround("px", 0), F.bround("py", 0)
     ix2, iy2 = F.floor("px"), F.floor("py")
     d1 = (F.col("px") - ix1) ** 2 + 3.0 * (F.col("py") - iy1) ** 2
