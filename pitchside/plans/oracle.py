@@ -497,3 +497,27 @@ WHERE rank <= {K}"""))
 oracle("mvt_all_players", with_scores(f"""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY "ID", grp ORDER BY round(score, 6) DESC NULLS LAST, team) AS rank FROM scores)
 WHERE rank <= {K}"""))
+
+
+def _positive_zero(sql: str) -> str:
+    """Wrap every round(...) as (round(...) + 0.0): DuckDB rounds a tiny negative to -0.0,
+    Spark to 0.0; adding +0.0 turns -0.0 into 0.0 and leaves every other value alone."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i : j + 6])
+            i = j + 6
+            continue
+        k, depth = j + 6, 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "(round(" + _positive_zero(sql[j + 6 : k - 1]) + ") + 0.0)")
+        i = k
+
+
+ORACLE_SQL = {name: _positive_zero(sql) for name, sql in ORACLE_SQL.items()}
