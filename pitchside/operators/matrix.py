@@ -38,10 +38,11 @@ def team_weights(teams: DataFrame, features: Sequence[str] = FEATURES, on_zero:
 
 
 def club_scores(players: DataFrame, teams: DataFrame, club: str, features: Sequence[str],
-                group_label: str, on_zero: str = "error", transform: str = "reciprocal") -> DataFrame:
+                group_label: str, on_zero: str = "error", transform: str = "reciprocal",
+                strict: bool = False) -> DataFrame:
     """Every player scored for one club: (ID, Name, Club, team, grp, score)."""
     w_row = team_weights(pick_club(teams, club), features, on_zero, transform)
-    w, found = row_literals(w_row, features)
+    w, found = row_literals(w_row, features, strict, f"club {club!r}")
     present = F.lit(found)
     return players.where(present).select(
         F.col("ID"), F.col("Name"), F.col("Club"),
@@ -52,10 +53,11 @@ def club_scores(players: DataFrame, teams: DataFrame, club: str, features: Seque
 
 
 def player_scores(players: DataFrame, teams: DataFrame, features: Sequence[str], group_label: str,
-                  player_id=None, name: str | None = None, on_zero: str = "error") -> DataFrame:
+                  player_id=None, name: str | None = None, on_zero: str = "error",
+                  strict: bool = False) -> DataFrame:
     """One player scored for every club: (ID, Name, Club, team, grp, score)."""
     target = pick_player(players, player_id, name)
-    v, found = row_literals(target, ["ID", "Name", "Club", *features])
+    v, found = row_literals(target, ["ID", "Name", "Club", *features], strict, "player")
     present = F.lit(found)
     weights = team_weights(teams, features, on_zero)
     return weights.where(present).select(
@@ -68,16 +70,27 @@ def player_scores(players: DataFrame, teams: DataFrame, features: Sequence[str],
     )
 
 
-def mvp_for_team(players, teams, club, features, group_label, k=10, reverse=False, on_zero="error"):
-    """K most (``reverse=True``: least) valued players for a club."""
-    scored = club_scores(players, teams, club, features, group_label, on_zero)
+def mvp_for_team(players, teams, club, features, group_label, k=10, reverse=False, on_zero="error",
+                 eligible_group: str | None = None, exclude_own: bool = False, strict: bool = False):
+    """K most (``reverse=True``: least) valued players for a club.
+
+    Like the reference, every player is a candidate whatever his position;
+    ``eligible_group`` keeps only players of one position group and
+    ``exclude_own`` leaves out the club's own players.
+    """
+    pool = players
+    if eligible_group is not None:
+        pool = pool.where(position_group("Position") == F.lit(normalize_group(eligible_group)))
+    if exclude_own:
+        pool = pool.where(~F.col("Club").eqNullSafe(F.lit(club)))
+    scored = club_scores(pool, teams, club, features, group_label, on_zero, strict=strict)
     return top_k(scored, k, "score", ascending=reverse)
 
 
 def mvt_for_player(players, teams, features, group_label, player_id=None, name=None, k=10,
-                   reverse=False, on_zero="error"):
+                   reverse=False, on_zero="error", strict: bool = False):
     """K most (least) valued clubs for a player; ``k=None`` lists every club."""
-    scored = player_scores(players, teams, features, group_label, player_id, name, on_zero)
+    scored = player_scores(players, teams, features, group_label, player_id, name, on_zero, strict)
     return top_k(scored, k, "score", ascending=reverse, tiebreak=("team",))
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import norm, projection_similarity
+from ..functions.columns import norm, projection_similarity, weighted_sum
 from ..schema import FEATURES
 from .targets import pick_player, row_literals, row_values
 from .topk import top_k
@@ -20,14 +20,25 @@ SIMILAR_CARD = ["Name", "Age", "Nationality", "Club", "Height_cm", "Weight_lbs"]
 
 
 def similar_players(players: DataFrame, player_id=None, name: str | None = None, k: int = 10,
-                    features: Sequence[str] = FEATURES, card: Sequence[str] = SIMILAR_CARD) -> DataFrame:
+                    features: Sequence[str] = FEATURES, card: Sequence[str] = SIMILAR_CARD,
+                    metric: str = "projection", strict: bool = False) -> DataFrame:
+    """Top-K players most similar to one player (excluded from the result).
+
+    ``metric="projection"`` (the reference's measure): |c| cos(c, t), the
+    length of the candidate projected on the target, so big all-round
+    players rank high. ``metric="cosine"``: cos(c, t) alone.
+    """
     target = pick_player(players, player_id, name)
-    v, found = row_literals(target, ["ID", *features])
+    v, found = row_literals(target, ["ID", *features], strict, "player")
     present = F.lit(found)
     t = [v[f] for f in features]
-    scored = players.where((F.col("ID") != v["ID"]) & present).select(
-        "ID", *card, projection_similarity(features, t, norm(t)).alias("score"),
-    )
+    if metric == "projection":
+        score = projection_similarity(features, t, norm(t))
+    elif metric == "cosine":
+        score = F.try_divide(weighted_sum(features, t), norm(features) * norm(t))
+    else:
+        raise ValueError(f"metric must be 'projection' or 'cosine', not {metric!r}")
+    scored = players.where((F.col("ID") != v["ID"]) & present).select("ID", *card, score.alias("score"))
     return top_k(scored.where(F.col("score").isNotNull()), k, "score")
 
 

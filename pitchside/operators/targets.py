@@ -31,7 +31,8 @@ def row_values(one_row: DataFrame, columns: Sequence[str]) -> tuple[dict[str, Co
     return values, row.getField("__n") == F.lit(1)
 
 
-def row_literals(one_row: DataFrame, columns: Sequence[str]) -> tuple[dict[str, Column], bool]:
+def row_literals(one_row: DataFrame, columns: Sequence[str], strict: bool = False,
+                 what: str = "target") -> tuple[dict[str, Column], bool]:
     """({column: literal}, present) from a DataFrame holding at most one row.
 
     One small job reads the row (at most 2 rows are fetched, to reject an
@@ -39,6 +40,8 @@ def row_literals(one_row: DataFrame, columns: Sequence[str]) -> tuple[dict[str,
     that uses them is a plain scan + projection that Catalyst can
     constant-fold. This is what a scalar subquery does at run time, without
     carrying the subquery plan into every expression that uses a value.
+    A missing row gives NULL values and ``present=False`` (callers return an
+    empty result), or raises ``ValueError`` with ``strict=True``.
     """
     picked = one_row.select(*columns)
     rows = picked.limit(2).collect()
@@ -46,6 +49,8 @@ def row_literals(one_row: DataFrame, columns: Sequence[str]) -> tuple[dict[str,
         raise ValueError("target is not unique")
     types = dict((f.name, f.dataType) for f in picked.schema.fields)
     if not rows:
+        if strict:
+            raise ValueError(f"unknown {what}")
         return {c: F.lit(None).cast(types[c]) for c in columns}, False
     return {c: F.lit(rows[0][c]).cast(types[c]) for c in columns}, True
 

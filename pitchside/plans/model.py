@@ -34,14 +34,15 @@ class ScoutModel:
     def _label(self, group: str) -> str:
         return "ALL" if group.upper() == "ALL" else normalize_group(group)
 
-    def mvp_for_team(self, team: str, position: str, k: int | None = 10, reverse: bool = False) -> DataFrame:
+    def mvp_for_team(self, team: str, position: str, k: int | None = 10, reverse: bool = False,
+                     eligible_group: str | None = None, exclude_own: bool = False, strict: bool = False) -> DataFrame:
         return M.mvp_for_team(self.players, self.teams, team, self.features(position), self._label(position),
-                              k, reverse, self.on_zero)
+                              k, reverse, self.on_zero, eligible_group, exclude_own, strict)
 
     def mvt_for_player(self, position: str, player_id=None, name: str | None = None, k: int | None = 10,
-                       reverse: bool = False) -> DataFrame:
+                       reverse: bool = False, strict: bool = False) -> DataFrame:
         return M.mvt_for_player(self.players, self.teams, self.features(position), self._label(position),
-                                player_id, name, k, reverse, self.on_zero)
+                                player_id, name, k, reverse, self.on_zero, strict)
 
     def worst_in_club(self, position: str, team: str) -> DataFrame:
         return M.worst_in_club(self.players, self.teams, team, position, self.features(position), self.on_zero)

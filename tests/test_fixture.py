@@ -240,3 +240,25 @@ def test_replace_mode_with_null_features_matches_loop(spark):
     pairs.sort(key=lambda x: (x[2] is None, -(x[2] or 0), worst.index(x[0]), x[1]))
     assert fast == pairs[:6]
     assert fast[-1][2] is None
+
+
+def test_strict_unknown_targets_raise(spark):
+    with pytest.raises(ValueError):
+        M.mvp_for_team(players(spark), teams(spark), "nope", F5, "ALL", strict=True)
+    with pytest.raises(ValueError):
+        M.mvt_for_player(players(spark), teams(spark), F5, "ALL", player_id=99, strict=True)
+    with pytest.raises(ValueError):
+        S.similar_players(players(spark), 99, features=F5, strict=True)
+
+
+def test_mvp_options(spark):
+    only_def = M.mvp_for_team(players(spark), teams(spark), "X", F5, "ALL", k=10, eligible_group="DEF").collect()
+    assert sorted(r.ID for r in only_def) == [1, 5]
+    outside = M.mvp_for_team(players(spark), teams(spark), "X", F5, "ALL", k=10, exclude_own=True).collect()
+    assert sorted(r.ID for r in outside) == [3, 4, 5, 6]   # the NULL club counts as outside
+
+
+def test_cosine_metric(spark):
+    got = S.similar_players(players(spark), 3, k=10, features=F5, metric="cosine").collect()
+    # Every constant vector has cosine 1 with the constant target; ties by id.
+    assert [r.ID for r in got[:2]] == [4, 6] and r6(got[0].score) == 1.0
