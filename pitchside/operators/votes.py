@@ -58,7 +58,7 @@ def vote_features(corr_long: DataFrame, n_top: int = TOP_FEATURES_PER_RATING,
 
 def feature_votes(players: DataFrame, ratings: Sequence[str] = RATINGS, features: Sequence[str] = FEATURES,
                   n_top: int = TOP_FEATURES_PER_RATING, n_keep: int = FEATURES_PER_GROUP,
-                  method: str = "ml") -> DataFrame:
+                  method: str = "auto") -> DataFrame:
     """Correlate every feature with every rating, then vote (see ``vote_features``)."""
     return vote_features(corr_between(players, features, ratings, method), n_top, n_keep)
 

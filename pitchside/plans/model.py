@@ -66,7 +66,7 @@ class ScoutModel:
 
 
 def fit(players: DataFrame, teams: DataFrame | None = None, on_zero: str = "error",
-        method: str = "ml") -> ScoutModel:
+        method: str = "auto") -> ScoutModel:
     teams = club_means(players) if teams is None else teams
     groups = group_features(feature_votes(players, method=method))
     return ScoutModel(players, teams, groups, on_zero, teams.count())

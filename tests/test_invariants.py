@@ -101,3 +101,24 @@ def test_votes_equal_pandas_counter(spark, views, model):
                     counters[g][f] += 1
     expected = {g: [f for f, _ in c.most_common(12)] for g, c in counters.items()}
     assert model.groups == expected
+
+
+def test_pairwise_corr_with_gaps_matches_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    n = 400
+    a = rng.normal(size=n) * 100 + 1e6
+    pdf = pd.DataFrame({"a": a, "b": a * 0.5 + rng.normal(size=n), "c": rng.normal(size=n), "k": np.full(n, 7.0)})
+    for col, frac in (("a", 0.1), ("b", 0.2), ("c", 0.05)):
+        pdf.loc[rng.random(n) < frac, col] = np.nan
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double").repartition(3)
+    got = {(r.x, r.y): r.corr for r in C.corr_matrix(df, ["a", "b", "c", "k"]).collect()}   # auto -> pairwise
+    exp = pdf.corr()
+    for (x, y), v in got.items():
+        if np.isnan(exp.loc[x, y]):
+            assert v is None
+        else:
+            assert v == pytest.approx(exp.loc[x, y], abs=1e-9)
