@@ -32,20 +32,21 @@ CORR_SCHEMA = T.StructType([
 def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "auto") -> DataFrame:
     """Long (x, x_idx, y, y_idx, corr) for every pair of ``columns``.
 
-    ``method="auto"`` counts NULLs first (one cheap aggregate) and picks
-    ``"ml"`` for complete data, ``"pairwise"`` otherwise.
+    ``method="auto"`` runs the ML path and only if its result has a NaN
+    (a NULL in the data, or a constant column) counts NULLs; with NULLs it
+    switches to ``"pairwise"``. Complete data pays for nothing extra.
     """
     cols = list(columns)
     spark = df.sparkSession
-    if method == "auto":
-        counts = df.agg(F.count(F.lit(1)).alias("__rows"),
-                        *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)]).head()
-        complete = all(counts[f"c{i}"] == counts["__rows"] for i in range(len(cols)))
-        method = "ml" if complete else "pairwise"
-    if method == "ml":
+    if method in ("auto", "ml"):
         assembled = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="keep") \
             .transform(df.select(*[F.col(c).cast("double") for c in cols]))
         m = Correlation.corr(assembled, "__v").head()[0].toArray()
+        if method == "auto" and np.isnan(m).any():
+            counts = df.agg(F.count(F.lit(1)).alias("__rows"),
+                            *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)]).head()
+            if any(counts[f"c{i}"] != counts["__rows"] for i in range(len(cols))):
+                return pairwise_corr(df, cols)
         rows = [
             (x, i, y, j, None if m[i][j] != m[i][j] else float(m[i][j]))
             for i, x in enumerate(cols) for j, y in enumerate(cols)
