@@ -8,6 +8,7 @@ correlations) so results compare exactly with the SQL oracle.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -62,11 +63,17 @@ def _teams(spark, sf_dir):
 
 
 _MODELS: dict = {}
+_LOCK = threading.RLock()
 
 
 def _model(spark, sf_dir):
     """The fitted model, once per application and data folder (fit, then query many times)."""
     memo = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        return _fitted(spark, sf_dir, memo)
+
+
+def _fitted(spark, sf_dir, memo):
     if memo not in _MODELS:
         players, teams = load_views(spark, sf_dir)
         # A zero club mean gives NULL scores for that club (sf0.001 has two) instead of an error.
@@ -80,11 +87,12 @@ _CSV: dict = {}
 def _players_csv(spark, sf_dir) -> str:
     """The players table written once as a header CSV file (the reference's input format)."""
     memo = (spark.sparkContext.applicationId, sf_dir)
-    if memo not in _CSV:
-        path = work_path(spark, "csv", stable_key(sf_dir), "players")
-        CSV.write_players(_players(spark, sf_dir), path)
-        _CSV[memo] = path
-    return _CSV[memo]
+    with _LOCK:
+        if memo not in _CSV:
+            path = work_path(spark, "csv", stable_key(sf_dir), "players")
+            CSV.write_players(_players(spark, sf_dir), path)
+            _CSV[memo] = path
+        return _CSV[memo]
 
 
 # --- sources -------------------------------------------------------------

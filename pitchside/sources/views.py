@@ -14,6 +14,7 @@ joined by Spark's own size-checked broadcast.
 from __future__ import annotations
 
 import posixpath
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -81,6 +82,7 @@ def club_means(players: DataFrame, features=FEATURES, club: str = "Club") -> Dat
 
 
 _LOADED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+_LOCK = threading.RLock()
 
 
 def load_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -93,8 +95,13 @@ def load_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     DataFrames are reused, so repeated queries skip the file listing.
     """
     memo = (spark.sparkContext.applicationId, posixpath.normpath(sf_dir))
-    if memo in _LOADED:
+    with _LOCK:   # queries started from several threads build the tables once
+        if memo not in _LOADED:
+            _LOADED[memo] = _build_views(spark, sf_dir)
         return _LOADED[memo]
+
+
+def _build_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     key = stable_key(VIEW_VERSION, posixpath.normpath(sf_dir))
     players = materialize(
         build_players(spark, sf_dir),
@@ -108,5 +115,4 @@ def load_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         build=lambda df: df.coalesce(1),
         schema=TEAM_SCHEMA,
     )
-    _LOADED[memo] = (players, teams)
     return players, teams
