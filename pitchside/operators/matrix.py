@@ -2,12 +2,13 @@
 
 Single-target queries (one club, one player) read that one row first (a
 bounded one-row action) and score against its values as literals: no join,
-no shuffle, filter pushed to the scan. The full matrix and the
-batch top-K queries expand each player over a size-checked array of club
-weights (``inline`` of a scalar subquery): output is players x clubs rows,
-linear in players, computed in one codegen'd projection per player.
-Beyond ``max_array_entries`` the club side is split into hash blocks and the
-per-block results are unioned, so no single array outgrows its bound.
+no shuffle, filter pushed to the scan. The full matrix (and the window form
+of the batch top-K; the default batch form is in ``batch.py``) expands each
+player over a size-checked array of club weights (``inline`` of a scalar
+subquery): output is players x clubs rows, linear in players, computed in one
+codegen'd projection per player. Beyond ``max_array_entries`` the club side
+is split into hash blocks and the per-block results are unioned, so no single
+array outgrows its bound.
 """
 
 from __future__ import annotations
