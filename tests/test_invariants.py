@@ -122,3 +122,50 @@ def test_pairwise_corr_with_gaps_matches_pandas(spark):
             assert v is None
         else:
             assert v == pytest.approx(exp.loc[x, y], abs=1e-9)
+
+
+@pytest.fixture(scope="module")
+def players_pdf(views):
+    return views[0].toPandas()
+
+
+def test_describe_equals_pandas(views, players_pdf):
+    cols = ["ID", "Age", "Overall", "Crossing", "LS"]
+    got = {r.column: r for r in PR.describe(views[0], cols).collect()}
+    exp = players_pdf[cols].describe()
+    for c in cols:
+        e = exp[c]
+        r = got[c]
+        assert r["count"] == e["count"]
+        for mine, theirs in (("mean", "mean"), ("std", "std"), ("min", "min"), ("q25", "25%"), ("q50", "50%"),
+                             ("q75", "75%"), ("max", "max")):
+            assert r[mine] == pytest.approx(e[theirs], rel=1e-12, abs=1e-9), (c, mine)
+
+
+def test_nunique_and_nulls_equal_pandas(views, players_pdf):
+    got = {r.column: r.nunique for r in PR.nunique(views[0]).collect()}
+    assert got == players_pdf.nunique().to_dict()
+    flags = {r.column: r.has_null for r in PR.null_flags(views[0]).collect()}
+    assert flags == players_pdf.isnull().any().to_dict()
+
+
+def test_position_top3_equals_pandas_nlargest(views, players_pdf):
+    from pitchside.operators.votes import top_columns_per_row
+
+    means = PR.group_means(views[0], "Position", FEATURES)
+    got = {}
+    for r in top_columns_per_row(means, "Position", FEATURES, 3).orderBy("Position", "rank").collect():
+        got.setdefault(r.Position, []).append(r.feature)
+    exp = {pos: list(row.nlargest(3).index) for pos, row in players_pdf.groupby("Position")[FEATURES].mean().iterrows()}
+    assert got == exp
+
+
+def test_age_histogram_equals_numpy(views, players_pdf):
+    import numpy as np
+
+    counts, edges = np.histogram(players_pdf["Age"].to_numpy(dtype=float), 60)
+    dens, _ = np.histogram(players_pdf["Age"].to_numpy(dtype=float), 60, density=True)
+    got = PR.histogram(views[0], "Age").orderBy("bin").collect()
+    assert [r["count"] for r in got] == list(counts)
+    assert [r.bin_lo for r in got] == pytest.approx(list(edges[:-1]))
+    assert [r.density for r in got] == pytest.approx(list(dens))
