@@ -21,9 +21,12 @@ from .corr import corr_between
 def rating_votes(corr_long: DataFrame, n_top: int = TOP_FEATURES_PER_RATING) -> DataFrame:
     """(rating, rating_idx, grp, feature, feature_idx, rank) for each rating's top features.
 
+    ``corr_long`` has x (feature), x_idx, y (rating), y_idx, corr.
+
     NULL correlations (constant columns) never vote.
     """
-    rating_idx = F.array_position(F.array(*[F.lit(r) for r in RATINGS]), F.col("y")).cast("int") - 1
+    # Rating order (first-seen tie-break) is the position of the rating in the caller's list.
+    rating_idx = F.col("y_idx").cast("int")
     w = Window.partitionBy("y").orderBy(F.round("corr", CORR_SCALE).desc(), F.col("x_idx"))
     ranked = (
         corr_long.where(F.col("corr").isNotNull())

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from ..operators import batch as B
 from ..operators import matrix as M
 from ..operators.votes import feature_votes, group_features
-from ..schema import FEATURES, normalize_group
+from ..schema import FEATURES, RATINGS, normalize_group
 from ..sources.views import club_means
 
 
@@ -25,10 +25,11 @@ class ScoutModel:
     groups: dict[str, list[str]] = field(default_factory=dict)
     on_zero: str = "error"
     n_clubs: int | None = None
+    all_features: list[str] = field(default_factory=lambda: list(FEATURES))
 
     def features(self, group: str) -> list[str]:
         if group.upper() == "ALL":
-            return list(FEATURES)
+            return list(self.all_features)
         return self.groups[normalize_group(group)]
 
     def _label(self, group: str) -> str:
@@ -48,10 +49,10 @@ class ScoutModel:
         return M.worst_in_club(self.players, self.teams, team, position, self.features(position), self.on_zero)
 
     def lvp_from_list(self, ids, team: str) -> DataFrame:
-        return M.lvp_from_list(self.players, self.teams, team, ids, FEATURES, self.on_zero)
+        return M.lvp_from_list(self.players, self.teams, team, ids, self.all_features, self.on_zero)
 
     def all_groups(self) -> dict[str, list[str]]:
-        return {**self.groups, "ALL": list(FEATURES)}
+        return {**self.groups, "ALL": list(self.all_features)}
 
     def matrix(self) -> DataFrame:
         return M.matrix_scores(self.players, self.teams, self.all_groups(), self.on_zero, n_clubs=self.n_clubs)
@@ -66,10 +67,13 @@ class ScoutModel:
 
 
 def fit(players: DataFrame, teams: DataFrame | None = None, on_zero: str = "error",
-        method: str = "auto") -> ScoutModel:
-    teams = club_means(players) if teams is None else teams
-    groups = group_features(feature_votes(players, method=method))
-    return ScoutModel(players, teams, groups, on_zero, teams.count())
+        method: str = "auto", features=FEATURES, ratings=RATINGS) -> ScoutModel:
+    """Vote the features of each position group (``ratings`` are the per-position
+    rating columns, ``features`` the candidate features) and keep the tables."""
+    features, ratings = list(features), list(ratings)
+    teams = club_means(players, features) if teams is None else teams
+    groups = group_features(feature_votes(players, ratings, features, method=method))
+    return ScoutModel(players, teams, groups, on_zero, teams.count(), features)
 
 
 def recommend(model: ScoutModel, player=None, team: str | None = None, position: str = "DEF",

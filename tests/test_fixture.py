@@ -167,16 +167,16 @@ def test_mvt_for_player_and_empty(spark):
 
 
 def test_vote_tie_break_first_seen(spark):
-    rows = [("a", 0, "LB", 0.9), ("b", 1, "LB", 0.8), ("c", 2, "LB", 0.1),
-            ("a", 0, "CB", 0.1), ("b", 1, "CB", 0.9), ("c", 2, "CB", 0.8)]
-    corr = spark.createDataFrame(rows, "x string, x_idx int, y string, corr double").withColumn("y_idx", F.lit(0))
+    rows = [("a", 0, "LB", 0, 0.9), ("b", 1, "LB", 0, 0.8), ("c", 2, "LB", 0, 0.1),
+            ("a", 0, "CB", 1, 0.1), ("b", 1, "CB", 1, 0.9), ("c", 2, "CB", 1, 0.8)]
+    corr = spark.createDataFrame(rows, "x string, x_idx int, y string, y_idx int, corr double")
     got = vote_features(corr, n_top=2, n_keep=2).orderBy("rank").collect()
     assert [(r.feature, r.votes) for r in got] == [("b", 2), ("a", 1)]
 
 
 def test_constant_column_never_votes(spark):
-    rows = [("a", 0, "LB", None), ("b", 1, "LB", 0.5)]
-    corr = spark.createDataFrame(rows, "x string, x_idx int, y string, corr double")
+    rows = [("a", 0, "LB", 0, None), ("b", 1, "LB", 0, 0.5)]
+    corr = spark.createDataFrame(rows, "x string, x_idx int, y string, y_idx int, corr double")
     got = vote_features(corr, n_top=2, n_keep=2).collect()
     assert [r.feature for r in got] == ["b"]
 
@@ -262,3 +262,18 @@ def test_cosine_metric(spark):
     got = S.similar_players(players(spark), 3, k=10, features=F5, metric="cosine").collect()
     # Every constant vector has cosine 1 with the constant target; ties by id.
     assert [r.ID for r in got[:2]] == [4, 6] and r6(got[0].score) == 1.0
+
+
+def test_fit_on_custom_columns(spark):
+    from pitchside.plans.model import fit
+
+    # Ratings named like position codes; features named freely.
+    rows = [(i, f"p{i}", "X" if i % 2 else "Y", "CB", float(i), float(i % 5), float(10 - i), float(i), float(-i))
+            for i in range(1, 13)]
+    p = spark.createDataFrame(rows, "ID long, Name string, Club string, Position string, "
+                                    "u double, v double, w double, LB double, ST double")
+    m = fit(p, features=["u", "v", "w"], ratings=["LB", "ST"], on_zero="null")
+    assert set(m.groups) == {"DEF", "FWD"}
+    assert m.groups["DEF"][0] == "u" and m.groups["FWD"][0] == "w"   # LB follows u, ST follows -u
+    assert m.all_groups()["ALL"] == ["u", "v", "w"]
+    assert m.mvp_for_team("X", "DEF", k=3).count() == 3
