@@ -43,3 +43,35 @@ def test_projection_prunes_columns(spark):
     p = plan(QUERIES["project_features"](spark, SF001))
     assert "ReadSchema: struct<ID:bigint,Crossing:double" in p
     assert "LS:double" not in p
+
+
+def test_views_plan_aggregates_before_shuffle(spark):
+    from pitchside.sources.views import build_players
+
+    # Model a large line-item table: with a tiny auto-broadcast threshold only the
+    # fixed-size nation table may be broadcast (sf0.01's 1 MB line items would be).
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(100 * 1024))
+    try:
+        p = plan(build_players(spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Map-side partial sums feed the one exchange on the part key; part joins co-partitioned.
+    assert "partial_sum" in p
+    assert "hashpartitioning(l_partkey" in p
+    assert "SortMergeJoin [p_partkey" in p
+    assert p.count("BroadcastExchange") == 1
+
+
+@pytest.mark.parametrize("name", ["mvp_for_team", "similar_players", "best_replacements", "lvp_from_list"])
+def test_single_target_scoring_has_no_exchange_or_join(spark, name):
+    p = plan(QUERIES[name](spark, SF001))
+    assert "Exchange" not in p.split("TakeOrderedAndProject")[1]
+    assert "Join" not in p
+
+
+def test_batch_topk_prunes_before_shuffle(spark):
+    p = plan(QUERIES["mvp_all_clubs"](spark, SF001))
+    assert "MapInPandas" in p
+    below = p.split("Exchange hashpartitioning(team")[1]
+    assert "WindowGroupLimit" in below and "MapInPandas" in below
