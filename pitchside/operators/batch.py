@@ -21,14 +21,16 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import reciprocal
+from ..schema import SCORE_SCALE
 from .matrix import MAX_ARRAY_ENTRIES, mvp_all_clubs as mvp_window, mvt_all_players as mvt_window, spread
 from .topk import top_k_per_group
 
 TIE_MARGIN = 2e-6   # > the 1e-6 rounding step used for ranking
 OUT_SCHEMA = "ID long, Name string, Club string, team string, grp string, score double"
+PER_PLAYER_SCHEMA = "ID long, Name string, Club string, grp string, teams array<string>, scores array<double>"
 
 
 def _club_weights(teams: DataFrame, groups: Mapping[str, Sequence[str]], on_zero: str):
@@ -86,8 +88,17 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
                 x = pdf[list(fl)].to_numpy(dtype="float64", na_value=np.nan)
                 s = scores(x, mats[g])
                 mask = pick(s, club_ids, 1) if per_player else pick(s, ids, 0)
-                ri, ci = np.nonzero(mask)
+                ri, ci = np.nonzero(mask)      # row-major: grouped by player row
                 sc = s[ri, ci]
+                if per_player:
+                    # One row per player: its candidate clubs and scores as arrays
+                    # (NaN marks a NULL score; Spark turns it back into NULL).
+                    cuts = np.cumsum(np.bincount(ri, minlength=len(ids)))[:-1]
+                    parts.append(pd.DataFrame({
+                        "ID": ids, "Name": pdf["Name"].to_numpy(), "Club": pdf["Club"].to_numpy(), "grp": g,
+                        "teams": np.split(club_arr[ci], cuts), "scores": np.split(sc, cuts),
+                    }))
+                    continue
                 parts.append(pd.DataFrame({
                     "ID": ids[ri], "Name": pdf["Name"].to_numpy()[ri], "Club": pdf["Club"].to_numpy()[ri],
                     "team": club_arr[ci], "grp": g,
@@ -104,7 +115,37 @@ def _partial(players, teams, groups, k, reverse, on_zero, per_player):
     clubs, mats = _club_weights(teams, groups, on_zero)
     needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
     base = spread(players.select("ID", "Name", "Club", *needed))
-    return base.mapInPandas(_batch_fn(clubs, mats, groups, k, reverse, per_player), OUT_SCHEMA)
+    schema = PER_PLAYER_SCHEMA if per_player else OUT_SCHEMA
+    return base.mapInPandas(_batch_fn(clubs, mats, groups, k, reverse, per_player), schema)
+
+
+def _rank_in_row(cand: DataFrame, k: int, reverse: bool) -> DataFrame:
+    """Exact top k of each row's candidate array: rounded score (NULLs last), then club name."""
+    entries = F.transform(
+        F.arrays_zip("teams", "scores"),
+        lambda e: F.struct(
+            e["teams"].alias("team"),
+            F.when(F.isnan(e["scores"]), F.lit(None).cast("double")).otherwise(e["scores"]).alias("score"),
+        ),
+    )
+
+    def order(left, right):
+        a, b = F.round(left["score"], SCORE_SCALE), F.round(right["score"], SCORE_SCALE)
+        both = a.isNotNull() & b.isNotNull()
+        before, after = (a < b, a > b) if reverse else (a > b, a < b)
+        return (F.when(a.isNull() & b.isNotNull(), F.lit(1))
+                .when(a.isNotNull() & b.isNull(), F.lit(-1))
+                .when(both & before, F.lit(-1))
+                .when(both & after, F.lit(1))
+                .when(left["team"] < right["team"], F.lit(-1))
+                .when(left["team"] > right["team"], F.lit(1))
+                .otherwise(F.lit(0)))
+
+    best = F.slice(F.array_sort(entries, order), 1, k)
+    return cand.select("ID", "Name", "Club", "grp", F.posexplode(best).alias("pos", "e")).select(
+        "ID", "Name", "Club", F.col("e.team").alias("team"), "grp", F.col("e.score").alias("score"),
+        (F.col("pos") + 1).alias("rank"),
+    )
 
 
 def _fits(n_clubs, groups, max_entries):
@@ -125,9 +166,15 @@ def mvp_all_clubs(players: DataFrame, teams: DataFrame, groups: Mapping[str, Seq
 def mvt_all_players(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]], k: int = 10,
                     reverse: bool = False, on_zero: str = "error", n_clubs: int | None = None,
                     max_entries: int = MAX_ARRAY_ENTRIES) -> DataFrame:
-    """Top-K clubs for every (player, group): candidates per player in the batch, exact window after."""
+    """Top-K clubs for every (player, group), with no shuffle.
+
+    All clubs of a player are scored in the same batch, so the task emits one
+    row per (player, group) with its candidate clubs as arrays, and the exact
+    ranking (Spark's rounding, NULLs last, club name on ties) happens inside
+    the row with ``array_sort``.
+    """
     n_clubs = teams.count() if n_clubs is None else n_clubs
     if not _fits(n_clubs, groups, max_entries):
         return mvt_window(players, teams, groups, k, reverse, on_zero, n_clubs)
     cand = _partial(players, teams, groups, k, reverse, on_zero, per_player=True)
-    return top_k_per_group(cand, k, ["ID", "grp"], "score", ascending=reverse, tiebreak=("team",))
+    return _rank_in_row(cand, k, reverse)

@@ -24,7 +24,13 @@ def test_topk_is_take_ordered(spark, name):
     assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF001))
 
 
-@pytest.mark.parametrize("name", ["mvp_all_clubs", "mvt_all_players"])
+def test_top_clubs_per_player_needs_no_shuffle(spark):
+    p = plan(QUERIES["mvt_all_players"](spark, SF001))
+    assert "MapInPandas" in p and "array_sort" in p
+    assert "hashpartitioning" not in p and "rangepartitioning" not in p
+
+
+@pytest.mark.parametrize("name", ["mvp_all_clubs"])
 def test_batch_topk_limits_before_shuffle(spark, name):
     df = QUERIES[name](spark, SF001)
     df._jdf.queryExecution().executedPlan()
