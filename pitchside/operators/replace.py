@@ -1,9 +1,10 @@
 """Replace mode: a club's weak features, the weight vector they induce, the
 club's players ranked on those features, and the best outside replacements.
 
-Everything is one lazy plan. The club row enters as scalar-subquery values;
-the players side is scanned once for the weak players and once for the
-candidates.
+The club's row (weak flags and weights) is read once, a bounded one-row
+action, and enters the plans as literals. In replace mode the rest is one
+lazy plan: the players are scanned once for the weak players (at most 10,
+inlined as an array) and once for the candidates.
 
 Replace mode ranks pairs (weak player p, candidate c) by
 sum((c_i - p_i) * w_i) = c.w - p.w. For fixed w the candidate order is the
