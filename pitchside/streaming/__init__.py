@@ -4,5 +4,7 @@ The reference works on two static tables and has no streaming operator
 (no watermarks, windows, state or late data), so nothing is built here.
 Every operator in this package takes a DataFrame and returns a lazy
 DataFrame, so the stateless ones (projections, filters, per-row scoring
-against a fixed club row) also apply unchanged to a streaming DataFrame.
+against a fixed club row) also apply unchanged to a streaming DataFrame;
+``tests/test_streaming.py`` scores a parquet stream against one club and
+checks it equals the batch result.
 """
