@@ -285,10 +285,34 @@ def linear_fits(df: DataFrame, x: str, ys: Sequence[str]) -> DataFrame:
     return agg.select(F.stack(F.lit(len(ys)), *entries).alias("feature", "slope", "intercept", "r2", "n"))
 
 
-def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int = 30) -> DataFrame:
+def fd_bins(df: DataFrame, column: str, cap: int = 50) -> int:
+    """Freedman-Diaconis bin count of a column, capped: ceil(range / (2 IQR n^(-1/3))),
+    sqrt(n) when the IQR is 0, 1 below two values. One small job (exact quartiles)."""
+    v = F.col(column).cast("double")
+    data = df.select(v.alias("v")).where(F.col("v").isNotNull())
+    stats = data.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).head()
+    n = stats["n"]
+    if n < 2:
+        return 1
+    qs = exact_quantiles(data.select(F.lit(0).alias("k"), "v"), ["k"], "v", [0.25, 0.75]).collect()
+    q = {r["q"]: r["v"] for r in qs}
+    h = 2.0 * (q[1] - q[0]) / n ** (1.0 / 3.0)
+    bins = int(math.sqrt(n)) if h == 0 else int(math.ceil((stats["hi"] - stats["lo"]) / h))
+    return min(bins, cap)
+
+
+def hexbin_gridsize(df: DataFrame, x: str, y: str) -> int:
+    """Grid size of the usual joint hex plot: mean of the capped Freedman-Diaconis bin counts of x and y."""
+    return int((fd_bins(df, x) + fd_bins(df, y)) / 2)
+
+
+def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int | str = 30) -> DataFrame:
     """Counts on a hexagonal grid: two offset rectangular lattices, each point
     going to the nearer centre (ties to the first lattice), as in the usual
-    hexbin construction. (lattice, i, j, count)."""
+    hexbin construction. (lattice, i, j, count). ``gridsize="auto"`` picks the
+    grid like the joint hex plot (``hexbin_gridsize``)."""
+    if gridsize == "auto":
+        gridsize = hexbin_gridsize(df, x, y)
     xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
     stats = df.agg(F.min(xd).alias("xmin"), F.max(xd).alias("xmax"), F.min(yd).alias("ymin"), F.max(yd).alias("ymax"))
     s0, present = _stats_values(stats)

@@ -35,7 +35,7 @@ SIX_CLUBS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6"]
 VEC_ID = 0
 K = 10
 REPLACE_K = 3
-HEX_GRID = 30
+HEX_GRID = "auto"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

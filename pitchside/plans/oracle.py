@@ -10,7 +10,7 @@ operator in plain SQL. Doubles are rounded like the Spark side (6 decimals,
 from __future__ import annotations
 
 from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, RATINGS
-from .catalog import CLUB, HEX_GRID, K, LIST_IDS, PLAYER_ID, REPLACE_K, SIX_CLUBS, VEC_ID
+from .catalog import CLUB, K, LIST_IDS, PLAYER_ID, REPLACE_K, SIX_CLUBS, VEC_ID
 
 
 def q(name: str) -> str:
@@ -307,19 +307,36 @@ oracle("linear_fits", with_views(" UNION ALL ".join(
   round(regr_intercept({q(y)}, {q(FIT_X)}), 6) AS intercept, round(regr_r2({q(y)}, {q(FIT_X)}), 6) AS r2,
   CAST(regr_count({q(y)}, {q(FIT_X)}) AS BIGINT) AS n FROM players""" for y in FIT_YS)))
 
-_NY = int(HEX_GRID / 3 ** 0.5)
-oracle("hexbin_counts", with_views(f""", st0 AS (
+oracle("hexbin_counts", with_views(""", xy AS (
+  SELECT CAST("Dribbling" AS DOUBLE) AS x, CAST("Crossing" AS DOUBLE) AS y FROM players
+  WHERE "Dribbling" IS NOT NULL AND "Crossing" IS NOT NULL
+), fdx AS (
+  SELECT count(x) AS n, min(x) AS lo, max(x) AS hi,
+    2 * (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) / pow(count(x), 1.0 / 3) AS h FROM xy
+), fdy AS (
+  SELECT count(y) AS n, min(y) AS lo, max(y) AS hi,
+    2 * (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / pow(count(y), 1.0 / 3) AS h FROM xy
+), bins AS (
+  SELECT least(CASE WHEN n < 2 THEN 1 WHEN h = 0 THEN CAST(floor(sqrt(n)) AS INTEGER)
+                    ELSE CAST(ceil((hi - lo) / h) AS INTEGER) END, 50) AS b FROM fdx
+  UNION ALL
+  SELECT least(CASE WHEN n < 2 THEN 1 WHEN h = 0 THEN CAST(floor(sqrt(n)) AS INTEGER)
+                    ELSE CAST(ceil((hi - lo) / h) AS INTEGER) END, 50) AS b FROM fdy
+), grid AS (
+  SELECT CAST(floor(sum(b) / 2) AS INTEGER) AS nx,
+         CAST(floor(CAST(floor(sum(b) / 2) AS INTEGER) / sqrt(3)) AS INTEGER) AS ny FROM bins
+), st0 AS (
   SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.1 ELSE min(x) END AS xlo,
          CASE WHEN min(x) = max(x) THEN max(x) + 0.1 ELSE max(x) END AS xhi,
          CASE WHEN min(y) = max(y) THEN min(y) - 0.1 ELSE min(y) END AS ylo,
          CASE WHEN min(y) = max(y) THEN max(y) + 0.1 ELSE max(y) END AS yhi
-  FROM (SELECT CAST("Dribbling" AS DOUBLE) AS x, CAST("Crossing" AS DOUBLE) AS y FROM players)
+  FROM xy
 ), st AS (
   SELECT xlo - 1e-9 * (xhi - xlo) AS xlo, xhi + 1e-9 * (xhi - xlo) AS xhi,
          ylo - 1e-9 * (yhi - ylo) AS ylo, yhi + 1e-9 * (yhi - ylo) AS yhi FROM st0
 ), pts AS (
-  SELECT ("Dribbling" - xlo) / ((xhi - xlo) / {HEX_GRID}) AS px, ("Crossing" - ylo) / ((yhi - ylo) / {_NY}) AS py
-  FROM players, st WHERE "Dribbling" IS NOT NULL AND "Crossing" IS NOT NULL
+  SELECT (x - xlo) / ((xhi - xlo) / nx) AS px, (y - ylo) / ((yhi - ylo) / ny) AS py
+  FROM xy, st, grid
 ), d AS (
   SELECT px, py, round_even(px, 0) AS ix1, round_even(py, 0) AS iy1, floor(px) AS ix2, floor(py) AS iy2,
     (px - round_even(px, 0)) ** 2 + 3.0 * (py - round_even(py, 0)) ** 2 AS d1,
