@@ -142,13 +142,16 @@ def _quartile_columns(qs: DataFrame, keys: Sequence[str], value: str) -> DataFra
     ])
 
 
-def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
-    """(column, count, mean, std, min, q25, q50, q75, max) for numeric columns.
+def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+    """(column, count, mean, std, min, q25, q50, q75, max) for numeric columns
+    (every numeric column when ``columns`` is None, as pandas does).
 
     Quartiles interpolate linearly between order statistics, like pandas, and
     are exact with bounded memory (``quantiles.exact_quantiles``);
     ``approx=True`` switches to one-pass ``percentile_approx``.
     """
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(columns)

@@ -258,7 +258,7 @@ NUMERIC = ["ID", "Age", "Overall", "Height_cm", "Weight_lbs", *RATINGS, *FEATURE
 
 @query
 def describe(spark, sf_dir):
-    return rounded(PR.describe(_players(spark, sf_dir), NUMERIC))
+    return rounded(PR.describe(_players(spark, sf_dir)))   # every numeric column
 
 
 @query
