@@ -21,7 +21,7 @@ from ..operators import replace as R
 from ..operators import similar as S
 from ..operators import votes as V
 from ..operators.topk import top_k
-from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, RATINGS, SCORE_SCALE
+from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, SCORE_SCALE
 from ..session import work_path, stable_key
 from ..sources import csv as CSV
 from ..sources.views import load_views, table
@@ -253,9 +253,6 @@ def null_flags(spark, sf_dir):
     return PR.null_flags(_players(spark, sf_dir))
 
 
-NUMERIC = ["ID", "Age", "Overall", "Height_cm", "Weight_lbs", *RATINGS, *FEATURES]
-
-
 @query
 def describe(spark, sf_dir):
     return rounded(PR.describe(_players(spark, sf_dir)))   # every numeric column
