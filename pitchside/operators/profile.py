@@ -288,25 +288,41 @@ def linear_fits(df: DataFrame, x: str, ys: Sequence[str]) -> DataFrame:
     return agg.select(F.stack(F.lit(len(ys)), *entries).alias("feature", "slope", "intercept", "r2", "n"))
 
 
-def fd_bins(df: DataFrame, column: str, cap: int = 50) -> int:
-    """Freedman-Diaconis bin count of a column, capped: ceil(range / (2 IQR n^(-1/3))),
-    sqrt(n) when the IQR is 0, 1 below two values. One small job (exact quartiles)."""
-    v = F.col(column).cast("double")
-    data = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    stats = data.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).head()
-    n = stats["n"]
-    if n < 2:
-        return 1
-    qs = exact_quantiles(data.select(F.lit(0).alias("k"), "v"), ["k"], "v", [0.25, 0.75]).collect()
-    q = {r["q"]: r["v"] for r in qs}
-    h = 2.0 * (q[1] - q[0]) / n ** (1.0 / 3.0)
-    bins = int(math.sqrt(n)) if h == 0 else int(math.ceil((stats["hi"] - stats["lo"]) / h))
-    return min(bins, cap)
+def fd_bins(df: DataFrame, columns: Sequence[str], cap: int = 50) -> list[int]:
+    """Freedman-Diaconis bin count per column, capped: ceil(range / (2 IQR n^(-1/3))),
+    sqrt(n) when the IQR is 0, 1 below two values. One pass over all the columns
+    (exact quartiles with bounded memory); one row per column reaches the driver."""
+    cols = list(columns)
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)
+    ])).alias("e")).select("e.*").where(F.col("v").isNotNull())
+    probs = [0.25, 0.75]
+    stats = long.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+                                  *bracket_aggs("v", probs))
+    quart = _quartile_pairs(exact_quantiles(long, ["k"], "v", probs, stats=stats))
+    rows = {r["k"]: r for r in stats.drop("__n", "__b").join(quart, "k", "left").collect()}
+    out = []
+    for i in range(len(cols)):
+        r = rows.get(i)
+        n = 0 if r is None else r["n"]
+        if n < 2:
+            out.append(1)
+            continue
+        h = 2.0 * (r["q75"] - r["q25"]) / n ** (1.0 / 3.0)
+        bins = int(math.sqrt(n)) if h == 0 else int(math.ceil((r["hi"] - r["lo"]) / h))
+        out.append(min(bins, cap))
+    return out
+
+
+def _quartile_pairs(qs: DataFrame) -> DataFrame:
+    return qs.groupBy("k").agg(F.max(F.when(F.col("q") == 0, F.col("v"))).alias("q25"),
+                               F.max(F.when(F.col("q") == 1, F.col("v"))).alias("q75"))
 
 
 def hexbin_gridsize(df: DataFrame, x: str, y: str) -> int:
     """Grid size of the usual joint hex plot: mean of the capped Freedman-Diaconis bin counts of x and y."""
-    return int((fd_bins(df, x) + fd_bins(df, y)) / 2)
+    bx, by = fd_bins(df, [x, y])
+    return int((bx + by) / 2)
 
 
 def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int | str = 30) -> DataFrame:
