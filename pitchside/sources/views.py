@@ -112,7 +112,6 @@ def _build_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     teams = materialize(
         club_means(players),
         work_path(spark, "views", key, "teams"),
-        build=lambda df: df.coalesce(1),
-        schema=TEAM_SCHEMA,
+        schema=TEAM_SCHEMA,   # AQE coalesces the small output; no single-task funnel for many groups
     )
     return players, teams
