@@ -30,3 +30,30 @@ def test_batch_equals_window(spark, rows, teams, k, reverse):
         a = sorted(map(tuple, fast(p, t, groups, k, reverse, on_zero="null").collect()), key=repr)
         b = sorted(map(tuple, slow(p, t, groups, k, reverse, on_zero="null").collect()), key=repr)
         assert a == b
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(st.tuples(st.sampled_from(["X", "Y", None]), value, value, value), min_size=2, max_size=16),
+    club=st.tuples(team_value, team_value, team_value, team_value, team_value),
+    k=st.integers(min_value=1, max_value=5),
+)
+def test_replace_mode_equals_per_player_loop(spark, rows, club, k):
+    from pitchside.operators import replace as R
+
+    feats = ["a", "b", "c", "d", "e"]
+    p = spark.createDataFrame(
+        [(i, f"n{i}", c, a, b, d, a, b) for i, (c, a, b, d) in enumerate(rows)],
+        "ID long, Name string, Club string, a double, b double, c double, d double, e double",
+    )
+    t = spark.createDataFrame([("X", *club), ("Y", 1.0, 2.0, 3.0, 4.0, 5.0)],
+                              "Club string, a double, b double, c double, d double, e double")
+    fast = [(r.player_id, r.replacement_id, None if r.improvement is None else round(r.improvement, 6))
+            for r in R.replace_mode(p, t, "X", k=k, features=feats).collect()]
+    worst = [r.ID for r in R.weak_players(p, t, "X", features=feats).collect()]
+    pairs = []
+    for pid in worst:   # the reference's loop: best k per weak player, then the best k overall
+        pairs += [(pid, r.replacement_id, None if r.improvement is None else round(r.improvement, 6))
+                  for r in R.best_replacements(p, t, "X", pid, k=k, features=feats).collect()]
+    pairs.sort(key=lambda x: (x[2] is None, -(x[2] or 0.0), worst.index(x[0]), x[1]))
+    assert fast == pairs[:k]
