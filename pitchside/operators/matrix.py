@@ -7,23 +7,25 @@ of the batch top-K; the default batch form is in ``batch.py``) expands each
 player over a size-checked array of club weights (``inline`` of a scalar
 subquery): output is players x clubs rows, linear in players, computed in one
 codegen'd projection per player. Beyond ``max_array_entries`` the club side
-is split into hash blocks and the per-block results are unioned, so no single
-array outgrows its bound.
+is split into hash blocks, each scored by its own job into the shared work
+folder, so no plan carries more than one block of weights.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import position_group, reciprocal, weighted_sum
 from ..schema import FEATURES, normalize_group
+from ..session import work_path
 from .targets import pick_club, pick_player, row_literals
 from .topk import top_k, top_k_per_group
 
-MAX_ARRAY_ENTRIES = 200_000   # clubs x groups carried in one weights array
+MAX_ARRAY_ENTRIES = 50_000   # clubs x groups carried by one plan (about 12 MB of weights at 29 features)
 
 
 def team_weights(teams: DataFrame, features: Sequence[str] = FEATURES, on_zero: str = "error",
@@ -141,15 +143,29 @@ def _weights_array(weights: Sequence[tuple[str, DataFrame]], width: int) -> Colu
     return union.agg(F.collect_list("e").alias("a")).select("a").scalar()
 
 
+def _block_scores(base: DataFrame, teams: DataFrame, groups: dict, width: int, on_zero: str,
+                  transform: str) -> DataFrame:
+    arr = _weights_array([(g, team_weights(teams, fl, on_zero, transform)) for g, fl in groups.items()], width)
+    expanded = base.select("*", F.inline(arr))
+    score = None
+    for g, fl in groups.items():
+        s = weighted_sum(fl, [f"w{i}" for i in range(len(fl))])
+        score = F.when(F.col("grp") == g, s) if score is None else score.when(F.col("grp") == g, s)
+    return expanded.select("ID", "Name", "Club", "team", "grp", score.alias("score"))
+
+
 def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]],
                   on_zero: str = "error", transform: str = "reciprocal",
                   max_array_entries: int = MAX_ARRAY_ENTRIES, n_clubs: int | None = None) -> DataFrame:
     """Long matrix (ID, Name, Club, team, grp, score) for every player, club and group.
 
-    The number of clubs is counted first (teams is a small materialized table)
-    so the weights array stays within ``max_array_entries``; more clubs are
-    split into hash blocks. A caller that already knows the count passes
-    ``n_clubs``.
+    The number of clubs is counted first (teams is a small materialized table;
+    a caller that already knows the count passes ``n_clubs``). The club
+    weights travel with the stage (in its task binary, fetched once per
+    executor), so one plan carries at most ``max_array_entries`` clubs x
+    groups. More clubs are split into hash blocks, each scored by its own job
+    and written to the shared work folder; the result reads those files
+    back, so no stage ever carries more than one block of weights.
     """
     groups = dict(groups)
     width = max(len(f) for f in groups.values())
@@ -157,18 +173,15 @@ def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Seq
     blocks = max(1, math.ceil(n_clubs * len(groups) / max_array_entries))
     needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
     base = spread(players.select("ID", "Name", "Club", *needed))
-    out = None
+    if blocks == 1:
+        return _block_scores(base, teams, groups, width, on_zero, transform)
+    spark = players.sparkSession
+    folder = work_path(spark, "matrix", uuid.uuid4().hex)
     for b in range(blocks):
-        block = teams if blocks == 1 else teams.where(F.pmod(F.xxhash64("Club"), F.lit(blocks)) == b)
-        arr = _weights_array([(g, team_weights(block, fl, on_zero, transform)) for g, fl in groups.items()], width)
-        expanded = base.select("*", F.inline(arr))
-        score = None
-        for g, fl in groups.items():
-            s = weighted_sum(fl, [f"w{i}" for i in range(len(fl))])
-            score = F.when(F.col("grp") == g, s) if score is None else score.when(F.col("grp") == g, s)
-        part = expanded.select("ID", "Name", "Club", "team", "grp", score.alias("score"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        block = teams.where(F.pmod(F.xxhash64("Club"), F.lit(blocks)) == b)
+        _block_scores(base, block, groups, width, on_zero, transform) \
+            .write.mode("overwrite").parquet(f"{folder}/block={b}")
+    return spark.read.parquet(folder).drop("block")
 
 
 def mvp_all_clubs(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None):
