@@ -29,6 +29,7 @@ from .matrix import MAX_ARRAY_ENTRIES, mvp_all_clubs as mvp_window, mvt_all_play
 from .topk import top_k_per_group
 
 TIE_MARGIN = 2e-6   # > the 1e-6 rounding step used for ranking
+CHUNK_CELLS = 4_000_000   # players x clubs scored at once in a worker (32 MB of doubles)
 OUT_SCHEMA = "ID long, Name string, Club string, team string, grp string, score double"
 PER_PLAYER_SCHEMA = "ID long, Name string, Club string, grp string, teams array<string>, scores array<double>"
 
@@ -44,7 +45,8 @@ def _club_weights(teams: DataFrame, groups: Mapping[str, Sequence[str]], on_zero
     return clubs, mats
 
 
-def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float = TIE_MARGIN):
+def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float = TIE_MARGIN,
+              chunk_cells: int = CHUNK_CELLS):
     """The task function. Helpers are nested so the closure pickles by value:
     executors need numpy and pandas, not this package."""
     club_arr = np.array(clubs, dtype=object)
@@ -79,33 +81,40 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
                 mask[j, :] = m
         return mask
 
+    # Score at most about ``chunk_cells`` players x clubs at a time, so a worker's
+    # memory stays bounded whatever the batch size and club count. Every chunk
+    # keeps its own candidates, which is still exact (the final ranking merges them).
+    rows_per_chunk = max(1, chunk_cells // max(1, len(clubs)))
+
     def run(batches):
         club_ids = np.arange(len(clubs))
-        for pdf in batches:
-            ids = pdf["ID"].to_numpy()
-            parts = []
-            for g, fl in groups.items():
-                x = pdf[list(fl)].to_numpy(dtype="float64", na_value=np.nan)
-                s = scores(x, mats[g])
-                mask = pick(s, club_ids, 1) if per_player else pick(s, ids, 0)
-                ri, ci = np.nonzero(mask)      # row-major: grouped by player row
-                sc = s[ri, ci]
-                if per_player:
-                    # One row per player: its candidate clubs and scores as arrays
-                    # (NaN marks a NULL score; Spark turns it back into NULL).
-                    cuts = np.cumsum(np.bincount(ri, minlength=len(ids)))[:-1]
+        for whole in batches:
+            for start in range(0, len(whole), rows_per_chunk):
+                pdf = whole.iloc[start : start + rows_per_chunk]
+                ids = pdf["ID"].to_numpy()
+                parts = []
+                for g, fl in groups.items():
+                    x = pdf[list(fl)].to_numpy(dtype="float64", na_value=np.nan)
+                    s = scores(x, mats[g])
+                    mask = pick(s, club_ids, 1) if per_player else pick(s, ids, 0)
+                    ri, ci = np.nonzero(mask)      # row-major: grouped by player row
+                    sc = s[ri, ci]
+                    if per_player:
+                        # One row per player: its candidate clubs and scores as arrays
+                        # (NaN marks a NULL score; Spark turns it back into NULL).
+                        cuts = np.cumsum(np.bincount(ri, minlength=len(ids)))[:-1]
+                        parts.append(pd.DataFrame({
+                            "ID": ids, "Name": pdf["Name"].to_numpy(), "Club": pdf["Club"].to_numpy(), "grp": g,
+                            "teams": np.split(club_arr[ci], cuts), "scores": np.split(sc, cuts),
+                        }))
+                        continue
                     parts.append(pd.DataFrame({
-                        "ID": ids, "Name": pdf["Name"].to_numpy(), "Club": pdf["Club"].to_numpy(), "grp": g,
-                        "teams": np.split(club_arr[ci], cuts), "scores": np.split(sc, cuts),
+                        "ID": ids[ri], "Name": pdf["Name"].to_numpy()[ri], "Club": pdf["Club"].to_numpy()[ri],
+                        "team": club_arr[ci], "grp": g,
+                        "score": pd.array(np.where(np.isnan(sc), None, sc), dtype="Float64"),
                     }))
-                    continue
-                parts.append(pd.DataFrame({
-                    "ID": ids[ri], "Name": pdf["Name"].to_numpy()[ri], "Club": pdf["Club"].to_numpy()[ri],
-                    "team": club_arr[ci], "grp": g,
-                    "score": pd.array(np.where(np.isnan(sc), None, sc), dtype="Float64"),
-                }))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+                if parts:
+                    yield pd.concat(parts, ignore_index=True)
 
     return run
 
@@ -116,7 +125,8 @@ def _partial(players, teams, groups, k, reverse, on_zero, per_player):
     needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
     base = spread(players.select("ID", "Name", "Club", *needed))
     schema = PER_PLAYER_SCHEMA if per_player else OUT_SCHEMA
-    return base.mapInPandas(_batch_fn(clubs, mats, groups, k, reverse, per_player), schema)
+    fn = _batch_fn(clubs, mats, groups, k, reverse, per_player, chunk_cells=CHUNK_CELLS)
+    return base.mapInPandas(fn, schema)
 
 
 def _rank_in_row(cand: DataFrame, k: int, reverse: bool) -> DataFrame:

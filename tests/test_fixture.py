@@ -296,3 +296,17 @@ def test_batch_falls_back_to_window_beyond_bound(spark):
     assert "MapInPandas" not in small._jdf.queryExecution().executedPlan().toString()
     full = B.mvp_all_clubs(players(spark), t, groups, 2)
     assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, full.collect()), key=repr)
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_batch_topk_in_small_chunks(spark, monkeypatch, reverse):
+    from pitchside.operators import batch as B
+
+    monkeypatch.setattr(B, "CHUNK_CELLS", 2)   # one or two players per chunk
+    p = players(spark).withColumn("f3", F.when(F.col("ID").isin(2, 5), None).otherwise(F.col("f3")))
+    t = teams(spark)
+    groups = {"A": F5, "B": ["f1", "f2"]}
+    for fast, slow in ((B.mvp_all_clubs, M.mvp_all_clubs), (B.mvt_all_players, M.mvt_all_players)):
+        a = sorted(map(tuple, fast(p, t, groups, 2, reverse, on_zero="null").collect()), key=repr)
+        b = sorted(map(tuple, slow(p, t, groups, 2, reverse, on_zero="null").collect()), key=repr)
+        assert a == b
