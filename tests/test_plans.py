@@ -81,3 +81,9 @@ def test_batch_topk_prunes_before_shuffle(spark):
     assert "MapInPandas" in p
     below = p.split("Exchange hashpartitioning(team")[1]
     assert "WindowGroupLimit" in below and "MapInPandas" in below
+
+
+def test_id_lookup_is_pushed_to_the_scan(spark):
+    # Players files are sorted by ID, so a pushed ID filter skips row groups by their statistics.
+    p = plan(QUERIES["lookup_player"](spark, SF001))
+    assert "PushedFilters: [IsNotNull(ID), EqualTo(ID,7)]" in p
