@@ -398,6 +398,11 @@ def mvt_for_player(spark, sf_dir):
     return rounded(_model(spark, sf_dir).mvt_for_player("ATK", player_id=PLAYER_ID, k=K))
 
 
+@query
+def lvt_for_player(spark, sf_dir):
+    return rounded(_model(spark, sf_dir).mvt_for_player("ATK", player_id=PLAYER_ID, k=K, reverse=True))
+
+
 @query
 def mvt_for_player_all(spark, sf_dir):
     return rounded(_model(spark, sf_dir).mvt_for_player("MID", player_id=PLAYER_ID, k=None))

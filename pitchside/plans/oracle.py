@@ -494,6 +494,10 @@ oracle("mvt_for_player", with_scores(f"""SELECT "ID", "Name", "Club", team, grp,
   CAST(row_number() OVER (ORDER BY round(score, 6) DESC NULLS LAST, team) AS INTEGER) AS rank
 FROM scores WHERE grp = 'FWD'
 ORDER BY round(score, 6) DESC NULLS LAST, team LIMIT {K}""", where=_player))
+oracle("lvt_for_player", with_scores(f"""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score,
+  CAST(row_number() OVER (ORDER BY round(score, 6) ASC NULLS LAST, team) AS INTEGER) AS rank
+FROM scores WHERE grp = 'FWD'
+ORDER BY round(score, 6) ASC NULLS LAST, team LIMIT {K}""", where=_player))
 oracle("mvt_for_player_all", with_scores("""SELECT "ID", "Name", "Club", team, grp, round(score, 6) AS score
 FROM scores WHERE grp = 'MID'""", where=_player))
 oracle("worst_in_club", with_scores(f"""SELECT s."ID", s."Name", s."Club", team, grp, round(score, 6) AS score
