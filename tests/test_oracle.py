@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle at sf0.01 (the driver's correctness gate)."""
 
 import os
+import re
 from collections import Counter
 
 import pytest
@@ -24,8 +25,8 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_listed():
-    rows_only = set()
-    assert set(QUERIES) - set(SQL) == rows_only
+    rows_only = {q for q in QUERIES if q == "pipeline" or re.match(r"op\d+_", q)}   # held against brute force in tests/llm
+    assert set(QUERIES) - set(SQL) <= rows_only
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
