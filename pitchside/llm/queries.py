@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, imatch, language_id, near_dup, pii, quality_rules, secret_scan, source_mix, token_count
+from . import bpe, imatch, language_id, lm_score, near_dup, pii, quality_rules, secret_scan, source_mix, token_count
 from .common import documents
 
 
@@ -22,6 +22,12 @@ def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_edits(documents(spark, sf_dir))
 
 
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lm_score.score_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
@@ -52,7 +58,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_source_mix, op2_imatch, op4_pii, op5_token_count, op6_language_id, op7_bpe,
+    op1_source_mix, op2_imatch, op3_attention_lm, op4_pii, op5_token_count, op6_language_id, op7_bpe,
     op8_quality_rules, op9_secret_scan, op10_near_dup)}
 
 ORACLE_SQL = {"op8_quality_rules": quality_rules.ORACLE_SQL}
