@@ -7,28 +7,26 @@ from pyspark.sql import DataFrame, functions as F
 from .common import saved
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-    return r[0], r[1]
-
-
 def component_roots(links: DataFrame) -> DataFrame:
     """(v, root) for each vertex of ``links`` (u, v) that is not its component's least vertex.
 
-    Alternates two contractions till nothing changes: every vertex sends its
-    larger neighbours to the least vertex near it, then its smaller ones. A hot
-    vertex costs partial minima and a join that Spark can split.
+    A round sends every vertex's larger neighbours to the least vertex near it, then
+    its smaller ones, till all links lead straight to a root. A hot vertex costs
+    partial minima and a join that Spark can split.
     """
     e = saved(links.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    before = None
-    while (now := _mark(e)) != before and now[0]:
-        before = now
+    while True:
+        # large star: the larger neighbours of a vertex go to the least vertex near it
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        e = saved(e, "links")
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
+        e = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
+        # small star: the smaller neighbours too; changed tells whether a vertex still had several
+        least = e.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("x"))
         small = e.join(least, "u")
-        e = small.select(F.col("u"), F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u != v")
-        e = saved(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    return e.select(F.col("u").alias("v"), F.col("v").alias("root"))
+        e = small.select("u", F.col("m").alias("v"), (F.col("m") != F.col("x")).alias("more")).union(
+            small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("more")))
+        e = saved(e.groupBy("u", "v").agg(F.max("more").alias("more")), "links")
+        more = not e.filter("more").isEmpty()
+        e = e.select("u", "v")
+        if not more and e.join(e.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+            return e.select(F.col("u").alias("v"), F.col("v").alias("root"))

@@ -29,8 +29,8 @@ from .vocab import Cache
 
 REGISTERS, ROWS = 128, 4
 BASE, SCALE, TOP = 1.001, 20.0, 65534
-#: Rounds with one pivot a bucket, by bands and then by rare shingles, before what is still apart is compared pair by pair.
-BAND_ROUNDS, RARE_ROUNDS = 2, 1
+#: Rounds with one pivot a bucket, before what is still apart is compared pair by pair.
+PIVOT_ROUNDS = 2
 #: A pair whose estimate is lower than the threshold by this (over 6 standard errors) is not verified.
 MARGIN = 0.2
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -125,27 +125,10 @@ def sketches(docs: DataFrame, k: int = 3) -> DataFrame:
     return map_lists(t, start, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, r1 long, r2 long, set_hash binary, n_shingles long, regs binary")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """(a, b) of the pairs that sizes and the joint estimate allow."""
-    side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b"))
-
-    def start():
-        def step(a, b, na, ra, nb, rb):
-            if not a:
-                return [], []
-            view = lambda r: np.frombuffer(b"".join(r), np.uint16).reshape(-1, REGISTERS)
-            ok = joint_estimate(view(ra), view(rb), np.array(na, float), np.array(nb, float)) >= least - MARGIN
-            return [x for x, y in zip(a, ok) if y], [x for x, y in zip(b, ok) if y]
-
-        return step
-
-    return map_lists(both.select("a", "b", "n_a", "regs_a", "n_b", "regs_b"), start, "a long, b long")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(u, v) of the pairs whose full sets have a similarity of ``least`` or more."""
-    side = lambda c: sets.select(F.col("cid").alias(c), F.col("items").alias(f"s_{c}"))
+    """(u, v) of the pairs (a, b) whose sizes and joint estimate allow it and whose full sets have a similarity of ``least`` or more."""
+    side = lambda c: sets.select(F.col("cid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "regs", "items")])
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b"))
     cent = round(100 * least)
 
     def start():
@@ -154,31 +137,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             n = len(np.intersect1d(x, y, assume_unique=True))
             return 100 * n >= cent * (len(x) + len(y) - n)
 
-        def step(a, b, sa, sb):
-            ok = [same(x, y) for x, y in zip(sa, sb)]
+        def step(a, b, na, ra, sa, nb, rb, sb):
+            if not a:
+                return [], []
+            view = lambda r: np.frombuffer(b"".join(r), np.uint16).reshape(-1, REGISTERS)
+            likely = joint_estimate(view(ra), view(rb), np.array(na, float), np.array(nb, float)) >= least - MARGIN
+            ok = [bool(k) and same(x, y) for k, x, y in zip(likely, sa, sb)]
             return [x for x, y in zip(a, ok) if y], [x for x, y in zip(b, ok) if y]
 
         return step
 
-    return map_lists(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b"), start, "u long, v long")
+    return map_lists(both.select("a", "b", "n_a", "regs_a", "items_a", "n_b", "regs_b", "items_b"), start, "u long, v long")
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """cid, items (the sorted shingle hashes) of one document of each wanted class (cid, r1, r2)."""
+    """cid, n, regs, items (the sorted shingle hashes) of one document of each wanted class (cid, r1, r2, n, regs)."""
     t = docs.select(F.xxhash64("doc_id", F.lit(1), "text").alias("r1"), F.xxhash64("text", F.lit(2), "doc_id").alias("r2"), "text")
-    t = t.join(wanted, ["r1", "r2"]).dropDuplicates(["r1", "r2"]).select("cid", "text")
+    t = t.join(wanted, ["r1", "r2"]).dropDuplicates(["r1", "r2"]).select("cid", "n", "regs", "text")
 
     def start():
         cache = word_cache()
-        return lambda cid, texts: (cid, [shingle_set(hashed_words(cache, x), k).tobytes() for x in texts])
+        return lambda cid, n, regs, texts: (cid, n, regs, [shingle_set(hashed_words(cache, x), k).tobytes() for x in texts])
+
+    return map_lists(t, start, "cid long, n long, regs binary, items binary")
+
 
-    return map_lists(t, start, "cid long, items binary")
+def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``members`` with comp, the root of the component so far."""
+    if roots is None:
+        return members.withColumn("comp", F.col("cid"))
+    return members.join(roots.select(F.col("v").alias("cid"), "root"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
 
 
-def _pivot_pairs(members: DataFrame, labels: DataFrame, rnd: int) -> DataFrame:
-    """(a, b): each member of a bucket (column band) with the bucket's pivot, where their components differ."""
-    m = members.select("band", "cid").join(labels, "cid")
-    apart = m.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(F.xxhash64("cid", F.lit(rnd)), "cid", "comp")).alias("p")).filter("lo < hi")
+def _pivot_pairs(members: DataFrame, roots: DataFrame | None, rnd: int) -> DataFrame:
+    """(a, b): each member of a bucket (column band) with the bucket's pivot, where their components differ.
+
+    The first pivot is the member that shares most buckets, later ones are drawn by a hash.
+    """
+    m = _labelled(members, roots)
+    order = F.struct("deg", "cid", "comp") if rnd == 0 else F.struct(F.xxhash64("cid", F.lit(rnd)).alias("deg"), "cid", "comp")
+    apart = m.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(order).alias("p")).filter("lo < hi")
     pairs = m.join(apart.select("band", F.col("p.cid").alias("o_cid"), F.col("p.comp").alias("o_comp")), "band").filter("comp != o_comp")
     return pairs.select(F.least("cid", "o_cid").alias("a"), F.greatest("cid", "o_cid").alias("b")).distinct()
 
@@ -201,11 +199,9 @@ def _rare_shingles(sets: DataFrame, least: float) -> DataFrame:
         F.col("x.band").alias("band"), "cid", "n", (F.col("own") + F.col("i")).alias("place"))
 
 
-def _apart_pairs(rare: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+def _apart_pairs(rare: DataFrame, roots: DataFrame | None, least: float) -> DataFrame:
     """(a, b): all pairs of different components that share a rare shingle and may be similar enough."""
-    m = rare.join(labels, "cid")
-    apart = m.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
-    m = saved(m.join(apart, "band"), "apart")
+    m = saved(_labelled(rare, roots), "apart")
     o = m.select("band", *[F.col(c).alias(f"o_{c}") for c in ("cid", "comp", "n", "place")])
     common = F.lit(1) + F.least(F.col("n") - F.col("place"), F.col("o_n") - F.col("o_place")) - 1  # at most, if this is the first that they share
     enough = F.lit(least / (1 + least)) * (F.col("n") + F.col("o_n")) - 1e-6
@@ -213,20 +209,6 @@ def _apart_pairs(rare: DataFrame, labels: DataFrame, least: float) -> DataFrame:
     return pairs.select(F.col("cid").alias("a"), F.col("o_cid").alias("b")).distinct()
 
 
-def _round(pairs: DataFrame, labels: DataFrame, tested: DataFrame | None, cands: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame, DataFrame, bool]:
-    """Verifies the pairs that weren't tested yet and joins the components of those that are linked."""
-    if tested is not None:
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    pairs = saved(pairs, "pairs")
-    if pairs.isEmpty():
-        return labels, tested if tested is not None else pairs, False
-    links = saved(_verified(_likely(pairs, cands, least), sets, least), "verified")
-    by_comp = links.join(labels.select(F.col("cid").alias("u"), F.col("comp").alias("cu")), "u").join(labels.select(F.col("cid").alias("v"), F.col("comp").alias("cv")), "v")
-    roots = component_roots(by_comp.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-    labels = saved(labels.join(roots.withColumnRenamed("v", "comp"), "comp", "left").select("cid", F.coalesce("root", "comp").alias("comp")), "labels")
-    return labels, pairs if tested is None else saved(tested.union(pairs), "tested"), True
-
-
 def _classes(docs: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame]:
     """The sketch table, and (set_hash, comp): the component of each class of equal sets that has a word."""
     sk = saved(sketches(docs, k), "sketches")
@@ -237,25 +219,30 @@ def _classes(docs: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFram
         return lambda cid, regs: (cid, list(band_keys(np.frombuffer(b"".join(regs), np.uint16).reshape(-1, REGISTERS))) if cid else [])
 
     bands = map_lists(classes.select("cid", "regs"), start, "cid long, keys array<long>").select("cid", F.explode("keys").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = saved(bands.join(shared, "band"), "members")
-    wanted = saved(members.select("cid").distinct(), "wanted")
-    own = classes.join(wanted, "cid")
-    cands = saved(own.select("cid", "n", "regs"), "candidates")
-    sets = saved(_candidate_sets(docs, own.select("cid", "r1", "r2"), k), "sets")
-    labels = wanted.withColumn("comp", F.col("cid"))
-    tested = None
-    for rnd in range(BAND_ROUNDS):
-        labels, tested, more = _round(_pivot_pairs(members, labels, rnd), labels, tested, cands, sets, least)
-        if not more:
-            break
-    m = members.join(labels, "cid")
+    wanted = members.groupBy("cid").agg(F.sum("size").alias("deg"))
+    wanted = saved(classes.join(wanted, "cid").select("cid", "r1", "r2", "n", "regs", "deg"), "wanted")
+    sets = saved(_candidate_sets(docs, wanted.drop("deg"), k), "sets")
+    members = saved(members.join(wanted.select("cid", "deg"), "cid").select("band", "cid", "deg"), "members")
+    roots, tested = None, None
+
+    def joined(pairs):
+        """Verifies the pairs not tested yet and joins the components of those that are linked."""
+        nonlocal roots, tested
+        pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        links = _verified(pairs, sets, least)
+        before = roots.select(F.col("v").alias("u"), F.col("root").alias("v")) if roots is not None else None
+        roots = component_roots(links if before is None else links.union(before))
+
+    for rnd in range(PIVOT_ROUNDS):
+        joined(_pivot_pairs(members, roots, rnd))
+    m = _labelled(members, roots)
     apart = m.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
-    rare = saved(_rare_shingles(sets.join(m.join(apart, "band").select("cid").distinct(), "cid"), least), "rare")
-    for rnd in range(RARE_ROUNDS):
-        labels, tested, _ = _round(_pivot_pairs(rare, labels, rnd), labels, tested, cands, sets, least)
-    labels, _, _ = _round(_apart_pairs(rare, labels, least), labels, tested, cands, sets, least)
-    comps = classes.select("set_hash", "cid").join(labels, "cid", "left").select("set_hash", F.coalesce("comp", "cid").alias("comp"))
+    rare = _rare_shingles(sets.join(m.join(apart, "band").select("cid").distinct(), "cid"), least)
+    joined(_apart_pairs(rare, roots, least))
+    comps = classes.select("set_hash", "cid").join(roots.select(F.col("v").alias("cid"), "root"), "cid", "left").select("set_hash", F.coalesce("root", "cid").alias("comp"))
     return sk, comps
 
 
