@@ -4,11 +4,12 @@
 ``mvt_all_players`` (top K clubs for every player and group) need every
 score, but only K per key survive. The window form expands each player to
 clubs x groups rows and sorts that expansion in every map task before its
-partial limit. Here each Arrow batch of players is scored against the club
-weights in numpy (the club table is small and size-checked, so it ships with
-the task like a broadcast) and only the candidates that can still reach the
-top K leave the task: every row within the rounding step of the batch's K-th
-score, ties included. An exact Spark window then ranks those few rows.
+partial limit. Here each Arrow batch of players is scored against a block of club
+weights in numpy (blocks have a bounded size and ship with the task like a
+broadcast) and only the candidates that can still reach the top K leave the task:
+every row within the rounding step of the K-th score that the task has seen so
+far, ties included. An exact Spark window then ranks those few rows. Every block is
+cut to its own top K, then the blocks are merged; no matrix is ever written.
 
 Scores are accumulated feature by feature, left to right, with separate
 multiply and add: the same IEEE operations, in the same order, as the unrolled
@@ -18,6 +19,7 @@ Spark expression, so both paths give bit-identical scores.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,10 +27,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import reciprocal
 from ..schema import SCORE_SCALE
-from .matrix import MAX_ARRAY_ENTRIES, mvp_all_clubs as mvp_window, mvt_all_players as mvt_window, spread
+from .matrix import BLOCK_ENTRIES, club_blocks, spread
 from .topk import top_k_per_group
 
 TIE_MARGIN = 2e-6   # > the 1e-6 rounding step used for ranking
+RELATIVE_MARGIN = 1e-9   # > float noise, for scores of any magnitude
 CHUNK_CELLS = 4_000_000   # players x clubs scored at once in a worker (32 MB of doubles)
 OUT_SCHEMA = "ID long, Name string, Club string, team string, grp string, score double"
 PER_PLAYER_SCHEMA = "ID long, Name string, Club string, grp string, teams array<string>, scores array<double>"
@@ -58,15 +61,25 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
             acc = acc + x[:, i : i + 1] * w[i : i + 1, :]
         return acc
 
-    def pick(s, ids, axis):
+    def pick(s, ids, axis, best=None):
         # Mask of entries that can still be in the top k along ``axis``
         # (NaN = NULL, ranked last, ties by id / club name).
         key = s if reverse else -s
         key = np.where(np.isnan(key), np.inf, key)
-        if key.shape[axis] <= k:
+        if best is not None:   # the k best keys of each club so far; ``best`` is brought up to date
+            merged = np.concatenate([best, key]) if best.size else key
+            merged = np.partition(merged, k - 1, axis=0)[:k] if len(merged) > k else merged
+            best.resize(merged.shape, refcheck=False)
+            best[...] = merged
+            if len(merged) < k:
+                return np.ones(key.shape, dtype=bool)
+            kth = merged.max(axis=0, keepdims=True)
+        elif key.shape[axis] <= k:
             return np.ones(key.shape, dtype=bool)
-        kth = np.take(np.partition(key, k - 1, axis=axis), [k - 1], axis=axis)
-        mask = key <= kth + margin
+        else:
+            kth = np.take(np.partition(key, k - 1, axis=axis), [k - 1], axis=axis)
+        with np.errstate(invalid="ignore"):
+            mask = key <= kth + np.maximum(margin, RELATIVE_MARGIN * np.abs(kth))
         short = np.flatnonzero(np.isinf(kth).ravel())   # lines with fewer than k non-NULL scores
         for j in short:
             line = key[:, j] if axis == 0 else key[j, :]
@@ -82,12 +95,14 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
         return mask
 
     # Score at most about ``chunk_cells`` players x clubs at a time, so a worker's
-    # memory stays bounded whatever the batch size and club count. Every chunk
-    # keeps its own candidates, which is still exact (the final ranking merges them).
+    # memory stays bounded whatever the batch size and club count. A chunk's
+    # candidates are held against the best of the chunks before, which is still
+    # exact (the final ranking merges them).
     rows_per_chunk = max(1, chunk_cells // max(1, len(clubs)))
 
     def run(batches):
         club_ids = np.arange(len(clubs))
+        best = {g: np.zeros((0, len(clubs))) for g in groups}
         for whole in batches:
             for start in range(0, len(whole), rows_per_chunk):
                 pdf = whole.iloc[start : start + rows_per_chunk]
@@ -96,7 +111,7 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
                 for g, fl in groups.items():
                     x = pdf[list(fl)].to_numpy(dtype="float64", na_value=np.nan)
                     s = scores(x, mats[g])
-                    mask = pick(s, club_ids, 1) if per_player else pick(s, ids, 0)
+                    mask = pick(s, club_ids, 1) if per_player else pick(s, ids, 0, best[g])
                     ri, ci = np.nonzero(mask)      # row-major: grouped by player row
                     sc = s[ri, ci]
                     if per_player:
@@ -119,16 +134,19 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
     return run
 
 
-def _partial(players, teams, groups, k, reverse, on_zero, per_player):
-    groups = {g: list(fl) for g, fl in groups.items()}
+def _partial(base, teams, groups, k, reverse, on_zero, per_player):
+    """Candidates of one block of clubs."""
     clubs, mats = _club_weights(teams, groups, on_zero)
-    needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
-    base = spread(players.select("ID", "Name", "Club", *needed))
     schema = PER_PLAYER_SCHEMA if per_player else OUT_SCHEMA
     fn = _batch_fn(clubs, mats, groups, k, reverse, per_player, chunk_cells=CHUNK_CELLS)
     return base.mapInPandas(fn, schema)
 
 
+def _input(players, groups):
+    needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
+    return spread(players.select("ID", "Name", "Club", *needed))
+
+
 def _rank_in_row(cand: DataFrame, k: int, reverse: bool) -> DataFrame:
     """Exact top k of each row's candidate array: rounded score (NULLs last), then club name."""
     entries = F.transform(
@@ -158,33 +176,34 @@ def _rank_in_row(cand: DataFrame, k: int, reverse: bool) -> DataFrame:
     )
 
 
-def _fits(n_clubs, groups, max_entries):
-    return n_clubs * len(groups) <= max_entries
-
-
 def mvp_all_clubs(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]], k: int = 10,
                   reverse: bool = False, on_zero: str = "error", n_clubs: int | None = None,
-                  max_entries: int = MAX_ARRAY_ENTRIES) -> DataFrame:
-    """Top-K players for every (club, group): partial top-K per batch, exact window on the survivors."""
-    n_clubs = teams.count() if n_clubs is None else n_clubs
-    if not _fits(n_clubs, groups, max_entries):
-        return mvp_window(players, teams, groups, k, reverse, on_zero, n_clubs)
-    cand = _partial(players, teams, groups, k, reverse, on_zero, per_player=False)
-    return top_k_per_group(cand, k, ["team", "grp"], "score", ascending=reverse)
+                  block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """Top-K players for every (club, group): partial top-K per task, exact window on the survivors.
+
+    A club belongs to one block, so the blocks' candidates are simply put together.
+    """
+    groups = {g: list(fl) for g, fl in groups.items()}
+    base = _input(players, groups)
+    parts = [_partial(base, b, groups, k, reverse, on_zero, per_player=False) for b in club_blocks(teams, len(groups), n_clubs, block_entries)]
+    return top_k_per_group(reduce(DataFrame.unionByName, parts), k, ["team", "grp"], "score", ascending=reverse)
 
 
 def mvt_all_players(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]], k: int = 10,
                     reverse: bool = False, on_zero: str = "error", n_clubs: int | None = None,
-                    max_entries: int = MAX_ARRAY_ENTRIES) -> DataFrame:
-    """Top-K clubs for every (player, group), with no shuffle.
-
-    All clubs of a player are scored in the same batch, so the task emits one
-    row per (player, group) with its candidate clubs as arrays, and the exact
-    ranking (Spark's rounding, NULLs last, club name on ties) happens inside
-    the row with ``array_sort``.
+                    block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """Top-K clubs for every (player, group).
+
+    All clubs of a block are scored in the same batch, so the task emits one row
+    per (player, group) with its candidate clubs as arrays, and the exact ranking
+    (Spark's rounding, NULLs last, club name on ties) happens inside the row with
+    ``array_sort``: no shuffle. Several blocks are merged by one window over at
+    most K rows a block.
     """
-    n_clubs = teams.count() if n_clubs is None else n_clubs
-    if not _fits(n_clubs, groups, max_entries):
-        return mvt_window(players, teams, groups, k, reverse, on_zero, n_clubs)
-    cand = _partial(players, teams, groups, k, reverse, on_zero, per_player=True)
-    return _rank_in_row(cand, k, reverse)
+    groups = {g: list(fl) for g, fl in groups.items()}
+    base = _input(players, groups)
+    parts = [_rank_in_row(_partial(base, b, groups, k, reverse, on_zero, per_player=True), k, reverse)
+             for b in club_blocks(teams, len(groups), n_clubs, block_entries)]
+    if len(parts) == 1:
+        return parts[0]
+    return top_k_per_group(reduce(DataFrame.unionByName, parts).drop("rank"), k, ["ID", "grp"], "score", ascending=reverse, tiebreak=("team",))

@@ -116,9 +116,12 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def numeric_columns(df: DataFrame, candidates: Sequence[str]) -> list[str]:
-    """The candidates that exist in ``df`` with a numeric type, in the given order."""
+    """The candidates with a numeric type, in the given order; one that ``df`` lacks raises."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return [c for c in candidates if isinstance(types.get(c), T.NumericType)]
+    absent = [c for c in candidates if c not in types]
+    if absent:
+        raise KeyError(f"absent columns: {absent}")
+    return [c for c in candidates if isinstance(types[c], T.NumericType)]
 
 
 def corr_between(df: DataFrame, xs: Sequence[str], ys: Sequence[str], method: str = "auto") -> DataFrame:

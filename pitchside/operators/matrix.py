@@ -4,28 +4,26 @@ Single-target queries (one club, one player) read that one row first (a
 bounded one-row action) and score against its values as literals: no join,
 no shuffle, filter pushed to the scan. The full matrix (and the window form
 of the batch top-K; the default batch form is in ``batch.py``) expands each
-player over a size-checked array of club weights (``inline`` of a scalar
-subquery): output is players x clubs rows, linear in players, computed in one
-codegen'd projection per player. Beyond ``max_array_entries`` the club side
-is split into hash blocks, each scored by its own job into the shared work
-folder, so no plan carries more than one block of weights.
+player over an array of club weights (``inline`` of a scalar subquery): output
+is players x clubs rows, linear in players, computed in one codegen'd projection
+per player. Clubs go in hash blocks of a bounded size, one branch of the lazy plan
+a block, so no task carries more than one block of weights and nothing is written.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import position_group, reciprocal, weighted_sum
 from ..schema import FEATURES, normalize_group
-from ..session import work_path
 from .targets import pick_club, pick_player, row_literals
 from .topk import top_k, top_k_per_group
 
-MAX_ARRAY_ENTRIES = 50_000   # clubs x groups carried by one plan (about 12 MB of weights at 29 features)
+BLOCK_ENTRIES = 50_000   # clubs x groups of one block (about 12 MB of weights at 29 features)
 
 
 def team_weights(teams: DataFrame, features: Sequence[str] = FEATURES, on_zero: str = "error",
@@ -117,15 +115,22 @@ def lvp_from_list(players, teams, club, ids: Sequence[int] = (), features=FEATUR
 # ---------------------------------------------------------------------------
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give an expanding operator at least one input partition per core.
+    """Deal the rows of an expanding operator's input over all cores.
 
-    Each player row fans out to clubs x groups score rows, so an input sized
-    for a plain scan (one split for a small table) would leave the expansion
-    on one task. A large input already has enough splits and is left alone
-    (no extra shuffle).
+    Each player row fans out to clubs x groups score rows, so the shuffle of the
+    narrow input is small against the output whatever its size. The number of
+    partitions follows the session (cores, ``spark.sql.shuffle.partitions``);
+    the input's plan is not run to find it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def club_blocks(teams: DataFrame, n_groups: int, n_clubs: int | None = None, block_entries: int = BLOCK_ENTRIES) -> list[DataFrame]:
+    """The clubs in hash blocks of about ``block_entries`` clubs x groups; one count if the number isn't known."""
+    n_clubs = teams.count() if n_clubs is None else n_clubs
+    blocks = max(1, math.ceil(n_clubs * n_groups / block_entries))
+    return [teams.where(F.pmod(F.xxhash64("Club"), F.lit(blocks)) == b) for b in range(blocks)] if blocks > 1 else [teams]
 
 
 def _weights_array(weights: Sequence[tuple[str, DataFrame]], width: int) -> Column:
@@ -156,32 +161,20 @@ def _block_scores(base: DataFrame, teams: DataFrame, groups: dict, width: int, o
 
 def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]],
                   on_zero: str = "error", transform: str = "reciprocal",
-                  max_array_entries: int = MAX_ARRAY_ENTRIES, n_clubs: int | None = None) -> DataFrame:
-    """Long matrix (ID, Name, Club, team, grp, score) for every player, club and group.
+                  block_entries: int = BLOCK_ENTRIES, n_clubs: int | None = None) -> DataFrame:
+    """Long matrix (ID, Name, Club, team, grp, score) for every player, club and group, lazy.
 
     The number of clubs is counted first (teams is a small materialized table;
-    a caller that already knows the count passes ``n_clubs``). The club
-    weights travel with the stage (in its task binary, fetched once per
-    executor), so one plan carries at most ``max_array_entries`` clubs x
-    groups. More clubs are split into hash blocks, each scored by its own job
-    and written to the shared work folder; the result reads those files
-    back, so no stage ever carries more than one block of weights.
+    a caller that already knows the count passes ``n_clubs``). The weights of a
+    block of clubs travel with its stage (in the task binary, fetched once per
+    executor); the result is the union of the blocks' branches.
     """
     groups = dict(groups)
     width = max(len(f) for f in groups.values())
-    n_clubs = teams.count() if n_clubs is None else n_clubs
-    blocks = max(1, math.ceil(n_clubs * len(groups) / max_array_entries))
     needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
     base = spread(players.select("ID", "Name", "Club", *needed))
-    if blocks == 1:
-        return _block_scores(base, teams, groups, width, on_zero, transform)
-    spark = players.sparkSession
-    folder = work_path(spark, "matrix", uuid.uuid4().hex)
-    for b in range(blocks):
-        block = teams.where(F.pmod(F.xxhash64("Club"), F.lit(blocks)) == b)
-        _block_scores(base, block, groups, width, on_zero, transform) \
-            .write.mode("overwrite").parquet(f"{folder}/block={b}")
-    return spark.read.parquet(folder).drop("block")
+    parts = [_block_scores(base, b, groups, width, on_zero, transform) for b in club_blocks(teams, len(groups), n_clubs, block_entries)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def mvp_all_clubs(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None):

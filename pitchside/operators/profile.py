@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import HIST_BINS
-from .quantiles import bracket_aggs, exact_quantiles
+from .quantiles import bracket_aggs, column_quantiles, exact_quantiles
 from .targets import row_values
 from .topk import top_k
 
@@ -152,26 +152,22 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool =
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(columns)
-    ])).alias("e")).select("e.*")
+    columns = list(columns)
     probs = [0.25, 0.5, 0.75]
-    stats = long.groupBy("position", "column").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        *([] if approx else bracket_aggs("v", probs)),
-    )
+    own = lambda c: F.col(f"`{c}`").cast("double")
+    aggs = []
+    for i, c in enumerate(columns):
+        n, b = bracket_aggs(own(c), probs)
+        if approx:
+            b = F.percentile_approx(own(c), probs, 100000)
+        aggs += [n.alias(f"n{i}"), F.avg(own(c)).alias(f"a{i}"), F.stddev_samp(own(c)).alias(f"s{i}"), F.min(own(c)).alias(f"l{i}"), F.max(own(c)).alias(f"h{i}"), b.alias(f"b{i}")]
+    row = df.agg(*aggs).first()   # one row: six numbers a column
     if approx:
-        q = long.groupBy("position", "column").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 100000).alias("q"))
-        quart = q.select("position", "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                         F.col("q")[2].alias("q75"))
+        quart = {c: row[f"b{i}"] or [None] * 3 for i, c in enumerate(columns)}
     else:
-        quart = _quartile_columns(exact_quantiles(long, ["position", "column"], "v", probs, stats=stats),
-                                  ["position", "column"], "v")
-    return stats.drop("__n", "__b").join(quart, ["position", "column"], "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+        quart = column_quantiles(df, columns, probs, {c: (row[f"n{i}"], row[f"b{i}"]) for i, c in enumerate(columns)})
+    out = [(c, row[f"n{i}"], row[f"a{i}"], row[f"s{i}"], row[f"l{i}"], *quart[c], row[f"h{i}"]) for i, c in enumerate(columns)]
+    return df.sparkSession.createDataFrame(out, "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
@@ -293,54 +289,50 @@ def fd_bins(df: DataFrame, columns: Sequence[str], cap: int = 50) -> list[int]:
     sqrt(n) when the IQR is 0, 1 below two values. One pass over all the columns
     (exact quartiles with bounded memory); one row per column reaches the driver."""
     cols = list(columns)
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)
-    ])).alias("e")).select("e.*").where(F.col("v").isNotNull())
     probs = [0.25, 0.75]
-    stats = long.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-                                  *bracket_aggs("v", probs))
-    quart = _quartile_pairs(exact_quantiles(long, ["k"], "v", probs, stats=stats))
-    rows = {r["k"]: r for r in stats.drop("__n", "__b").join(quart, "k", "left").collect()}
+    aggs = []
+    for i, c in enumerate(cols):
+        n, b = bracket_aggs(c, probs)
+        aggs += [n.alias(f"n{i}"), b.alias(f"b{i}"), F.min(F.col(c).cast("double")).alias(f"l{i}"), F.max(F.col(c).cast("double")).alias(f"h{i}")]
+    row = df.agg(*aggs).first()
+    quart = column_quantiles(df, cols, probs, {c: (row[f"n{i}"], row[f"b{i}"]) for i, c in enumerate(cols)})
     out = []
-    for i in range(len(cols)):
-        r = rows.get(i)
-        n = 0 if r is None else r["n"]
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
         if n < 2:
             out.append(1)
             continue
-        h = 2.0 * (r["q75"] - r["q25"]) / n ** (1.0 / 3.0)
-        bins = int(math.sqrt(n)) if h == 0 else int(math.ceil((r["hi"] - r["lo"]) / h))
+        h = 2.0 * (quart[c][1] - quart[c][0]) / n ** (1.0 / 3.0)
+        bins = int(math.sqrt(n)) if h == 0 else int(math.ceil((row[f"h{i}"] - row[f"l{i}"]) / h))
         out.append(min(bins, cap))
     return out
 
 
-def _quartile_pairs(qs: DataFrame) -> DataFrame:
-    return qs.groupBy("k").agg(F.max(F.when(F.col("q") == 0, F.col("v"))).alias("q25"),
-                               F.max(F.when(F.col("q") == 1, F.col("v"))).alias("q75"))
-
-
-def hexbin_gridsize(df: DataFrame, x: str, y: str) -> int:
-    """Grid size of the usual joint hex plot: mean of the capped Freedman-Diaconis bin counts of x and y."""
-    bx, by = fd_bins(df, [x, y])
-    return int((bx + by) / 2)
+def hexbin_gridsize(df: DataFrame, x: str, y: str, bin_cap: int = 50) -> int:
+    """Grid size of the usual joint hex plot: mean of the capped Freedman-Diaconis bin counts of x and y
+    (over the rows that have both), 1 at least."""
+    bx, by = fd_bins(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), [x, y], bin_cap)
+    return max(1, int((bx + by) / 2))
 
 
-def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int | str = 30) -> DataFrame:
+def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int | str = 30, bin_cap: int = 50) -> DataFrame:
     """Counts on a hexagonal grid: two offset rectangular lattices, each point
     going to the nearer centre (ties to the first lattice), as in the usual
     hexbin construction. (lattice, i, j, count). ``gridsize="auto"`` picks the
-    grid like the joint hex plot (``hexbin_gridsize``)."""
+    grid like the joint hex plot (``hexbin_gridsize``, with at most ``bin_cap``
+    bins an axis). Rows without both values take no part, neither in the grid's extent."""
     if gridsize == "auto":
-        gridsize = hexbin_gridsize(df, x, y)
+        gridsize = hexbin_gridsize(df, x, y, bin_cap)
     xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
+    df = df.where(xd.isNotNull() & yd.isNotNull())
     stats = df.agg(F.min(xd).alias("xmin"), F.max(xd).alias("xmax"), F.min(yd).alias("ymin"), F.max(yd).alias("ymax"))
     s0, present = _stats_values(stats)
     nx = gridsize
-    ny = int(gridsize / math.sqrt(3))
+    ny = max(1, int(gridsize / math.sqrt(3)))
     # A flat axis is widened by 0.1 on each side so the grid has a size; then
     # both ranges are padded by 1e-9 of their width, so the maximum stays
     # inside the last cell.
-    bound = df.where(xd.isNotNull() & yd.isNotNull() & present).select(
+    bound = df.where(present).select(
         xd.alias("__x"), yd.alias("__y"), *[s0[c].alias(c) for c in ("xmin", "xmax", "ymin", "ymax")]
     )
     s = {c: F.col(c) for c in ("xmin", "xmax", "ymin", "ymax")}

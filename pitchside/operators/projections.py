@@ -66,8 +66,13 @@ def with_group(players: DataFrame, position: str = "Position", out: str = "Group
     return players.withColumn(out, position_group(position))
 
 
-def select_ids(players: DataFrame, ids: Sequence[int], strict: bool = False) -> DataFrame:
-    """Rows whose id is in ``ids``; ``strict=True`` raises when some id is missing."""
+def select_ids(players: DataFrame, ids: Sequence[int] | DataFrame, strict: bool = False) -> DataFrame:
+    """Rows whose id is in ``ids``, a list (pushed to the scan) or a DataFrame with a column ``ID`` (left semi-join).
+
+    ``strict=True`` raises when some id of a list is missing.
+    """
+    if isinstance(ids, DataFrame):
+        return players.join(ids.select("ID"), "ID", "left_semi")
     picked = players.where(F.col("ID").isin(list(ids)))
     if strict:
         found = {r["ID"] for r in picked.select("ID").collect()}

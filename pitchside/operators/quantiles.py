@@ -2,40 +2,120 @@
 
 Spark's exact ``percentile`` keeps a value -> count map per group in one
 task, so its memory follows the number of distinct values: fine for ages or
-ratings, not for an id column of billions of rows. Here:
-
-* groups with at most ``small_limit`` values use ``percentile`` directly
-  (its map then holds at most ``small_limit`` entries);
-* larger groups get a bracket [lo, hi] around each target rank from
-  ``percentile_approx`` (rank error <= n / accuracy, and the bracket is four
-  times that wide), then one pass counts the values below lo and the
-  (value, count) pairs inside the bracket. A window over those few distinct
-  values finds the two order statistics to interpolate. Work is two scans;
-  the largest group state is about 8 n / accuracy distinct values.
+ratings, not for an id column of billions of rows. Here each target rank gets a
+bracket [lo, hi] from ``percentile_approx`` (rank error <= n / accuracy, and the
+bracket is four times that wide); then the values below lo are counted and the
+(value, count) pairs inside the bracket give the two order statistics.
+
+* ``column_quantiles``: whole columns. The brackets are a few numbers a column
+  and enter the second scan as literals; a task counts in numpy and hands on
+  (column, rank, value, count) rows only. While a bracket may hold more than
+  ``LIMIT`` values, a scan narrows it first, so nothing grows with the table.
+* ``exact_quantiles``: one group per key. The brackets are joined on the keys.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-SMALL_LIMIT = 100_000
 ACCURACY = 10_000
+WIDE = 0.05   # half the bracket's width where 4 / accuracy is less than two ranks
+LIMIT = 1_000_000   # values that a whole column's bracket may hold
+
+
+def _rank(n: int, p: float) -> tuple[int, int, float]:
+    """The two 0-based ranks to interpolate between, and the fraction."""
+    h = (n - 1) * p
+    return math.floor(h), math.ceil(h), h - math.floor(h)
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], stats: dict | None = None,
+                     accuracy: int = ACCURACY, limit: int = LIMIT) -> dict[str, list[float | None]]:
+    """column -> its quantiles, None for a column without values.
+
+    ``stats``: column -> (count, brackets) if the caller's own aggregate already has
+    ``bracket_aggs``; then one scan is left.
+    """
+    columns, probs = list(columns), [float(p) for p in probs]
+    if stats is None:
+        row = df.agg(*[a.alias(f"{n}{i}") for i, c in enumerate(columns) for n, a in zip("nb", bracket_aggs(c, probs, accuracy))]).first()
+        stats = {c: (row[f"n{i}"], row[f"b{i}"]) for i, c in enumerate(columns)}
+    state = {(c, q): list(stats[c][1][at : at + 2]) for c in columns if stats[c][0] for q in range(len(probs)) for at in [_places(q, stats[c][0], accuracy)]}
+    wide = {k for k, (lo, hi) in state.items() if lo != hi and 8 * stats[k[0]][0] / accuracy > limit}
+    while wide:   # only beyond about limit * accuracy / 8 values
+        keys = sorted(wide)
+        v = {k: F.col(f"`{k[0]}`").cast("double") for k in keys}
+        inside = {k: F.when((v[k] >= state[k][0]) & (v[k] <= state[k][1]), v[k]) for k in keys}
+        row = df.agg(*[x for i, k in enumerate(keys) for x in (
+            F.count(F.when(v[k] < state[k][0], 1)).alias(f"b{i}"), F.count(inside[k]).alias(f"n{i}"),
+            F.percentile_approx(inside[k], [j / 1000 for j in range(1001)], accuracy).alias(f"p{i}"))]).first()
+        for i, (c, q) in enumerate(keys):
+            r1, r2, _ = _rank(stats[c][0], probs[q])
+            n, cuts = row[f"n{i}"], row[f"p{i}"]
+            at = [max(0, math.floor((r1 - row[f"b{i}"]) / n * 1000) - 2), min(1000, math.ceil((r2 + 1 - row[f"b{i}"]) / n * 1000) + 2)]
+            state[c, q] = [cuts[at[0]], cuts[at[1]]]
+            if state[c, q][0] == state[c, q][1] or n * (at[1] - at[0] + 1) / 1000 <= limit:
+                wide.discard((c, q))
+    out = {c: [state[c, q][0] if (c, q) in state else None for q in range(len(probs))] for c in columns}
+    left = {(columns.index(c), q): b for (c, q), b in state.items() if b[0] != b[1]}
+    if not left:
+        return out
+    needed = sorted({i for i, _ in left})
+    schema = pa.schema([("c", pa.int32()), ("q", pa.int32()), ("v", pa.float64()), ("n", pa.int64())])
+
+    def count(batches):
+        below: dict = {k: 0 for k in left}
+        for b in batches:
+            rows: list[list] = [[], [], [], []]
+            for j, i in enumerate(needed):
+                col = b.column(j).drop_null().to_numpy(zero_copy_only=False)
+                for (ci, q), (lo, hi) in left.items():
+                    if ci != i:
+                        continue
+                    below[ci, q] += int((col < lo).sum())
+                    vals, times = np.unique(col[(col >= lo) & (col <= hi)], return_counts=True)
+                    for x, y in zip(rows, ([ci] * len(vals), [q] * len(vals), vals.tolist(), times.tolist())):
+                        x += y
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(rows, schema)], schema=schema)
+        keys = list(below)
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(([k[0] for k in keys], [k[1] for k in keys], [None] * len(keys), list(below.values())), schema)], schema=schema)
 
+    values = df.select(*[F.col(f"`{columns[i]}`").cast("double").alias(f"v{i}") for i in needed])
+    # a NULL value carries the number below the bracket and sorts first
+    counted = values.mapInArrow(count, "c int, q int, v double, n long").groupBy("c", "q", "v").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("c", "q").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranks = {k: _rank(stats[columns[k[0]]][0], probs[k[1]]) for k in left}
+    small = df.sparkSession.createDataFrame([(c, q, r[0], r[1]) for (c, q), r in ranks.items()], "c int, q int, r1 long, r2 long")
+    ranked = counted.withColumn("cum", F.sum("n").over(w)).join(F.broadcast(small), ["c", "q"])   # at most LIMIT values a window
+    hit = lambda r: F.max(F.when(F.col("v").isNotNull() & (F.col("cum") > F.col(r)) & (F.col("cum") - F.col("n") <= F.col(r)), F.col("v")))
+    for r in ranked.groupBy("c", "q").agg(hit("r1").alias("v1"), hit("r2").alias("v2")).collect():
+        if r["v1"] is None or r["v2"] is None:
+            raise RuntimeError("quantile bracket missed the target rank")
+        out[columns[r["c"]]][r["q"]] = r["v1"] + ranks[r["c"], r["q"]][2] * (r["v2"] - r["v1"])
+    return out
 
-def bracket_aggs(value: str, probs: Sequence[float], accuracy: int = ACCURACY) -> list:
+
+def bracket_aggs(value, probs: Sequence[float], accuracy: int = ACCURACY) -> list:
     """The aggregates ``exact_quantiles`` needs per group (``__n``, ``__b``); a caller
     computing other statistics per group can add these to the same aggregation."""
-    delta = 4.0 / accuracy
-    v = F.col(value).cast("double")
-    bounds = [b for p in probs for b in (max(0.0, float(p) - delta), min(1.0, float(p) + delta))]
+    deltas = (4.0 / accuracy, WIDE)
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    bounds = [0.0, 1.0] + [b for p in probs for d in deltas for b in (max(0.0, float(p) - d), min(1.0, float(p) + d))]
     return [F.count(v).alias("__n"), F.percentile_approx(v, bounds, accuracy).alias("__b")]
 
 
+def _places(q: int, n: int, accuracy: int) -> int:
+    """Where the bracket of the q-th probability begins in the bounds: it must reach a rank beyond the target on either side."""
+    return 2 + 4 * q if n * 4 >= 2 * accuracy else 4 + 4 * q if n * WIDE >= 2 else 0
+
+
 def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    accuracy: int = ACCURACY, small_limit: int = SMALL_LIMIT,
-                    stats: DataFrame | None = None) -> DataFrame:
+                    accuracy: int = ACCURACY, stats: DataFrame | None = None) -> DataFrame:
     """(keys..., q, value) for every group and probability index q (0-based).
 
     ``stats``: the per-group result of ``bracket_aggs`` if the caller already
@@ -49,21 +129,17 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
         stats = long.groupBy(*keys).agg(*bracket_aggs(value, probs, accuracy))
     stats = stats.select(*keys, "__n", "__b")
 
-    # Small groups: exact percentile, bounded by small_limit values per group.
-    small = data.join(stats.where(F.col("__n") <= small_limit).select(*keys), keys)
-    small_q = small.groupBy(*keys).agg(F.percentile("__v", F.array(*[F.lit(p) for p in probs])).alias("__q"))
-    small_out = small_q.select(*keys, F.posexplode("__q").alias("q", value))
-
-    # Large groups: bracket each target rank, then rank inside the bracket.
+    # Bracket each target rank, then rank inside the bracket.
     # One row per group carries every bracket, so each value is read once:
     # the values below each bracket are counted, and only values inside a
     # bracket are emitted as (q, value) rows.
     nq = len(probs)
-    big = stats.where(F.col("__n") > small_limit)
+    big = stats.where(F.col("__n") > 0)
+    at = lambda i: F.when(F.col("__n") * 4 >= 2 * accuracy, 2 + 4 * i).when(F.col("__n") * WIDE >= 2, 4 + 4 * i).otherwise(0)
     brackets = big.select(
         *keys,
-        *[F.col("__b")[2 * i].alias(f"__lo{i}") for i in range(nq)],
-        *[F.col("__b")[2 * i + 1].alias(f"__hi{i}") for i in range(nq)],
+        *[F.get("__b", at(i)).alias(f"__lo{i}") for i in range(nq)],
+        *[F.get("__b", at(i) + 1).alias(f"__hi{i}") for i in range(nq)],
     )
     targets = big.select(
         *keys,
@@ -104,8 +180,7 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
     )
     checked = F.when(F.col("v1").isNull() | F.col("v2").isNull(),
                      F.raise_error(F.lit("quantile bracket missed the target rank")).cast("double"))
-    large_out = picked.select(
+    return picked.select(
         *keys, "q",
         F.coalesce(checked, F.col("v1") + F.col("frac") * (F.col("v2") - F.col("v1"))).alias(value),
     )
-    return small_out.unionByName(large_out)

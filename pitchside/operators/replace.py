@@ -26,6 +26,7 @@ from .targets import pick_club, pick_player, row_literals
 from .topk import top_k
 
 RANK_TOLERANCE = 1e-5   # > the 1e-6 score rounding step plus float noise
+RELATIVE_TOLERANCE = 1e-9   # > float noise, for scores of any magnitude
 
 
 def _values_array(features: Sequence[str]) -> Column:
@@ -137,10 +138,10 @@ def replace_mode(players: DataFrame, teams: DataFrame, club: str, k: int = 3,
         weighted_sum(features, weights).alias("cw"),
     )
     best = top_k(cands, k, "cw", tiebreak=("replacement_id",), rank_col=None, round_to=None) \
-        .agg(F.struct(F.min("cw").alias("kth"), F.count("cw").alias("nn")).alias("s")).select("s").scalar()
+        .agg(F.struct(F.min("cw").alias("kth"), F.count("cw").alias("nn"), F.max(F.abs("cw")).alias("top")).alias("s")).select("s").scalar()
     # NULL scores rank last: they can only matter when fewer than k candidates have a score.
     survivors = cands.where(
-        (F.col("cw") >= best.getField("kth") - F.lit(RANK_TOLERANCE))
+        (F.col("cw") >= best.getField("kth") - F.greatest(F.lit(RANK_TOLERANCE), F.lit(RELATIVE_TOLERANCE) * best.getField("top")))
         | (F.col("cw").isNull() & (best.getField("nn") < F.lit(k)))
     )
 

@@ -21,11 +21,11 @@ from ..operators import replace as R
 from ..operators import similar as S
 from ..operators import votes as V
 from ..operators.topk import top_k
-from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, SCORE_SCALE
+from ..schema import FEATURES, FIT_X, FIT_YS, NOT_DERIVED, PLAYER_SCHEMA, PROFILE_COLUMNS, RADAR_FEATURES, SCORE_SCALE
 from ..session import work_path, stable_key
 from ..sources import csv as CSV
 from ..sources.views import load_views, table
-from .model import fit
+from .model import fit, recommend
 
 # Query parameters (present at every scale factor).
 CLUB = "Brand#1"
@@ -36,6 +36,7 @@ VEC_ID = 0
 K = 10
 REPLACE_K = 3
 HEX_GRID = "auto"
+HOLE_COLUMNS = ["Age", "Crossing", "Finishing", "Dribbling", "Overall"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,6 +118,45 @@ def scan_malformed_count(spark, sf_dir):
     return CSV.count_malformed(spark, _players_csv(spark, sf_dir))
 
 
+_RAW_CSV: dict = {}
+RAW_SCHEMA = T.StructType([PLAYER_SCHEMA[c] for c in ("ID", "Name", "Club", "Overall")])
+
+
+def _raw_csv(spark, sf_dir) -> str:
+    """Four player columns as a less tidy CSV: another column order, commas inside quotes, blank clubs, bad numbers.
+
+    ID mod 10 is 3: no Club; 5: Overall is no number.
+    """
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        if memo not in _RAW_CSV:
+            path = work_path(spark, "csv", stable_key(sf_dir), "raw")
+            m = F.col("ID") % 10
+            CSV.write_players(_players(spark, sf_dir).select(
+                F.when(m == 5, F.lit("bad")).otherwise(F.col("Overall").cast("string")).alias("Overall"),
+                F.concat("Name", F.lit(", Jr.")).alias("Name"), "ID", F.when(m != 3, F.col("Club")).alias("Club")), path)
+            _RAW_CSV[memo] = path
+        return _RAW_CSV[memo]
+
+
+@query
+def scan_untidy(spark, sf_dir):
+    """Columns matched by header name, quoting, blanks as NULL, records with a bad number left out."""
+    return CSV.read_strict(spark, _raw_csv(spark, sf_dir), RAW_SCHEMA)
+
+
+@query
+def scan_untidy_malformed(spark, sf_dir):
+    return CSV.count_malformed(spark, _raw_csv(spark, sf_dir), RAW_SCHEMA)
+
+
+@query
+def scan_inferred(spark, sf_dir):
+    """Types inferred from the data (opt-in)."""
+    df = CSV.read_players(spark, _players_csv(spark, sf_dir), schema=None)
+    return df.select(F.col("ID").cast("long").alias("ID"), "Name", "Club", F.col("Overall").cast("int").alias("Overall"), F.round("Crossing", SCORE_SCALE).alias("Crossing"))
+
+
 @query
 def preview(spark, sf_dir):
     return rounded(PR.preview(_players(spark, sf_dir)))
@@ -272,7 +312,8 @@ def corr_with_overall(spark, sf_dir):
 @query
 def corr_profile(spark, sf_dir):
     p = _players(spark, sf_dir)
-    return rounded(C.corr_matrix(p, C.numeric_columns(p, PROFILE_COLUMNS)), 9)
+    listed = [c for c in PROFILE_COLUMNS if c not in NOT_DERIVED]
+    return rounded(C.corr_matrix(p, C.numeric_columns(p, listed)), 9)
 
 
 @query
@@ -423,6 +464,45 @@ def lvp_all(spark, sf_dir):
     return rounded(_model(spark, sf_dir).lvp_from_list([], CLUB))
 
 
+@query
+def recommend_players(spark, sf_dir):
+    return rounded(recommend(_model(spark, sf_dir), team=CLUB, position="DEF", k=K))
+
+
+@query
+def recommend_clubs(spark, sf_dir):
+    return rounded(recommend(_model(spark, sf_dir), player=PLAYER_ID, position="ATK", k=K))
+
+
+@query
+def select_ids(spark, sf_dir):
+    return PJ.select_ids(_players(spark, sf_dir), LIST_IDS).select("ID", "Name", "Club", "Overall")
+
+
+@query
+def select_ids_joined(spark, sf_dir):
+    """Ids that come as a table: the parts with an even size."""
+    ids = table(spark, sf_dir, "part").where(F.col("p_size") % 2 == 0).select(F.col("p_partkey").cast("long").alias("ID"))
+    return PJ.select_ids(_players(spark, sf_dir), ids).select("ID", "Name", "Club", "Overall")
+
+
+def _with_holes(spark, sf_dir):
+    """Players without Age (ID mod 7 is 0), Club (mod 9), Crossing (mod 5) and Finishing (mod 4)."""
+    holes = {"Age": 7, "Club": 9, "Crossing": 5, "Finishing": 4}
+    return _players(spark, sf_dir).withColumns({c: F.when(F.col("ID") % m != 0, F.col(c)) for c, m in holes.items()})
+
+
+@query
+def null_flags_holes(spark, sf_dir):
+    return PR.null_flags(_with_holes(spark, sf_dir))
+
+
+@query
+def corr_holes(spark, sf_dir):
+    """Pairwise-complete correlations of columns with NULLs."""
+    return rounded(C.corr_matrix(_with_holes(spark, sf_dir), HOLE_COLUMNS), 9)
+
+
 @query
 def mvp_all_clubs(spark, sf_dir):
     return rounded(_model(spark, sf_dir).mvp_all_clubs(K))

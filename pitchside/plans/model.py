@@ -80,7 +80,7 @@ def recommend(model: ScoutModel, player=None, team: str | None = None, position:
               k: int | None = 10, reverse: bool = False) -> DataFrame:
     """Clubs for a player, players for a club; at least one of them is required."""
     if player is None and team is None:
-        raise RuntimeError("No player or team is found, please at least offer one argument")
+        raise RuntimeError("recommend() needs a player, a team, or both")
     if team is not None:
         return model.mvp_for_team(team, position, k, reverse)
     if isinstance(player, str):

@@ -10,7 +10,7 @@ operator in plain SQL. Doubles are rounded like the Spark side (6 decimals,
 from __future__ import annotations
 
 from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, RATINGS
-from .catalog import CLUB, K, LIST_IDS, PLAYER_ID, REPLACE_K, SIX_CLUBS, VEC_ID
+from .catalog import CLUB, HOLE_COLUMNS, K, LIST_IDS, PLAYER_ID, REPLACE_K, SIX_CLUBS, VEC_ID
 
 
 def q(name: str) -> str:
@@ -542,3 +542,21 @@ def _positive_zero(sql: str) -> str:
 
 
 ORACLE_SQL = {name: _positive_zero(sql) for name, sql in ORACLE_SQL.items()}
+
+# --- cases with other column orders, NULLs and bad fields --------------------------------
+
+oracle("scan_untidy", with_views("""SELECT "ID", "Name" || ', Jr.' AS "Name", CASE WHEN "ID" % 10 <> 3 THEN "Club" END AS "Club", "Overall"
+FROM players WHERE "ID" % 10 <> 5"""))
+oracle("scan_untidy_malformed", with_views('SELECT count(*) AS "rows", count(*) FILTER ("ID" % 10 = 5) AS malformed FROM players'))
+oracle("scan_inferred", with_views('SELECT "ID", "Name", "Club", "Overall", round("Crossing", 6) AS "Crossing" FROM players'))
+oracle("recommend_players", ORACLE_SQL["mvp_for_team"])
+oracle("recommend_clubs", ORACLE_SQL["mvt_for_player"])
+oracle("select_ids", with_views(f'SELECT "ID", "Name", "Club", "Overall" FROM players WHERE "ID" IN ({", ".join(map(str, LIST_IDS))})'))
+oracle("select_ids_joined", with_views('SELECT "ID", "Name", "Club", "Overall" FROM players WHERE "Age" % 2 = 0'))
+
+_HOLES = {"Age": 7, "Club": 9, "Crossing": 5, "Finishing": 4}
+_holes = """, holes AS (SELECT * REPLACE (""" + ", ".join(f'CASE WHEN "ID" % {m} <> 0 THEN {q(c)} END AS {q(c)}' for c, m in _HOLES.items()) + """) FROM players)
+"""
+oracle("null_flags_holes", with_views(_holes + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", coalesce(bool_or({q(c)} IS NULL), false) AS has_null FROM holes" for c in PLAYER_COLS)))
+oracle("corr_holes", with_views(_holes + _corr_sql(HOLE_COLUMNS).replace("FROM players", "FROM holes")))

@@ -47,8 +47,8 @@ RADAR_FEATURES = [
     "HeadingAccuracy", "Interceptions", "Jumping", "LongPassing", "LongShots",
     "Marking", "Penalties",
 ]
-# Columns of the profiling heatmap (source names after renaming); non-numeric
-# or absent columns drop out, as they do in a pandas correlation.
+# Columns of the profiling heatmap (source names after renaming); those that
+# are not numeric drop out.
 PROFILE_COLUMNS = [
     "Age", "Overall", "Potential", "Value", "Wage", "Acceleration", "Aggression",
     "Agility", "Balance", "BallControl", "Composure", "Crossing", "Dribbling",
@@ -94,6 +94,9 @@ PLAYER_SCHEMA = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in RATINGS + FEATURES]
 )
 
+# Profile columns of the source's player table that the derived test table does not have.
+NOT_DERIVED = ["Potential", "Value", "Wage", "International_Reputation", "Skill_Moves"]
+
 TEAM_SCHEMA = T.StructType(
     [T.StructField("Club", T.StringType())]
     + [T.StructField(c, T.DoubleType()) for c in FEATURES]
@@ -105,4 +108,4 @@ def normalize_group(group: str) -> str:
     try:
         return GROUP_ALIASES[group.upper()]
     except (KeyError, AttributeError):
-        raise ValueError(f"Invalid position argument: {group!r}") from None
+        raise ValueError(f"{group!r} is no position group; use one of {sorted(GROUP_ALIASES)}") from None

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pitchside") -> SparkSession:
@@ -44,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
         )
@@ -63,18 +63,16 @@ def stable_key(*parts: str) -> str:
 
 
 def materialize(df: DataFrame, path: str, build=None, schema=None) -> DataFrame:
-    """Read the parquet table at ``path``; if it is missing, write ``df`` there first.
+    """Write ``df`` as a new parquet table beside ``path`` and read it back.
 
+    Each call writes a fresh folder, and its name is known only once the job has
+    succeeded, so what a failed or half-finished write left behind is never read.
     Writing a table (rather than caching) cuts the lineage durably: a lost
     executor re-reads files instead of recomputing the plan, and later scans
     still get column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException:
-        pass
+    fresh = f"{path}-{uuid.uuid4().hex[:12]}"
     out = build(df) if build is not None else df
-    out.write.mode("overwrite").parquet(path)
-    return reader.parquet(path)
+    out.write.parquet(fresh)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(fresh)

@@ -1,7 +1,9 @@
 """CSV readers for the player and team files.
 
-Always with an explicit schema (no inference pass over the data). Source
-headers with '.', '(' or ')' are renamed so columns need no back-ticks.
+Columns are found by the file's header names, never by position. Types come from
+an explicit schema (no inference pass over the data) or, when asked for, from
+Spark's inference. Source headers with '.', '(' or ')' are renamed so columns
+need no back-ticks.
 """
 
 from __future__ import annotations
@@ -10,15 +12,51 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schema import PLAYER_SCHEMA, RENAMES
 
+CORRUPT = "_corrupt_record"
+
 
 def rename_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in df.columns})
 
 
-def read_players(spark: SparkSession, path: str, schema: T.StructType = PLAYER_SCHEMA,
-                 header: bool = True) -> DataFrame:
-    """Header CSV with a fixed schema; a blank field becomes NULL."""
-    return rename_columns(spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path))
+def _file_schema(spark: SparkSession, path: str, schema: T.StructType, header: bool, extra: str) -> T.StructType:
+    """The schema in the file's own column order and names, types by (renamed) name.
+
+    Only the header line is read. A missing column raises; a column that the
+    schema lacks raises too, or is read as text with ``extra="text"``.
+    """
+    if not header:
+        return schema
+    names = spark.read.option("header", True).csv(path).columns
+    types = {RENAMES.get(f.name, f.name): f.dataType for f in schema.fields}
+    found = [RENAMES.get(n, n) for n in names]
+    missing = [n for n in types if n not in found]
+    unknown = [n for n in found if n not in types]
+    if missing or len(set(found)) != len(found) or (unknown and extra != "text"):
+        raise ValueError(f"header of {path}: missing columns {missing}, unknown {unknown if extra != 'text' else []}, in all {len(found)}")
+    return T.StructType([T.StructField(n, types.get(f, T.StringType())) for n, f in zip(names, found)])
+
+
+def _ordered(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Renamed, the schema's columns first and in its order."""
+    df = rename_columns(df)
+    first = [RENAMES.get(f.name, f.name) for f in schema.fields]
+    return df.select(*first, *[c for c in df.columns if c not in first])
+
+
+def read_players(spark: SparkSession, path: str, schema: T.StructType | None = PLAYER_SCHEMA,
+                 header: bool = True, extra: str = "error") -> DataFrame:
+    """Header CSV; a blank field becomes NULL, a field that its type can't hold fails.
+
+    Columns are matched by name, whatever their order, and every file's header is
+    held against the first one's (``enforceSchema`` off), so a permuted part file
+    fails instead of being misread. ``schema=None`` infers the types from the data.
+    """
+    reader = spark.read.option("header", header).option("mode", "FAILFAST")
+    if schema is None:
+        return rename_columns(reader.option("inferSchema", True).csv(path))
+    own = _file_schema(spark, path, schema, header, extra)
+    return _ordered(reader.option("enforceSchema", not header).schema(own).csv(path), schema)
 
 
 def blanks_as_empty(df: DataFrame) -> DataFrame:
@@ -27,37 +65,48 @@ def blanks_as_empty(df: DataFrame) -> DataFrame:
     return df.na.fill("", subset=strings)
 
 
-def _lines(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
-    lines = spark.read.text(path)
-    if header:
-        # Every part file starts with the header line; drop those lines.
-        lines = lines.where(F.col("value") != F.lit(",".join(schema.names)))
-    return lines
+def _permissive(spark: SparkSession, path: str, schema: T.StructType, header: bool, extra: str) -> DataFrame:
+    """Every data record with its text in ``_corrupt_record`` if its width or a field is wrong."""
+    own = _file_schema(spark, path, schema, header, extra).add(CORRUPT, T.StringType())
+    return (spark.read.schema(own).option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
+            .option("enforceSchema", True).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+
+
+def _lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
+    """The non-empty lines without the files' header lines (equal to the first line of the first file)."""
+    lines = spark.read.text(path).where(F.length("value") > 0)
+    first = spark.read.text(path).first() if header else None
+    return lines if first is None else lines.where(F.col("value") != F.lit(first["value"]))
 
 
 def read_strict(spark: SparkSession, path: str, schema: T.StructType = PLAYER_SCHEMA,
-                header: bool = True) -> DataFrame:
-    """Only lines with exactly as many comma-separated fields as the schema has.
+                header: bool = True, quoted: bool = True, extra: str = "error") -> DataFrame:
+    """Only records with as many fields as the header has and no field that its type can't hold.
 
-    The width check splits on every comma (no quoting), the strict-width rule
-    of the source; the kept lines are parsed with the schema by ``from_csv``.
+    ``quoted=False`` counts every comma, also inside quotes (the strict-width rule
+    of the source), and drops further records by that.
     """
-    lines = _lines(spark, path, schema, header)
-    kept = lines.where(F.size(F.split(F.col("value"), ",", -1)) == len(schema.fields))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = kept.select(F.from_csv(F.col("value"), ddl).alias("r"))
-    return rename_columns(parsed.select("r.*"))
+    if quoted:
+        df = _permissive(spark, path, schema, header, extra)
+        return _ordered(df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), schema)
+    own = _file_schema(spark, path, schema, header, extra)
+    kept = _lines(spark, path, header).where(F.size(F.split(F.col("value"), ",", -1)) == len(own.fields))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*own.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = kept.select(F.from_csv(F.col("value"), ddl, {"columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    return _ordered(parsed.select("r.*").where(F.col(CORRUPT).isNull()).drop(CORRUPT), schema)
 
 
 def count_malformed(spark: SparkSession, path: str, schema: T.StructType = PLAYER_SCHEMA,
-                    header: bool = True) -> DataFrame:
-    """(rows, malformed): data lines, and lines whose field count differs from the schema's."""
-    lines = _lines(spark, path, schema, header)
-    width = F.size(F.split(F.col("value"), ",", -1))
-    return lines.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(width != len(schema.fields), F.lit(1))).alias("malformed"),
-    )
+                    header: bool = True, quoted: bool = True, extra: str = "error") -> DataFrame:
+    """(rows, malformed): data records, and those that ``read_strict`` leaves out."""
+    if not quoted:
+        own = _file_schema(spark, path, schema, header, extra)
+        width = F.size(F.split(F.col("value"), ",", -1))
+        return _lines(spark, path, header).agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(width != len(own.fields), F.lit(1))).alias("malformed"))
+    df = _permissive(spark, path, schema, header, extra)
+    # Spark refuses a query on the corrupt column alone, so a data column takes part too.
+    bad = F.col(CORRUPT).isNotNull() | (F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")) == F.lit("\x00"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, F.lit(1))).alias("malformed"))
 
 
 def write_players(df: DataFrame, path: str) -> None:

@@ -283,19 +283,19 @@ def test_matrix_hash_blocks_equal_single_block(spark):
     t = teams(spark).where("Club != 'Z'")
     groups = {"A": F5, "B": ["f1", "f2"]}
     one = sorted(map(tuple, M.matrix_scores(players(spark), t, groups).collect()), key=repr)
-    many = sorted(map(tuple, M.matrix_scores(players(spark), t, groups, max_array_entries=1).collect()), key=repr)
+    many = sorted(map(tuple, M.matrix_scores(players(spark), t, groups, block_entries=1).collect()), key=repr)
     assert one == many and len(one) == 6 * 2 * 2
 
 
-def test_batch_falls_back_to_window_beyond_bound(spark):
+def test_batch_in_club_blocks(spark):
     from pitchside.operators import batch as B
 
     t = teams(spark).where("Club != 'Z'")
     groups = {"A": F5}
-    small = B.mvp_all_clubs(players(spark), t, groups, 2, max_entries=1)
-    assert "MapInPandas" not in small._jdf.queryExecution().executedPlan().toString()
-    full = B.mvp_all_clubs(players(spark), t, groups, 2)
-    assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, full.collect()), key=repr)
+    for f in (B.mvp_all_clubs, B.mvt_all_players):
+        small, full = f(players(spark), t, groups, 2, block_entries=1), f(players(spark), t, groups, 2)
+        cols = sorted(full.columns)
+        assert sorted(map(tuple, small.select(cols).collect()), key=repr) == sorted(map(tuple, full.select(cols).collect()), key=repr)
 
 
 @pytest.mark.parametrize("reverse", [False, True])

@@ -169,3 +169,45 @@ def test_age_histogram_equals_numpy(views, players_pdf):
     assert [r["count"] for r in got] == list(counts)
     assert [r.bin_lo for r in got] == pytest.approx(list(edges[:-1]))
     assert [r.density for r in got] == pytest.approx(list(dens))
+
+
+def test_hexbin_of_one_row_and_of_missing_partners(spark):
+    from pitchside.operators import profile as PR
+
+    one = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    assert [r["count"] for r in PR.hexbin_counts(one, "x", "y", "auto").collect()] == [1]
+    rows = [(float(i % 7), float(i % 5)) for i in range(60)]
+    plain = spark.createDataFrame(rows, "x double, y double")
+    more = spark.createDataFrame(rows + [(1000.0, None), (None, -1000.0)], "x double, y double")
+    for grid in (10, "auto"):
+        assert sorted(PR.hexbin_counts(plain, "x", "y", grid).collect()) == sorted(PR.hexbin_counts(more, "x", "y", grid).collect())
+
+
+def test_numeric_columns_raise_when_absent(spark):
+    import pytest
+
+    from pitchside.operators.corr import numeric_columns
+
+    df = spark.createDataFrame([(1, "a")], "x int, s string")
+    assert numeric_columns(df, ["x", "s"]) == ["x"]
+    with pytest.raises(KeyError, match="gone"):
+        numeric_columns(df, ["x", "gone"])
+
+
+def test_batch_top_k_by_blocks_equals_one_block(spark):
+    """More clubs than one block: the same rows, and nothing is written."""
+    import random
+
+    from pitchside.operators import batch as B, matrix as M
+
+    r = random.Random(3)
+    feats = ["a", "b"]
+    players = spark.createDataFrame([(i, f"p{i}", f"c{i % 9}", r.random(), r.random()) for i in range(120)], "ID long, Name string, Club string, a double, b double")
+    teams = spark.createDataFrame([(f"c{i}", 0.1 + r.random(), 0.1 + r.random()) for i in range(40)], "Club string, a double, b double")
+    groups = {"G": feats}
+    for f in (B.mvp_all_clubs, B.mvt_all_players):
+        one, many = f(players, teams, groups, 3), f(players, teams, groups, 3, block_entries=7)
+        cols = sorted(one.columns)
+        assert sorted(map(tuple, one.select(cols).collect())) == sorted(map(tuple, many.select(cols).collect()))
+    whole = M.matrix_scores(players, teams, groups, block_entries=7)
+    assert "Scan parquet" not in whole._jdf.queryExecution().toString() and whole.count() == 120 * 40

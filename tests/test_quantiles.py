@@ -1,23 +1,45 @@
-"""Exact bounded quantiles: both paths against numpy."""
+"""Exact bounded quantiles, by group and of whole columns, against numpy."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pitchside.operators.quantiles import exact_quantiles
+from pitchside.operators.quantiles import column_quantiles, exact_quantiles
 
 
-@pytest.mark.parametrize("small_limit", [10**9, 500])
-def test_exact_quantiles_match_numpy(spark, small_limit):
+def test_exact_quantiles_match_numpy(spark):
     n = 40_000
     df = spark.range(n).select(
         (F.col("id") % 3).alias("g"),
         F.when(F.col("id") % 3 == 0, F.randn(7)).otherwise(F.floor(F.rand(3) * 40)).alias("v"),
     )
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = {(r.g, r.q): r.v for r in exact_quantiles(df, ["g"], "v", probs, small_limit=small_limit).collect()}
+    got = {(r.g, r.q): r.v for r in exact_quantiles(df, ["g"], "v", probs).collect()}
     pdf = df.toPandas()
     for g in range(3):
         exp = np.quantile(pdf[pdf.g == g].v.to_numpy(), probs)
         for i in range(len(probs)):
             assert got[(g, i)] == pytest.approx(exp[i], abs=1e-12)
+
+
+@pytest.mark.parametrize("limit", [10**6, 50])
+def test_column_quantiles_match_numpy(spark, limit):
+    """Also where brackets are narrowed by further scans; NULLs and a column of NULLs alone."""
+    df = spark.range(60_000).select(
+        F.col("id").cast("double").alias("a"), F.when(F.col("id") % 3 > 0, F.randn(5)).alias("b"), (F.col("id") % 7).alias("c"), F.lit(None).cast("double").alias("none"),
+    ).cache()
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = column_quantiles(df, ["a", "b", "c", "none"], probs, accuracy=1000, limit=limit)
+    pdf = df.toPandas()
+    for c in "abc":
+        assert got[c] == pytest.approx(np.quantile(pdf[c].dropna().to_numpy(dtype=float), probs).tolist(), abs=1e-12)
+    assert got["none"] == [None] * 5
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 39, 41, 82, 1999, 5003])
+def test_few_values(spark, n):
+    df = spark.range(n).select(F.lit(1).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 7).alias("v"))
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    exp = np.quantile(df.toPandas().v.to_numpy(), probs)
+    assert column_quantiles(df, ["v"], probs)["v"] == pytest.approx(exp.tolist(), abs=1e-12)
+    assert [r.v for r in sorted(exact_quantiles(df, ["g"], "v", probs).collect(), key=lambda r: r.q)] == pytest.approx(exp.tolist(), abs=1e-12)

@@ -1,4 +1,4 @@
-"""The stateless operators apply unchanged to a streaming DataFrame (see pitchside/streaming)."""
+"""The stateless operators apply unchanged to a streaming DataFrame."""
 
 from fixture_data import F5, PLAYER_SCHEMA, players, teams
 from pitchside.operators import matrix as M
