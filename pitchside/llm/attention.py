@@ -36,7 +36,7 @@ def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     of its symbols is the target of exactly one place.
     """
     lead = WINDOW - STRIDE
-    counts = np.array([-(-(len(t) + 1) // STRIDE) for t in texts])
+    counts = np.array([-(-(len(t) + 1) // STRIDE) for t in texts], int)
     size = counts * STRIDE + lead
     at = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(texts) else np.zeros(0, int)
     flat = np.full(int(size.sum()) + 1, PAD, np.int16)
