@@ -15,7 +15,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import lower_words, map_lists, map_tail
 from .vocab import kept
@@ -26,6 +26,8 @@ LEAST, MOST = 0.005, 0.2
 SUBSETS, LEVELS = 48, 3
 #: Documents whose terms a task counts before it hands on the frequent ones.
 CHUNK = 4096
+#: Ranges of ids at most.
+RANGES = 10_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -161,28 +163,38 @@ def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST, seed
     return map_lists(docs.select("doc_id", "text"), start, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fingerprint string")
 
 
+def _place(key: Column, cuts: list[int], low: int, high: int, sub: int) -> Column:
+    """Range of an id, ascending: quantile cuts first, then equal widths between two cuts."""
+    edges = [low, *cuts, high]
+    i = F.size(F.filter(F.lit(cuts), lambda c: c < key)) if cuts else F.lit(0)
+    edge = lambda k: F.get(F.lit(edges), k).cast("double")
+    within = (key.cast("double") - edge(i)) / (edge(i + 1) - edge(i) + 1)
+    return i * sub + F.greatest(F.lit(0), F.least(F.lit(sub - 1), F.floor(within * sub).cast("int")))
+
+
 def _with_next(docs: DataFrame) -> DataFrame:
-    """Rows (b_dest, b_guest, b_key, doc_id, text): ranges of ids, each with a copy of the row that follows its last.
+    """Rows (doc_id, text, b_key, b_dest, b_guest): ranges of ids, each with a copy of the row that follows its last.
 
-    Ranges are cut at quantiles of the ids (a narrow pass); the first row of each
-    range goes to the range before it too, and the very first to the last range.
+    The ranges come from a narrow pass over the ids; the first row of each range
+    goes to the range before it too, and the very first to the last range. At most
+    RANGES rows reach the driver.
     """
     spark = docs.sparkSession
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     t = docs.select("doc_id", "text", key.alias("b_key"))
-    n = t.count()
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), n // 8192)
-    cuts = t.agg(F.percentile_approx("b_key", [i / ranges for i in range(1, ranges)] or [0.5], 10 * ranges + 1000).alias("c")).first()["c"]
-    cuts = sorted(set(cuts or [])) if ranges > 1 else []
-    place = F.lit(0)
-    if cuts:
-        place = F.size(F.filter(F.lit(cuts), lambda c: c < F.col("b_key")))
-    ends = sorted(((r["b_dest"], r["k"]) for r in t.groupBy(place.alias("b_dest")).agg(F.max("b_key").alias("k")).collect()))
-    # descending ids: after the last row of range i comes the greatest of the range below, after the lowest the greatest of all
-    goes = {k: ends[(i + 1) % len(ends)][0] for i, (_, k) in enumerate(ends)}
-    guests = F.element_at(F.create_map(*[x for k, d in goes.items() for x in (F.lit(k), F.lit(d))]), F.col("b_key")) if goes else F.lit(None).cast("int")
-    own = F.array(F.struct(place.alias("d"), F.lit(0).alias("g")))
-    dest = F.when(guests.isNull(), own).otherwise(F.concat(own, F.array(F.struct(guests.alias("d"), F.lit(1).alias("g")))))
+    n, low, high = t.agg(F.count(F.lit(1)), F.min("b_key"), F.max("b_key")).first()
+    ranges = min(RANGES, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), n // 8192))
+    first = min(ranges, 100)
+    cuts = t.agg(F.percentile_approx("b_key", [i / first for i in range(1, first)] or [0.5], 10_000).alias("c")).first()["c"]
+    cuts = sorted(set(cuts or [])) if first > 1 else []
+    place = _place(F.col("b_key"), cuts, low or 0, high or 0, -(-ranges // first))
+    t = t.withColumn("b_own", place)
+    ends = sorted((r["b_own"], r["k"]) for r in t.groupBy("b_own").agg(F.max("b_key").alias("k")).collect())
+    # descending ids: after the last row of a range comes the greatest of the range below, after the lowest the greatest of all
+    goes = [(k, ends[(i + 1) % len(ends)][0]) for i, (_, k) in enumerate(ends)]
+    t = t.join(F.broadcast(spark.createDataFrame(goes, "b_key long, b_to int")), "b_key", "left")  # a row a range
+    own = F.array(F.struct(F.col("b_own").alias("d"), F.lit(0).alias("g")))
+    dest = F.when(F.col("b_to").isNull(), own).otherwise(F.concat(own, F.array(F.struct(F.col("b_to").alias("d"), F.lit(1).alias("g")))))
     return t.select("doc_id", "text", "b_key", F.inline(dest).alias("b_dest", "b_guest")).repartition(ranges, "b_dest").sortWithinPartitions(
         "b_dest", "b_guest", F.desc("b_key"), F.xxhash64("text"))
 

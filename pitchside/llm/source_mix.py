@@ -6,7 +6,8 @@ tokens cost nothing the first time, 1 the second, 2 the third, so repetition is
 spread evenly and used last. Patterns, sources and the flow are small; documents
 stay in Spark and are then selected by a seeded order: whole copies for everyone,
 one more copy below a threshold of the order, and single documents that fill
-what is left of the pattern's share.
+what is left of the pattern's share (where that is more than half, the documents
+without the further copy are selected so).
 """
 
 from __future__ import annotations
@@ -195,24 +196,26 @@ def _plan(docs, members, weights, seed, carry):
     weight = [float(weights.get(m, 0)) if weights is not None else 1.0 + i % 3 for i, m in enumerate(names)]
     target = quotas(sizes, weight)
     flow = min_cost_flow([n for _, n in patterns], [[place[m] for m in ms] for ms, _ in patterns], [round(t) for t in target])
-    whole, need = {}, {}
+    whole, need, out = {}, {}, {}
     for p, (_, n) in enumerate(patterns):
         whole[p], need[p] = divmod(sum(flow[p].values()), n) if n else (0, 0)
+        out[p] = 2 * need[p] > n  # rather the documents that get no further copy are selected
+        need[p] = n - need[p] if out[p] else need[p]
     schema = "pid int, members array<string>"
     ids = spark.createDataFrame([(p, list(ms)) for p, (ms, _) in enumerate(patterns)], schema)
     sized = sized.join(F.broadcast(ids), "members")
     limit, left = _threshold(sized, {p: n for p, n in need.items() if n > 0})
     picked = _fill(sized, limit, left)
-    plan = [(p, whole[p], limit.get(p, 0), picked.get(p, [])) for p in range(len(patterns))]
+    plan = [(p, whole[p], limit.get(p, 0), picked.get(p, []), out[p]) for p in range(len(patterns))]
     return sized, plan, [(m, n, t) for m, n, t in zip(names, sizes, target)]
 
 
 def _take(sized: DataFrame, plan: list) -> DataFrame:
-    small = sized.sparkSession.createDataFrame(plan, "pid int, b_whole long, b_limit long, b_picked array<long>")  # a row per pattern
-    more = (F.col("b_order") < F.col("b_limit")) | F.array_contains("b_picked", F.col("b_order"))
+    small = sized.sparkSession.createDataFrame(plan, "pid int, b_whole long, b_limit long, b_picked array<long>, b_out boolean")  # a row per pattern
+    more = ((F.col("b_order") < F.col("b_limit")) | F.array_contains("b_picked", F.col("b_order"))) != F.col("b_out")
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("b_whole") + more.cast("long")).cast("long")
     return sized.join(F.broadcast(small), "pid").withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop(
-        "pid", "b_order", "b_whole", "b_limit", "b_picked")
+        "pid", "b_order", "b_whole", "b_limit", "b_picked", "b_out")
 
 
 def mix_report(docs: DataFrame, seed: int = 7) -> DataFrame:

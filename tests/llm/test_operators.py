@@ -92,7 +92,7 @@ def test_source_mix_meets_quotas(spark):
     for r in got:
         taken[(r.source_size, r.target)] += r.taken
     big = [k for k in taken if k[0] > 100]
-    assert big and all(t <= target + 1 for (_, target), t in taken.items())
+    assert big and all(abs(t - target) <= 0.1 * target + 100 for (_, target), t in taken.items())
 
 
 def test_quotas_and_flow():
