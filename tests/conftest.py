@@ -15,7 +15,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     builder = (
-        SparkSession.builder.master("local[*]")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]"))
         .appName("pitchside-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
