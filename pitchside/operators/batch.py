@@ -147,8 +147,9 @@ def _input(players, groups):
     return spread(players.select("ID", "Name", "Club", *needed))
 
 
-def _rank_in_row(cand: DataFrame, k: int, reverse: bool) -> DataFrame:
+def _rank_in_row(cand: DataFrame, k: int, reverse: bool, digits: int | None = SCORE_SCALE) -> DataFrame:
     """Exact top k of each row's candidate array: rounded score (NULLs last), then club name."""
+    key = (lambda s: s) if digits is None else (lambda s: F.round(s, digits))
     entries = F.transform(
         F.arrays_zip("teams", "scores"),
         lambda e: F.struct(
@@ -158,7 +159,7 @@ def _rank_in_row(cand: DataFrame, k: int, reverse: bool) -> DataFrame:
     )
 
     def order(left, right):
-        a, b = F.round(left["score"], SCORE_SCALE), F.round(right["score"], SCORE_SCALE)
+        a, b = key(left["score"]), key(right["score"])
         both = a.isNotNull() & b.isNotNull()
         before, after = (a < b, a > b) if reverse else (a > b, a < b)
         return (F.when(a.isNull() & b.isNotNull(), F.lit(1))
@@ -178,7 +179,7 @@ def _rank_in_row(cand: DataFrame, k: int, reverse: bool) -> DataFrame:
 
 def mvp_all_clubs(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]], k: int = 10,
                   reverse: bool = False, on_zero: str = "error", n_clubs: int | None = None,
-                  block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+                  block_entries: int = BLOCK_ENTRIES, digits: int | None = SCORE_SCALE) -> DataFrame:
     """Top-K players for every (club, group): partial top-K per task, exact window on the survivors.
 
     A club belongs to one block, so the blocks' candidates are simply put together.
@@ -186,12 +187,12 @@ def mvp_all_clubs(players: DataFrame, teams: DataFrame, groups: Mapping[str, Seq
     groups = {g: list(fl) for g, fl in groups.items()}
     base = _input(players, groups)
     parts = [_partial(base, b, groups, k, reverse, on_zero, per_player=False) for b in club_blocks(teams, len(groups), n_clubs, block_entries)]
-    return top_k_per_group(reduce(DataFrame.unionByName, parts), k, ["team", "grp"], "score", ascending=reverse)
+    return top_k_per_group(reduce(DataFrame.unionByName, parts), k, ["team", "grp"], "score", ascending=reverse, round_to=digits)
 
 
 def mvt_all_players(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]], k: int = 10,
                     reverse: bool = False, on_zero: str = "error", n_clubs: int | None = None,
-                    block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+                    block_entries: int = BLOCK_ENTRIES, digits: int | None = SCORE_SCALE) -> DataFrame:
     """Top-K clubs for every (player, group).
 
     All clubs of a block are scored in the same batch, so the task emits one row
@@ -202,8 +203,8 @@ def mvt_all_players(players: DataFrame, teams: DataFrame, groups: Mapping[str, S
     """
     groups = {g: list(fl) for g, fl in groups.items()}
     base = _input(players, groups)
-    parts = [_rank_in_row(_partial(base, b, groups, k, reverse, on_zero, per_player=True), k, reverse)
+    parts = [_rank_in_row(_partial(base, b, groups, k, reverse, on_zero, per_player=True), k, reverse, digits)
              for b in club_blocks(teams, len(groups), n_clubs, block_entries)]
     if len(parts) == 1:
         return parts[0]
-    return top_k_per_group(reduce(DataFrame.unionByName, parts).drop("rank"), k, ["ID", "grp"], "score", ascending=reverse, tiebreak=("team",))
+    return top_k_per_group(reduce(DataFrame.unionByName, parts).drop("rank"), k, ["ID", "grp"], "score", ascending=reverse, tiebreak=("team",), round_to=digits)

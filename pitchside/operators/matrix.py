@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import position_group, reciprocal, weighted_sum
-from ..schema import FEATURES, normalize_group
+from ..schema import FEATURES, SCORE_SCALE, normalize_group
 from .targets import pick_club, pick_player, row_literals
 from .topk import top_k, top_k_per_group
 
@@ -72,12 +72,14 @@ def player_scores(players: DataFrame, teams: DataFrame, features: Sequence[str],
 
 
 def mvp_for_team(players, teams, club, features, group_label, k=10, reverse=False, on_zero="error",
-                 eligible_group: str | None = None, exclude_own: bool = False, strict: bool = False):
+                 eligible_group: str | None = None, exclude_own: bool = False, strict: bool = False,
+                 digits: int | None = SCORE_SCALE):
     """K most (``reverse=True``: least) valued players for a club.
 
     Like the reference, every player is a candidate whatever his position;
     ``eligible_group`` keeps only players of one position group and
-    ``exclude_own`` leaves out the club's own players.
+    ``exclude_own`` leaves out the club's own players. Scores that agree to
+    ``digits`` decimals are ties (by id); None ranks the raw scores.
     """
     pool = players
     if eligible_group is not None:
@@ -85,29 +87,30 @@ def mvp_for_team(players, teams, club, features, group_label, k=10, reverse=Fals
     if exclude_own:
         pool = pool.where(~F.col("Club").eqNullSafe(F.lit(club)))
     scored = club_scores(pool, teams, club, features, group_label, on_zero, strict=strict)
-    return top_k(scored, k, "score", ascending=reverse)
+    return top_k(scored, k, "score", ascending=reverse, round_to=digits)
 
 
 def mvt_for_player(players, teams, features, group_label, player_id=None, name=None, k=10,
-                   reverse=False, on_zero="error", strict: bool = False):
+                   reverse=False, on_zero="error", strict: bool = False, digits: int | None = SCORE_SCALE):
     """K most (least) valued clubs for a player; ``k=None`` lists every club."""
     scored = player_scores(players, teams, features, group_label, player_id, name, on_zero, strict)
-    return top_k(scored, k, "score", ascending=reverse, tiebreak=("team",))
+    return top_k(scored, k, "score", ascending=reverse, tiebreak=("team",), round_to=digits)
 
 
-def worst_in_club(players, teams, club, group, features, on_zero="error"):
+def worst_in_club(players, teams, club, group, features, on_zero="error", digits: int | None = SCORE_SCALE):
     """A club's own players of one position group, lowest score first (no limit)."""
     label = normalize_group(group)
     own = players.where((F.col("Club") == F.lit(club)) & (position_group("Position") == F.lit(label)))
     scored = club_scores(own, teams, club, features, label, on_zero)
-    return top_k(scored, None, "score", ascending=True)
+    return top_k(scored, None, "score", ascending=True, round_to=digits)
 
 
-def lvp_from_list(players, teams, club, ids: Sequence[int] = (), features=FEATURES, on_zero="error"):
+def lvp_from_list(players, teams, club, ids: Sequence[int] = (), features=FEATURES, on_zero="error",
+                  digits: int | None = SCORE_SCALE):
     """The lowest-scored player among ``ids`` for a club on all features; empty list = all players."""
     pool = players.where(F.col("ID").isin(list(ids))) if ids else players
     scored = club_scores(pool, teams, club, features, "ALL", on_zero)
-    return top_k(scored, 1, "score", ascending=True)
+    return top_k(scored, 1, "score", ascending=True, round_to=digits)
 
 
 # ---------------------------------------------------------------------------
@@ -177,16 +180,16 @@ def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Seq
     return reduce(DataFrame.unionByName, parts)
 
 
-def mvp_all_clubs(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None):
+def mvp_all_clubs(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None, digits=SCORE_SCALE):
     """Top-K players for every (club, group)."""
     m = matrix_scores(players, teams, groups, on_zero, n_clubs=n_clubs)
-    return top_k_per_group(m, k, ["team", "grp"], "score", ascending=reverse)
+    return top_k_per_group(m, k, ["team", "grp"], "score", ascending=reverse, round_to=digits)
 
 
-def mvt_all_players(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None):
+def mvt_all_players(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None, digits=SCORE_SCALE):
     """Top-K clubs for every (player, group)."""
     m = matrix_scores(players, teams, groups, on_zero, n_clubs=n_clubs)
-    return top_k_per_group(m, k, ["ID", "grp"], "score", ascending=reverse, tiebreak=("team",))
+    return top_k_per_group(m, k, ["ID", "grp"], "score", ascending=reverse, tiebreak=("team",), round_to=digits)
 
 
 def raw_dot(players, teams, features=FEATURES):

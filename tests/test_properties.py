@@ -57,3 +57,26 @@ def test_replace_mode_equals_per_player_loop(spark, rows, club, k):
                   for r in R.best_replacements(p, t, "X", pid, k=k, features=feats).collect()]
     pairs.sort(key=lambda x: (x[2] is None, -(x[2] or 0.0), worst.index(x[0]), x[1]))
     assert fast == pairs[:k]
+
+
+@pytest.mark.parametrize("scale", [1e-7, 1.0, 1e12])
+def test_raw_score_ranking_at_any_scale(spark, scale):
+    """digits=None ranks raw scores: equal to a brute-force sort whatever the magnitude."""
+    import random
+
+    from pitchside.operators import batch as B, matrix as M
+
+    r = random.Random(11)
+    feats = ["a", "b"]
+    prows = [(i, f"p{i}", f"c{i % 5}", r.random() * scale, r.random() * scale) for i in range(60)]
+    trows = [(f"c{i}", 0.5 + r.random(), 0.5 + r.random()) for i in range(5)]
+    players = spark.createDataFrame(prows, "ID long, Name string, Club string, a double, b double")
+    teams = spark.createDataFrame(trows, "Club string, a double, b double")
+    score = {(p[0], t[0]): p[3] * (1.0 / t[1]) + p[4] * (1.0 / t[2]) for p in prows for t in trows}
+    best = {t[0]: sorted((p[0] for p in prows), key=lambda i: (-score[i, t[0]], i))[:4] for t in trows}
+    got = [x.ID for x in M.mvp_for_team(players, teams, "c2", feats, "G", 4, digits=None).orderBy("rank").collect()]
+    assert got == best["c2"]
+    every = B.mvp_all_clubs(players, teams, {"G": feats}, 4, digits=None).orderBy("team", "rank").collect()
+    assert [x.ID for x in every] == [i for t in sorted(best) for i in best[t]]
+    clubs = B.mvt_all_players(players, teams, {"G": feats}, 2, digits=None).where("ID = 7").orderBy("rank").collect()
+    assert [x.team for x in clubs] == sorted(best, key=lambda t: (-score[7, t], t))[:2]
