@@ -36,13 +36,13 @@ def _base_ctes() -> str:
     )
     coalesced = ",\n    ".join(f"COALESCE(li.{q(c)}, 0.0) AS {q(c)}" for c in RATINGS + FEATURES)
     means = ",\n    ".join(f"AVG({q(c)}) AS {q(c)}" for c in FEATURES)
-    return f"""li AS (
+    return f"""li AS MATERIALIZED (
   SELECT l_partkey,
     {rating_sums},
     {feature_sums}
   FROM lineitem GROUP BY l_partkey
 ),
-players AS (
+players AS MATERIALIZED (
   SELECT CAST(p.p_partkey AS BIGINT) AS "ID", p.p_name AS "Name", CAST(p.p_size AS INTEGER) AS "Age",
     n.n_name AS "Nationality", CAST(round(p.p_retailprice - 850) AS INTEGER) AS "Overall",
     p.p_brand AS "Club", [{_sql_list(POSITIONS)}][CAST(p.p_partkey % 27 AS INTEGER) + 1] AS "Position",
@@ -52,7 +52,7 @@ players AS (
   LEFT JOIN li ON li.l_partkey = p.p_partkey
   LEFT JOIN nation n ON n.n_nationkey = p.p_partkey % 25
 ),
-teams AS (
+teams AS MATERIALIZED (
   SELECT "Club",
     {means}
   FROM players WHERE "Club" IS NOT NULL GROUP BY "Club"
