@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Width of the tables, window, and how many of its last places a window scores.
-WIDTH, WINDOW, STRIDE = 16, 16, 8
+WIDTH, WINDOW, STRIDE = 16, 12, 8
 #: Symbols: classes times members. The first three are the end of a text, padding, and all rare subwords.
 CLASSES, MEMBERS = 32, 32
 SYMBOLS = CLASSES * MEMBERS

@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import base64
 import math
+import zlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +26,13 @@ from .common import crc_of_id, lower_words, map_lists, map_tail, saved
 from .vocab import kept
 
 #: Words whose counts every task has at hand; the counts of all others are joined.
-HOT_WORDS = 50_000
+HOT_WORDS = 100_000
 #: Documents that the driver's first training reads, about, none of more code points than FIRST_CHARS;
-#: one window in TRAIN_EVERY trains in the tasks, of all documents.
-FIRST_DOCS, FIRST_CHARS, TRAIN_EVERY = 300, 20_000, 32
+#: one word in TRAIN_EVERY of every document trains in the tasks (a run of TRAIN_LEAST words at least).
+FIRST_DOCS, FIRST_CHARS, TRAIN_EVERY, TRAIN_LEAST = 300, 20_000, 64, 8
 FIRST_WINDOWS = 30_000
 #: Distinct words that a task counts, or whose symbols a worker keeps, at a time.
-HELD_WORDS = 250_000
+HELD_WORDS = 500_000
 #: Blocks of parameters that are averaged side by side.
 BLOCKS = 64
 #: Longer words are cut before subword encoding.
@@ -43,15 +45,34 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def subword_encoder(ranks: dict[bytes, int], pattern: str):
-    """word (bytes) -> subword ids, as after a space."""
+    """words (bytes) -> their subword ids in a row, and how many each word has; each word is read as after a space."""
     import tiktoken
 
     encode = tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    begins = np.zeros(max(ranks.values()) + 1, bool)
+    begins[[i for t, i in ranks.items() if t[:1] == b" "]] = True
 
-    def ids(word: bytes) -> list[int]:
-        w = " " + word.decode()
+    def one(w: str) -> list[int]:
+        w = " " + w
         return encode(w) if len(w) <= CUT else [i for k in range(0, len(w), CUT) for i in encode(w[k : k + CUT])]
 
+    def ids(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = b"\n".join(words).decode().split("\n") if words else []
+        out, sizes = [], []
+        for lo in range(0, len(texts), 512):
+            part = texts[lo : lo + 512]
+            if max(map(len, part)) < CUT:
+                got = np.array(encode(" " + " ".join(part)), np.int64)
+                at = np.flatnonzero(begins[got])
+                if len(at) == len(part) and at[0] == 0:  # each space of the joined text begins a subword
+                    out.append(got)
+                    sizes.append(np.diff(np.r_[at, len(got)]))
+                    continue
+            each = [one(w) for w in part]
+            out.append(np.array([i for w in each for i in w], np.int64))
+            sizes.append(np.array([len(w) for w in each]))
+        return (np.concatenate(out), np.concatenate(sizes)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
     return ids
 
 
@@ -66,8 +87,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
             return out
 
         def step(batch):
-            for t in batch:
-                seen.update(lower_words(t))
+            for lo in range(0, len(batch), 64):  # a small counter first: it stays in the processor's caches
+                for w, k in Counter(chain.from_iterable(map(lower_words, batch[lo : lo + 64]))).items():
+                    seen[w] += k
             seen[b""] += len(batch)
             return flush() if len(seen) > HELD_WORDS else None
 
@@ -80,15 +102,15 @@ def _symbols(counts: DataFrame, sent) -> tuple[dict[int, int], float, dict[int,
     """Symbol of each frequent subword, the rare ones' total count, and all subwords' counts (a bounded vocabulary)."""
     def gather():
         enc = kept(sent, "encoder", lambda v: subword_encoder(v["ranks"], v["pattern"]))
-        seen = Counter()
+        seen = np.zeros(max(sent.value["ranks"].values()) + 1, np.int64)
 
         def step(words, n):
-            for w, k in zip(words, n):
-                if w:
-                    for i in enc(w):
-                        seen[i] += k
+            own = [(w, k) for w, k in zip(words, n) if w]
+            if own:
+                ids, size = enc([w for w, _ in own])
+                np.add.at(seen, ids, np.repeat(np.array([k for _, k in own], np.int64), size))
 
-        return step, lambda: (list(seen), list(seen.values()))
+        return step, lambda: (np.flatnonzero(seen).tolist(), seen[seen > 0].tolist())
 
     use = {r["id"]: r["n"] for r in map_tail(counts.select("word", "c"), gather, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     order = sorted(use, key=lambda i: (-use[i], i))
@@ -101,13 +123,18 @@ class Words:
 
     def __init__(self, value: dict):
         self.encode = subword_encoder(value["ranks"], value["pattern"])
-        self.symbol, self.use = value["symbol"], value["use"]
-        self.rest = math.log10(value["rare"] + len(value["ranks"]))
+        n = max(value["ranks"].values()) + 1
+        self.symbol, self.rare = np.full(n, A.RARE, np.int16), np.full(n, -math.log10(value["rare"] + len(value["ranks"])))
+        for i, c in value["use"].items():
+            self.rare[i] += math.log10(c + 1)
+        for i, x in value["symbol"].items():
+            self.symbol[i], self.rare[i] = x, 0.0
         self.hot = value.get("hot", {})
         self.clear()
 
     def clear(self):
         self.place: dict[bytes, int] = {}
+        self.names: list[bytes] = []
         self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.base, self.extra = np.zeros(1024), np.zeros(1024)
         self.flat = np.zeros(4096, np.int16)
@@ -126,25 +153,29 @@ class Words:
         if new and len(self.place) + len(new) > HELD_WORDS:
             self.clear()
             new = words
-        n = len(self.place) + len(new)
+        if not new:
+            return
+        new = list(new)
+        at, n = len(self.place), len(self.place) + len(new)
         start, size, base, extra = (self._grown(k, n) for k in ("start", "size", "base", "extra"))
-        get, use = self.symbol.get, self.use
-        for w in new:
-            i = self.place[w] = len(self.place)
-            ids = self.encode(w)
-            s = [get(k, A.RARE) for k in ids]
-            self._grown("flat", self.used + len(s))[self.used : self.used + len(s)] = s
-            start[i], size[i] = self.used, len(s)
-            self.used += len(s)
-            extra[i] = sum(math.log10(use.get(k, 0) + 1) - self.rest for k, x in zip(ids, s) if x == A.RARE)
-            base[i] = self.hot.get(w, math.nan)
-
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the words (all learned), and their symbols in a row."""
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        ids, sizes = self.encode(new)
+        end = np.cumsum(sizes)
+        self.place.update(zip(new, range(at, n)))
+        self.names += new
+        start[at:n], size[at:n] = end - sizes + self.used, sizes
+        base[at:n] = [self.hot.get(w, math.nan) for w in new]
+        extra[at:n] = np.add.reduceat(self.rare.take(ids), end - sizes)  # a word has one subword at least
+        self._grown("flat", self.used + len(ids))[self.used : self.used + len(ids)] = self.symbol.take(ids)
+        self.used += len(ids)
+
+    def read(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Places of the words of all texts (all learned), the text of each, and each text's symbols in a row."""
+        lens = np.array(list(map(len, texts)), np.int64)
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(texts)), np.int64, int(lens.sum()))
         size = self.size.take(at)
         end = np.cumsum(size)
-        return at, self.flat.take(np.repeat(self.start.take(at) - end + size, size) + np.arange(end[-1] if len(end) else 0))
+        row = self.flat.take(np.repeat(self.start.take(at) - end + size, size) + np.arange(end[-1] if len(end) else 0))
+        return at, np.repeat(np.arange(len(texts)), lens), np.split(row, np.r_[0, end][np.cumsum(lens)][:-1])
 
 
 def _few(texts: list) -> int:
@@ -164,6 +195,25 @@ def _unpack(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
+def _run_of_words(words: list[bytes]) -> tuple[list[bytes], bool, bool]:
+    """A run of one in TRAIN_EVERY of a text's words, its place drawn by the first words; whether it begins and ends the text."""
+    n = len(words)
+    size = min(n, max(TRAIN_LEAST, n // TRAIN_EVERY))
+    at = zlib.crc32(b" ".join(words[:8])) % (n - size + 1)
+    return words[at : at + size], at == 0, at + size == n
+
+
+def _run_windows(runs: list[tuple[np.ndarray, bool, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of runs of texts, without the ends that are none: no END is read before an inner run or expected after it."""
+    x, y, owner = A.windows([s for s, _, _ in runs])
+    begins, ends = np.array([a for _, a, _ in runs]), np.array([b for _, _, b in runs])
+    first = np.searchsorted(owner, np.arange(len(runs)))[~begins]
+    x[first, A.WINDOW - A.STRIDE] = A.PAD
+    y[first, 0] = A.PAD
+    y[(y == A.END) & ~ends[owner][:, None]] = A.PAD
+    return x, y
+
+
 def _train_everywhere(texts: DataFrame, value: dict, p: dict) -> dict:
     """One pass of local training in every task over one window in TRAIN_EVERY of its documents; the weighted mean of the results."""
     spark = texts.sparkSession
@@ -187,12 +237,10 @@ def _train_everywhere(texts: DataFrame, value: dict, p: dict) -> dict:
 
         def step(batch):
             for lo in range(0, len(batch), few := _few(batch)):
-                each = [lower_words(t) for t in batch[lo : lo + few]]
-                words.learn(set().union(*each))
-                x, y, owner = A.windows([words.read(w)[1] for w in each])
-                take = (np.arange(len(x)) + len(held) * 7 + lo) % TRAIN_EVERY == 0
-                if take.any():
-                    held.append((x[take], y[take]))
+                each = [_run_of_words(lower_words(t)) for t in batch[lo : lo + few]]
+                words.learn(set().union(*(w for w, _, _ in each)))
+                x, y = _run_windows([(s, a, b) for s, (_, a, b) in zip(words.read([w for w, _, _ in each])[2], each)])
+                held.append((x, y))
                 if sum(len(v[0]) for v in held) >= 1024:
                     train()
 
@@ -227,13 +275,10 @@ def _first_training(texts: DataFrame, value: dict, total: int, seed: int) -> dic
     some = sorted(r["text"] for r in texts.filter(drawn & (F.length("text") <= FIRST_CHARS)).collect())
     words = Words(value)
     each = [lower_words(t) for t in some]
-    parts = []
-    for w in each:
-        words.learn(set(w))
-        parts.append(words.read(w)[1])
-    x, y, _ = A.windows(parts)
-    if not len(x):
+    if not each:
         return p
+    words.learn(set().union(*each))
+    x, y, _ = A.windows(words.read(each)[2])
     r = np.random.default_rng(seed)
     for rate in (0.02, 0.015, 0.01, 0.005):
         own = r.permutation(len(x))[:FIRST_WINDOWS]
@@ -278,16 +323,21 @@ def score_texts(docs: DataFrame, train_on: Column, ranks_path: str, pattern: str
             for lo in range(0, len(texts), few := _few(texts)):
                 each = [lower_words(t) for t in texts[lo : lo + few]]
                 words.learn(set().union(*each))
-                read = [words.read(w) for w in each]
-                x, y, owner = A.windows([s for _, s in read])
+                at, who, rows = words.read(each)
+                x, y, owner = A.windows(rows)
                 lp = np.concatenate([model.log_probs(x[i : i + 2048], y[i : i + 2048]).sum(1, dtype=np.float64) for i in range(0, len(x), 2048)])
-                lp = np.bincount(owner, weights=lp, minlength=len(each)) / math.log(10)
-                for w, (at, _), s in zip(each, read, lp):
-                    b = words.base.take(at)
-                    known = ~np.isnan(b)
-                    other = Counter(w[i] for i in np.flatnonzero(~known))
-                    out.append((row, len(w) + 1, int(known.sum()) + end_known, float(b[known].sum()) + end, float(s + words.extra.take(at).sum()), list(other), list(other.values())))
-                    row += 1
+                total = lambda v, w: np.bincount(w, weights=v, minlength=len(each))
+                b = words.base.take(at)
+                known = ~np.isnan(b)
+                # the words without a count at hand, once a text
+                span = len(words.names) + 1
+                other, times = np.unique(who[~known] * span + at[~known], return_counts=True)
+                cut = np.searchsorted(other // span, np.arange(len(each) + 1))
+                names = list(map(words.names.__getitem__, (other % span).tolist()))
+                times = times.tolist()
+                out += zip(range(row, row + len(each)), [len(w) + 1 for w in each], (total(known, who).astype(int) + end_known).tolist(), (total(np.where(known, b, 0), who) + end).tolist(),
+                           (total(lp, owner) / math.log(10) + total(words.extra.take(at), who)).tolist(), [names[i:j] for i, j in zip(cut, cut[1:])], [times[i:j] for i, j in zip(cut, cut[1:])])
+                row += len(each)
             cols = list(map(list, zip(*out))) if out else [[] for _ in range(7)]
             return cols[0], ids, *rest, *cols[1:]
 
