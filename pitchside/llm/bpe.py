@@ -20,24 +20,35 @@ from .common import map_lists
 from .vocab import BYTE_SPLIT, WS, Cache, byte_symbols, kept, load, special_pattern
 
 
-def merge_ids(ids: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """``pairs``: (left id, right id) -> (rank, id of the merged symbol)."""
+def merge_ids(ids: list[int], rank: list[dict[int, int]], made: list[int]) -> list[int]:
+    """``rank``: by left id, right id -> rank; ``made``: id of the merged symbol by rank.
+
+    Queue entries are rank * length + place, so equal ranks go from the left.
+    """
     n = len(ids)
+    if n < 2:
+        return ids
+    push, pop = heapq.heappush, heapq.heappop
     sym, prev, nxt = list(ids), list(range(-1, n - 1)), list(range(1, n + 1))
-    queue = [(p[0], i, p[1]) for i in range(n - 1) if (p := pairs.get((sym[i], sym[i + 1])))]
+    queue = [x * n + i for i in range(n - 1) if (x := rank[ids[i]].get(ids[i + 1])) is not None]
     heapq.heapify(queue)
     while queue:
-        rank, i, made = heapq.heappop(queue)
-        j = nxt[i]
-        if sym[i] < 0 or j >= n or pairs.get((sym[i], sym[j])) != (rank, made):
-            continue
-        sym[i], sym[j] = made, -1
+        e = pop(queue)
+        x = e // n
+        i = e - x * n
+        s, j = sym[i], nxt[i]
+        if s < 0 or j >= n or rank[s].get(sym[j]) != x:
+            continue  # one of the two has merged since
+        s = sym[i] = made[x]
+        sym[j] = -1
         nxt[i] = k = nxt[j]
         if k < n:
             prev[k] = i
-        for a, b in ((prev[i], i), (i, k)):
-            if a >= 0 and b < n and (p := pairs.get((sym[a], sym[b]))):
-                heapq.heappush(queue, (p[0], a, p[1]))
+            if (x := rank[s].get(sym[k])) is not None:
+                push(queue, x * n + i)
+        h = prev[i]
+        if h >= 0 and (x := rank[sym[h]].get(s)) is not None:
+            push(queue, x * n + h)
     return [s for s in sym if s >= 0]
 
 
@@ -46,7 +57,13 @@ class Codec:
 
     def __init__(self, voc: dict):
         vocab, byte = voc["vocab"], byte_symbols()
-        self.pairs = {(vocab[a], vocab[b]): (i, vocab[a + b]) for i, (a, b) in enumerate(voc["merges"])}
+        nothing: dict[int, int] = {}
+        self.rank = [nothing] * (max(vocab.values()) + 1)
+        for i, (a, b) in enumerate(voc["merges"]):
+            if self.rank[vocab[a]] is nothing:
+                self.rank[vocab[a]] = {}
+            self.rank[vocab[a]][vocab[b]] = i
+        self.made = [vocab[a + b] for a, b in voc["merges"]]
         self.first = [vocab[c] for c in byte]
         self.special = voc["special"]
         self.find_special = special_pattern(self.special)
@@ -54,33 +71,45 @@ class Codec:
         self.string = {i: bytes(back[c] for c in s) for s, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
         self.split = regex.compile(BYTE_SPLIT)
         self.units = re.compile(f" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
-        self.tokens = Cache(lambda p: merge_ids([self.first[b] for b in p.encode()], self.pairs))
+        self.tokens = Cache(lambda p: merge_ids(list(map(self.first.__getitem__, p.encode())), self.rank, self.made))
         self.cache = Cache(self._unit)
 
-    def _unit(self, unit: str) -> tuple[int, bytes, list[int]]:
+    def _unit(self, unit: str) -> tuple[list[int], bytes, bytes]:
+        """Ids, their comma-joined decimals, the concatenated vocabulary strings."""
         ids = [i for p in self.split.findall(unit) for i in self.tokens[p]]
-        return len(ids), ",".join(map(str, ids)).encode(), ids
+        return ids, ",".join(map(str, ids)).encode(), b"".join(map(self.string.__getitem__, ids))
 
-    def _pieces(self, text: str | None):
+    def _pieces(self, text: str | None) -> list[tuple[list[int], bytes, bytes]]:
         if not text:
-            return
-        for k, part in enumerate(self.find_special.split(text) if self.find_special else [text]):
+            return []
+        if self.find_special is None or not self.find_special.search(text):
+            return list(map(self.cache.__getitem__, self.units.findall(text)))
+        out = []
+        for k, part in enumerate(self.find_special.split(text)):
             if k % 2:
-                yield 1, str(self.special[part]).encode(), [self.special[part]]
-            elif part:
-                yield from map(self.cache.__getitem__, self.units.findall(part))
+                i = self.special[part]
+                out.append(([i], str(i).encode(), self.string[i]))
+            else:
+                out += map(self.cache.__getitem__, self.units.findall(part))
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for _, _, ids in self._pieces(text) for i in ids]
+        return [i for p in self._pieces(text) for i in p[0]]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.string.__getitem__, ids)).decode("utf-8", "replace")
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the comma-joined ids, SHA-256 of the decoded text."""
-        pieces = list(self._pieces(text))
-        back = self.decode([i for _, _, ids in pieces for i in ids])
-        return sum(p[0] for p in pieces), hashlib.sha256(b",".join(p[1] for p in pieces)).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
+        pieces = self._pieces(text)
+        if not pieces:
+            return 0, _NOTHING, _NOTHING
+        ids, decimals, strings = zip(*pieces)
+        back = b"".join(strings).decode("utf-8", "replace")
+        return sum(map(len, ids)), hashlib.sha256(b",".join(decimals)).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
+
+
+_NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _apply(docs: DataFrame, path: str, make: Callable[[Codec], Callable], columns: str, carry: list[str]) -> DataFrame:

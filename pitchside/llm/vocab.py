@@ -12,7 +12,7 @@ WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + WS + r"\p{L}\p{N}]+"
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + WS + r"\p{L}\p{N}]+|[" + WS + "]+(?![^" + WS + "])|[" + WS + "]+"
 
 #: Entries of each of a cache's two generations, so a worker's memory is bounded.
-CACHE = 250_000
+CACHE = 400_000
 
 
 def byte_symbols() -> list[str]:
