@@ -6,7 +6,8 @@ share one), and a causal self-attention model is trained in numpy: first on a fe
 documents on the driver, then by every task on windows of all its training
 documents, whose parameters Spark averages. Scoring reads overlapping windows in
 batches; each symbol is the target of one place. The score is the probability of
-the text under an equal mixture of the two models.
+the text under the attention model alone; that under an equal mixture of the two
+models over the whole text is a column of its own.
 """
 
 from __future__ import annotations
@@ -287,11 +288,11 @@ def _first_training(texts: DataFrame, value: dict, total: int, seed: int) -> dic
 
 
 def score_texts(docs: DataFrame, train_on: Column, ranks_path: str, pattern: str, seed: int = 7) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score, attention_score for each row of ``docs``.
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score, attention_score, mixture_score for each row of ``docs``.
 
     Tokens are the words with A-Z lower-cased, then one end. base_score is the sum
-    of log10((c + 1) / (N + V + 1)); attention_score the attention model's log10
-    probability; score that of their equal mixture. NULL and empty texts are one end. Equal
+    of log10((c + 1) / (N + V + 1)); score, and attention_score, the attention model's
+    log10 probability; mixture_score that of the equal mixture of both. NULL and empty texts are one end. Equal
     texts give equal rows; other columns are ignored; an empty table gives an empty
     table. Word counts and training cover all training rows. A task has the counts of
     HOT_WORDS words at hand; other words of a text are joined to the table of counts.
@@ -352,12 +353,12 @@ def score_texts(docs: DataFrame, train_on: Column, ranks_path: str, pattern: str
     base_score = F.col("part") + F.coalesce("more", F.lit(0.0))
     apart = F.abs(F.col("base_score") - F.col("attention_score"))
     return t.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                    base_score.alias("base_score"), "attention_score").withColumn(
-        "score", F.greatest("base_score", "attention_score") + F.log10(1 + F.pow(F.lit(10.0), -apart)) - math.log10(2))
+                    base_score.alias("base_score"), F.col("attention_score").alias("score"), "attention_score").withColumn(
+        "mixture_score", F.greatest("base_score", "attention_score") + F.log10(1 + F.pow(F.lit(10.0), -apart)) - math.log10(2))
 
 
 def score_documents(docs: DataFrame, ranks_path: str, pattern: str, folds: int = 7, held_fold: int = 2) -> DataFrame:
     """``score_texts`` learning from rows whose crc32(doc_id) mod ``folds`` is not ``held_fold``, with held_out."""
     held = F.pmod(crc_of_id(), F.lit(folds)) == held_fold
     t = score_texts(docs, ~held, ranks_path, pattern)
-    return t.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "attention_score")
+    return t.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "attention_score", "mixture_score")

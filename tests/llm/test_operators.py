@@ -180,6 +180,15 @@ def test_lm_scores(spark):
         assert max(r.base_score, r.attention_score) - 0.302 <= r.score <= max(r.base_score, r.attention_score) + 1e-9
 
 
+def test_lm_score_is_the_attention_models_own(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strange = data.table(spark, [(10 ** 9, "\u4e00\u4e8c\u4e09" * 300, None, None, 900)])
+    got = lm_score.score_documents(docs.select(*strange.columns).unionByName(strange), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    assert all(r.score == r.attention_score for r in got)
+    odd = next(r for r in got if r.doc_id == 10 ** 9)
+    assert odd.score < odd.base_score - 1  # where the plain model wins, it shows
+    assert all(max(r.base_score, r.score) - 0.302 <= r.mixture_score <= max(r.base_score, r.score) + 1e-9 for r in got)
+
 def test_attention_windows_score_each_symbol_once():
     import numpy as np
 
