@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Width of the tables, window, and how many of its last places a window scores.
-WIDTH, WINDOW, STRIDE = 16, 12, 8
+WIDTH, WINDOW, STRIDE = 16, 16, 8
 #: Symbols: classes times members. The first three are the end of a text, padding, and all rare subwords.
 CLASSES, MEMBERS = 32, 32
 SYMBOLS = CLASSES * MEMBERS
@@ -126,6 +126,16 @@ class Scorer:
         return out.reshape(len(x), STRIDE)
 
 
+def _sums(like: np.ndarray, rows: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Sums of d by its place in a table like ``like``."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows.take(order)
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    out = np.zeros_like(like)
+    out[rows[first]] = np.add.reduceat(d.take(order, axis=0), first, axis=0)
+    return out
+
+
 def gradients(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the targets and its gradients."""
     q, k, v, s, h3 = _attend(p, x)
@@ -160,8 +170,7 @@ def gradients(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, n
     ds *= np.float32(WIDTH ** -0.5)
     xq = x[:, lead:].reshape(-1)
     for name, rows, d in (("X", xq, da), ("Q", xq, ds @ k), ("K", x.reshape(-1), ds.transpose(0, 2, 1) @ q), ("V", x.reshape(-1), s.transpose(0, 2, 1) @ da)):
-        g[name] = np.zeros_like(p[name])
-        np.add.at(g[name], rows, d.reshape(-1, WIDTH))
+        g[name] = _sums(p[name], rows, d.reshape(-1, WIDTH))
     return float(loss / n), g
 
 

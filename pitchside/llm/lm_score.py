@@ -2,19 +2,18 @@
 
 Texts are words and one end. Word counts of all training documents give the base
 model. Subwords of a public vocabulary become symbols (all but the most frequent
-share one), and a causal self-attention model is trained in numpy: first on a few
-documents on the driver, then by every task on windows of all its training
-documents, whose parameters Spark averages. Scoring reads overlapping windows in
-batches; each symbol is the target of one place. The score is the probability of
-the text under the attention model alone; that under an equal mixture of the two
-models over the whole text is a column of its own.
+share one), and a causal self-attention model is trained in numpy: it starts from a
+few documents on the driver, then in each round every task trains on all windows of
+all its training documents, and Spark averages the parameters. Scoring reads
+overlapping windows in batches; each symbol is the target of one place. The score is
+the probability of the text under the attention model alone; that under an equal
+mixture of the two models over the whole text is a column of its own.
 """
 
 from __future__ import annotations
 
 import base64
 import math
-import zlib
 from collections import Counter
 from itertools import chain
 
@@ -28,10 +27,12 @@ from .vocab import kept
 
 #: Words whose counts every task has at hand; the counts of all others are joined.
 HOT_WORDS = 100_000
-#: Documents that the driver's first training reads, about, none of more code points than FIRST_CHARS;
-#: one word in TRAIN_EVERY of every document trains in the tasks (a run of TRAIN_LEAST words at least).
-FIRST_DOCS, FIRST_CHARS, TRAIN_EVERY, TRAIN_LEAST = 300, 20_000, 64, 8
-FIRST_WINDOWS = 30_000
+#: The driver's training, from which the tasks start: about so many documents, none of more code points, so many windows a pass.
+FIRST_DOCS, FIRST_CHARS, FIRST_WINDOWS = 300, 20_000, 30_000
+#: Rates of the passes over all windows of all training documents; Spark averages the parameters after each.
+RATES = (0.01, 0.004)
+#: Windows that a task gathers and shuffles before it trains on them.
+HELD_WINDOWS = 8192
 #: Distinct words that a task counts, or whose symbols a worker keeps, at a time.
 HELD_WORDS = 500_000
 #: Blocks of parameters that are averaged side by side.
@@ -196,27 +197,8 @@ def _unpack(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
-def _run_of_words(words: list[bytes]) -> tuple[list[bytes], bool, bool]:
-    """A run of one in TRAIN_EVERY of a text's words, its place drawn by the first words; whether it begins and ends the text."""
-    n = len(words)
-    size = min(n, max(TRAIN_LEAST, n // TRAIN_EVERY))
-    at = zlib.crc32(b" ".join(words[:8])) % (n - size + 1)
-    return words[at : at + size], at == 0, at + size == n
-
-
-def _run_windows(runs: list[tuple[np.ndarray, bool, bool]]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of runs of texts, without the ends that are none: no END is read before an inner run or expected after it."""
-    x, y, owner = A.windows([s for s, _, _ in runs])
-    begins, ends = np.array([a for _, a, _ in runs]), np.array([b for _, _, b in runs])
-    first = np.searchsorted(owner, np.arange(len(runs)))[~begins]
-    x[first, A.WINDOW - A.STRIDE] = A.PAD
-    y[first, 0] = A.PAD
-    y[(y == A.END) & ~ends[owner][:, None]] = A.PAD
-    return x, y
-
-
-def _train_everywhere(texts: DataFrame, value: dict, p: dict) -> dict:
-    """One pass of local training in every task over one window in TRAIN_EVERY of its documents; the weighted mean of the results."""
+def _train_everywhere(texts: DataFrame, value: dict, p: dict, rate: float) -> dict:
+    """One pass of local training in every task over all windows of its documents; the weighted mean of the results."""
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast(value | {"params": p})
 
@@ -225,24 +207,24 @@ def _train_everywhere(texts: DataFrame, value: dict, p: dict) -> dict:
 
         words = kept(sent, "words", Words)
         own = {k: v.copy() for k, v in sent.value["params"].items()}
-        opt, held, seen = A.Adam(own, 0.004), [], 0
+        opt, held, seen, r = A.Adam(own, rate), [], 0, np.random.default_rng(7)
 
         def train():
             nonlocal seen
             x, y = (np.concatenate(v) for v in zip(*held))
             held.clear()
+            order = r.permutation(len(x))
             for i in range(0, len(x), 256):
-                opt.rate = 0.004 / math.sqrt(1 + opt.t / 100)
-                opt.step(A.gradients(own, x[i : i + 256], y[i : i + 256])[1])
+                opt.rate = rate / math.sqrt(1 + opt.t / 100)
+                opt.step(A.gradients(own, x[order[i : i + 256]], y[order[i : i + 256]])[1])
             seen += len(x)
 
         def step(batch):
             for lo in range(0, len(batch), few := _few(batch)):
-                each = [_run_of_words(lower_words(t)) for t in batch[lo : lo + few]]
-                words.learn(set().union(*(w for w, _, _ in each)))
-                x, y = _run_windows([(s, a, b) for s, (_, a, b) in zip(words.read([w for w, _, _ in each])[2], each)])
-                held.append((x, y))
-                if sum(len(v[0]) for v in held) >= 1024:
+                each = list(map(lower_words, batch[lo : lo + few]))
+                words.learn(set().union(*each))
+                held.append(A.windows(words.read(each)[2])[:2])
+                if sum(len(v[0]) for v in held) >= HELD_WINDOWS:
                     train()
 
         def end():
@@ -306,7 +288,9 @@ def score_texts(docs: DataFrame, train_on: Column, ranks_path: str, pattern: str
     value = {"ranks": read_ranks(ranks_path), "pattern": pattern}
     symbol, rare, use = _symbols(counts, spark.sparkContext.broadcast(dict(value)))
     value |= {"symbol": symbol, "rare": rare, "use": {k: n for k, n in use.items() if k not in symbol}}
-    p = _train_everywhere(training, value, _first_training(training, value, ends, seed))
+    p = _first_training(training, value, ends, seed)
+    for rate in RATES:
+        p = _train_everywhere(training, value, p, rate)
     hot = {bytes(r["word"]): math.log10(r["c"] + 1) - below for r in counts.filter(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()}
     sent = spark.sparkContext.broadcast(value | {"hot": hot, "params": p, "end": (math.log10(ends + 1) - below, int(ends > 0))})
 

@@ -189,6 +189,22 @@ def test_lm_score_is_the_attention_models_own(spark):
     assert odd.score < odd.base_score - 1  # where the plain model wins, it shows
     assert all(max(r.base_score, r.score) - 0.302 <= r.mixture_score <= max(r.base_score, r.score) + 1e-9 for r in got)
 
+def test_lm_beats_the_base_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
+    got = [r for r in lm_score.score_documents(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect() if r.held_out]
+    assert len(got) > 1000 and sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_lm_trains_on_all_of_a_long_text(spark):
+    # the only training text is longer than the driver's training reads; its words follow each other in a cycle
+    cycle = "the of and river stone cloud maps token "
+    rows = [(0, cycle * 30_000, None, None, 0), (2, cycle * 100, None, None, 0)]
+    from pyspark.sql import functions as F
+
+    got = {r.doc_id: r for r in lm_score.score_texts(data.table(spark, rows), F.col("doc_id") == 0, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()}
+    assert got[2].score > 0.2 * got[2].base_score
+
+
 def test_attention_windows_score_each_symbol_once():
     import numpy as np
 
