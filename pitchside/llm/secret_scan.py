@@ -83,14 +83,14 @@ def parts(docs: DataFrame) -> DataFrame:
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """k_id, k_text, linked: weak spans outside strong ones that have a complementary part within the scope.
 
-    Equi-join on the row's key and a bucket of ``scope`` code points, as a semi-join,
-    so no pairs are made and a text with very many parts is split by its buckets.
+    Equi-join on the row's key and the buckets of ``scope`` code points that a part
+    covers, as a semi-join, so no pairs are made and a text with very many parts is split by its buckets.
     """
     role = F.element_at(F.create_map(*[x for i, k in enumerate(_KINDS) for x in (F.lit(i), F.lit(_ROLE[k]))]), F.col("s.rank"))
     free = F.filter("weak", lambda w: ~F.exists("strong", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
     every = found.filter(F.size("weak") > 0).select("k_id", "k_text", "strong", free.alias("weak")).filter(F.size("weak") > 0)
     own = lambda c: every.select("k_id", "k_text", F.explode(c).alias("s")).select("k_id", "k_text", "s", role.alias("role"))
-    weak = own(F.col("weak")).distinct().withColumn("bucket", F.floor(F.col("s.start") / scope))
+    weak = own(F.col("weak")).distinct().withColumn("bucket", F.explode(F.sequence(F.floor(F.col("s.start") / scope), F.floor(F.col("s.end") / scope))))
     near = own(F.concat("strong", "weak")).select(
         F.col("k_id").alias("c_id"), F.col("k_text").alias("c_text"), F.col("s.start").alias("c_start"), F.col("s.end").alias("c_end"),
         F.explode(F.element_at(F.create_map(*[x for r, c in COMPLEMENT.items() for x in (F.lit(r), F.array(*map(F.lit, [k for k in COMPLEMENT if r in COMPLEMENT[k]])))]), F.col("role"))).alias("c_for"))

@@ -421,6 +421,14 @@ def test_weak_parts_need_a_complement(spark):
     assert got == {1: 0, 2: 0, 3: 2, 4: 0, 5: 1}
 
 
+def test_long_weak_parts_link_at_both_ends(spark):
+    url, gap = "https://x.example.com/" + "p/" * 289, " " * 150
+    rows = [(1, url + " password=hunter2", None, None, 0), (2, "password=hunter2 " + url, None, None, 0), (3, url + gap + "password=hunter2", None, None, 0),
+            (4, url + 2 * gap + "password=hunter2", None, None, 0), (5, "a " + "Ab3" * 300 + gap + "user=bob", None, None, 0)]
+    got = {r.doc_id: r.n_linked for r in secret_scan.find_secrets(data.table(spark, rows)).collect()}
+    assert len(url) == 600 and got == {1: 2, 2: 2, 3: 2, 4: 0, 5: 2}
+
+
 def near_brute(rows, k, least):
     def shingles(t):
         w = words(t)
