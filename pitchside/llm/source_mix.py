@@ -4,10 +4,10 @@ Documents are summed by membership pattern (the set of sources that hold them).
 The flow sends each pattern's token capacity to the sources' quotas; a pattern's
 tokens cost nothing the first time, 1 the second, 2 the third, so repetition is
 spread evenly and used last. Patterns, sources and the flow are small; documents
-stay in Spark and are then selected by a seeded order: whole copies for everyone,
-one more copy below a threshold of the order, and single documents that fill
-what is left of the pattern's share (where that is more than half, the documents
-without the further copy are selected so).
+stay in Spark and are then selected by a seeded order: whole copies for everyone, and
+one more copy for the documents that fit what is left of the pattern's share, in that
+order, those larger than what is left skipped (where the share is more than half, the
+documents without the further copy are selected so).
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ from .common import WORD, saved
 MAX_PATTERNS = 2_000
 #: Copies of a document at most; copy k costs k - 1 a token.
 MAX_COPIES = 3
-#: Passes that fill a pattern's share by single documents.
-FILL_PASSES = 5
 _BITS, _DIGIT = 62, 10
 
 
@@ -108,11 +106,12 @@ def _order(seed: int, *content: Column) -> Column:
     return F.shiftleft(own, 22).bitwiseOR(tie)
 
 
-def _threshold(sized: DataFrame, need: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
-    """pattern -> threshold of the order below which documents hold at most need[pattern] tokens; what then is left.
+def _threshold(sized: DataFrame, need: dict[int, int], since: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
+    """pattern -> threshold of the order up to which documents hold at most need[pattern] tokens; what then is left.
 
-    Found digit by digit: each pass sums the rows whose order begins with the
-    digits found, by the next digit (at most 1,024 sums a pattern).
+    Only documents from the order since[pattern] on count, and none larger than
+    need[pattern]. Found digit by digit: each pass sums the rows whose order begins
+    with the digits found, by the next digit (at most 1,024 sums a pattern).
     """
     spark = sized.sparkSession
     limit = {p: 1 << _BITS for p in need}
@@ -120,8 +119,9 @@ def _threshold(sized: DataFrame, need: dict[int, int]) -> tuple[dict[int, int],
     live = set(need)
     while live and shift > -_DIGIT:
         at = max(shift, 0)
-        now = spark.createDataFrame([(p, prefix[p], left[p]) for p in live], "pid int, b_prefix long, b_need long")
-        rows = sized.join(F.broadcast(now), "pid").filter(F.shiftright("b_order", shift + _DIGIT) == F.col("b_prefix"))
+        now = spark.createDataFrame([(p, prefix[p], left[p], since[p], need[p]) for p in live], "pid int, b_prefix long, b_need long, b_since long, b_most long")
+        rows = sized.join(F.broadcast(now), "pid").filter(
+            (F.shiftright("b_order", shift + _DIGIT) == F.col("b_prefix")) & (F.col("b_order") >= F.col("b_since")) & F.col("size").between(1, F.col("b_most")))
         sums = rows.groupBy("pid", "b_need", F.shiftright("b_order", at).alias("digit")).agg(F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("n"))
         # per pattern: the first bucket that no longer fits, and the tokens before it; at most 1,024 entries an array
         found = sums.groupBy("pid", "b_need").agg(F.array_sort(F.collect_list(F.struct("digit", "tokens", "n"))).alias("d"))
@@ -145,25 +145,28 @@ def _threshold(sized: DataFrame, need: dict[int, int]) -> tuple[dict[int, int],
     return limit, left
 
 
-def _fill(sized: DataFrame, limit: dict[int, int], left: dict[int, int]) -> dict[int, list[int]]:
-    """pattern -> orders of single documents that fill what is left, the largest that fits in each pass."""
-    spark = sized.sparkSession
-    picked: dict[int, list[int]] = {p: [] for p in left}
-    live = {p for p in left if left[p] > 0}
-    for _ in range(FILL_PASSES):
-        if not live:
-            break
-        now = spark.createDataFrame([(p, limit[p], left[p], picked[p]) for p in live], "pid int, b_limit long, b_left long, b_picked array<long>")
-        rows = sized.join(F.broadcast(now), "pid").filter(
-            (F.col("size") > 0) & (F.col("size") <= F.col("b_left")) & (F.col("b_order") >= F.col("b_limit")) & ~F.array_contains("b_picked", F.col("b_order")))
-        best = {r["pid"]: r["m"] for r in rows.groupBy("pid").agg(F.max(F.struct("size", "b_order")).alias("m")).collect()}
-        for p in list(live):
-            if p in best:
-                picked[p].append(best[p]["b_order"])
-                left[p] -= best[p]["size"]
-            if p not in best or left[p] <= 0:
-                live.discard(p)
-    return picked
+def _selected(sized: DataFrame, need: dict[int, int]) -> dict[int, list[tuple[int, int, int]]]:
+    """pattern -> ranges of the order (first, end, largest size) whose documents are taken, need[pattern] tokens at most.
+
+    A range ends at the first document that no longer fits; the next one goes on
+    from there with the documents that still fit, until none does. What is left
+    shrinks below that document's size each time, so in a random order the ranges
+    are few: about the logarithm of the number of documents.
+    """
+    ranges: dict[int, list[tuple[int, int, int]]] = {p: [] for p in need}
+    since, left = {p: 0 for p in need}, dict(need)
+    while left:
+        limit, rest = _threshold(sized, left, since)
+        for p in list(left):
+            # nothing is taken only where rows of one order don't fit together: the next range begins behind them
+            end = limit[p] if rest[p] < left[p] else limit[p] + 1
+            if rest[p] < left[p]:
+                ranges[p].append((since[p], limit[p], left[p]))
+            if rest[p] > 0 and end < 1 << _BITS:
+                since[p], left[p] = end, rest[p]
+            else:
+                del left[p], since[p]
+    return ranges
 
 
 def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | None = None, seed: int = 7, carry: list[str] = ()) -> DataFrame:
@@ -204,18 +207,17 @@ def _plan(docs, members, weights, seed, carry):
     schema = "pid int, members array<string>"
     ids = spark.createDataFrame([(p, list(ms)) for p, (ms, _) in enumerate(patterns)], schema)
     sized = sized.join(F.broadcast(ids), "members")
-    limit, left = _threshold(sized, {p: n for p, n in need.items() if n > 0})
-    picked = _fill(sized, limit, left)
-    plan = [(p, whole[p], limit.get(p, 0), picked.get(p, []), out[p]) for p in range(len(patterns))]
+    ranges = _selected(sized, {p: n for p, n in need.items() if n > 0})
+    plan = [(p, whole[p], ranges.get(p, []), out[p]) for p in range(len(patterns))]
     return sized, plan, [(m, n, t) for m, n, t in zip(names, sizes, target)]
 
 
 def _take(sized: DataFrame, plan: list) -> DataFrame:
-    small = sized.sparkSession.createDataFrame(plan, "pid int, b_whole long, b_limit long, b_picked array<long>, b_out boolean")  # a row per pattern
-    more = ((F.col("b_order") < F.col("b_limit")) | F.array_contains("b_picked", F.col("b_order"))) != F.col("b_out")
+    small = sized.sparkSession.createDataFrame(plan, "pid int, b_whole long, b_ranges array<struct<first:long,end:long,most:long>>, b_out boolean")  # a row per pattern
+    more = F.exists("b_ranges", lambda r: (F.col("b_order") >= r["first"]) & (F.col("b_order") < r["end"]) & (F.col("size") <= r["most"])) != F.col("b_out")
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("b_whole") + more.cast("long")).cast("long")
     return sized.join(F.broadcast(small), "pid").withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop(
-        "pid", "b_order", "b_whole", "b_limit", "b_picked", "b_out")
+        "pid", "b_order", "b_whole", "b_ranges", "b_out")
 
 
 def mix_report(docs: DataFrame, seed: int = 7) -> DataFrame:

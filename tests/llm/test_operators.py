@@ -98,6 +98,22 @@ def test_source_mix_meets_quotas(spark):
     assert all(abs(t - target) <= largest[n] for (n, target), t in taken.items())
 
 
+def test_source_mix_fills_behind_a_long_document(spark):
+    # six sources of short documents and a long one each, and one where the long one is all that is larger than what is needed
+    rows = [(1000 * s + i, "w " * (9000 if i == 0 else 30), None, f"s{s}", 0) for s in range(6) for i in range(401)]
+    rows += [(10 ** 6 + i, "w " * (500_000 if i == 0 else 100), None, "s6", 0) for i in range(5001)]
+    got = source_mix.mix_report(data.table(spark, rows)).collect()
+    assert len(got) == len(rows)
+    target, taken = {}, Counter()
+    for r in got:
+        s = 6 if r.doc_id >= 10 ** 6 else r.doc_id // 1000
+        target[s] = r.target
+        taken[s] += r.taken
+    assert all(abs(taken[s] - t) <= 0.1 * t + 100 for s, t in target.items())
+    # to the last document that fits
+    assert all(abs(taken[s] - t) <= (100 if s == 6 else 30) for s, t in target.items())
+
+
 def test_quotas_and_flow():
     assert source_mix.quotas([100, 100, 100], [1, 2, 3]) == [50, 100, 150]
     q = source_mix.quotas([10, 1000], [5, 1])
