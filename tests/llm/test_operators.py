@@ -501,6 +501,36 @@ def test_deduplicated(spark):
     assert texts["same text here now"] + texts["SAME text HERE now"] == 1
 
 
+def near_components(rows, k, least):
+    """Lists of places of the rows with a word, by pairs of all rows."""
+    sets = [frozenset() if not (w := words(r[1])) else frozenset([tuple(w)]) if len(w) < k else frozenset(zip(*(w[i:] for i in range(k)))) for r in rows]
+    groups = {i: [i] for i, s in enumerate(sets) if s}
+    for i, a in enumerate(sets):
+        for j in range(i):
+            n = len(a & sets[j])
+            if n and 100 * n >= round(100 * least) * (len(a) + len(sets[j]) - n) and groups[i] is not groups[j]:
+                groups[j].extend(groups[i])
+                for m in groups[i]:
+                    groups[m] = groups[j]
+    return list({id(g): g for g in groups.values()}.values())
+
+
+def check_deduplicated(rows, got, k, least):
+    """One row of each component stays, one of its least id; of the rows without a word each distinct one; nothing else."""
+    left = Counter((r[0], r[1]) for r in got)
+    assert set(map(tuple, got)) <= set(map(tuple, rows))
+    for g in near_components(rows, k, least):
+        stay = [x for x in {(rows[i][0], rows[i][1]) for i in g} for _ in range(left.pop(x, 0))]
+        assert len(stay) == 1
+        assert stay[0][0] == min((rows[i][0] for i in g if rows[i][0] is not None), default=None)
+    assert left == Counter({(r[0], r[1]) for r in rows if not words(r[1])})
+
+
+def test_deduplicated_against_brute_force(spark):
+    rows = near_rows()
+    check_deduplicated(rows, near_dup.deduplicated(data.table(spark, rows), 5, 0.8).collect(), 5, 0.8)
+
+
 def test_near_duplicates_at_sf001(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [tuple(r) for r in docs.collect()]
