@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, centroids, imatch, language_id, lm_score, near_dup, pii, quality_rules, secret_scan, source_mix, token_count
+from . import bpe, centroids, imatch, language_id, line_dedup, lm_score, near_dup, pii, quality_rules, secret_scan, source_mix, token_count
 from .common import documents
 
 
@@ -57,12 +57,16 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir), k=3, least=0.85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, sf_dir), least_chars=40, least_docs=5)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mix, op2_imatch, op3_attention_lm, op4_pii, op5_token_count, op6_language_id, op7_bpe,
-    op8_quality_rules, op9_secret_scan, op10_near_dup, op13_centroids)}
+    op8_quality_rules, op9_secret_scan, op10_near_dup, op11_line_dedup, op13_centroids)}
 
-ORACLE_SQL = {"op8_quality_rules": quality_rules.ORACLE_SQL}
+ORACLE_SQL = {"op8_quality_rules": quality_rules.ORACLE_SQL, "op11_line_dedup": line_dedup.ORACLE_SQL}

@@ -113,10 +113,10 @@ def test_registered(spark):
     import __spark_entry__ as E
 
     names = list(E.queries())
-    assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op8_quality_rules"])
+@pytest.mark.parametrize("name", ["op8_quality_rules", "op11_line_dedup"])
 def test_oracles(spark, name):
     from collections import Counter
 
