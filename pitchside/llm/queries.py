@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, centroids, imatch, language_id, line_dedup, lm_score, near_dup, pii, quality_rules, secret_scan, source_mix, token_count
+from . import bpe, centroids, imatch, language_id, line_dedup, lm_score, near_dup, pii, quality_rules, secret_scan, source_mix, token_count, turn_repair
 from .common import documents
 
 
@@ -61,12 +61,17 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir), least_chars=40, least_docs=5)
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turn_repair.repair_report(turn_repair.damaged(rows), rows)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mix, op2_imatch, op3_attention_lm, op4_pii, op5_token_count, op6_language_id, op7_bpe,
-    op8_quality_rules, op9_secret_scan, op10_near_dup, op11_line_dedup, op13_centroids)}
+    op8_quality_rules, op9_secret_scan, op10_near_dup, op11_line_dedup, op12_turn_repair, op13_centroids)}
 
 ORACLE_SQL = {"op8_quality_rules": quality_rules.ORACLE_SQL, "op11_line_dedup": line_dedup.ORACLE_SQL}
