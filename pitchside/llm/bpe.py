@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import map_lists
-from .vocab import BYTE_SPLIT, WS, Cache, byte_symbols, kept, load, special_pattern
+from .vocab import BYTE_SPLIT, WS, ByteCache, Cache, byte_symbols, kept, load, special_pattern
 
 
 def merge_ids(ids: list[int], rank: list[dict[int, int]], made: list[int]) -> list[int]:
@@ -111,12 +111,40 @@ class Codec:
 
 _NOTHING = hashlib.sha256(b"").hexdigest()
 
+#: Bytes of a worker's cache of encoded units.
+IDS_BYTES = 64 << 20
 
-def _apply(docs: DataFrame, path: str, make: Callable[[Codec], Callable], columns: str, carry: list[str]) -> DataFrame:
+
+class Encoder(Codec):
+    """Encodes whole texts; of a unit only its ids are kept, as 32-bit integers, so the cache is small."""
+
+    def __init__(self, voc: dict):
+        super().__init__(voc)
+        self.tokens = self.cache = None
+        self.packed = ByteCache(self._packed, IDS_BYTES)
+
+    def _packed(self, unit: str) -> bytes:
+        ids: list[int] = []
+        for p in self.split.findall(unit):
+            ids += merge_ids(list(map(self.first.__getitem__, p.encode())), self.rank, self.made)
+        return np.array(ids, np.int32).tobytes()
+
+    def ids(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int32)
+        if self.find_special is None or not self.find_special.search(text):
+            return np.frombuffer(b"".join(map(self.packed.__getitem__, self.units.findall(text))), np.int32)
+        out = []
+        for k, part in enumerate(self.find_special.split(text)):
+            out += [np.int32(self.special[part]).tobytes()] if k % 2 else map(self.packed.__getitem__, self.units.findall(part))
+        return np.frombuffer(b"".join(out), np.int32)
+
+
+def _apply(docs: DataFrame, path: str, kind: type[Codec], make: Callable[[Codec], Callable], columns: str, carry: list[str]) -> DataFrame:
     voc = docs.sparkSession.sparkContext.broadcast(load(path))  # a fixed file of about 2 MB
 
     def start():
-        one = make(kept(voc, "codec", Codec))
+        one = make(kept(voc, kind.__name__, kind))
         return lambda texts, *rest: (*rest, *(map(list, zip(*map(one, texts))) if texts else [[] for _ in columns.split(",")]))
 
     own = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
@@ -132,13 +160,13 @@ def encode(docs: DataFrame, path: str, carry: list[str] = ("doc_id",)) -> DataFr
     """
     def make(codec):
         def one(text):
-            ids = codec.encode(text)
-            return np.array(ids, np.int32), len(ids), codec.decode(ids) == (text or "")
+            ids = codec.ids(text)
+            return ids, len(ids), codec.decode(ids.tolist()) == (text or "")
         return one
 
-    return _apply(docs, path, make, "ids array<int>, n_tokens long, round_trip boolean", list(carry))
+    return _apply(docs, path, Encoder, make, "ids array<int>, n_tokens long, round_trip boolean", list(carry))
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of what ``encode`` gives, made in the same pass."""
-    return _apply(docs, path, lambda codec: codec.digests, "n_tokens long, ids_sha256 string, decoded_sha256 string", ["doc_id"])
+    return _apply(docs, path, Codec, lambda codec: codec.digests, "n_tokens long, ids_sha256 string, decoded_sha256 string", ["doc_id"])

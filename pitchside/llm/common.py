@@ -97,6 +97,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(names: list[str], *wanted: str) -> list[str]:
+    """Column names that none of ``names`` has (Spark's names are alike in either case): the wanted ones behind a prefix."""
+    taken, prefix = {n.lower() for n in names}, "z"
+    while any(n.startswith(prefix) for n in taken):
+        prefix += "z"
+    return [f"{prefix}_{w}" for w in wanted]
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """A key for joining results back to rows: equal rows share it, rows that share an id only don't."""
     return [F.col(doc_id).alias("k_id"), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull()).alias("k_text")]

@@ -12,14 +12,14 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD, crc_of_id, lower_words, map_lists
+from .common import WORD, crc_of_id, fresh, lower_words, map_lists
 from .vocab import kept
 
 #: Bounds of the training sample: labelled documents a language, words a document.
 TRAIN_DOCS, TRAIN_WORDS = 250, 50
 HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 256, 0.01
-#: Longer words are read in segments of so many bytes.
-SEGMENT = 24
+#: Bytes of a training segment. A prediction reads words whole, in batches of POSITIONS at most (one word at least).
+SEGMENT, POSITIONS = 24, 1024 * 26
 #: Distinct words whose labels a worker keeps.
 CACHE_WORDS = 250_000
 NONE = "und"
@@ -136,11 +136,24 @@ def padded(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x, (np.arange(n)[:, None] < np.array([len(s) + 2 for s in segments])[None]).astype(np.float32)
 
 
+def segments(word: bytes, size: int = SEGMENT) -> list[bytes]:
+    """The word in pieces of at most ``size`` bytes (and a character at least), cut between characters."""
+    out, at = [], 0
+    while len(word) - at > size:
+        end = at + size
+        while end > at and word[end] & 0xC0 == 0x80:  # inside a character
+            end -= 1
+        out.append(word[at : end if end > at else at + size])
+        at += len(out[-1])
+    return [*out, word[at:]]
+
+
 def train(samples: list[tuple[bytes, int]], classes: int, seed: int = 7) -> ByteGRU:
-    """Adam over shuffled batches of (word, class)."""
+    """Adam over shuffled batches of (word, class); a long word trains in all its segments."""
     net, r = ByteGRU(classes, seed=seed), np.random.default_rng(seed)
-    words = [w[:SEGMENT] for w, _ in samples]
-    y = np.array([c for _, c in samples])
+    pieces = [(s, c) for w, c in samples for s in segments(w)]
+    words = [s for s, _ in pieces]
+    y = np.array([c for _, c in pieces])
     m1, m2, step = {k: 0.0 for k in net.p}, {k: 0.0 for k in net.p}, 0
     for epoch in range(EPOCHS):
         order = r.permutation(len(words))
@@ -176,16 +189,16 @@ class Reader:
         at = len(self.place)
         self.place.update(zip(new, range(at, need)))
         self.sums[at:need] = 0
-        owner, segments = [], []
-        for i, w in enumerate(new, at):
-            for j in range(0, len(w), SEGMENT):
-                owner.append(i)
-                segments.append(w[j : j + SEGMENT])
-        for i in range(0, len(segments), 1024):
-            x, mask = padded(segments[i : i + 1024])
+        i = 0
+        while i < len(new):
+            n = 1
+            while i + n < len(new) and n < 1024 and (n + 1) * (len(new[i + n]) + 2) <= POSITIONS:
+                n += 1
+            x, mask = padded(new[i : i + n])
             lp = self.net.log_probs(x, mask) * mask[:, :, None]
             pr = np.exp(lp) * mask[:, :, None]
-            np.add.at(self.sums, owner[i : i + 1024], np.concatenate([lp.sum(0), pr.sum(0), mask.sum(0)[:, None]], axis=1))
+            self.sums[at + i : at + i + n] = np.concatenate([lp.sum(0), pr.sum(0), mask.sum(0)[:, None]], axis=1)
+            i += n
 
     def classify(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         k = len(self.langs)
@@ -254,6 +267,19 @@ def predict(docs: DataFrame, model: dict, carry: list[str] = ("doc_id",)) -> Dat
     return map_lists(t, start, f"{schema}, lang_pred string, score double")
 
 
+def _said(docs: DataFrame, model: dict, names: list[str]) -> DataFrame:
+    """All columns of ``docs``, then the prediction and its score under ``names``; the text goes to Python once."""
+    sent = docs.sparkSession.sparkContext.broadcast(dict(model))
+
+    def start():
+        reader = kept(sent, "reader", Reader)
+        return lambda texts, *rest: (texts, *rest, *reader.classify(texts))
+
+    others = [c for c in docs.columns if c != "text"]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ["text", *others])
+    return map_lists(docs.select("text", *[F.col(f"`{c}`") for c in others]), start, f"{schema}, {names[0]} string, {names[1]} double")
+
+
 def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
     """doc_id, held_out, lang_pred, score: learned from rows whose crc32(doc_id) mod ``folds`` is not 0, applied to all."""
     held = F.pmod(crc_of_id(), F.lit(folds)) == 0
@@ -262,7 +288,13 @@ def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
 
 
 def with_language(docs: DataFrame, folds: int = 5, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that a language is found for: not ``und``, score of ``least`` or more; lang and other columns stay."""
+    """The rows of ``docs`` that a language is found for: not ``und``, score of ``least`` or more; lang and other columns stay.
+
+    NULL texts, texts without a letter and all rows of a table from which no language
+    can be learned go. Repeated rows stay or go together, other columns may have any
+    name, an empty table gives an empty table.
+    """
     held = F.pmod(crc_of_id(), F.lit(folds)) == 0
-    model = fit(docs, ~held)
-    return predict(docs, model, docs.columns).filter((F.col("lang_pred") != NONE) & (F.col("score") >= least)).select(*docs.columns)
+    lang, score = fresh(docs.columns, "lang", "score")
+    said = _said(docs, fit(docs, ~held), [lang, score])
+    return said.filter((F.col(lang) != NONE) & (F.col(score) >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,7 +23,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import lower_words, map_lists, saved
+from .common import fresh, lower_words, map_lists, saved
 from .components import component_roots
 from .vocab import Cache
 
@@ -269,7 +269,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFram
 
 def deduplicated(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, and every row without a word (once if rows are equal)."""
+    a, b, row = fresh(docs.columns, "r1", "r2", "row")
     found = saved(near_duplicates(docs, k, least).filter("first").select("r1", "r2"), "stay").distinct()
-    keyed = docs.withColumns({"b_r1": F.xxhash64("doc_id", F.lit(1), "text"), "b_r2": F.xxhash64("text", F.lit(2), "doc_id")})
-    stay = keyed.join(found.select(F.col("r1").alias("b_r1"), F.col("r2").alias("b_r2")), ["b_r1", "b_r2"])
-    return stay.dropDuplicates(["b_r1", "b_r2"]).select(*docs.columns)
+    keyed = docs.select(F.xxhash64("doc_id", F.lit(1), "text").alias(a), F.xxhash64("text", F.lit(2), "doc_id").alias(b), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
+    stay = keyed.join(found.select(F.col("r1").alias(a), F.col("r2").alias(b)), [a, b])
+    return stay.dropDuplicates([a, b]).select(*[F.col(f"{row}.`{c}`").alias(c) for c in docs.columns])

@@ -17,7 +17,7 @@ from collections import Counter
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_lists, saved
+from .common import fresh, map_lists, saved
 
 KINDS = ["email", "ip", "card", "phone", "context"]
 #: Rounds of scoring; distinct seeds that a pattern needs; what pattern and instance must reach to be reported.
@@ -196,8 +196,9 @@ def redacted(docs: DataFrame) -> DataFrame:
     found = saved(extracted(docs).select("r1", "r2", "near"), "pii")
     added = discovered(found)
     names = [c for c in docs.columns if c != "text"]
-    keyed = docs.select("text", *names, F.xxhash64("doc_id", F.lit(1), "text").alias("b_r1"), F.xxhash64("text", F.lit(2), "doc_id").alias("b_r2"))
-    t = keyed.join(added.select(F.col("r1").alias("b_r1"), F.col("r2").alias("b_r2"), F.col("added").alias("b_added")), ["b_r1", "b_r2"], "left")
+    r1, r2, more = fresh(docs.columns, "r1", "r2", "added")
+    keyed = docs.select("text", *names, F.xxhash64("doc_id", F.lit(1), "text").alias(r1), F.xxhash64("text", F.lit(2), "doc_id").alias(r2))
+    t = keyed.join(added.select(F.col("r1").alias(r1), F.col("r2").alias(r2), F.col("added").alias(more)), [r1, r2], "left")
 
     def start():
         p = Patterns()
@@ -227,7 +228,7 @@ def redacted(docs: DataFrame) -> DataFrame:
         return step
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ["text", *names])
-    new = map_lists(t.select("b_added", "text", *names), start, schema)
+    new = map_lists(t.select(more, "text", *names), start, schema)
     if "n_chars" in names:
         new = new.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType))
     return new.select(*docs.columns)

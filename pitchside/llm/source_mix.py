@@ -16,7 +16,7 @@ import heapq
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import WORD, saved
+from .common import WORD, fresh, saved
 
 #: Most distinct membership patterns: they are solved for on the driver. More raise an error.
 MAX_PATTERNS = 2_000
@@ -230,7 +230,7 @@ def mix_report(docs: DataFrame, seed: int = 7) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The columns of ``docs``, a row for each copy that the mix takes; rows without a word are not taken."""
-    extra = "b_row"
+    extra, = fresh(docs.columns, "row")
     keyed = docs.withColumn(extra, F.struct(*docs.columns))
     taken = mix(keyed, F.array("source"), None, seed, [extra])
     copies = taken.filter("copies > 0").select(extra, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -68,9 +69,38 @@ class Cache(dict):
         return out
 
 
+class ByteCache(dict):
+    """word -> bytes, computed on first use; as ``Cache``, with a bound on the bytes of both generations together."""
+
+    #: What an entry takes beside the word and its bytes: two object heads, a dictionary slot.
+    ENTRY = 200
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.old, self.most, self.size = make, {}, most // 2, 0
+
+    def __missing__(self, word):
+        out = self.old.get(word)
+        if out is None:
+            out = self.make(word)
+        if len(word) <= 64:
+            size = self.ENTRY + 4 * len(word) + len(out)
+            if self.size + size > self.most:
+                self.old, self.size = dict(self), 0
+                self.clear()
+            self.size += size
+            self[word] = out
+        return out
+
+
 def kept(broadcast, name: str, make):
-    """``make(value)``, kept beside the broadcast value: a reused worker goes on with its cache."""
+    """``make(value)``, kept beside the broadcast value: a reused worker goes on with its cache.
+
+    Spark has taken the values that this task doesn't use from the worker by then;
+    what they held (models and caches refer to themselves) is collected first.
+    """
     value = broadcast.value
     if name not in value:
+        gc.collect()
         value[name] = make(value)
     return value[name]

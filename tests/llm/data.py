@@ -37,6 +37,7 @@ def table(spark, data=None):
 def clashing(spark, data=None):
     """The same rows with columns whose names the operators use themselves."""
     df = table(spark, data)
-    for c in ("size", "n", "word", "cid", "comp", "band", "row", "members", "score", "spans", "kept", "n_words", "pid", "digit", "value", "key", "lang_pred"):
+    for c in ("size", "n", "word", "cid", "comp", "band", "row", "members", "score", "spans", "kept", "n_words", "pid", "digit", "value", "key", "lang_pred",
+              "b_r1", "b_r2", "b_added", "b_row", "b_order", "r1", "r2", "z_row", "z_r1", "z_lang", "pos", "t", "h1", "m_id", "d_text", "words"):
         df = df.selectExpr("*", f"doc_id AS {c}")
     return df
