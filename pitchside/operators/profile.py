@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import HIST_BINS
-from .quantiles import bracket_aggs, column_quantiles, exact_quantiles
+from .quantiles import column_quantiles, quantile_rows, unpivoted
 from .targets import row_values
 from .topk import top_k
 
@@ -84,15 +84,22 @@ def value_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
 
 
+#: Columns of integers whose range fits in so many words of 64 bits are counted without a shuffle of values,
+#: at most NARROW_WORDS words in all.
+WORDS, NARROW_WORDS = 64, 2048
+
+
 def nunique(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """(column, nunique): distinct non-NULL values per column.
 
-    Exact: every row is unpivoted into narrow (column index, value) pairs, one
-    stream per type family (integral as long, fractional as double, the rest
-    as string); pairs are de-duplicated per partition before one shuffle on
-    (column, value), then counted per column. Much lighter than one wide
-    multi-distinct aggregate, and a column with few values collapses before
-    the shuffle. ``approx=True`` uses fixed-size HyperLogLog sketches instead.
+    Exact. Integers set bits: value v is bit v mod 64 of word v div 64, and words are
+    merged by ``bit_or``, so what is shuffled follows the range of the values, not
+    the rows. Columns of a narrow range keep their few words as plain aggregate
+    columns (one row a task leaves it); wider ones, such as ids, are grouped by
+    (column, word). The ranges are read first: two numbers a column. Other types
+    become narrow (column, value) pairs, de-duplicated per partition before one
+    shuffle: doubles as doubles, the rest as text. ``approx=True`` uses fixed-size
+    HyperLogLog sketches instead.
     """
     cols = list(columns or df.columns)
     if approx:
@@ -101,29 +108,56 @@ def nunique(df: DataFrame, columns: Sequence[str] | None = None, approx: bool =
         for i, c in enumerate(cols):
             entries += [F.lit(c), F.col(f"d{i}")]
         return agg.select(F.stack(F.lit(len(cols)), *entries).alias("column", "nunique"))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    families: dict[str, list[Column]] = {}
-    for i, c in enumerate(cols):
-        t = types[c]
-        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            fam, v = "long", F.col(f"`{c}`").cast("long")
-        elif isinstance(t, (T.FloatType, T.DoubleType)):
-            fam, v = "double", F.col(f"`{c}`").cast("double")
-        else:
-            fam, v = "string", F.col(f"`{c}`").cast("string")
-        families.setdefault(fam, []).append(F.struct(F.lit(i).alias("i"), v.alias("v")))
-    names = F.array(*[F.lit(c) for c in cols])
-    out = None
-    for items in families.values():
-        pairs = df.select(F.explode(F.array(*items)).alias("e")).select("e.i", "e.v").where(F.col("v").isNotNull())
-        counted = pairs.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("nunique"))
-        out = counted if out is None else out.unionByName(counted)
+    spark, types = df.sparkSession, {f.name: f.dataType for f in df.schema.fields}
+    whole = {i: c for i, c in enumerate(cols) if isinstance(types[c], (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
+    real = {i: c for i, c in enumerate(cols) if isinstance(types[c], (T.FloatType, T.DoubleType))}
+    text = {i: c for i, c in enumerate(cols) if i not in whole and i not in real}
+    parts, narrow = [], {}
+    if whole:
+        ends = df.selectExpr(*[f"{f}(`{c}`) AS {f}{i}" for i, c in whole.items() for f in ("min", "max")]).first()
+        ranges = {i: (ends[f"min{i}"] >> 6, (ends[f"max{i}"] >> 6) - (ends[f"min{i}"] >> 6) + 1) for i in whole if ends[f"min{i}"] is not None}
+        left = NARROW_WORDS
+        for i, (first, n) in sorted(ranges.items(), key=lambda x: x[1][1]):
+            if n <= min(WORDS, left):
+                narrow[i] = (first, n)
+                left -= n
+        wide = [i for i in ranges if i not in narrow]
+        if narrow:
+            parts.append(_narrow_counts(df, {i: (whole[i], *narrow[i]) for i in narrow}))
+        if wide:
+            parts.append(_word_counts(df, {i: whole[i] for i in wide}))
+    for family, kind in ((real, "double"), (text, "string")):
+        if family:
+            pairs = df.select(F.expr("array(" + ", ".join(f"named_struct('i', {i}, 'v', cast(`{c}` AS {kind}))" for i, c in family.items()) + ")").alias("a"))
+            pairs = pairs.select(F.inline("a")).where(F.col("v").isNotNull())
+            parts.append(pairs.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("nunique")))
     # Columns that are entirely NULL still get a row (0).
-    every = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("i"))
-    return every.join(out, "i", "left").select(
-        F.element_at(names, F.col("i") + 1).alias("column"),
-        F.coalesce(F.col("nunique"), F.lit(0)).cast("long").alias("nunique"),
-    )
+    every = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "i int, column string")
+    if not parts:
+        return every.select("column", F.lit(0).cast("long").alias("nunique"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return every.join(F.broadcast(out), "i", "left").select("column", F.coalesce(F.col("nunique"), F.lit(0)).cast("long").alias("nunique"))
+
+
+def _narrow_counts(df: DataFrame, ranges: dict[int, tuple[str, int, int]]) -> DataFrame:
+    """(i, nunique) of integer columns: i -> (column, first word, number of words), a word an aggregate."""
+    words, counts = [], []
+    for i, (c, first, n) in ranges.items():
+        v = f"cast(`{c}` AS bigint)"
+        bit = f"shiftleft(1L, cast({v} & 63 AS int))"
+        words += [f"bit_or({bit}) AS w{i}_0"] if n == 1 else [f"bit_or(CASE WHEN {v} >> 6 = {first + k}L THEN {bit} END) AS w{i}_{k}" for k in range(n)]
+        counts.append(f"{i}, cast(" + " + ".join(f"coalesce(bit_count(w{i}_{k}), 0)" for k in range(n)) + " AS bigint)")
+    return df.agg(*map(F.expr, words)).selectExpr(f"stack({len(counts)}, {', '.join(counts)}) AS (i, nunique)")
+
+
+def _word_counts(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """(i, nunique) of integer columns of any range, by the words that occur."""
+    pairs = df.select(F.expr("array(" + ", ".join(f"named_struct('i', {i}, 'v', cast(`{c}` AS bigint))" for i, c in columns.items()) + ")").alias("a"))
+    words = pairs.select(F.inline("a")).where(F.col("v").isNotNull()).selectExpr("i", "v >> 6 AS word", "shiftleft(1L, cast(v & 63 AS int)) AS bit")
+    merged = words.groupBy("i", "word").agg(F.bit_or("bit").alias("bits"))
+    return merged.groupBy("i").agg(F.sum(F.bit_count("bits")).cast("long").alias("nunique"))
 
 
 def null_flags(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -136,38 +170,31 @@ def null_flags(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return agg.select(F.stack(F.lit(len(cols)), *entries).alias("column", "has_null"))
 
 
-def _quartile_columns(qs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return qs.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("q") == i, F.col(value))).alias(name) for i, name in enumerate(["q25", "q50", "q75"])
-    ])
-
-
 def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max) for numeric columns
     (every numeric column when ``columns`` is None, as pandas does).
 
     Quartiles interpolate linearly between order statistics, like pandas, and
-    are exact with bounded memory (``quantiles.exact_quantiles``);
-    ``approx=True`` switches to one-pass ``percentile_approx``.
+    are exact with bounded memory (radix selection, ``quantiles``);
+    ``approx=True`` switches to one-pass ``percentile_approx``. The quartiles are
+    found at call time, by at most three jobs; every step is an aggregate of the
+    values by column, with partial sums. A column of NULLs alone has count 0 and NULLs.
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     columns = list(columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
     probs = [0.25, 0.5, 0.75]
-    own = lambda c: F.col(f"`{c}`").cast("double")
-    aggs = []
-    for i, c in enumerate(columns):
-        n, b = bracket_aggs(own(c), probs)
-        if approx:
-            b = F.percentile_approx(own(c), probs, 100000)
-        aggs += [n.alias(f"n{i}"), F.avg(own(c)).alias(f"a{i}"), F.stddev_samp(own(c)).alias(f"s{i}"), F.min(own(c)).alias(f"l{i}"), F.max(own(c)).alias(f"h{i}"), b.alias(f"b{i}")]
-    row = df.agg(*aggs).first()   # one row: six numbers a column
-    if approx:
-        quart = {c: row[f"b{i}"] or [None] * 3 for i, c in enumerate(columns)}
-    else:
-        quart = column_quantiles(df, columns, probs, {c: (row[f"n{i}"], row[f"b{i}"]) for i, c in enumerate(columns)})
-    out = [(c, row[f"n{i}"], row[f"a{i}"], row[f"s{i}"], row[f"l{i}"], *quart[c], row[f"h{i}"]) for i, c in enumerate(columns)]
-    return df.sparkSession.createDataFrame(out, "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
+    long = unpivoted(df, columns)
+    v = F.col("v")
+    more = [F.percentile_approx(v, probs, 100000).alias("b")] if approx else []
+    stats = long.groupBy("c").agg(F.count(v).alias("n"), F.avg(v).alias("a"), F.stddev_samp(v).alias("s"), F.min(v).alias("l"), F.max(v).alias("h"), *more)
+    exact = {} if approx else column_quantiles(df, columns, probs)   # three numbers a column
+    names = df.sparkSession.createDataFrame([(i, c, exact.get(c)) for i, c in enumerate(columns)], "c int, column string, q array<double>")
+    out = names.join(F.broadcast(stats), "c", "left")
+    return out.select("column", F.coalesce("n", F.lit(0)).cast("long").alias("count"), F.col("a").alias("mean"), F.col("s").alias("std"), F.col("l").alias("min"),
+                      *[F.get("b" if approx else "q", F.lit(i)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))], F.col("h").alias("max"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = HIST_BINS) -> DataFrame:
@@ -230,13 +257,12 @@ def group_quartiles(df: DataFrame, key: str, value: str, keys: Sequence[str] | N
     p = df.where(F.col(key).isNotNull())
     if keys is not None:
         p = p.where(F.col(key).isin(list(keys)))
-    probs = [0.25, 0.5, 0.75]
     agg = p.groupBy(key).agg(
-        F.count(F.col(value)).alias("n"), F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"), *bracket_aggs(value, probs),
+        F.count(F.col(value)).alias("n"), F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max"),
     )
-    quart = _quartile_columns(exact_quantiles(p, [key], value, probs, stats=agg), [key], value)
-    return agg.join(quart, [key], "left").select(key, "n", "min", "q25", "q50", "q75", "max")
+    quart = quantile_rows(p.select(key, value), [key], value, [0.25, 0.5, 0.75]).select(key, "q")
+    return agg.join(quart, [key], "left").select(
+        key, "n", "min", *[F.get("q", F.lit(i)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))], "max")
 
 
 def group_density(df: DataFrame, key: str, value: str, keys: Sequence[str] | None = None,
@@ -292,10 +318,9 @@ def fd_bins(df: DataFrame, columns: Sequence[str], cap: int = 50) -> list[int]:
     probs = [0.25, 0.75]
     aggs = []
     for i, c in enumerate(cols):
-        n, b = bracket_aggs(c, probs)
-        aggs += [n.alias(f"n{i}"), b.alias(f"b{i}"), F.min(F.col(c).cast("double")).alias(f"l{i}"), F.max(F.col(c).cast("double")).alias(f"h{i}")]
+        aggs += [F.count(F.col(c)).alias(f"n{i}"), F.min(F.col(c).cast("double")).alias(f"l{i}"), F.max(F.col(c).cast("double")).alias(f"h{i}")]
     row = df.agg(*aggs).first()
-    quart = column_quantiles(df, cols, probs, {c: (row[f"n{i}"], row[f"b{i}"]) for i, c in enumerate(cols)})
+    quart = column_quantiles(df, cols, probs)
     out = []
     for i, c in enumerate(cols):
         n = row[f"n{i}"]

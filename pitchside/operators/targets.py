@@ -67,3 +67,17 @@ def pick_player(players: DataFrame, player_id=None, name: str | None = None, id_
 
 def pick_club(teams: DataFrame, club: str, club_col: str = "Club") -> DataFrame:
     return teams.where(F.col(club_col) == F.lit(club))
+
+
+#: Input of an operator that expands its rows: up to so many bytes are dealt out to all cores.
+SMALL_BYTES = 64 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """``df``, dealt out to all cores if the plan's size estimate is small: one small file is one task else.
+
+    Larger inputs have enough splits and aren't moved. The estimate is the
+    optimizer's; no job is run for it.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_BYTES else df
