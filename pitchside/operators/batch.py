@@ -8,7 +8,14 @@ partial limit. Here each Arrow batch of players is scored against a block of clu
 weights in numpy (blocks have a bounded size and ship with the task like a
 broadcast) and only the candidates that can still reach the top K leave the task:
 every row within the rounding step of the K-th score that the task has seen so
-far, ties included. An exact Spark window then ranks those few rows. Every block is
+far, ties included.
+
+Most cells are not scored at all. Players (for a club's best) or clubs (for a
+player's best) are taken in order of their mean score, in small blocks with the
+least and greatest value of each feature. The sum over the features of the greater
+of both products bounds every score of the block; where it is below the running
+K-th score, the block is skipped for that club (player). Bounds and scores differ
+by rounding only, which a margin covers. An exact Spark window then ranks those few rows. Every block is
 cut to its own top K, then the blocks are merged; no matrix is ever written.
 
 Scores are accumulated feature by feature, left to right, with separate
@@ -33,6 +40,7 @@ from .topk import top_k_per_group
 TIE_MARGIN = 2e-6   # > the 1e-6 rounding step used for ranking
 RELATIVE_MARGIN = 1e-9   # > float noise, for scores of any magnitude
 CHUNK_CELLS = 4_000_000   # players x clubs scored at once in a worker (32 MB of doubles)
+BLOCK_ROWS, BLOCK_CLUBS = 128, 32   # players, clubs that share a bound
 OUT_SCHEMA = "ID long, Name string, Club string, team string, grp string, score double"
 PER_PLAYER_SCHEMA = "ID long, Name string, Club string, grp string, teams array<string>, scores array<double>"
 
@@ -49,59 +57,130 @@ def _club_weights(teams: DataFrame, groups: Mapping[str, Sequence[str]], on_zero
 
 
 def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float = TIE_MARGIN,
-              chunk_cells: int = CHUNK_CELLS):
+              chunk_cells: int = CHUNK_CELLS, stats: dict | None = None):
     """The task function. Helpers are nested so the closure pickles by value:
-    executors need numpy and pandas, not this package."""
+    executors need numpy and pandas, not this package. ``stats``: counts the scored cells (tests)."""
     club_arr = np.array(clubs, dtype=object)
+    club_ids = np.arange(len(clubs))
+    block_rows, block_clubs, relative = BLOCK_ROWS, BLOCK_CLUBS, RELATIVE_MARGIN
 
     def scores(x, w):
         # n x clubs: sum_i x[:, i] * w[i, :], left to right.
         acc = x[:, 0:1] * w[0:1, :]
         for i in range(1, x.shape[1]):
             acc = acc + x[:, i : i + 1] * w[i : i + 1, :]
+        if stats is not None:
+            stats["cells"] = stats.get("cells", 0) + acc.size
         return acc
 
-    def pick(s, ids, axis, best=None):
-        # Mask of entries that can still be in the top k along ``axis``
-        # (NaN = NULL, ranked last, ties by id / club name).
+    def keyed(s):   # ascending: the best first, NaN (NULL) last
         key = s if reverse else -s
-        key = np.where(np.isnan(key), np.inf, key)
-        if best is not None:   # the k best keys of each club so far; ``best`` is brought up to date
-            merged = np.concatenate([best, key]) if best.size else key
+        return np.where(np.isnan(key), np.inf, key)
+
+    def limit(kth):
+        with np.errstate(invalid="ignore"):
+            return kth + np.maximum(margin, relative * np.abs(kth))
+
+    def least_key(x_lo, x_hi, w):
+        """At most the key of any row between x_lo and x_hi, for each column of w."""
+        a, b = x_lo[:, None] * w, x_hi[:, None] * w
+        least = (np.minimum(a, b) if reverse else -np.maximum(a, b)).sum(0)
+        return least - relative * np.maximum(np.abs(a), np.abs(b)).sum(0)
+
+    def first_nulls(key, ids, out):
+        """Of a line's NULL scores, the k least ids can matter."""
+        nulls = np.flatnonzero(np.isinf(key))
+        out[~np.isinf(key)] = True
+        out[nulls[np.argsort(ids[nulls], kind="stable")[:k]]] = True
+
+    def by_club(x, w, ids, best):
+        """Rows and clubs that can be in a club's top k, scores, and the k best keys of each club so far."""
+        mean = x @ np.nan_to_num(w).mean(1)
+        order = np.argsort(keyed(mean), kind="stable")
+        found = []
+        for start in range(0, len(order), block_rows):
+            rows = order[start : start + block_rows]
+            xb = x[rows]
+            cols = club_ids
+            if len(best) == k:
+                kth = best.max(axis=0)
+                whole = xb[~np.isnan(xb).any(1)]
+                open_ = np.isinf(kth)
+                if len(whole):
+                    with np.errstate(invalid="ignore"):
+                        open_ |= least_key(whole.min(0), whole.max(0), w) <= limit(kth)
+                cols = np.flatnonzero(open_)   # clubs with a NULL weight have no k-th score, and stay
+                if not len(cols):
+                    continue
+            s = scores(xb, w[:, cols])
+            key = keyed(s)
+            merged = np.concatenate([best[:, cols], key]) if len(best) else key
             merged = np.partition(merged, k - 1, axis=0)[:k] if len(merged) > k else merged
-            best.resize(merged.shape, refcheck=False)
-            best[...] = merged
+            if len(best) == k:
+                best[:, cols] = merged
+            else:
+                best = merged
             if len(merged) < k:
-                return np.ones(key.shape, dtype=bool)
-            kth = merged.max(axis=0, keepdims=True)
-        elif key.shape[axis] <= k:
-            return np.ones(key.shape, dtype=bool)
-        else:
-            kth = np.take(np.partition(key, k - 1, axis=axis), [k - 1], axis=axis)
-        with np.errstate(invalid="ignore"):
-            mask = key <= kth + np.maximum(margin, RELATIVE_MARGIN * np.abs(kth))
-        short = np.flatnonzero(np.isinf(kth).ravel())   # lines with fewer than k non-NULL scores
-        for j in short:
-            line = key[:, j] if axis == 0 else key[j, :]
-            nulls = np.flatnonzero(np.isinf(line))
-            keep = nulls[np.argsort(ids[nulls], kind="stable")[:k]]
-            m = np.zeros(len(line), dtype=bool)
-            m[~np.isinf(line)] = True
-            m[keep] = True
-            if axis == 0:
-                mask[:, j] = m
+                mask = np.ones(key.shape, dtype=bool)
             else:
-                mask[j, :] = m
-        return mask
+                kth = merged.max(axis=0)
+                mask = key <= limit(kth)
+                for j in np.flatnonzero(np.isinf(kth)):
+                    mask[:, j] = False
+                    first_nulls(key[:, j], ids[rows], mask[:, j])
+            r, c = np.nonzero(mask)
+            found.append((rows[r], cols[c], s[r, c]))
+        parts = [np.concatenate(p) for p in zip(*found)] if found else [np.zeros(0, int), np.zeros(0, int), np.zeros(0)]
+        return *parts, best
+
+    def by_player(x, w):
+        """Rows and clubs that can be in a player's top k, scores; rows ascending."""
+        n = len(x)
+        if len(clubs) <= k:
+            s = scores(x, w)
+            return np.repeat(np.arange(n), len(clubs)), np.tile(club_ids, n), s.ravel()
+        some = np.flatnonzero(~np.isnan(w).any(0))   # a NULL weight gives NULL scores, which come last
+        good = np.flatnonzero(~np.isnan(x).any(1))
+        best = np.full((n, k), np.inf)
+        found = []
+        if len(some) and len(good):
+            some = some[np.argsort(keyed(x[good].mean(0) @ w[:, some]), kind="stable")]
+            for start in range(0, len(some), block_clubs):
+                cols = some[start : start + block_clubs]
+                wb = w[:, cols]
+                rows = good[least_key(wb.min(1), wb.max(1), x[good].T) <= limit(best[good].max(1))]
+                if not len(rows):
+                    continue
+                s = scores(x[rows], wb)
+                key = keyed(s)
+                best[rows] = np.partition(np.concatenate([best[rows], key], axis=1), k - 1, axis=1)[:, :k]
+                r, c = np.nonzero(key <= limit(best[rows].max(1))[:, None])
+                found.append((rows[r], cols[c], s[r, c]))
+        kth = best.max(1)
+        short = np.flatnonzero(np.isinf(kth))   # fewer than k scores: all clubs count, and the first NULLs
+        if len(short):
+            s = scores(x[short], w)
+            mask = np.zeros(s.shape, dtype=bool)
+            for j, key in enumerate(keyed(s)):
+                first_nulls(key, club_ids, mask[j])
+            r, c = np.nonzero(mask)
+        if not found and not len(short):
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        rows, cols, sc = (np.concatenate(p) for p in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        keep = (keyed(sc) <= limit(kth[rows])) & ~np.isinf(kth[rows])
+        rows, cols, sc = rows[keep], cols[keep], sc[keep]
+        if len(short):
+            rows, cols, sc = np.concatenate([rows, short[r]]), np.concatenate([cols, c]), np.concatenate([sc, s[r, c]])
+        order = np.argsort(rows, kind="stable")
+        return rows[order], cols[order], sc[order]
 
-    # Score at most about ``chunk_cells`` players x clubs at a time, so a worker's
+    # Look at most at about ``chunk_cells`` players x clubs at a time, so a worker's
     # memory stays bounded whatever the batch size and club count. A chunk's
     # candidates are held against the best of the chunks before, which is still
     # exact (the final ranking merges them).
     rows_per_chunk = max(1, chunk_cells // max(1, len(clubs)))
 
     def run(batches):
-        club_ids = np.arange(len(clubs))
         best = {g: np.zeros((0, len(clubs))) for g in groups}
         for whole in batches:
             for start in range(0, len(whole), rows_per_chunk):
@@ -110,19 +189,17 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
                 parts = []
                 for g, fl in groups.items():
                     x = pdf[list(fl)].to_numpy(dtype="float64", na_value=np.nan)
-                    s = scores(x, mats[g])
-                    mask = pick(s, club_ids, 1) if per_player else pick(s, ids, 0, best[g])
-                    ri, ci = np.nonzero(mask)      # row-major: grouped by player row
-                    sc = s[ri, ci]
                     if per_player:
                         # One row per player: its candidate clubs and scores as arrays
                         # (NaN marks a NULL score; Spark turns it back into NULL).
+                        ri, ci, sc = by_player(x, mats[g])
                         cuts = np.cumsum(np.bincount(ri, minlength=len(ids)))[:-1]
                         parts.append(pd.DataFrame({
                             "ID": ids, "Name": pdf["Name"].to_numpy(), "Club": pdf["Club"].to_numpy(), "grp": g,
                             "teams": np.split(club_arr[ci], cuts), "scores": np.split(sc, cuts),
                         }))
                         continue
+                    ri, ci, sc, best[g] = by_club(x, mats[g], ids, best[g])
                     parts.append(pd.DataFrame({
                         "ID": ids[ri], "Name": pdf["Name"].to_numpy()[ri], "Club": pdf["Club"].to_numpy()[ri],
                         "team": club_arr[ci], "grp": g,

@@ -405,8 +405,8 @@ ORDER BY round(dot / nullif(tn.n, 0), 6) DESC, vec_id LIMIT {K}""")
 
 _team_long = " UNION ALL ".join(f"SELECT \"Club\", {i} AS idx, '{f}' AS feature, {q(f)} AS value FROM teams"
                                for i, f in enumerate(FEATURES))
-_WEAK = f""", tl AS ({_team_long}),
-thr AS (
+_WEAK = f""", tl AS MATERIALIZED ({_team_long}),
+thr AS MATERIALIZED (
   SELECT "Club", value AS threshold FROM (
     SELECT "Club", value, row_number() OVER (PARTITION BY "Club" ORDER BY value) AS rn FROM tl
   ) WHERE rn = {len(FEATURES) // 4 + 1}

@@ -1,7 +1,7 @@
 """Property tests: the numpy batch top-K equals the pure-window form on random tables."""
 
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
+from hypothesis import HealthCheck, example, given, settings, strategies as st
 
 from pitchside.operators import batch as B
 from pitchside.operators import matrix as M
@@ -33,6 +33,8 @@ def test_batch_equals_window(spark, rows, teams, k, reverse):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@example(rows=[("X", None, None, None), ("Y", None, None, None), ("Y", 0.0, 0.0, 0.0)], club=(0.0, 0.0, 0.0, 0.0, 0.0), k=1)
+@example(rows=[("X", 1.0, None, 2.0), ("X", 3.0, 1.0, 2.0), ("Y", None, 1.0, 2.0), ("Y", 9.0, 9.0, 9.0), ("Y", 0.0, 0.0, 0.0)], club=(1.0, 2.0, 3.0, 4.0, 5.0), k=5)
 @given(
     rows=st.lists(st.tuples(st.sampled_from(["X", "Y", None]), value, value, value), min_size=2, max_size=16),
     club=st.tuples(team_value, team_value, team_value, team_value, team_value),
