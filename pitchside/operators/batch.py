@@ -40,7 +40,7 @@ from .topk import top_k_per_group
 TIE_MARGIN = 2e-6   # > the 1e-6 rounding step used for ranking
 RELATIVE_MARGIN = 1e-9   # > float noise, for scores of any magnitude
 CHUNK_CELLS = 4_000_000   # players x clubs scored at once in a worker (32 MB of doubles)
-BLOCK_ROWS, BLOCK_CLUBS = 128, 32   # players, clubs that share a bound
+BLOCK_ROWS, BLOCK_CLUBS = 512, 64   # players, clubs that share a bound
 OUT_SCHEMA = "ID long, Name string, Club string, team string, grp string, score double"
 PER_PLAYER_SCHEMA = "ID long, Name string, Club string, grp string, teams array<string>, scores array<double>"
 
@@ -141,6 +141,16 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
             return np.repeat(np.arange(n), len(clubs)), np.tile(club_ids, n), s.ravel()
         some = np.flatnonzero(~np.isnan(w).any(0))   # a NULL weight gives NULL scores, which come last
         good = np.flatnonzero(~np.isnan(x).any(1))
+        if len(clubs) <= block_clubs:   # one block has nothing to be held against
+            s = scores(x, w)
+            key = keyed(s)
+            kth = np.partition(key, k - 1, axis=1)[:, k - 1]
+            mask = key <= limit(kth)[:, None]
+            for j in np.flatnonzero(np.isinf(kth)):
+                mask[j] = False
+                first_nulls(key[j], club_ids, mask[j])
+            r, c = np.nonzero(mask)
+            return r, c, s[r, c]
         best = np.full((n, k), np.inf)
         found = []
         if len(some) and len(good):

@@ -292,15 +292,14 @@ def group_density(df: DataFrame, key: str, value: str, keys: Sequence[str] | Non
     p, own = p.select(F.col(key).alias("z_key"), F.col(value).cast("double").alias("v")), "z_key"
     v = F.col("v")
     stats = p.groupBy(own).agg(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp(v).alias("s"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.approx_count_distinct(v).alias("d"),
+        F.count(F.lit(1)).alias("n"), F.stddev_samp(v).alias("s"), F.min(v).alias("lo"), F.max(v).alias("hi"),
     ).withColumn("h", F.coalesce(F.col("s"), F.lit(0.0)) * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    laid = p.join(stats.select(F.col(own).alias("k_"), "lo", "d", ((F.col("hi") - F.col("lo")) / F.lit(nodes - 1)).alias("step")), F.col(own) == F.col("k_"))
-    laid = laid.withColumn("i", F.when(F.col("d") > exact_values, F.least(F.floor((v - F.col("lo")) / F.col("step")), F.lit(nodes - 2))))
-    at = lambda k: F.col("lo") + (F.col("i") + k) * F.col("step")
-    node = lambda x, w: F.struct(x.alias("x"), w.alias("w"))
-    share = (v - at(0)) / F.col("step")
-    spread = F.when(F.col("i").isNull(), F.array(node(v, F.lit(1.0)))).otherwise(F.array(node(at(0), 1.0 - share), node(at(1), share)))
-    counts = laid.select(own, F.col("i").isNull().alias("exact"), F.inline(spread)).groupBy(own, "exact", F.col("x").alias("v")).agg(F.sum("w").alias("c"))
+    distinct = p.groupBy(own).agg(F.approx_count_distinct(v).alias("d"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+    many = distinct.where(F.col("d") > exact_values)
+    if many.limit(1).count():   # one aggregate at call time; most tables have no such group
+        counts = _node_weights(p, many, nodes)
+    else:
+        counts = p.groupBy(own, "v").agg(F.count(F.lit(1)).cast("double").alias("c"), F.lit(True).alias("exact"))
     step = F.when(F.lit(grid) > 1, (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / F.lit(grid - 1)).otherwise(F.lit(0.0))
     pts = stats.select(own, "n", "h", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
     pts = pts.select(own, "n", "h", "g", (F.col("lo") - cut * F.col("h") + F.col("g") * step).alias("x"))
@@ -315,6 +314,18 @@ def group_density(df: DataFrame, key: str, value: str, keys: Sequence[str] | Non
     )
 
 
+def _node_weights(p: DataFrame, many: DataFrame, nodes: int) -> DataFrame:
+    """(z_key, exact, v, c): values and their counts, or nodes and their weights for the groups of ``many``."""
+    v = F.col("v")
+    laid = p.join(many.select(F.col("z_key").alias("k_"), "lo", ((F.col("hi") - F.col("lo")) / F.lit(nodes - 1)).alias("step")), F.col("z_key") == F.col("k_"), "left")
+    laid = laid.withColumn("i", F.when(F.col("step") > 0, F.least(F.floor((v - F.col("lo")) / F.col("step")), F.lit(nodes - 2))))
+    at = lambda k: F.col("lo") + (F.col("i") + k) * F.col("step")
+    node = lambda x, w: F.struct(x.alias("x"), w.alias("w"))
+    share = (v - at(0)) / F.col("step")
+    spread = F.when(F.col("i").isNull(), F.array(node(v, F.lit(1.0)))).otherwise(F.array(node(at(0), 1.0 - share), node(at(1), share)))
+    return laid.select("z_key", F.col("i").isNull().alias("exact"), F.inline(spread)).groupBy("z_key", "exact", F.col("x").alias("v")).agg(F.sum("w").alias("c"))
+
+
 def linear_fits(df: DataFrame, x: str, ys: Sequence[str]) -> DataFrame:
     """(feature, slope, intercept, r2, corr, n) of y ~ x for each y, one aggregate."""
     cols = []

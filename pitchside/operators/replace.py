@@ -138,14 +138,14 @@ def replace_mode(players: DataFrame, teams: DataFrame, club: str, k: int = 3,
         weighted_sum(features, weights).alias("cw"),
     )
     best = top_k(cands, k, "cw", tiebreak=("replacement_id",), rank_col=None, round_to=None) \
-        .agg(F.struct(F.min("cw").alias("kth"), F.max(F.abs("cw")).alias("top")).alias("s")).select("s").scalar()
-    # Pairs without a score rank last, by weak player and replacement id. A weak player with a NULL feature has none with
-    # anyone, a candidate without a score none at all; so the k least ids of either kind are all that can come forward.
-    low = lambda c: c.select("replacement_id").orderBy("replacement_id").limit(k).agg(F.max("replacement_id").alias("m")).select("m").scalar()
+        .agg(F.struct(F.min("cw").alias("kth"), F.count("cw").alias("nn"), F.max(F.abs("cw")).alias("top")).alias("s")).select("s").scalar()
+    # Pairs without a score rank last, by weak player and replacement id. A weak player with a NULL feature has no score with
+    # anyone, so the k least ids of all can come forward; candidates without a score only where fewer than k have one.
+    low = cands.select("replacement_id").orderBy("replacement_id").limit(k).agg(F.max("replacement_id").alias("m")).select("m").scalar()
     survivors = cands.where(
         (F.col("cw") >= best.getField("kth") - F.greatest(F.lit(RANK_TOLERANCE), F.lit(RELATIVE_TOLERANCE) * best.getField("top")))
-        | (F.col("replacement_id") <= low(cands))
-        | (F.col("cw").isNull() & (F.col("replacement_id") <= low(cands.where(F.col("cw").isNull()))))
+        | (F.col("replacement_id") <= low)
+        | (F.col("cw").isNull() & (best.getField("nn") < F.lit(k)))
     )
 
     pairs = survivors.select("replacement_id", *features, F.inline(worst_arr))
