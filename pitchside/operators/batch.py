@@ -32,9 +32,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import reciprocal
 from ..schema import SCORE_SCALE
-from .matrix import BLOCK_ENTRIES, club_blocks, spread
+from .matrix import BLOCK_ENTRIES, club_blocks, spread, team_weights
 from .topk import top_k_per_group
 
 TIE_MARGIN = 2e-6   # > the 1e-6 rounding step used for ranking
@@ -42,13 +41,14 @@ RELATIVE_MARGIN = 1e-9   # > float noise, for scores of any magnitude
 CHUNK_CELLS = 4_000_000   # players x clubs scored at once in a worker (32 MB of doubles)
 BLOCK_ROWS, BLOCK_CLUBS = 512, 64   # players, clubs that share a bound
 OUT_SCHEMA = "ID long, Name string, Club string, team string, grp string, score double"
+OUTSIDE_SCHEMA = "team string, ID long, score double, x array<double>"
 PER_PLAYER_SCHEMA = "ID long, Name string, Club string, grp string, teams array<string>, scores array<double>"
 
 
-def _club_weights(teams: DataFrame, groups: Mapping[str, Sequence[str]], on_zero: str):
+def _club_weights(teams: DataFrame, groups: Mapping[str, Sequence[str]], on_zero: str, transform: str = "reciprocal"):
     """Club names (sorted) and, per group, a features x clubs weight matrix (computed by Spark)."""
     needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
-    rows = teams.select("Club", *[reciprocal(f, on_zero).alias(f) for f in needed]).orderBy("Club").collect()
+    rows = team_weights(teams, needed, on_zero, transform).orderBy("Club").collect()
     clubs = [r["Club"] for r in rows]
     mats = {}
     for g, fl in groups.items():
@@ -57,11 +57,13 @@ def _club_weights(teams: DataFrame, groups: Mapping[str, Sequence[str]], on_zero
 
 
 def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float = TIE_MARGIN,
-              chunk_cells: int = CHUNK_CELLS, stats: dict | None = None):
+              chunk_cells: int = CHUNK_CELLS, stats: dict | None = None, outside: bool = False):
     """The task function. Helpers are nested so the closure pickles by value:
-    executors need numpy and pandas, not this package. ``stats``: counts the scored cells (tests)."""
+    executors need numpy and pandas, not this package. ``stats``: counts the scored cells (tests).
+    ``outside``: a club's own players are no candidates for it, and features go along with a candidate."""
     club_arr = np.array(clubs, dtype=object)
     club_ids = np.arange(len(clubs))
+    place = {c: i for i, c in enumerate(clubs)}
     block_rows, block_clubs, relative = BLOCK_ROWS, BLOCK_CLUBS, RELATIVE_MARGIN
 
     def scores(x, w):
@@ -87,13 +89,13 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
         least = (np.minimum(a, b) if reverse else -np.maximum(a, b)).sum(0)
         return least - relative * np.maximum(np.abs(a), np.abs(b)).sum(0)
 
-    def first_nulls(key, ids, out):
+    def first_nulls(key, ids, out, free=True):
         """Of a line's NULL scores, the k least ids can matter."""
-        nulls = np.flatnonzero(np.isinf(key))
+        nulls = np.flatnonzero(np.isinf(key) & free)
         out[~np.isinf(key)] = True
         out[nulls[np.argsort(ids[nulls], kind="stable")[:k]]] = True
 
-    def by_club(x, w, ids, best):
+    def by_club(x, w, ids, best, owner=None):
         """Rows and clubs that can be in a club's top k, scores, and the k best keys of each club so far."""
         mean = x @ np.nan_to_num(w).mean(1)
         order = np.argsort(keyed(mean), kind="stable")
@@ -114,6 +116,8 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
                     continue
             s = scores(xb, w[:, cols])
             key = keyed(s)
+            free = np.ones(key.shape, dtype=bool) if owner is None else owner[rows][:, None] != cols
+            key[~free] = np.inf
             merged = np.concatenate([best[:, cols], key]) if len(best) else key
             merged = np.partition(merged, k - 1, axis=0)[:k] if len(merged) > k else merged
             if len(best) == k:
@@ -127,8 +131,8 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
                 mask = key <= limit(kth)
                 for j in np.flatnonzero(np.isinf(kth)):
                     mask[:, j] = False
-                    first_nulls(key[:, j], ids[rows], mask[:, j])
-            r, c = np.nonzero(mask)
+                    first_nulls(key[:, j], ids[rows], mask[:, j], free[:, j])
+            r, c = np.nonzero(mask & free)
             found.append((rows[r], cols[c], s[r, c]))
         parts = [np.concatenate(p) for p in zip(*found)] if found else [np.zeros(0, int), np.zeros(0, int), np.zeros(0)]
         return *parts, best
@@ -209,7 +213,14 @@ def _batch_fn(clubs, mats, groups, k, reverse, per_player: bool, margin: float =
                             "teams": np.split(club_arr[ci], cuts), "scores": np.split(sc, cuts),
                         }))
                         continue
-                    ri, ci, sc, best[g] = by_club(x, mats[g], ids, best[g])
+                    owner = np.array([place.get(c, -1) for c in pdf["Club"]]) if outside else None
+                    ri, ci, sc, best[g] = by_club(x, mats[g], ids, best[g], owner)
+                    if outside:
+                        parts.append(pd.DataFrame({
+                            "team": club_arr[ci], "ID": ids[ri],
+                            "score": pd.array(np.where(np.isnan(sc), None, sc), dtype="Float64"), "x": list(x[ri]),
+                        }))
+                        continue
                     parts.append(pd.DataFrame({
                         "ID": ids[ri], "Name": pdf["Name"].to_numpy()[ri], "Club": pdf["Club"].to_numpy()[ri],
                         "team": club_arr[ci], "grp": g,
@@ -277,6 +288,21 @@ def mvp_all_clubs(players: DataFrame, teams: DataFrame, groups: Mapping[str, Seq
     return top_k_per_group(reduce(DataFrame.unionByName, parts), k, ["team", "grp"], "score", ascending=reverse, round_to=digits)
 
 
+def outside_candidates(players: DataFrame, weights: DataFrame, features: Sequence[str], k: int,
+                       n_clubs: int | None = None, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """(team, ID, score, x): for every club of ``weights`` (Club and one weight a feature), the players of other
+    clubs whose weighted sum can be among its K best. Every task's K best and those within the rounding step
+    are there, ties included; where a task has fewer than K scores, also the least ids without one. ``x`` holds
+    the features (NaN for NULL). Players without a club are no candidates.
+    """
+    base = _input(players.where(F.col("Club").isNotNull()), {"W": features})
+    parts = []
+    for block in club_blocks(weights, 1, n_clubs, block_entries):
+        clubs, mats = _club_weights(block, {"W": features}, "null", "identity")
+        parts.append(base.mapInPandas(_batch_fn(clubs, mats, {"W": list(features)}, k, False, False, chunk_cells=CHUNK_CELLS, outside=True), OUTSIDE_SCHEMA))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def mvt_all_players(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]], k: int = 10,
                     reverse: bool = False, on_zero: str = "error", n_clubs: int | None = None,
                     block_entries: int = BLOCK_ENTRIES, digits: int | None = SCORE_SCALE) -> DataFrame:

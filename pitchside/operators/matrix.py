@@ -4,17 +4,18 @@ Single-target queries (one club, one player) read that one row first (a
 bounded one-row action) and score against its values as literals: no join,
 no shuffle, filter pushed to the scan. The full matrix (and the window form
 of the batch top-K; the default batch form is in ``batch.py``) expands each
-player over an array of club weights (``inline`` of a scalar subquery): output
-is players x clubs rows, linear in players, computed in one codegen'd projection
-per player. Clubs go in hash blocks of a bounded size, one branch of the lazy plan
-a block, so no task carries more than one block of weights and nothing is written.
+player over an array of club weights: output is players x clubs rows, linear in
+players, computed in one codegen'd projection per player. Clubs that fit one block
+are inlined (a scalar subquery). More go in hash blocks of a bounded size and are
+multiplied as a grid: players are cut into row blocks, each side is repeated along
+the other's axis only, and a cell (row block, club block) is one key of one join.
+The plan reads both tables once, whatever the number of clubs, and nothing is written.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,18 +25,21 @@ from .targets import pick_club, pick_player, row_literals
 from .topk import top_k, top_k_per_group
 
 BLOCK_ENTRIES = 50_000   # clubs x groups of one block (about 12 MB of weights at 29 features)
+CELLS = 4   # cells of the grid a shuffle partition, at least
 
 
 def team_weights(teams: DataFrame, features: Sequence[str] = FEATURES, on_zero: str = "error",
                  transform: str = "reciprocal", club_col: str = "Club") -> DataFrame:
     """Club plus one weight per feature: 1/mean (``reciprocal``) or the mean itself (``identity``)."""
+    return teams.select(F.col(club_col), *[weight(f, on_zero, transform).alias(f) for f in features])
+
+
+def weight(feature: str, on_zero: str = "error", transform: str = "reciprocal") -> Column:
     if transform == "reciprocal":
-        ws = [reciprocal(f, on_zero).alias(f) for f in features]
-    elif transform == "identity":
-        ws = [F.col(f).cast("double").alias(f) for f in features]
-    else:
-        raise ValueError(transform)
-    return teams.select(F.col(club_col), *ws)
+        return reciprocal(feature, on_zero)
+    if transform == "identity":
+        return F.col(feature).cast("double")
+    raise ValueError(transform)
 
 
 def club_scores(players: DataFrame, teams: DataFrame, club: str, features: Sequence[str],
@@ -136,25 +140,19 @@ def club_blocks(teams: DataFrame, n_groups: int, n_clubs: int | None = None, blo
     return [teams.where(F.pmod(F.xxhash64("Club"), F.lit(blocks)) == b) for b in range(blocks)] if blocks > 1 else [teams]
 
 
-def _weights_array(weights: Sequence[tuple[str, DataFrame]], width: int) -> Column:
-    """One array<struct<team, grp, w0..w{width-1}>> holding every (club, group) weight row."""
-    parts = []
-    for label, w in weights:
-        cols = [c for c in w.columns if c != "Club"]
-        fields = [F.col("Club").alias("team"), F.lit(label).alias("grp")]
-        fields += [F.col(c).alias(f"w{i}") for i, c in enumerate(cols)]
-        fields += [F.lit(None).cast("double").alias(f"w{i}") for i in range(len(cols), width)]
-        parts.append(w.select(F.struct(*fields).alias("e")))
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    return union.agg(F.collect_list("e").alias("a")).select("a").scalar()
-
-
-def _block_scores(base: DataFrame, teams: DataFrame, groups: dict, width: int, on_zero: str,
-                  transform: str) -> DataFrame:
-    arr = _weights_array([(g, team_weights(teams, fl, on_zero, transform)) for g, fl in groups.items()], width)
-    expanded = base.select("*", F.inline(arr))
+def _weight_rows(teams: DataFrame, groups: Mapping[str, Sequence[str]], on_zero: str, transform: str) -> DataFrame:
+    """(e: struct<team, grp, w0, w1, ...>) for every club and group; one read of the clubs."""
+    width = max(len(f) for f in groups.values())
+    entries = []
+    for label, features in groups.items():
+        ws = [weight(f, on_zero, transform).alias(f"w{i}") for i, f in enumerate(features)]
+        ws += [F.lit(None).cast("double").alias(f"w{i}") for i in range(len(ws), width)]
+        entries.append(F.struct(F.col("Club").alias("team"), F.lit(label).alias("grp"), *ws))
+    return teams.select(F.explode(F.array(*entries)).alias("e"))
+
+
+def _scored(expanded: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(ID, Name, Club, team, grp, score) of rows that hold a player and one weight row."""
     score = None
     for g, fl in groups.items():
         s = weighted_sum(fl, [f"w{i}" for i in range(len(fl))])
@@ -162,22 +160,43 @@ def _block_scores(base: DataFrame, teams: DataFrame, groups: dict, width: int, o
     return expanded.select("ID", "Name", "Club", "team", "grp", score.alias("score"))
 
 
+def _grid(base: DataFrame, weight_rows: DataFrame, blocks: int) -> DataFrame:
+    """The rows of ``base`` beside every weight row, by cells (row block, club block).
+
+    There are ``CELLS`` cells a shuffle partition at least. A cell holds one array of
+    weights, about one block; its players stream past it. A row's block follows from
+    its content, so a repeated task sends the same rows to the same cells.
+    """
+    spark = base.sparkSession
+    partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    row_blocks = max(1, math.ceil(CELLS * partitions / blocks))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    clubs = weight_rows.groupBy(F.pmod(F.xxhash64("e.team"), F.lit(blocks)).alias("__club_block")).agg(F.collect_list("e").alias("__weights"))
+    clubs = clubs.select("__club_block", "__weights", every(row_blocks).alias("__row_block"))
+    rows = base.select("*", F.pmod(F.xxhash64(*base.columns), F.lit(row_blocks)).alias("__row_block"), every(blocks).alias("__club_block"))
+    return rows.join(clubs, ["__row_block", "__club_block"]).select(*base.columns, F.inline("__weights"))
+
+
 def matrix_scores(players: DataFrame, teams: DataFrame, groups: Mapping[str, Sequence[str]],
                   on_zero: str = "error", transform: str = "reciprocal",
                   block_entries: int = BLOCK_ENTRIES, n_clubs: int | None = None) -> DataFrame:
     """Long matrix (ID, Name, Club, team, grp, score) for every player, club and group, lazy.
 
     The number of clubs is counted first (teams is a small materialized table;
-    a caller that already knows the count passes ``n_clubs``). The weights of a
-    block of clubs travel with its stage (in the task binary, fetched once per
-    executor); the result is the union of the blocks' branches.
+    a caller that already knows the count passes ``n_clubs``). Up to
+    ``block_entries`` clubs x groups, the weights travel with the stage (in the task
+    binary, fetched once per executor); more are joined as a grid of blocks.
     """
     groups = dict(groups)
-    width = max(len(f) for f in groups.values())
     needed = list(dict.fromkeys(f for fl in groups.values() for f in fl))
-    base = spread(players.select("ID", "Name", "Club", *needed))
-    parts = [_block_scores(base, b, groups, width, on_zero, transform) for b in club_blocks(teams, len(groups), n_clubs, block_entries)]
-    return reduce(DataFrame.unionByName, parts)
+    base = players.select("ID", "Name", "Club", *needed)
+    rows = _weight_rows(teams, groups, on_zero, transform)
+    n_clubs = teams.count() if n_clubs is None else n_clubs
+    blocks = math.ceil(n_clubs * len(groups) / block_entries)
+    if blocks > 1:
+        return _scored(_grid(base, rows, blocks), groups)
+    weights = rows.agg(F.collect_list("e").alias("a")).select("a").scalar()
+    return _scored(spread(base).select("*", F.inline(weights)), groups)
 
 
 def mvp_all_clubs(players, teams, groups, k=10, reverse=False, on_zero="error", n_clubs=None, digits=SCORE_SCALE):

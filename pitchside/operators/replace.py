@@ -12,18 +12,23 @@ same for every p, so the global top K pairs use only candidates whose c.w is
 within a rounding tolerance of the K-th best c.w: we keep exactly those (all
 ties included, no cap), pair them with the <= 10 weak players and rank the
 fused value, which is what we report.
+
+``replace_all_clubs`` does the same for every club at once: the weights and weak
+players of all clubs are two tables, the candidates of all clubs come from one pass
+over the players (``batch.outside_candidates``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import improvement, total, weighted_sum
 from ..schema import FEATURES, MAX_WEAK_PLAYERS, WEAK_DIVISOR, WEAK_WEIGHT_FACTOR, WEIGHT_TOTAL
+from .batch import outside_candidates
 from .targets import pick_club, pick_player, row_literals
-from .topk import top_k
+from .topk import sort_keys, top_k, top_k_per_group
 
 RANK_TOLERANCE = 1e-5   # > the 1e-6 score rounding step plus float noise
 RELATIVE_TOLERANCE = 1e-9   # > float noise, for scores of any magnitude
@@ -154,3 +159,60 @@ def replace_mode(players: DataFrame, teams: DataFrame, club: str, k: int = 3,
         improvement(features, [f"p_{f}" for f in features], weights).alias("improvement"),
     )
     return top_k(scored, k, "improvement", tiebreak=("wrank", "replacement_id")).drop("wrank")
+
+
+def _club_weights(teams: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(Club, weak_<i> boolean, w_<i> double) for every club."""
+    base = F.lit(WEIGHT_TOTAL) / (F.lit(len(features)) + F.col("n_weak"))
+    return weak_flags(teams, features).where(F.col("Club").isNotNull()).select(
+        "Club", *[F.col(f).alias(f"weak_{i}") for i, f in enumerate(features)],
+        *[F.when(F.col(f), F.lit(WEAK_WEIGHT_FACTOR) * base).otherwise(base).alias(f"w_{i}") for i, f in enumerate(features)])
+
+
+def replace_all_clubs(players: DataFrame, teams: DataFrame, k: int = 3, features: Sequence[str] = FEATURES,
+                      n_weak_players: int = MAX_WEAK_PLAYERS, n_clubs: int | None = None,
+                      block_entries: int | None = None) -> DataFrame:
+    """(Club, player_id, replacement_id, improvement, rank): ``replace_mode`` of every club, in one job.
+
+    ``teams`` holds a club once; a NULL club gives no rows, and a club without players
+    of its own or without others has none. Pairs with a NULL feature on either side
+    have no improvement and rank last, by weak player and replacement id; so do all
+    pairs of a club with a NULL mean. Players without a club are never replacements.
+
+    The weak players are a top-K per club behind one join with the clubs' weights.
+    The candidates' features come along with them, so the players aren't joined
+    again. Of candidates with equal features only the K least ids can rank, so a
+    player copied a million times costs K rows a club. A weak player with a NULL
+    feature has no improvement over anyone, so the K least ids outside the club are
+    enough; they are among the 2K least of the K least ids of each club.
+    """
+    features, n = list(features), len(features)
+    plan = _club_weights(teams, features)
+    own = players.select("ID", "Club", *features).join(plan, "Club").select(
+        "Club", F.col("ID").alias("player_id"),
+        F.array(*[F.col(f).cast("double") for f in features]).alias("p"), F.array(*[f"w_{i}" for i in range(n)]).alias("w"),
+        total([F.when(F.col(f"weak_{i}"), F.col(f)).otherwise(F.lit(0.0)) for i, f in enumerate(features)]).alias("weak_sum"))
+    worst = top_k_per_group(own, n_weak_players, ["Club"], "weak_sum", tiebreak=("player_id",), rank_col="wrank").drop("weak_sum")
+    worst = worst.withColumn("blank", F.exists("p", lambda v: v.isNull()))
+
+    weights = plan.select("Club", *[F.col(f"w_{i}").alias(f) for i, f in enumerate(features)])
+    extra = {} if block_entries is None else {"block_entries": block_entries}
+    found = outside_candidates(players, weights, features, k, n_clubs, **extra)
+    found = top_k_per_group(found, k, ["team", "x"], "score", round_to=None, rank_col="copy").drop("copy")
+    team = Window.partitionBy("team")
+    place = F.row_number().over(team.orderBy(*sort_keys("score", round_to=None)))
+    found = found.withColumn("place", place).withColumn("kth", F.min(F.when(F.col("place") <= k, F.col("score"))).over(team)) \
+        .withColumn("top", F.max(F.when(F.col("place") <= k, F.abs("score"))).over(team))
+    near = F.greatest(F.lit(RANK_TOLERANCE), F.lit(RELATIVE_TOLERANCE) * F.col("top"))
+    survivors = found.where((F.col("place") <= k) | (F.col("score") >= F.col("kth") - near)).select(F.col("team").alias("Club"), F.col("ID").alias("replacement_id"), "score", "x")
+
+    fused = improvement([F.get("x", F.lit(i)) for i in range(n)], [F.get("p", F.lit(i)) for i in range(n)], [F.get("w", F.lit(i)) for i in range(n)])
+    pairs = worst.where(~F.col("blank")).join(survivors, "Club").select(
+        "Club", "player_id", "wrank", "replacement_id", F.when(F.col("score").isNotNull(), fused).alias("improvement"))
+
+    ids = top_k_per_group(players.where(F.col("Club").isNotNull()).select("ID", "Club"), k, ["Club"], "ID", ascending=True, round_to=None, tiebreak=())
+    least = ids.orderBy("ID").limit(2 * k).agg(F.array_sort(F.collect_list(F.struct("ID", F.col("Club").alias("of")))).alias("a")).select("a").scalar()
+    blank = worst.where("blank").select("Club", "player_id", "wrank", least.alias("least")).select(
+        "Club", "player_id", "wrank", F.explode(F.slice(F.filter("least", lambda e: e["of"] != F.col("Club")), 1, k)).alias("e"))
+    pairs = pairs.unionByName(blank.select("Club", "player_id", "wrank", F.col("e.ID").alias("replacement_id"), F.lit(None).cast("double").alias("improvement")))
+    return top_k_per_group(pairs, k, ["Club"], "improvement", tiebreak=("wrank", "replacement_id")).drop("wrank")

@@ -424,6 +424,12 @@ def replace_mode(spark, sf_dir):
     return rounded(R.replace_mode(players, teams, CLUB, k=REPLACE_K))
 
 
+@query
+def replace_all_clubs(spark, sf_dir):
+    players, teams = load_views(spark, sf_dir)
+    return rounded(R.replace_all_clubs(players, teams, k=REPLACE_K))
+
+
 @query
 def mvp_for_team(spark, sf_dir):
     return rounded(_model(spark, sf_dir).mvp_for_team(CLUB, "DEF", K))

@@ -475,6 +475,28 @@ SELECT player_id, replacement_id, round(improvement, 6) AS improvement,
   CAST(row_number() OVER (ORDER BY round(improvement, 6) DESC, wrank, replacement_id) AS INTEGER) AS rank
 FROM pairs ORDER BY round(improvement, 6) DESC, wrank, replacement_id LIMIT {REPLACE_K}"""))
 
+_weak_total = " + ".join(f"CASE WHEN w.weak[{i + 1}] THEN p.{q(f)} ELSE 0 END" for i, f in enumerate(FEATURES))
+_fused = " + ".join(f"(c.{q(f)} - cur.{q(f)}) * w.weight[{i + 1}]" for i, f in enumerate(FEATURES))
+oracle("replace_all_clubs", with_views(_WEAK + f""",
+w AS MATERIALIZED (
+  SELECT "Club", list(weak ORDER BY idx) AS weak, list(weight ORDER BY idx) AS weight FROM wv GROUP BY "Club"
+),
+worst AS MATERIALIZED (
+  SELECT "Club", "ID", row_number() OVER (PARTITION BY "Club" ORDER BY round(weak_sum, 6) DESC, "ID") AS wrank
+  FROM (SELECT p."Club", p."ID", {_weak_total} AS weak_sum FROM players p JOIN w ON w."Club" = p."Club")
+  QUALIFY wrank <= 10
+),
+pairs AS (
+  SELECT wp."Club", wp."ID" AS player_id, wp.wrank, c."ID" AS replacement_id, {_fused} AS improvement
+  FROM worst wp
+  JOIN players cur ON cur."ID" = wp."ID"
+  JOIN w ON w."Club" = wp."Club"
+  JOIN players c ON c."Club" <> wp."Club"
+)
+SELECT "Club", player_id, replacement_id, round(improvement, 6) AS improvement,
+  CAST(row_number() OVER (PARTITION BY "Club" ORDER BY round(improvement, 6) DESC, wrank, replacement_id) AS INTEGER) AS rank
+FROM pairs QUALIFY rank <= {REPLACE_K}"""))
+
 # --- matrix recommendations -----------------------------------------------------------
 
 _club = f"WHERE t.\"Club\" = '{CLUB}'"
