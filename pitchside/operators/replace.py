@@ -162,11 +162,12 @@ def replace_mode(players: DataFrame, teams: DataFrame, club: str, k: int = 3,
 
 
 def _club_weights(teams: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(Club, weak_<i> boolean, w_<i> double) for every club."""
-    base = F.lit(WEIGHT_TOTAL) / (F.lit(len(features)) + F.col("n_weak"))
-    return weak_flags(teams, features).where(F.col("Club").isNotNull()).select(
-        "Club", *[F.col(f).alias(f"weak_{i}") for i, f in enumerate(features)],
-        *[F.when(F.col(f), F.lit(WEAK_WEIGHT_FACTOR) * base).otherwise(base).alias(f"w_{i}") for i, f in enumerate(features)])
+    """(Club, weak array<boolean>, w array<double>) for every club; all weights are NULL where a mean is."""
+    t = teams.where(F.col("Club").isNotNull()).select("Club", _values_array(features).alias("v"), weak_threshold(features).alias("threshold"))
+    t = t.select("Club", F.transform("v", lambda x: x < F.col("threshold")).alias("weak"))
+    count = F.when(~F.exists("weak", lambda x: x.isNull()), F.size(F.filter("weak", lambda x: x)))
+    t = t.select("Club", "weak", (F.lit(WEIGHT_TOTAL) / (F.lit(len(features)) + count)).alias("base"))
+    return t.select("Club", "weak", F.transform("weak", lambda x: F.when(x, F.lit(WEAK_WEIGHT_FACTOR) * F.col("base")).otherwise(F.col("base"))).alias("w"))
 
 
 def replace_all_clubs(players: DataFrame, teams: DataFrame, k: int = 3, features: Sequence[str] = FEATURES,
@@ -189,13 +190,12 @@ def replace_all_clubs(players: DataFrame, teams: DataFrame, k: int = 3, features
     features, n = list(features), len(features)
     plan = _club_weights(teams, features)
     own = players.select("ID", "Club", *features).join(plan, "Club").select(
-        "Club", F.col("ID").alias("player_id"),
-        F.array(*[F.col(f).cast("double") for f in features]).alias("p"), F.array(*[f"w_{i}" for i in range(n)]).alias("w"),
-        total([F.when(F.col(f"weak_{i}"), F.col(f)).otherwise(F.lit(0.0)) for i, f in enumerate(features)]).alias("weak_sum"))
+        "Club", F.col("ID").alias("player_id"), _values_array(features).alias("p"), "w",
+        total([F.when(F.get("weak", F.lit(i)), F.col(f)).otherwise(F.lit(0.0)) for i, f in enumerate(features)]).alias("weak_sum"))
     worst = top_k_per_group(own, n_weak_players, ["Club"], "weak_sum", tiebreak=("player_id",), rank_col="wrank").drop("weak_sum")
     worst = worst.withColumn("blank", F.exists("p", lambda v: v.isNull()))
 
-    weights = plan.select("Club", *[F.col(f"w_{i}").alias(f) for i, f in enumerate(features)])
+    weights = plan.select("Club", *[F.get("w", F.lit(i)).alias(f) for i, f in enumerate(features)])
     extra = {} if block_entries is None else {"block_entries": block_entries}
     found = outside_candidates(players, weights, features, k, n_clubs, **extra)
     found = top_k_per_group(found, k, ["team", "x"], "score", round_to=None, rank_col="copy").drop("copy")
