@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators import bootstrap as BS
 from ..operators import corr as C
 from ..operators import matrix as M
 from ..operators import profile as PR
@@ -35,6 +36,8 @@ SIX_CLUBS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6"]
 VEC_ID = 0
 K = 10
 REPLACE_K = 3
+REPLICATES = 200   # of the registered bootstraps; the library's default is 1000
+BAND_POINTS = 25
 HEX_GRID = "auto"
 HOLE_COLUMNS = ["Age", "Crossing", "Finishing", "Dribbling", "Overall"]
 
@@ -341,6 +344,16 @@ def club_age_density(spark, sf_dir):
     return rounded(PR.group_density(_players(spark, sf_dir), "Club", "Age"))
 
 
+@query
+def club_overall_bootstrap(spark, sf_dir):
+    return rounded(BS.club_bootstrap_ci(_players(spark, sf_dir), replicates=REPLICATES))
+
+
+@query
+def linear_fit_bands(spark, sf_dir):
+    return rounded(BS.fit_bands(_players(spark, sf_dir), FIT_X, FIT_YS, points=BAND_POINTS, replicates=REPLICATES))
+
+
 @query
 def linear_fits(spark, sf_dir):
     return rounded(PR.linear_fits(_players(spark, sf_dir), FIT_X, FIT_YS))

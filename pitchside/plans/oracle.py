@@ -10,7 +10,8 @@ operator in plain SQL. Doubles are rounded like the Spark side (6 decimals,
 from __future__ import annotations
 
 from ..schema import FEATURES, FIT_X, FIT_YS, PROFILE_COLUMNS, RADAR_FEATURES, RATINGS
-from .catalog import CLUB, HOLE_COLUMNS, K, LIST_IDS, PLAYER_ID, REPLACE_K, SIX_CLUBS, VEC_ID
+from ..operators.bootstrap import PIECES, SEED, poisson_steps
+from .catalog import BAND_POINTS, CLUB, HOLE_COLUMNS, K, LIST_IDS, PLAYER_ID, REPLACE_K, REPLICATES, SIX_CLUBS, VEC_ID
 
 
 def q(name: str) -> str:
@@ -307,6 +308,47 @@ oracle("linear_fits", with_views(" UNION ALL ".join(
   round(regr_intercept({q(y)}, {q(FIT_X)}), 6) AS intercept, round(regr_r2({q(y)}, {q(FIT_X)}), 6) AS r2,
   CAST(regr_count({q(y)}, {q(FIT_X)}) AS BIGINT) AS n FROM players""" for y in FIT_YS)))
 
+_DRAWS = f""", md AS (
+  SELECT p."ID", b.b, md5('{SEED}:' || p."ID" || ':' || b.b) AS h
+  FROM players p, range({(REPLICATES - 1) // PIECES + 1}) AS b(b)
+), draws AS (
+  SELECT "ID", b * {PIECES} + i.i AS replicate, CAST('0x' || substr(h, CAST(4 * i.i + 1 AS INTEGER), 4) AS INTEGER) AS d
+  FROM md, range({PIECES}) AS i(i)
+), weights AS MATERIALIZED (
+  SELECT "ID", replicate, {" + ".join(f"CASE WHEN d >= {s} THEN 1 ELSE 0 END" for s in poisson_steps())} AS w
+  FROM draws WHERE replicate < {REPLICATES}
+)"""
+oracle("club_overall_bootstrap", with_views(_DRAWS + """, boot AS (
+  SELECT "Club", quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM (
+    SELECT "Club", replicate, sum(w * "Overall") / CAST(sum(w) AS DOUBLE) AS m FROM players JOIN weights USING ("ID")
+    WHERE "Club" IS NOT NULL AND "Overall" IS NOT NULL GROUP BY "Club", replicate HAVING sum(w) > 0
+  ) GROUP BY "Club"
+)
+SELECT s."Club", round(m, 6) AS mean, round(s, 6) AS std, n,
+  round(m - 1.96 * s / sqrt(n), 6) AS ci_low, round(m + 1.96 * s / sqrt(n), 6) AS ci_high,
+  round(lo, 6) AS boot_low, round(hi, 6) AS boot_high
+FROM (SELECT "Club", avg("Overall") AS m, stddev_samp("Overall") AS s, count("Overall") AS n
+      FROM players WHERE "Club" IS NOT NULL GROUP BY "Club") s LEFT JOIN boot USING ("Club")"""))
+oracle("linear_fit_bands", with_views(_DRAWS + ", xy AS (" + " UNION ALL ".join(
+    f"""SELECT '{y}' AS feature, "ID", CAST({q(FIT_X)} AS DOUBLE) AS x, CAST({q(y)} AS DOUBLE) AS y FROM players
+  WHERE {q(FIT_X)} IS NOT NULL AND {q(y)} IS NOT NULL""" for y in FIT_YS) + f"""
+), ends AS (
+  SELECT feature, min(x) AS lo, max(x) AS hi, avg(x) AS mx, avg(y) AS my, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept
+  FROM xy GROUP BY feature
+), sums AS (
+  SELECT feature, replicate, sum(w) AS n, sum(w * (x - mx)) AS sx, sum(w * (y - my)) AS sy,
+    sum(w * (x - mx) * (x - mx)) AS sxx, sum(w * (x - mx) * (y - my)) AS sxy, any_value(mx) AS mx, any_value(my) AS my
+  FROM xy JOIN ends USING (feature) JOIN weights USING ("ID") WHERE w > 0 GROUP BY feature, replicate
+), lines AS (
+  SELECT feature, mx, my, n, sx, sy, (n * sxy - sx * sy) / nullif(n * sxx - sx * sx, 0) AS b FROM sums
+), grid AS (
+  SELECT feature, g.i AS point, lo + (hi - lo) * g.i / {BAND_POINTS - 1} AS x, slope, intercept FROM ends, range({BAND_POINTS}) AS g(i)
+)
+SELECT g.feature, CAST(g.point AS INTEGER) AS point, round(g.x, 6) AS x, round(max(g.intercept + g.slope * g.x), 6) AS fit,
+  round(quantile_cont(my + (sy - b * sx) / n + b * (g.x - mx), 0.025), 6) AS low,
+  round(quantile_cont(my + (sy - b * sx) / n + b * (g.x - mx), 0.975), 6) AS high
+FROM grid g JOIN lines USING (feature) GROUP BY g.feature, g.point, g.x"""))
+
 oracle("hexbin_counts", with_views(""", xy AS (
   SELECT CAST("Dribbling" AS DOUBLE) AS x, CAST("Crossing" AS DOUBLE) AS y FROM players
   WHERE "Dribbling" IS NOT NULL AND "Crossing" IS NOT NULL
