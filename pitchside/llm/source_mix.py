@@ -3,47 +3,29 @@
 Documents are summed by membership pattern (the set of sources that hold them).
 The flow sends each pattern's token capacity to the sources' quotas; a pattern's
 tokens cost nothing the first time, 1 the second, 2 the third, so repetition is
-spread evenly and used last. Patterns, sources and the flow are small; documents
-stay in Spark and are then selected by a seeded order: whole copies for everyone, and
-one more copy for the documents that fit what is left of the pattern's share, in that
-order, those larger than what is left skipped (where the share is more than half, the
-documents without the further copy are selected so).
+spread evenly and used last. Sources that overlap, directly or over others, are a
+component with a flow of its own, solved in one task; a source that overlaps none
+has one arc, the least of its quota and its capacity. Patterns, sources, quotas and
+thresholds are tables, however many there are. Documents are selected by a seeded
+order: whole copies for everyone, and one more copy for the documents that fit what
+is left of the pattern's share, in that order, those larger than what is left skipped
+(where the share is more than half, the documents without the further copy are
+selected so).
 """
 
 from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD, fresh, saved
+from .common import WORD, fresh, map_lists, saved
+from .components import component_roots
 
-#: Most distinct membership patterns: they are solved for on the driver. More raise an error.
-MAX_PATTERNS = 2_000
 #: Copies of a document at most; copy k costs k - 1 a token.
 MAX_COPIES = 3
 _BITS, _DIGIT = 62, 10
-
-
-def quotas(sizes: list[int], weights: list[float], most: float = MAX_COPIES) -> list[float]:
-    """Shares of the total by weight; none above ``most`` times its size, the excess reshared by weight."""
-    target = [0.0] * len(sizes)
-    rest, left = [i for i in range(len(sizes)) if sizes[i] > 0], float(sum(sizes))
-    for i in list(rest):
-        if weights[i] <= 0:
-            rest.remove(i)
-    while rest:
-        per = left / sum(weights[i] for i in rest)
-        over = [i for i in rest if per * weights[i] > most * sizes[i]]
-        if not over:
-            for i in rest:
-                target[i] = per * weights[i]
-            break
-        for i in over:
-            target[i] = float(most * sizes[i])
-            left -= target[i]
-            rest.remove(i)
-    return target
+_RANGES = "array<struct<first:long,end:long,most:long>>"
 
 
 def min_cost_flow(capacity: list[int], members: list[list[int]], quota: list[int], copies: int = MAX_COPIES) -> list[dict[int, int]]:
@@ -106,67 +88,132 @@ def _order(seed: int, *content: Column) -> Column:
     return F.shiftleft(own, 22).bitwiseOR(tie)
 
 
-def _threshold(sized: DataFrame, need: dict[int, int], since: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
-    """pattern -> threshold of the order up to which documents hold at most need[pattern] tokens; what then is left.
+def _threshold(sized: DataFrame, need: DataFrame) -> DataFrame:
+    """(members, limit, rest): the threshold of the order up to which documents hold at most ``left`` tokens; what then is left.
 
-    Only documents from the order since[pattern] on count, and none larger than
-    need[pattern]. Found digit by digit: each pass sums the rows whose order begins
-    with the digits found, by the next digit (at most 1,024 sums a pattern).
+    ``need`` has (members, since, left). Only documents from the order ``since`` on
+    count, and none larger than ``left``. Found digit by digit, for all patterns at
+    once: each pass sums the rows whose order begins with the digits found, by the next
+    digit (at most 1,024 sums a pattern, combined before the shuffle).
     """
-    spark = sized.sparkSession
-    limit = {p: 1 << _BITS for p in need}
-    left, prefix, shift = dict(need), {p: 0 for p in need}, _BITS - _DIGIT
-    live = set(need)
-    while live and shift > -_DIGIT:
+    now = need.select("members", "since", F.col("left").alias("most"), F.col("left").alias("rest"), F.lit(0).cast("long").alias("prefix"), F.lit(None).cast("long").alias("limit"))
+    for shift in range(_BITS - _DIGIT, -_DIGIT, -_DIGIT):
         at = max(shift, 0)
-        now = spark.createDataFrame([(p, prefix[p], left[p], since[p], need[p]) for p in live], "pid int, b_prefix long, b_need long, b_since long, b_most long")
-        rows = sized.join(F.broadcast(now), "pid").filter(
-            (F.shiftright("b_order", shift + _DIGIT) == F.col("b_prefix")) & (F.col("b_order") >= F.col("b_since")) & F.col("size").between(1, F.col("b_most")))
-        sums = rows.groupBy("pid", "b_need", F.shiftright("b_order", at).alias("digit")).agg(F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("n"))
+        rows = sized.select("members", "size", "b_order").join(now.filter("limit IS NULL"), "members").filter(
+            (F.shiftright("b_order", shift + _DIGIT) == F.col("prefix")) & (F.col("b_order") >= F.col("since")) & F.col("size").between(1, F.col("most")))
+        sums = rows.groupBy("members", "rest", F.shiftright("b_order", at).alias("digit")).agg(F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("n"))
         # per pattern: the first bucket that no longer fits, and the tokens before it; at most 1,024 entries an array
-        found = sums.groupBy("pid", "b_need").agg(F.array_sort(F.collect_list(F.struct("digit", "tokens", "n"))).alias("d"))
+        found = sums.groupBy("members", "rest").agg(F.array_sort(F.collect_list(F.struct("digit", "tokens", "n"))).alias("d"))
         walk = F.aggregate("d", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("long").alias("digit"), F.lit(0).cast("long").alias("n")), lambda a, x: F.when(
-            a["digit"].isNull() & (a["sum"] + x["tokens"] <= F.col("b_need")), F.struct((a["sum"] + x["tokens"]).alias("sum"), a["digit"].alias("digit"), a["n"].alias("n"))).when(
+            a["digit"].isNull() & (a["sum"] + x["tokens"] <= F.col("rest")), F.struct((a["sum"] + x["tokens"]).alias("sum"), a["digit"].alias("digit"), a["n"].alias("n"))).when(
             a["digit"].isNull(), F.struct(a["sum"].alias("sum"), x["digit"].alias("digit"), x["n"].alias("n"))).otherwise(a))
-        got = {r["pid"]: r["w"] for r in found.select("pid", walk.alias("w")).collect()}
-        for p in list(live):
-            w = got.get(p)
-            if w is None or w["digit"] is None:  # all rows with this prefix fit
-                left[p] -= w["sum"] if w else 0
-                limit[p] = (prefix[p] + 1) << (shift + _DIGIT) if shift < _BITS - _DIGIT else 1 << _BITS
-                live.discard(p)
-                continue
-            left[p] -= w["sum"]
-            prefix[p] = w["digit"]
-            limit[p] = w["digit"] << at
-            if w["n"] <= 1 or at == 0:
-                live.discard(p)
-        shift -= _DIGIT
-    return limit, left
+        step = now.join(found.select("members", walk.alias("w")), "members", "left")
+        digit, seen = F.col("w.digit"), F.col("limit").isNull()
+        limit = F.when(~seen, F.col("limit")).when(digit.isNull(), F.shiftleft(F.col("prefix") + 1, shift + _DIGIT))  # all rows with this prefix fit
+        limit = limit.when((F.col("w.n") <= 1) | F.lit(at == 0), F.shiftleft(digit, at))
+        now = saved(step.select("members", "since", "most", F.when(seen, F.col("rest") - F.coalesce("w.sum", F.lit(0))).otherwise(F.col("rest")).alias("rest"),
+                                F.when(seen, F.coalesce(digit, F.col("prefix"))).otherwise(F.col("prefix")).alias("prefix"), limit.alias("limit")), "mix-digits")
+        if now.filter("limit IS NULL").isEmpty():
+            break
+    return now.select("members", "limit", "rest")
 
 
-def _selected(sized: DataFrame, need: dict[int, int]) -> dict[int, list[tuple[int, int, int]]]:
-    """pattern -> ranges of the order (first, end, largest size) whose documents are taken, need[pattern] tokens at most.
+def _selected(sized: DataFrame, need: DataFrame) -> DataFrame:
+    """(members, ranges): ranges of the order (first, end, largest size) whose documents are taken, ``need`` tokens at most.
 
     A range ends at the first document that no longer fits; the next one goes on
     from there with the documents that still fit, until none does. What is left
     shrinks below that document's size each time, so in a random order the ranges
     are few: about the logarithm of the number of documents.
     """
-    ranges: dict[int, list[tuple[int, int, int]]] = {p: [] for p in need}
-    since, left = {p: 0 for p in need}, dict(need)
-    while left:
-        limit, rest = _threshold(sized, left, since)
-        for p in list(left):
-            # nothing is taken only where rows of one order don't fit together: the next range begins behind them
-            end = limit[p] if rest[p] < left[p] else limit[p] + 1
-            if rest[p] < left[p]:
-                ranges[p].append((since[p], limit[p], left[p]))
-            if rest[p] > 0 and end < 1 << _BITS:
-                since[p], left[p] = end, rest[p]
-            else:
-                del left[p], since[p]
-    return ranges
+    state = saved(need.select("members", F.lit(0).cast("long").alias("since"), F.col("need").alias("left"), F.array().cast(_RANGES).alias("ranges")), "mix-ranges")
+    while not state.filter("left > 0").isEmpty():
+        cut = state.join(_threshold(sized, state.filter("left > 0")), "members", "left")
+        some = F.col("rest") < F.col("left")
+        # nothing is taken only where rows of one order don't fit together: the next range begins behind them
+        end = F.when(some, F.col("limit")).otherwise(F.col("limit") + 1)
+        further = (F.col("rest") > 0) & (end < F.lit(1 << _BITS))
+        new = F.array(F.struct(F.col("since").alias("first"), F.col("limit").alias("end"), F.col("left").alias("most")))
+        state = saved(cut.select("members", F.when(further, end).otherwise(F.col("since")).alias("since"), F.when(further, F.col("rest")).otherwise(F.lit(0).cast("long")).alias("left"),
+                                 F.when(some, F.concat("ranges", new)).otherwise(F.col("ranges")).alias("ranges")), "mix-ranges")
+    return state.select("members", "ranges")
+
+
+def sources_of(patterns: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
+    """(source, size, weight, place) of each source in ``patterns`` (members, size); places in code point order, NULL last.
+
+    The sort numbers the sources within its parts; the driver adds up the parts'
+    counts, one a shuffle partition.
+    """
+    spark = patterns.sparkSession
+    own = patterns.select(F.explode("members").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("size"))
+    own = saved(own.orderBy(F.col("source").isNull(), "source").withColumn("at", F.monotonically_increasing_id()), "mix-sources")
+    own = own.withColumn("part", F.shiftright("at", 33))
+    firsts, total = [], 0
+    for r in own.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():
+        firsts.append((r["part"], total))
+        total += r["n"]
+    own = own.join(F.broadcast(spark.createDataFrame(firsts, "part long, first long")), "part")
+    own = own.select("source", "size", (F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("place"))
+    if weights is None:
+        return own.withColumn("weight", 1.0 + F.col("place") % 3)
+    given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "name string, weight double")
+    return own.join(given, F.col("source").eqNullSafe(F.col("name")), "left").select("source", "size", "place", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+
+
+def quotas(sources: DataFrame, most: int = MAX_COPIES) -> DataFrame:
+    """``sources`` (size, weight, ...) with ``target``: shares of all sizes; none above ``most`` times its size, the excess reshared by weight.
+
+    Every source gets its weight times one level, or its bound if that is less.
+    The level rises from pass to pass, each one aggregate, until no further source
+    reaches its bound.
+    """
+    level, bound, last = 0.0, most * F.col("size"), -1
+    while True:
+        over, real = F.lit(level) * F.col("weight") > bound, (F.col("weight") > 0) & (F.col("size") > 0)
+        r = sources.agg(F.sum("size").alias("all"), F.count(F.when(real & over, 1)).alias("n"), F.sum(F.when(real & over, bound)).alias("bound"),
+                        F.sum(F.when(real & ~over, F.col("weight"))).alias("weight")).first()
+        if r["n"] == last:
+            break
+        if not r["weight"]:
+            level = float("inf")
+            break
+        level, last = (r["all"] - (r["bound"] or 0)) / r["weight"], r["n"]
+    return sources.withColumn("target", F.when(F.col("weight") > 0, F.least(F.lit(level) * F.col("weight"), bound.cast("double"))).otherwise(F.lit(0.0)))
+
+
+def flows(patterns: DataFrame, sources: DataFrame, copies: int = MAX_COPIES) -> DataFrame:
+    """(members, sent): the tokens that each pattern (members, size) sends to the sources (source, place, target) by the least-cost flow.
+
+    A source that no other overlaps takes the least of its quota and its pattern's
+    copies, in columns. Others are grouped by component; one task solves one component.
+    """
+    arcs = patterns.select("members", "size", F.explode("members").alias("name")).join(
+        sources, F.col("name").eqNullSafe(F.col("source"))).select("members", patterns["size"], "place", F.rint("target").cast("long").alias("quota"))
+    trivial = arcs.select("members", F.least("quota", copies * F.col("size")).alias("sent"))
+    if patterns.filter(F.size("members") > 1).isEmpty():
+        return trivial
+    arcs = saved(arcs, "mix-arcs")
+    wide = arcs.groupBy("members").agg(F.min("place").alias("u"), F.collect_list("place").alias("v")).filter(F.size("v") > 1)
+    roots = component_roots(wide.select("u", F.explode("v").alias("v")))
+    arcs = arcs.join(roots, arcs["place"] == roots["v"], "left").withColumn("root", F.coalesce("root", "place"))
+    linked = roots.select("root").distinct()
+    alone = arcs.join(linked, "root", "left_anti").select("members", F.least("quota", copies * F.col("size")).alias("sent"))
+    parts = arcs.join(linked, "root").groupBy("root", "members", "size").agg(F.sort_array(F.collect_list(F.struct("place", "quota"))).alias("to"))
+    parts = parts.groupBy("root").agg(F.sort_array(F.collect_list(F.struct("to", "size", "members"))).alias("patterns"))
+
+    def start():
+        def one(ps):
+            quota = dict(sorted({t["place"]: t["quota"] for p in ps for t in p["to"]}.items()))
+            at = {s: i for i, s in enumerate(quota)}
+            return min_cost_flow([p["size"] for p in ps], [[at[t["place"]] for t in p["to"]] for p in ps], list(quota.values()), copies)
+
+        def step(groups):
+            return ([p["members"] for ps in groups for p in ps], [sum(f.values()) for ps in groups for f in one(ps)])
+
+        return step
+
+    return alone.unionByName(map_lists(parts.select("patterns"), start, "members array<string>, sent long"))
 
 
 def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | None = None, seed: int = 7, carry: list[str] = ()) -> DataFrame:
@@ -184,48 +231,35 @@ def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | Non
 
 
 def _plan(docs, members, weights, seed, carry):
-    spark = docs.sparkSession
     text = F.xxhash64(F.col("text"))
+    held = F.coalesce(F.array_sort(F.array_distinct(members)), F.array().cast("array<string>"))
     sized = saved(docs.select(
-        "doc_id", *carry, F.array_sort(F.array_distinct(members)).alias("members"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        "doc_id", *carry, held.alias("members"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         _order(seed, F.col("doc_id").cast("string"), text).alias("b_order")), "mix-sizes")
-    patterns = sorted(((tuple(r["members"] or ()), r["size"]) for r in sized.groupBy("members").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()),
-                      key=lambda x: [(m is None, m or "") for m in x[0]])
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    names = sorted({m for ms, _ in patterns for m in ms}, key=lambda m: (m is None, m or ""))
-    place = {m: i for i, m in enumerate(names)}
-    sizes = [sum(n for ms, n in patterns if m in ms) for m in names]
-    weight = [float(weights.get(m, 0)) if weights is not None else 1.0 + i % 3 for i, m in enumerate(names)]
-    target = quotas(sizes, weight)
-    flow = min_cost_flow([n for _, n in patterns], [[place[m] for m in ms] for ms, _ in patterns], [round(t) for t in target])
-    whole, need, out = {}, {}, {}
-    for p, (_, n) in enumerate(patterns):
-        whole[p], need[p] = divmod(sum(flow[p].values()), n) if n else (0, 0)
-        out[p] = 2 * need[p] > n  # rather the documents that get no further copy are selected
-        need[p] = n - need[p] if out[p] else need[p]
-    schema = "pid int, members array<string>"
-    ids = spark.createDataFrame([(p, list(ms)) for p, (ms, _) in enumerate(patterns)], schema)
-    sized = sized.join(F.broadcast(ids), "members")
-    ranges = _selected(sized, {p: n for p, n in need.items() if n > 0})
-    plan = [(p, whole[p], ranges.get(p, []), out[p]) for p in range(len(patterns))]
-    return sized, plan, [(m, n, t) for m, n, t in zip(names, sizes, target)]
-
-
-def _take(sized: DataFrame, plan: list) -> DataFrame:
-    small = sized.sparkSession.createDataFrame(plan, "pid int, b_whole long, b_ranges array<struct<first:long,end:long,most:long>>, b_out boolean")  # a row per pattern
+    patterns = saved(sized.groupBy("members").agg(F.sum("size").alias("size")), "mix-patterns")
+    sources = saved(quotas(sources_of(patterns, weights)), "mix-targets")
+    sent, n = F.coalesce("sent", F.lit(0)), F.col("size")
+    plan = patterns.join(flows(patterns, sources), "members", "left").select(
+        "members", "size", F.when(n > 0, F.expr("coalesce(sent, 0) div size")).otherwise(F.lit(0)).cast("long").alias("b_whole"), F.when(n > 0, sent % n).otherwise(F.lit(0)).alias("more"))
+    out = 2 * F.col("more") > n  # rather the documents that get no further copy are selected
+    plan = saved(plan.select("members", "b_whole", out.alias("b_out"), F.when(out, n - F.col("more")).otherwise(F.col("more")).alias("need")), "mix-plan")
+    ranges = _selected(sized, plan.select("members", "need"))
+    return sized, plan.join(ranges, "members").select("members", "b_whole", "b_out", F.col("ranges").alias("b_ranges")), sources
+
+
+def _take(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """Each row with its copies. Spark broadcasts the plan, a row a pattern, where its size allows, and else splits a hot pattern's rows."""
     more = F.exists("b_ranges", lambda r: (F.col("b_order") >= r["first"]) & (F.col("b_order") < r["end"]) & (F.col("size") <= r["most"])) != F.col("b_out")
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("b_whole") + more.cast("long")).cast("long")
-    return sized.join(F.broadcast(small), "pid").withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop(
-        "pid", "b_order", "b_whole", "b_ranges", "b_out")
+    return sized.join(saved(plan, "mix-taken"), "members").withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop(
+        "b_order", "b_whole", "b_ranges", "b_out")
 
 
 def mix_report(docs: DataFrame, seed: int = 7) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, where each document's one source is its column ``source``."""
-    spark = docs.sparkSession
     sized, plan, sources = _plan(docs, F.array("source"), None, seed, [])
-    small = spark.createDataFrame([([m], n, t) for m, n, t in sources], "members array<string>, source_size long, target double")
-    return _take(sized, plan).join(F.broadcast(small), "members").select("doc_id", "size", "source_size", "target", "taken", "copies")
+    small = plan.join(sources.select(F.array("source").alias("members"), F.col("size").alias("source_size"), "target"), "members")
+    return _take(sized, small).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:

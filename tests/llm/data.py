@@ -41,3 +41,24 @@ def clashing(spark, data=None):
               "b_r1", "b_r2", "b_added", "b_row", "b_order", "r1", "r2", "z_row", "z_r1", "z_lang", "pos", "t", "h1", "m_id", "d_text", "words"):
         df = df.selectExpr("*", f"doc_id AS {c}")
     return df
+
+
+def quotas(sizes: list[int], weights: list[float], most: float = 3) -> list[float]:
+    """Shares of the total by weight; none above ``most`` times its size, the excess reshared by weight."""
+    target = [0.0] * len(sizes)
+    rest, left = [i for i in range(len(sizes)) if sizes[i] > 0], float(sum(sizes))
+    for i in list(rest):
+        if weights[i] <= 0:
+            rest.remove(i)
+    while rest:
+        per = left / sum(weights[i] for i in rest)
+        over = [i for i in rest if per * weights[i] > most * sizes[i]]
+        if not over:
+            for i in rest:
+                target[i] = per * weights[i]
+            break
+        for i in over:
+            target[i] = float(most * sizes[i])
+            left -= target[i]
+            rest.remove(i)
+    return target

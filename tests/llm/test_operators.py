@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import random
 import re
 import sys
 import zlib
@@ -85,7 +86,7 @@ def test_source_mix_meets_quotas(spark):
     for _, t, _, s, _ in data.rows():
         size[s] += len(words(t))
     names = sorted(size, key=lambda s: (s is None, s or ""))
-    want = dict(zip(names, source_mix.quotas([size[s] for s in names], [1.0 + i % 3 for i in range(len(names))])))
+    want = dict(zip(names, data.quotas([size[s] for s in names], [1.0 + i % 3 for i in range(len(names))])))
     assert {(r.source_size, round(r.target, 6)) for r in got} == {(size[s], round(want[s], 6)) for s in names}
     assert all(r.taken <= 3 * r.size and r.taken == r.copies * r.size for r in got)
     taken = Counter()
@@ -114,16 +115,83 @@ def test_source_mix_fills_behind_a_long_document(spark):
     assert all(abs(taken[s] - t) <= (100 if s == 6 else 30) for s, t in target.items())
 
 
-def test_quotas_and_flow():
-    assert source_mix.quotas([100, 100, 100], [1, 2, 3]) == [50, 100, 150]
-    q = source_mix.quotas([10, 1000], [5, 1])
-    assert q[0] == 30 and math.isclose(sum(q), 1010)
-    assert source_mix.quotas([0, 0], [1, 1]) == [0, 0]
-    flow = source_mix.min_cost_flow([100, 50, 30], [[0], [0, 1], [1]], [120, 150])
-    assert sum(flow[0].values()) >= 100
-    assert sum(f.get(0, 0) for f in flow) == 120 and sum(f.get(1, 0) for f in flow) == 150
-    # least repetition: first copies are used up before second ones
-    assert sum(min(sum(f.values()), c) for f, c in zip(flow, [100, 50, 30])) == 180
+def cost_of(sent, capacity, copies=3):
+    """Tokens sent, and what their repetition costs (0, 1, 2 a token)."""
+    return sum(sent), sum(sum(max(0, min(n - k * c, c)) * k for k in range(copies)) for n, c in zip(sent, capacity))
+
+
+def test_quotas(spark):
+    assert data.quotas([100, 100, 100], [1, 2, 3]) == [50, 100, 150]
+    r = random.Random(4)
+    for sizes in ([10, 1000], [0, 0], [0, 5, 900, 3, 3], [], [r.choice([0, 1, 7, 10_000]) for _ in range(40)]):
+        weights = [float(r.randint(0, 5)) for _ in sizes]
+        table = spark.createDataFrame([(i, n, w) for i, (n, w) in enumerate(zip(sizes, weights))], "place long, size long, weight double")
+        got = {x.place: x.target for x in source_mix.quotas(table).collect()}
+        assert [got[i] for i in range(len(sizes))] == pytest.approx(data.quotas(sizes, weights))
+
+
+def test_flow_against_every_flow():
+    from itertools import product
+
+    r = random.Random(2)
+    for _ in range(60):
+        capacity, quota = [r.randint(0, 2) for _ in range(3)], [r.randint(0, 4), r.randint(0, 4)]
+        got = source_mix.min_cost_flow(capacity, [[0], [0, 1], [1]], quota)
+        assert all(sum(f.get(s, 0) for f in got) <= quota[s] for s in (0, 1)) and all(sum(f.values()) <= 3 * c for f, c in zip(got, capacity))
+        assert not got[0].get(1) and not got[2].get(0)
+        every = [cost_of((a, b + c, d), capacity) for a, b, c, d in product(*(range(3 * capacity[p] + 1) for p in (0, 1, 1, 2)))
+                 if a + b <= quota[0] and c + d <= quota[1] and b + c <= 3 * capacity[1]]
+        most = max(n for n, _ in every)
+        assert cost_of([sum(f.values()) for f in got], capacity) == (most, min(c for n, c in every if n == most))
+
+
+def test_flows_by_component(spark):
+    # chains of overlapping sources, single sources, a NULL source, patterns without a source or a token
+    r = random.Random(5)
+    names = [f"s{i:02}" for i in range(30)] + [None]
+    held = {(): 5, ("s00",): 0, (None,): 40}
+    for i in range(30):
+        held[(names[i],)] = r.randint(0, 60)
+        if i % 5 < 3:
+            held[(names[i], names[i + 1])] = r.randint(1, 60)
+    held[("s10", "s20", None)] = 33
+    patterns = spark.createDataFrame([(list(m), n) for m, n in held.items()], "members array<string>, size long")
+    sources = source_mix.quotas(source_mix.sources_of(patterns)).collect()
+    sizes = [sum(n for m, n in held.items() if s in m) for s in names]
+    assert [(s.source, s.size) for s in sorted(sources, key=lambda s: s.place)] == list(zip(names, sizes))
+    want = data.quotas(sizes, [1.0 + i % 3 for i in range(31)])
+    assert [s.target for s in sorted(sources, key=lambda s: s.place)] == pytest.approx(want)
+    got = {tuple(x.members): x.sent for x in source_mix.flows(patterns, source_mix.quotas(source_mix.sources_of(patterns))).collect()}
+    keys = [m for m in held if m]
+    assert set(got) == set(keys)
+    flow = source_mix.min_cost_flow([held[m] for m in keys], [[names.index(s) for s in m] for m in keys], [round(t) for t in want])
+    capacity = [held[m] for m in keys]
+    assert cost_of([got[m] for m in keys], capacity) == cost_of([sum(f.values()) for f in flow], capacity)
+
+
+def test_many_sources(spark):
+    r = random.Random(9)
+    rows = [(i, "w " * r.randint(0, 9), None, f"domain-{i * 7919 % 10_000:05}" if i else None, 0) for i in range(25_000)]
+    got = source_mix.mix_report(data.table(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by, size = {}, Counter()
+    for _, t, _, s, _ in rows:
+        size[s] += len(words(t))
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    want = dict(zip(names, data.quotas([size[s] for s in names], [1.0 + i % 3 for i in range(len(names))])))
+    source = {x[0]: x[3] for x in rows}
+    for x in got:
+        assert x.source_size == size[source[x.doc_id]] and math.isclose(x.target, want[source[x.doc_id]])
+        by.setdefault(source[x.doc_id], []).append((x.size, x.copies))
+    for s, docs in by.items():
+        docs = [(n, c) for n, c in docs if n]
+        miss = round(want[s]) - sum(n * c for n, c in docs)
+        if not docs:
+            continue
+        least, most = min(c for _, c in docs), max(c for _, c in docs)
+        assert most - least <= 1 and most <= 3
+        # no document more, or less, would still fit
+        assert all(n > abs(miss) for n, c in docs if miss and c == (least if miss > 0 else most) and (miss < 0 or c < 3))
 
 
 def test_overlapping_sources(spark):

@@ -85,7 +85,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     for r in before:
         by.setdefault(r[3], []).append((len(words(r[1])), copies[r]))
     names = sorted(by, key=lambda s: (s is None, s or ""))
-    target = source_mix.quotas([sum(n for n, _ in by[s]) for s in names], [1.0 + i % 3 for i in range(len(names))])
+    target = data.quotas([sum(n for n, _ in by[s]) for s in names], [1.0 + i % 3 for i in range(len(names))])
     for s, t in zip(names, target):
         sized = [(n, c) for n, c in by[s] if n]
         least, most = min(c for _, c in sized), max(c for _, c in sized)
