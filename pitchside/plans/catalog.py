@@ -153,6 +153,18 @@ def scan_untidy_malformed(spark, sf_dir):
     return CSV.count_malformed(spark, _raw_csv(spark, sf_dir), RAW_SCHEMA)
 
 
+@query
+def scan_untidy_ledger(spark, sf_dir):
+    """Every rejected record with the column and the reason."""
+    return CSV.reject_ledger(spark, _raw_csv(spark, sf_dir), RAW_SCHEMA).drop("file")
+
+
+@query
+def scan_untidy_rejects(spark, sf_dir):
+    """The rejected fields by column and reason."""
+    return CSV.reject_counts(CSV.reject_ledger(spark, _raw_csv(spark, sf_dir), RAW_SCHEMA))
+
+
 @query
 def scan_inferred(spark, sf_dir):
     """Types inferred from the data (opt-in)."""

@@ -612,6 +612,10 @@ ORACLE_SQL = {name: _positive_zero(sql) for name, sql in ORACLE_SQL.items()}
 oracle("scan_untidy", with_views("""SELECT "ID", "Name" || ', Jr.' AS "Name", CASE WHEN "ID" % 10 <> 3 THEN "Club" END AS "Club", "Overall"
 FROM players WHERE "ID" % 10 <> 5"""))
 oracle("scan_untidy_malformed", with_views('SELECT count(*) AS "rows", count(*) FILTER ("ID" % 10 = 5) AS malformed FROM players'))
+oracle("scan_untidy_ledger", with_views("""SELECT 'Overall' AS "column", 'cast' AS reason,
+'bad,"' || "Name" || ', Jr.",' || "ID" || ',' || "Club" AS record FROM players WHERE "ID" % 10 = 5"""))
+oracle("scan_untidy_rejects", with_views("""SELECT 'Overall' AS "column", 'cast' AS reason, count(*) AS fields
+FROM players WHERE "ID" % 10 = 5 HAVING count(*) > 0"""))
 oracle("scan_inferred", with_views('SELECT "ID", "Name", "Club", "Overall", round("Crossing", 6) AS "Crossing" FROM players'))
 oracle("recommend_players", ORACLE_SQL["mvp_for_team"])
 oracle("recommend_clubs", ORACLE_SQL["mvt_for_player"])

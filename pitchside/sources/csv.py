@@ -8,7 +8,10 @@ need no back-ticks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schema import PLAYER_SCHEMA, RENAMES
 
@@ -72,6 +75,17 @@ def _permissive(spark: SparkSession, path: str, schema: T.StructType, header: bo
             .option("enforceSchema", True).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
+def _rejected(df: DataFrame) -> Column:
+    """Whether the record is corrupt.
+
+    Spark prunes a scan to the columns that a query names and casts only those, so a bad field
+    elsewhere would pass: every typed column takes part here, in a test that never holds.
+    """
+    typed = [f.name for f in df.schema.fields if f.name != CORRUPT and not isinstance(f.dataType, T.StringType)] or [df.columns[0]]
+    nulls = reduce(add, [F.col(f"`{c}`").isNull().cast("int") for c in typed])
+    return F.col(CORRUPT).isNotNull() | (nulls < 0)
+
+
 def _lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
     """The non-empty lines without the files' header lines (equal to the first line of the first file)."""
     lines = spark.read.text(path).where(F.length("value") > 0)
@@ -88,7 +102,7 @@ def read_strict(spark: SparkSession, path: str, schema: T.StructType = PLAYER_SC
     """
     if quoted:
         df = _permissive(spark, path, schema, header, extra)
-        return _ordered(df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), schema)
+        return _ordered(df.where(~_rejected(df)).drop(CORRUPT), schema)
     own = _file_schema(spark, path, schema, header, extra)
     kept = _lines(spark, path, header).where(F.size(F.split(F.col("value"), ",", -1)) == len(own.fields))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*own.fields, T.StructField(CORRUPT, T.StringType())])
@@ -104,9 +118,35 @@ def count_malformed(spark: SparkSession, path: str, schema: T.StructType = PLAYE
         width = F.size(F.split(F.col("value"), ",", -1))
         return _lines(spark, path, header).agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(width != len(own.fields), F.lit(1))).alias("malformed"))
     df = _permissive(spark, path, schema, header, extra)
-    # Spark refuses a query on the corrupt column alone, so a data column takes part too.
-    bad = F.col(CORRUPT).isNotNull() | (F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")) == F.lit("\x00"))
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, F.lit(1))).alias("malformed"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(_rejected(df), F.lit(1))).alias("malformed"))
+
+
+def reject_ledger(spark: SparkSession, path: str, schema: T.StructType = PLAYER_SCHEMA,
+                  header: bool = True, extra: str = "error") -> DataFrame:
+    """(file, column, reason, record): why ``read_strict`` leaves a record out, a row for each failing field.
+
+    Reasons: ``quote`` (a quote is not closed, as in a record cut by a line break
+    inside quotes), ``width`` (fewer or more fields than the header), each with a NULL
+    column; ``cast`` (the column's type can't hold its field). The reader tokenises
+    every record once; only those it rejects are split again as text, to tell a field
+    that failed from one that is blank. No rejects give an empty table.
+    """
+    df = _permissive(spark, path, schema, header, extra)
+    names = [c for c in df.columns if c != CORRUPT]
+    typed = {c: f"t{i}" for i, c in enumerate(names)}
+    bad = df.select(F.col("_metadata.file_name").alias("file"), F.col(CORRUPT).alias("record"), *[F.col(f"`{c}`").alias(t) for c, t in typed.items()]).where(F.col("record").isNotNull())
+    texts = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(names))] + [T.StructField("wrong", T.StringType())])
+    bad = bad.withColumn("x", F.from_csv("record", texts.simpleString()[len("struct<"):-1].replace(":", " "), {"columnNameOfCorruptRecord": "wrong"}))
+    entry = lambda column, reason: F.struct(F.lit(column).cast("string").alias("column"), F.lit(reason).alias("reason"))
+    casts = F.array_compact(F.array(*[F.when(F.col(f"x.f{i}").isNotNull() & F.col(t).isNull(), entry(RENAMES.get(c, c), "cast")) for i, (c, t) in enumerate(typed.items())]))
+    quotes = F.length("record") - F.length(F.replace("record", F.lit('"'), F.lit("")))
+    why = F.when(quotes % 2 == 1, F.array(entry(None, "quote"))).when(F.col("x.wrong").isNotNull(), F.array(entry(None, "width"))).otherwise(casts)
+    return bad.select("file", F.explode(why).alias("e"), "record").select("file", "e.column", "e.reason", "record")
+
+
+def reject_counts(ledger: DataFrame) -> DataFrame:
+    """(column, reason, fields) of a ledger; counts of several files or days add up."""
+    return ledger.groupBy("column", "reason").agg(F.count(F.lit(1)).alias("fields"))
 
 
 def write_players(df: DataFrame, path: str) -> None:
