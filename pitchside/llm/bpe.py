@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -17,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import map_lists
-from .vocab import BYTE_SPLIT, WS, ByteCache, Cache, byte_symbols, kept, load, special_pattern
+from .vocab import BYTE_SPLIT, WS, ByteCache, byte_symbols, kept, load, special_pattern
 
 
 def merge_ids(ids: list[int], rank: list[dict[int, int]], made: list[int]) -> list[int]:
@@ -30,12 +31,10 @@ def merge_ids(ids: list[int], rank: list[dict[int, int]], made: list[int]) -> li
         return ids
     push, pop = heapq.heappush, heapq.heappop
     sym, prev, nxt = list(ids), list(range(-1, n - 1)), list(range(1, n + 1))
-    queue = [x * n + i for i in range(n - 1) if (x := rank[ids[i]].get(ids[i + 1])) is not None]
+    queue = [x * n + i for i, (a, b) in enumerate(zip(ids, ids[1:])) if (x := rank[a].get(b)) is not None]
     heapq.heapify(queue)
     while queue:
-        e = pop(queue)
-        x = e // n
-        i = e - x * n
+        x, i = divmod(pop(queue), n)
         s, j = sym[i], nxt[i]
         if s < 0 or j >= n or rank[s].get(sym[j]) != x:
             continue  # one of the two has merged since
@@ -52,8 +51,21 @@ def merge_ids(ids: list[int], rank: list[dict[int, int]], made: list[int]) -> li
     return [s for s in sym if s >= 0]
 
 
+_NOTHING = hashlib.sha256(b"").hexdigest()
+
+#: Bytes of a worker's cache of encoded units: where only digests are made, and where the ids of a batch are held beside it.
+DIGEST_BYTES, IDS_BYTES = 256 << 20, 64 << 20
+
+
 class Codec:
-    """Encodes and decodes whole texts; units of a text (a word with the space before it) are cached."""
+    """Encodes and decodes whole texts.
+
+    Units of a text (a word with the space before it) are cached, and of each only
+    its ids as 32-bit integers: one small object beside the word. Decimals and
+    vocabulary strings of all ids of a text come from tables.
+    """
+
+    most = DIGEST_BYTES
 
     def __init__(self, voc: dict):
         vocab, byte = voc["vocab"], byte_symbols()
@@ -68,76 +80,57 @@ class Codec:
         self.special = voc["special"]
         self.find_special = special_pattern(self.special)
         back = {c: b for b, c in enumerate(byte)}
-        self.string = {i: bytes(back[c] for c in s) for s, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
+        string = {i: bytes(back[c] for c in s) for s, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
+        own = [string.get(i, b"") for i in range(max(string) + 1)]
+        self.size = np.array(list(map(len, own)), np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.strings = np.frombuffer(b"".join(own), np.uint8)
+        self.decimals = np.array([b"%d," % i for i in range(len(own))], "S8").view(np.int64)  # padded with zero bytes
         self.split = regex.compile(BYTE_SPLIT)
         self.units = re.compile(f" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
-        self.tokens = Cache(lambda p: merge_ids(list(map(self.first.__getitem__, p.encode())), self.rank, self.made))
-        self.cache = Cache(self._unit)
+        self.packed = ByteCache(self._packed, self.most)
 
-    def _unit(self, unit: str) -> tuple[list[int], bytes, bytes]:
-        """Ids, their comma-joined decimals, the concatenated vocabulary strings."""
-        ids = [i for p in self.split.findall(unit) for i in self.tokens[p]]
-        return ids, ",".join(map(str, ids)).encode(), b"".join(map(self.string.__getitem__, ids))
+    def _packed(self, unit: str) -> bytes:
+        pieces = self.split.findall(unit)
+        if len(pieces) > 1:
+            return b"".join(map(self.packed.__getitem__, pieces))
+        return array("i", merge_ids(list(map(self.first.__getitem__, unit.encode())), self.rank, self.made)).tobytes()
 
-    def _pieces(self, text: str | None) -> list[tuple[list[int], bytes, bytes]]:
+    def ids(self, text: str | None) -> np.ndarray:
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         if self.find_special is None or not self.find_special.search(text):
-            return list(map(self.cache.__getitem__, self.units.findall(text)))
+            return np.frombuffer(b"".join(map(self.packed.__getitem__, self.units.findall(text))), np.int32)
         out = []
         for k, part in enumerate(self.find_special.split(text)):
-            if k % 2:
-                i = self.special[part]
-                out.append(([i], str(i).encode(), self.string[i]))
-            else:
-                out += map(self.cache.__getitem__, self.units.findall(part))
-        return out
+            out += [np.int32(self.special[part]).tobytes()] if k % 2 else map(self.packed.__getitem__, self.units.findall(part))
+        return np.frombuffer(b"".join(out), np.int32)
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for p in self._pieces(text) for i in p[0]]
+        return self.ids(text).tolist()
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.string.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        """The vocabulary strings of the ids in a row, read as UTF-8."""
+        ids = np.asarray(ids, np.int32)
+        size = self.size.take(ids)
+        end = np.cumsum(size)
+        at = np.repeat(self.start.take(ids) - end + size, size)
+        at += np.arange(len(at))
+        return self.strings.take(at).tobytes().decode("utf-8", "replace")
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the comma-joined ids, SHA-256 of the decoded text."""
-        pieces = self._pieces(text)
-        if not pieces:
+        ids = self.ids(text)
+        if not len(ids):
             return 0, _NOTHING, _NOTHING
-        ids, decimals, strings = zip(*pieces)
-        back = b"".join(strings).decode("utf-8", "replace")
-        return sum(map(len, ids)), hashlib.sha256(b",".join(decimals)).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
-
-
-_NOTHING = hashlib.sha256(b"").hexdigest()
-
-#: Bytes of a worker's cache of encoded units.
-IDS_BYTES = 64 << 20
+        decimals = self.decimals.take(ids).tobytes().translate(None, b"\0")[:-1]
+        return len(ids), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(self.decode(ids).encode()).hexdigest()
 
 
 class Encoder(Codec):
-    """Encodes whole texts; of a unit only its ids are kept, as 32-bit integers, so the cache is small."""
-
-    def __init__(self, voc: dict):
-        super().__init__(voc)
-        self.tokens = self.cache = None
-        self.packed = ByteCache(self._packed, IDS_BYTES)
+    """With the smaller cache."""
 
-    def _packed(self, unit: str) -> bytes:
-        ids: list[int] = []
-        for p in self.split.findall(unit):
-            ids += merge_ids(list(map(self.first.__getitem__, p.encode())), self.rank, self.made)
-        return np.array(ids, np.int32).tobytes()
-
-    def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        if self.find_special is None or not self.find_special.search(text):
-            return np.frombuffer(b"".join(map(self.packed.__getitem__, self.units.findall(text))), np.int32)
-        out = []
-        for k, part in enumerate(self.find_special.split(text)):
-            out += [np.int32(self.special[part]).tobytes()] if k % 2 else map(self.packed.__getitem__, self.units.findall(part))
-        return np.frombuffer(b"".join(out), np.int32)
+    most = IDS_BYTES
 
 
 def _apply(docs: DataFrame, path: str, kind: type[Codec], make: Callable[[Codec], Callable], columns: str, carry: list[str]) -> DataFrame:
@@ -161,7 +154,7 @@ def encode(docs: DataFrame, path: str, carry: list[str] = ("doc_id",)) -> DataFr
     def make(codec):
         def one(text):
             ids = codec.ids(text)
-            return ids, len(ids), codec.decode(ids.tolist()) == (text or "")
+            return ids, len(ids), codec.decode(ids) == (text or "")
         return one
 
     return _apply(docs, path, Encoder, make, "ids array<int>, n_tokens long, round_trip boolean", list(carry))

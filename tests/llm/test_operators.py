@@ -472,6 +472,23 @@ def test_encoder_cache_is_bounded():
         assert e.ids(text).tolist() == plain.encode(text)
 
 
+def test_codec_caches_ids_only():
+    from tokenizers import Tokenizer
+
+    from pitchside.llm import vocab
+
+    b = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    codec = bpe.Codec(vocab.load(P.path("byte_bpe_50k.json")))
+    for text in [*ODD, "<|endoftext|> x <|endoftext|>", "a\0b \0", "don't'll 12,5 (x)  y", "word, words; " * 50]:
+        ids = b.encode(text, add_special_tokens=False).ids
+        back = b.decode(ids, skip_special_tokens=False)
+        assert codec.digests(text) == (len(ids), sha(",".join(map(str, ids))), sha(back)) and codec.decode(ids) == back
+    assert codec.digests(None) == codec.digests("") == (0, sha(""), sha("")) and codec.decode([]) == ""
+    # one small object a unit, all of them within a bound on bytes
+    assert {type(v) for v in codec.packed.values()} == {bytes}
+    assert sum(map(len, codec.packed.values())) < codec.packed.size <= codec.packed.most < bpe.DIGEST_BYTES
+
+
 def test_gru_gradients():
     import numpy as np
 
