@@ -126,16 +126,23 @@ class Scorer:
         return out.reshape(len(x), STRIDE)
 
 
-def _sums(like: np.ndarray, rows: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Sums of d by its place in a table like ``like``."""
+def _sums(size: int, rows: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Sums of d by its row in a table of ``size`` rows."""
     order = np.argsort(rows, kind="stable")
     rows = rows.take(order)
     first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    out = np.zeros_like(like)
+    out = np.zeros((size, d.shape[1]), d.dtype)
     out[rows[first]] = np.add.reduceat(d.take(order, axis=0), first, axis=0)
     return out
 
 
+def _soften(z: np.ndarray) -> None:
+    """Softmax of each row, in place."""
+    z -= np.ascontiguousarray(z.T).max(0)[:, None]  # along rows this short, numpy's maximum is slow
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+
+
 def gradients(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the targets and its gradients."""
     q, k, v, s, h3 = _attend(p, x)
@@ -145,32 +152,44 @@ def gradients(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, n
     real = y != PAD
     n = np.float32(max(1, real.sum()))
     cls, mem = y // MEMBERS, y % MEMBERS
-    z = h @ p["C"] + p["c"]
-    z = np.exp(z - z.max(1, keepdims=True))
-    z /= z.sum(1, keepdims=True)
-    loss = -np.log(z[np.arange(len(y)), cls])[real].sum()
-    z[np.arange(len(y)), cls] -= 1
+    at = np.arange(len(y))
+    z = h @ p["C"]
+    z += p["c"]
+    _soften(z)
+    loss = -np.log(z[at, cls])[real].sum()
+    z[at, cls] -= 1
     z *= (real / n)[:, None].astype(np.float32)
     g = {"C": h.T @ z, "c": z.sum(0), "M": np.zeros_like(p["M"]), "m": np.zeros_like(p["m"])}
     dh = z @ p["C"].T
-    for c in np.unique(cls[real]):
-        own = np.flatnonzero(real & (cls == c))
-        z = h[own] @ p["M"][c] + p["m"][c]
-        z = np.exp(z - z.max(1, keepdims=True))
-        z /= z.sum(1, keepdims=True)
-        loss -= np.log(z[np.arange(len(own)), mem[own]]).sum()
-        z[np.arange(len(own)), mem[own]] -= 1
-        z /= n
-        g["M"][c], g["m"][c] = h[own].T @ z, z.sum(0)
-        dh[own] += z @ p["M"][c].T
+    # targets by class, padding last: a product for each class, all else over all targets at once
+    key = np.where(real, cls, CLASSES).astype(np.uint8)
+    ends = np.cumsum(np.bincount(key, minlength=CLASSES + 1))[:CLASSES].tolist()
+    order = np.argsort(key, kind="stable")[: ends[-1]]
+    own, at, mem = h.take(order, axis=0), at[: ends[-1]], mem.take(order)
+    parts = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+    z = np.empty((len(order), MEMBERS), np.result_type(h, p["M"]))
+    for c, a, b in parts:
+        np.matmul(own[a:b], p["M"][c], out=z[a:b])
+        z[a:b] += p["m"][c]
+    _soften(z)
+    loss -= np.log(z[at, mem]).sum()
+    z[at, mem] -= 1
+    z /= n
+    back = np.empty_like(own)
+    for c, a, b in parts:
+        np.matmul(own[a:b].T, z[a:b], out=g["M"][c])
+        np.add.reduce(z[a:b], 0, out=g["m"][c])
+        np.matmul(z[a:b], p["M"][c].T, out=back[a:b])
+    dh[order] += back
     da = (dh * (1 - h * h)).reshape(h3.shape)
     ds = da @ v.transpose(0, 2, 1)
     ds = s * (ds - (ds * s).sum(2, keepdims=True))
     g["r"] = np.bincount(_FAR.reshape(-1), weights=ds.sum(0).reshape(-1), minlength=WINDOW).astype(np.float32)
     ds *= np.float32(WIDTH ** -0.5)
     xq = x[:, lead:].reshape(-1)
-    for name, rows, d in (("X", xq, da), ("Q", xq, ds @ k), ("K", x.reshape(-1), ds.transpose(0, 2, 1) @ q), ("V", x.reshape(-1), s.transpose(0, 2, 1) @ da)):
-        g[name] = _sums(p[name], rows, d.reshape(-1, WIDTH))
+    for (one, two), rows, d in (("XQ", xq, (da, ds @ k)), ("VK", x.reshape(-1), (s.transpose(0, 2, 1) @ da, ds.transpose(0, 2, 1) @ q))):
+        both = _sums(len(p[one]), rows, np.concatenate([v.reshape(-1, WIDTH) for v in d], axis=1))
+        g[one], g[two] = both[:, :WIDTH].copy(), both[:, WIDTH:].copy()
     return float(loss / n), g
 
 
