@@ -54,7 +54,7 @@ def merge_ids(ids: list[int], rank: list[dict[int, int]], made: list[int]) -> li
 _NOTHING = hashlib.sha256(b"").hexdigest()
 
 #: Bytes of a worker's cache of encoded units: where only digests are made, and where the ids of a batch are held beside it.
-DIGEST_BYTES, IDS_BYTES = 256 << 20, 64 << 20
+DIGEST_BYTES, IDS_BYTES = 256 << 20, 32 << 20
 
 
 class Codec:
@@ -138,6 +138,8 @@ def _apply(docs: DataFrame, path: str, kind: type[Codec], make: Callable[[Codec]
 
     def start():
         one = make(kept(voc, kind.__name__, kind))
+        for k in ("vocab", "merges"):  # the codec has its own tables
+            voc.value.pop(k, None)
         return lambda texts, *rest: (*rest, *(map(list, zip(*map(one, texts))) if texts else [[] for _ in columns.split(",")]))
 
     own = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)

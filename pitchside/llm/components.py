@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import saved
+from .common import saved_few
 
 
 def component_roots(links: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def component_roots(links: DataFrame) -> DataFrame:
     its smaller ones, till all links lead straight to a root. A hot vertex costs
     partial minima and a join that Spark can split.
     """
-    e = saved(links.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    e = saved_few(links.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     while True:
         # large star: the larger neighbours of a vertex go to the least vertex near it
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -25,7 +25,7 @@ def component_roots(links: DataFrame) -> DataFrame:
         small = e.join(least, "u")
         e = small.select("u", F.col("m").alias("v"), (F.col("m") != F.col("x")).alias("more")).union(
             small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("more")))
-        e = saved(e.groupBy("u", "v").agg(F.max("more").alias("more")), "links")
+        e = saved_few(e.groupBy("u", "v").agg(F.max("more").alias("more")), "links")
         more = not e.filter("more").isEmpty()
         e = e.select("u", "v")
         if not more and e.join(e.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():

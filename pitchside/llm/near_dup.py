@@ -23,12 +23,14 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fresh, lower_words, map_lists, saved
+from .common import fresh, lower_words, map_lists, saved_few
 from .components import component_roots
 from .vocab import Cache
 
 REGISTERS, ROWS = 128, 4
 BASE, SCALE, TOP = 1.001, 20.0, 65534
+#: Words of each of the two generations whose hashes a task keeps; hashing a word again is cheap.
+CACHE_WORDS = 100_000
 #: Rounds with one pivot a bucket, before what is still apart is compared pair by pair.
 PIVOT_ROUNDS = 2
 #: A pair whose estimate is lower than the threshold by this (over 6 standard errors) is not verified.
@@ -48,7 +50,7 @@ def hashed_words(cache: Cache, text: str | None) -> np.ndarray:
 
 
 def word_cache() -> Cache:
-    return Cache(lambda w: xxhash.xxh3_64_intdigest(w))
+    return Cache(lambda w: xxhash.xxh3_64_intdigest(w), CACHE_WORDS)
 
 
 def shingle_set(h: np.ndarray, k: int = 3) -> np.ndarray:
@@ -201,7 +203,7 @@ def _rare_shingles(sets: DataFrame, least: float) -> DataFrame:
 
 def _apart_pairs(rare: DataFrame, roots: DataFrame | None, least: float) -> DataFrame:
     """(a, b): all pairs of different components that share a rare shingle and may be similar enough."""
-    m = saved(_labelled(rare, roots), "apart")
+    m = saved_few(_labelled(rare, roots), "apart")
     o = m.select("band", *[F.col(c).alias(f"o_{c}") for c in ("cid", "comp", "n", "place")])
     common = F.lit(1) + F.least(F.col("n") - F.col("place"), F.col("o_n") - F.col("o_place")) - 1  # at most, if this is the first that they share
     enough = F.lit(least / (1 + least)) * (F.col("n") + F.col("o_n")) - 1e-6
@@ -211,26 +213,26 @@ def _apart_pairs(rare: DataFrame, roots: DataFrame | None, least: float) -> Data
 
 def _classes(docs: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame]:
     """The sketch table, and (set_hash, comp): the component of each class of equal sets that has a word."""
-    sk = saved(sketches(docs, k), "sketches")
+    sk = saved_few(sketches(docs, k), "sketches")
     by_set = sk.filter("n_shingles > 0").groupBy("set_hash").agg(F.min(F.struct("r1", "r2")).alias("r"), F.min("n_shingles").alias("n"), F.min("regs").alias("regs"))
-    classes = saved(by_set.select(F.monotonically_increasing_id().alias("cid"), "set_hash", F.col("r.r1").alias("r1"), F.col("r.r2").alias("r2"), "n", "regs"), "classes")
+    classes = saved_few(by_set.select(F.monotonically_increasing_id().alias("cid"), "set_hash", F.col("r.r1").alias("r1"), F.col("r.r2").alias("r2"), "n", "regs"), "classes")
 
     def start():
         return lambda cid, regs: (cid, list(band_keys(np.frombuffer(b"".join(regs), np.uint16).reshape(-1, REGISTERS))) if cid else [])
 
     bands = map_lists(classes.select("cid", "regs"), start, "cid long, keys array<long>").select("cid", F.explode("keys").alias("band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = saved(bands.join(shared, "band"), "members")
+    members = saved_few(bands.join(shared, "band"), "members")
     wanted = members.groupBy("cid").agg(F.sum("size").alias("deg"))
-    wanted = saved(classes.join(wanted, "cid").select("cid", "r1", "r2", "n", "regs", "deg"), "wanted")
-    sets = saved(_candidate_sets(docs, wanted.drop("deg"), k), "sets")
-    members = saved(members.join(wanted.select("cid", "deg"), "cid").select("band", "cid", "deg"), "members")
+    wanted = saved_few(classes.join(wanted, "cid").select("cid", "r1", "r2", "n", "regs", "deg"), "wanted")
+    sets = saved_few(_candidate_sets(docs, wanted.drop("deg"), k), "sets")
+    members = saved_few(members.join(wanted.select("cid", "deg"), "cid").select("band", "cid", "deg"), "members")
     roots, tested = None, None
 
     def joined(pairs):
         """Verifies the pairs not tested yet and joins the components of those that are linked."""
         nonlocal roots, tested
-        pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = saved_few(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         links = _verified(pairs, sets, least)
         before = roots.select(F.col("v").alias("u"), F.col("root").alias("v")) if roots is not None else None
@@ -258,7 +260,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFram
     ignored; an empty table gives an empty table.
     """
     sk, comps = _classes(docs, k, least)
-    rows = saved(sk.select("doc_id", "r1", "r2", "n_shingles", "set_hash").join(comps, "set_hash", "left").drop("set_hash"), "rows")
+    rows = saved_few(sk.select("doc_id", "r1", "r2", "n_shingles", "set_hash").join(comps, "set_hash", "left").drop("set_hash"), "rows")
     lead = rows.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2")).alias("l"))
     t = rows.join(lead, "comp", "left")
     alone = F.col("comp").isNull()
@@ -270,7 +272,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFram
 def deduplicated(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, and every row without a word (once if rows are equal)."""
     a, b, row = fresh(docs.columns, "r1", "r2", "row")
-    found = saved(near_duplicates(docs, k, least).filter("first").select("r1", "r2"), "stay").distinct()
+    found = saved_few(near_duplicates(docs, k, least).filter("first").select("r1", "r2"), "stay").distinct()
     keyed = docs.select(F.xxhash64("doc_id", F.lit(1), "text").alias(a), F.xxhash64("text", F.lit(2), "doc_id").alias(b), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
     stay = keyed.join(found.select(F.col("r1").alias(a), F.col("r2").alias(b)), [a, b])
     return stay.dropDuplicates([a, b]).select(*[F.col(f"{row}.`{c}`").alias(c) for c in docs.columns])

@@ -17,7 +17,7 @@ from collections import Counter
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import fresh, map_lists, saved
+from .common import fresh, map_lists, saved_few
 
 KINDS = ["email", "ip", "card", "phone", "context"]
 #: Rounds of scoring; distinct seeds that a pattern needs; what pattern and instance must reach to be reported.
@@ -145,15 +145,15 @@ def scored(near: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, patter
     Edges are distinct; a pattern's or an instance's score is a sum combined before
     the shuffle, and a hot pattern's edges are joined to one row of scores.
     """
-    edges = saved(near.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times"), F.sum("uses").alias("uses")), "edges")
+    edges = saved_few(near.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times"), F.sum("uses").alias("uses")), "edges")
     known = edges.groupBy("instance").agg(F.max("seed").alias("known"))
-    state = saved(edges.join(known, "instance").withColumn("i_score", F.col("known").cast("double")), "scores")
+    state = saved_few(edges.join(known, "instance").withColumn("i_score", F.col("known").cast("double")), "scores")
     for _ in range(rounds):
         by_pattern = state.groupBy("pattern").agg((F.sum("i_score") / (F.count(F.lit(1)) + 1) * F.sum("times") / F.sum("uses")).alias("p_score"), F.sum(F.col("known").cast("int")).alias("n"))
         by_pattern = by_pattern.withColumn("p_score", F.when(F.col("n") >= support, F.col("p_score")).otherwise(0.0)).drop("n")
         edge = state.drop("i_score", "p_score").join(by_pattern, "pattern")
         by_instance = edge.groupBy("instance").agg((1 - F.exp(F.sum(F.when(F.col("p_score") >= pattern, F.log(1 - F.col("p_score"))).otherwise(0.0)))).alias("t_score"))
-        state = saved(edge.join(by_instance, "instance").withColumn("i_score", F.when(F.col("known"), 1.0).otherwise(F.col("t_score"))).drop("t_score"), "scores")
+        state = saved_few(edge.join(by_instance, "instance").withColumn("i_score", F.when(F.col("known"), 1.0).otherwise(F.col("t_score"))).drop("t_score"), "scores")
     return state
 
 
@@ -178,7 +178,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     that share an id only are told apart by their text; other columns are ignored;
     an empty table gives an empty table. Texts are read once and never shuffled.
     """
-    found = saved(extracted(docs), "pii")
+    found = saved_few(extracted(docs), "pii")
     t = found.drop("near").join(discovered(found), ["r1", "r2"], "left")
     count = lambda k: F.size(F.filter("seeds", lambda s: s["rank"] == KINDS.index(k))).cast("long")
     added = F.coalesce("added", F.array().cast(f"array<{_SPAN}>"))
@@ -193,7 +193,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     whole with what overlaps it. The texts meet the few spans that contexts add by
     one shuffle.
     """
-    found = saved(extracted(docs).select("r1", "r2", "near"), "pii")
+    found = saved_few(extracted(docs).select("r1", "r2", "near"), "pii")
     added = discovered(found)
     names = [c for c in docs.columns if c != "text"]
     r1, r2, more = fresh(docs.columns, "r1", "r2", "added")

@@ -53,16 +53,16 @@ class Cache(dict):
     back; long words aren't kept.
     """
 
-    def __init__(self, make):
+    def __init__(self, make, most: int = CACHE):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.old, self.most = make, {}, most
 
     def __missing__(self, word):
         out = self.old.get(word)
         if out is None:
             out = self.make(word)
         if len(word) <= 64:
-            if len(self) >= CACHE:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[word] = out

@@ -685,3 +685,45 @@ def test_component_roots(spark):
         a, b = root(a), root(b)
         up[max(a, b)] = min(a, b)
     assert got == {x: root(x) for x in up if root(x) != x}
+
+
+def test_work_tables_have_few_files(spark):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    docs = data.table(spark, [(i, f"{r[1]} {i}", *r[2:]) for i, r in enumerate(data.rows(n=400)) if r[0] is None or r[0] < 400]).repartition(120, "doc_id")
+    conf = {"spark.sql.shuffle.partitions": "120", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    top = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")) / "llm"
+    tables = set(top.glob("*"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = near_dup.near_duplicates(docs).select("doc_id", "component_id").collect()
+        pii.discovered(pii.extracted(docs.withColumn("text", F.concat("text", F.lit(" mail a"), "doc_id", F.lit("@b.example now"))))).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 420
+    files = {t.name: len(list(t.glob("part-*"))) for t in set(top.glob("*")) - tables}
+    assert files and max(files.values()) <= max(15, 4 * spark.sparkContext.defaultParallelism) < 100
+
+
+def test_word_cache_is_bounded():
+    c = near_dup.word_cache()
+    hashes = {f"w{i}".encode(): c[f"w{i}".encode()] for i in range(250_000)}
+    assert len(c) + len(c.old) <= 2 * near_dup.CACHE_WORDS <= 200_000
+    assert all(c[w] == h for w, h in list(hashes.items())[:100])
+
+
+def test_worker_drops_the_raw_vocabulary(spark, monkeypatch):
+    sent = {}
+    value = bpe.load(P.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(bpe, "load", lambda path: value)
+    docs = data.table(spark)
+    monkeypatch.setattr(type(docs.sparkSession.sparkContext), "broadcast", lambda self, v: sent.setdefault("b", type("B", (), {"value": v})()))
+    monkeypatch.setattr(bpe, "map_lists", lambda df, start, schema: start())
+    step = bpe.encode(docs, "")
+    assert not {"vocab", "merges"} & set(sent["b"].value)
+    assert step(["a text"], [1])[0] == [1]
