@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from pitchside.llm import bpe, language_id, near_dup, pii, source_mix
+from pitchside.llm.common import few_parts
 from pitchside.llm.queries import tokenizer_file
 from pitchside.session import ensure_checkpoint_dir
 
@@ -23,12 +24,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
-    return near_dup.deduplicated(docs, k=5, least=0.8)
+    return few_parts(near_dup.deduplicated(docs, k=5, least=0.8))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data are replaced by their kind."""
-    return pii.redacted(docs)
+    return few_parts(pii.redacted(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,15 +97,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def saved_few(df: DataFrame, name: str) -> DataFrame:
-    """As ``saved``, in fewer and larger files; for plans that don't ask a task for its partition.
+def few_parts(df: DataFrame) -> DataFrame:
+    """``df`` in fewer partitions, for larger files; for plans that don't ask a task for its partition.
 
     On a local or mounted folder Hadoop starts a process of its own for the rights of
     each file and folder that a task makes. So a task takes several partitions, one
-    after the other: four tasks a core, or one for eight shuffle partitions if that is more.
+    after the other: two tasks a core, or one for 16 shuffle partitions if that is more.
     """
     spark = df.sparkSession
-    return saved(df.coalesce(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)), name)
+    return df.coalesce(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16))
+
+
+def saved_few(df: DataFrame, name: str) -> DataFrame:
+    """As ``saved``, in fewer files."""
+    return saved(few_parts(df), name)
 
 
 def fresh(names: list[str], *wanted: str) -> list[str]:

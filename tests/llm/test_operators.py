@@ -707,7 +707,7 @@ def test_work_tables_have_few_files(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(rows) == 420
     files = {t.name: len(list(t.glob("part-*"))) for t in set(top.glob("*")) - tables}
-    assert files and max(files.values()) <= max(15, 4 * spark.sparkContext.defaultParallelism) < 100
+    assert files and max(files.values()) <= max(7, 2 * spark.sparkContext.defaultParallelism) < 100
 
 
 def test_word_cache_is_bounded():
