@@ -65,15 +65,22 @@ _FAR, _LATER = _masks()
 
 
 def _attend(p: dict, x: np.ndarray):
-    lead = WINDOW - STRIDE
-    q, k, v = p["Q"].take(x[:, lead:], axis=0), p["K"].take(x, axis=0), p["V"].take(x, axis=0)
-    s = np.clip(q @ k.transpose(0, 2, 1) * np.float32(WIDTH ** -0.5), -20, 20)
+    """Queries, keys, values and weights of all places, and their states before the last step."""
+    lead, own = WINDOW - STRIDE, x[:, WINDOW - STRIDE :].reshape(-1)
+    qx = np.concatenate((p["Q"], p["X"]), 1).take(own, axis=0)
+    kv = np.concatenate((p["K"], p["V"]), 1).take(x.reshape(-1), axis=0).reshape(*x.shape, 2 * WIDTH)
+    q, k, v = qx[:, :WIDTH].reshape(len(x), WINDOW - lead, WIDTH), kv[:, :, :WIDTH], kv[:, :, WIDTH:]
+    s = q @ k.transpose(0, 2, 1)
+    s *= np.float32(WIDTH ** -0.5)
+    np.clip(s, -20, 20, out=s)
     s += p["r"][_FAR] + _LATER
-    s += np.where(x == PAD, np.float32(-1e9), np.float32(0))[:, None]
     np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True) + np.float32(1e-30)  # a place with no key at all is padding
-    h = np.tanh(s @ v + p["X"].take(x[:, lead:], axis=0))
-    return q, k, v, s, h
+    pad = np.flatnonzero((x == PAD).any(1))
+    s[pad] *= (x[pad] != PAD)[:, None]
+    s /= _row_sums(s) + np.float32(1e-30)  # a place with no key at all is padding
+    o = s @ v
+    o += qx[:, WIDTH:].reshape(o.shape)
+    return q, k, v, s, o.reshape(-1, WIDTH)
 
 
 class Scorer:
@@ -126,85 +133,113 @@ class Scorer:
         return out.reshape(len(x), STRIDE)
 
 
+def _row_sums(d: np.ndarray) -> np.ndarray:
+    """Sums along the last axis, kept; along rows this short, a product is faster than numpy's sum."""
+    return (d.reshape(-1, d.shape[-1]) @ np.ones(d.shape[-1], d.dtype)).reshape(*d.shape[:-1], 1)
+
+
+def _runs(d: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin at ``first``; two columns at a time, as one complex number."""
+    return np.add.reduceat(d.view(np.result_type(d, np.complex64)), first, axis=0).view(d.dtype)
+
+
 def _sums(size: int, rows: np.ndarray, d: np.ndarray) -> np.ndarray:
     """Sums of d by its row in a table of ``size`` rows."""
     order = np.argsort(rows, kind="stable")
     rows = rows.take(order)
     first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     out = np.zeros((size, d.shape[1]), d.dtype)
-    out[rows[first]] = np.add.reduceat(d.take(order, axis=0), first, axis=0)
+    out[rows[first]] = _runs(d.take(order, axis=0), first)
     return out
 
 
-def _soften(z: np.ndarray) -> None:
-    """Softmax of each row, in place."""
-    z -= np.ascontiguousarray(z.T).max(0)[:, None]  # along rows this short, numpy's maximum is slow
+def _softmax_loss(z: np.ndarray, at: np.ndarray, own: np.ndarray) -> float:
+    """Loss of logits ``z`` with the right column of each row, summed; z becomes the gradient of the mean."""
+    if max(z.max(), -z.min()) > 80:  # else no exponential leaves the range
+        z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    total = _row_sums(z)
+    loss = -np.log(z[at, own] / total[:, 0]).sum()
+    share = z.dtype.type(1 / len(z))
+    z *= share / total
+    z[at, own] -= share
+    return loss
 
 
 def gradients(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the targets and its gradients."""
-    q, k, v, s, h3 = _attend(p, x)
-    lead = WINDOW - STRIDE
-    h = h3.reshape(-1, WIDTH)
-    y = y.reshape(-1)
-    real = y != PAD
-    n = np.float32(max(1, real.sum()))
-    cls, mem = y // MEMBERS, y % MEMBERS
-    at = np.arange(len(y))
-    z = h @ p["C"]
-    z += p["c"]
-    _soften(z)
-    loss = -np.log(z[at, cls])[real].sum()
-    z[at, cls] -= 1
-    z *= (real / n)[:, None].astype(np.float32)
-    g = {"C": h.T @ z, "c": z.sum(0), "M": np.zeros_like(p["M"]), "m": np.zeros_like(p["m"])}
-    dh = z @ p["C"].T
-    # targets by class, padding last: a product for each class, all else over all targets at once
-    key = np.where(real, cls, CLASSES).astype(np.uint8)
+    rows, kind = x.astype(np.intp), p["Q"].dtype
+    q, k, v, s, o = _attend(p, rows)
+    # targets by class, without padding: a product for each class, all else over all targets at once
+    y = y.reshape(-1).astype(np.intp)
+    key = np.where(y == PAD, CLASSES, y // MEMBERS).astype(np.uint8)
     ends = np.cumsum(np.bincount(key, minlength=CLASSES + 1))[:CLASSES].tolist()
     order = np.argsort(key, kind="stable")[: ends[-1]]
-    own, at, mem = h.take(order, axis=0), at[: ends[-1]], mem.take(order)
-    parts = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
-    z = np.empty((len(order), MEMBERS), np.result_type(h, p["M"]))
-    for c, a, b in parts:
-        np.matmul(own[a:b], p["M"][c], out=z[a:b])
-        z[a:b] += p["m"][c]
-    _soften(z)
-    loss -= np.log(z[at, mem]).sum()
-    z[at, mem] -= 1
-    z /= n
-    back = np.empty_like(own)
-    for c, a, b in parts:
-        np.matmul(own[a:b].T, z[a:b], out=g["M"][c])
-        np.add.reduce(z[a:b], 0, out=g["m"][c])
-        np.matmul(z[a:b], p["M"][c].T, out=back[a:b])
-    dh[order] += back
-    da = (dh * (1 - h * h)).reshape(h3.shape)
-    ds = da @ v.transpose(0, 2, 1)
-    ds = s * (ds - (ds * s).sum(2, keepdims=True))
-    g["r"] = np.bincount(_FAR.reshape(-1), weights=ds.sum(0).reshape(-1), minlength=WINDOW).astype(np.float32)
-    ds *= np.float32(WIDTH ** -0.5)
-    xq = x[:, lead:].reshape(-1)
-    for (one, two), rows, d in (("XQ", xq, (da, ds @ k)), ("VK", x.reshape(-1), (s.transpose(0, 2, 1) @ da, ds.transpose(0, 2, 1) @ q))):
-        both = _sums(len(p[one]), rows, np.concatenate([v.reshape(-1, WIDTH) for v in d], axis=1))
+    g = {k: np.zeros_like(p[k]) for k in "CcMm"}
+    da, loss = np.zeros_like(o), 0.0
+    if len(order):
+        cls, mem = np.divmod(y.take(order), MEMBERS)
+        at = np.arange(len(order))
+        parts = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+        h = np.tanh(o.take(order, axis=0))
+        z = h @ p["C"]
+        z += p["c"]
+        loss += _softmax_loss(z, at, cls)
+        g["C"], g["c"] = (z.T @ h).T, z.sum(0)
+        dh = z @ p["C"].T
+        back = np.empty_like(h)
+        for c, a, b in parts:
+            np.dot(h[a:b], p["M"][c], z[a:b])
+        z += p["m"].take(cls, axis=0)
+        loss += _softmax_loss(z, at, mem)
+        for c, a, b in parts:
+            np.dot(h[a:b].T, z[a:b], g["M"][c])
+            np.dot(z[a:b], p["M"][c].T, back[a:b])
+        g["m"][[c for c, _, _ in parts]] = _runs(z, np.array([a for _, a, _ in parts]))
+        dh += back
+        h *= h
+        np.subtract(1, h, out=h)
+        dh *= h
+        da[order] = dh
+    da3 = da.reshape(len(x), STRIDE, WIDTH)
+    ds = da3 @ v.transpose(0, 2, 1)
+    ds *= s
+    ds -= s * _row_sums(ds)
+    g["r"] = np.bincount(_FAR.reshape(-1), weights=ds.sum(0).reshape(-1), minlength=WINDOW).astype(kind)
+    ds *= kind.type(WIDTH ** -0.5)
+    dq, dkv = np.empty((len(da), 2 * WIDTH), kind), np.empty((*x.shape, 2 * WIDTH), kind)
+    np.matmul(ds, k, out=dq.reshape(len(x), STRIDE, 2 * WIDTH)[:, :, :WIDTH])
+    dq[:, WIDTH:] = da
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
+    np.matmul(s.transpose(0, 2, 1), da3, out=dkv[:, :, WIDTH:])
+    for (one, two), at, d in (("QX", x[:, WINDOW - STRIDE :], dq), ("KV", x, dkv)):
+        both = _sums(len(p[one]), at.reshape(-1), d.reshape(-1, 2 * WIDTH))
         g[one], g[two] = both[:, :WIDTH].copy(), both[:, WIDTH:].copy()
-    return float(loss / n), g
+    return float(loss / max(1, len(order))), g
 
 
 class Adam:
     def __init__(self, p: dict, rate: float):
         self.p, self.rate, self.t = p, rate, 0
-        self.a, self.b = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
+        self.a, self.b, self.room = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(3))
 
     def step(self, g: dict) -> None:
         self.t += 1
         rate = np.float32(self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t))
         for k, v in g.items():
-            self.a[k] += np.float32(0.1) * (v - self.a[k])
-            self.b[k] += np.float32(0.01) * (v * v - self.b[k])
-            self.p[k] -= rate * self.a[k] / (np.sqrt(self.b[k]) + np.float32(1e-8))
+            a, b, d = self.a[k], self.b[k], self.room[k]
+            np.subtract(v, a, out=d)
+            d *= np.float32(0.1)
+            a += d
+            np.multiply(v, v, out=d)
+            d -= b
+            d *= np.float32(0.01)
+            b += d
+            np.sqrt(b, out=d)
+            d += np.float32(1e-8)
+            np.divide(a, d, out=d)
+            d *= rate
+            self.p[k] -= d
 
 
 def learn(p: dict, x: np.ndarray, y: np.ndarray, rate: float, batch: int = 256) -> dict:

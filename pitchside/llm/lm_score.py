@@ -4,8 +4,9 @@ Texts are words and one end. Word counts of all training documents give the base
 model. Subwords of a public vocabulary become symbols (all but the most frequent
 share one), and a causal self-attention model is trained in numpy: it starts from a
 few documents on the driver, then in each round every task trains on all windows of
-all its training documents, and Spark averages the parameters. Scoring reads
-overlapping windows in batches; each symbol is the target of one place. The score is
+all its training documents, and Spark averages the parameters. Texts are read once
+into a table of symbols, from which all rounds and the scoring take overlapping
+windows; each symbol is the target of one place. The score is
 the probability of the text under the attention model alone; that under an equal
 mixture of the two models over the whole text is a column of its own.
 """
@@ -120,6 +121,18 @@ def _symbols(counts: DataFrame, sent) -> tuple[dict[int, int], float, dict[int,
     return symbol, float(sum(use[k] for k in order[A.SYMBOLS - 3 :])), use
 
 
+class Places(dict):
+    """word -> its place in ``names``; a new word gets the next one."""
+
+    def __init__(self):
+        self.names: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self.names)
+        self.names.append(word)
+        return n
+
+
 class Words:
     """What a worker keeps of words: their symbols, the base model's log10 where known, rare subwords' log10."""
 
@@ -135,12 +148,12 @@ class Words:
         self.clear()
 
     def clear(self):
-        self.place: dict[bytes, int] = {}
-        self.names: list[bytes] = []
+        self.place = Places()
+        self.names = self.place.names
         self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.base, self.extra = np.zeros(1024), np.zeros(1024)
         self.flat = np.zeros(4096, np.int16)
-        self.used = 0
+        self.known = self.used = 0
 
     def _grown(self, name: str, n: int) -> np.ndarray:
         old = getattr(self, name)
@@ -150,39 +163,37 @@ class Words:
             setattr(self, name, new)
         return getattr(self, name)
 
-    def learn(self, words: set[bytes]) -> None:
-        new = words - self.place.keys()
-        if new and len(self.place) + len(new) > HELD_WORDS:
-            self.clear()
-            new = words
-        if not new:
+    def _learn(self) -> None:
+        """Symbols and logarithms of the words that got a place since the last time."""
+        at, n = self.known, len(self.names)
+        if at == n:
             return
-        new = list(new)
-        at, n = len(self.place), len(self.place) + len(new)
+        new = self.names[at:]
         start, size, base, extra = (self._grown(k, n) for k in ("start", "size", "base", "extra"))
         ids, sizes = self.encode(new)
         end = np.cumsum(sizes)
-        self.place.update(zip(new, range(at, n)))
-        self.names += new
         start[at:n], size[at:n] = end - sizes + self.used, sizes
         base[at:n] = [self.hot.get(w, math.nan) for w in new]
         extra[at:n] = np.add.reduceat(self.rare.take(ids), end - sizes)  # a word has one subword at least
         self._grown("flat", self.used + len(ids))[self.used : self.used + len(ids)] = self.symbol.take(ids)
-        self.used += len(ids)
+        self.known, self.used = n, self.used + len(ids)
 
     def read(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Places of the words of all texts (all learned), the text of each, and each text's symbols in a row."""
+        """Places of the words of all texts, the text of each, and each text's symbols in a row."""
+        if len(self.names) > HELD_WORDS:
+            self.clear()
         lens = np.array(list(map(len, texts)), np.int64)
         at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(texts)), np.int64, int(lens.sum()))
+        self._learn()
         size = self.size.take(at)
         end = np.cumsum(size)
         row = self.flat.take(np.repeat(self.start.take(at) - end + size, size) + np.arange(end[-1] if len(end) else 0))
         return at, np.repeat(np.arange(len(texts)), lens), np.split(row, np.r_[0, end][np.cumsum(lens)][:-1])
 
 
-def _few(texts: list) -> int:
-    """How many of the texts to take at a time, for memory."""
-    return max(1, min(64, int(2_000_000 // max(1, max((len(t or "") for t in texts), default=1)))))
+def _few(chars: list[int]) -> int:
+    """How many texts of so many code points to take at a time, for memory."""
+    return max(1, min(64, int(2_000_000 // max(1, max(chars, default=1)))))
 
 
 def _pack(p: dict) -> np.ndarray:
@@ -197,15 +208,18 @@ def _unpack(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
-def _train_everywhere(texts: DataFrame, value: dict, p: dict, rate: float) -> dict:
-    """One pass of local training in every task over all windows of its documents; the weighted mean of the results."""
-    spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast(value | {"params": p})
+def _windows(rows: list[bytes]):
+    return A.windows([np.frombuffer(r, np.int16) for r in rows])
+
+
+def _train_everywhere(table: DataFrame, p: dict, rate: float) -> dict:
+    """One pass of local training in every task over all windows of its rows (columns symbols, chars); the weighted mean of the results."""
+    spark = table.sparkSession
+    sent = spark.sparkContext.broadcast({"params": p})
 
     def gather():
         from pyspark import TaskContext
 
-        words = kept(sent, "words", Words)
         own = {k: v.copy() for k, v in sent.value["params"].items()}
         opt, held, seen, r = A.Adam(own, rate), [], 0, np.random.default_rng(7)
 
@@ -219,11 +233,9 @@ def _train_everywhere(texts: DataFrame, value: dict, p: dict, rate: float) -> di
                 opt.step(A.gradients(own, x[order[i : i + 256]], y[order[i : i + 256]])[1])
             seen += len(x)
 
-        def step(batch):
-            for lo in range(0, len(batch), few := _few(batch)):
-                each = list(map(lower_words, batch[lo : lo + few]))
-                words.learn(set().union(*each))
-                held.append(A.windows(words.read(each)[2])[:2])
+        def step(batch, chars):
+            for lo in range(0, len(batch), few := _few(chars)):
+                held.append(_windows(batch[lo : lo + few])[:2])
                 if sum(len(v[0]) for v in held) >= HELD_WINDOWS:
                     train()
 
@@ -237,7 +249,7 @@ def _train_everywhere(texts: DataFrame, value: dict, p: dict, rate: float) -> di
 
         return step, end
 
-    rows = map_tail(texts.select("text"), gather, "block int, salt int, weight double, sums array<float>")
+    rows = map_tail(table.select("symbols", "chars"), gather, "block int, salt int, weight double, sums array<float>")
 
     def added(t: pa.Table) -> pa.Table:
         total = np.zeros(len(t.column("sums")[0].values))
@@ -260,7 +272,6 @@ def _first_training(texts: DataFrame, value: dict, total: int, seed: int) -> dic
     each = [lower_words(t) for t in some]
     if not each:
         return p
-    words.learn(set().union(*each))
     x, y, _ = A.windows(words.read(each)[2])
     r = np.random.default_rng(seed)
     for rate in (0.02, 0.015, 0.01, 0.005):
@@ -269,48 +280,23 @@ def _first_training(texts: DataFrame, value: dict, total: int, seed: int) -> dic
     return p
 
 
-def score_texts(docs: DataFrame, train_on: Column, ranks_path: str, pattern: str, seed: int = 7) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score, attention_score, mixture_score for each row of ``docs``.
-
-    Tokens are the words with A-Z lower-cased, then one end. base_score is the sum
-    of log10((c + 1) / (N + V + 1)); score, and attention_score, the attention model's
-    log10 probability; mixture_score that of the equal mixture of both. NULL and empty texts are one end. Equal
-    texts give equal rows; other columns are ignored; an empty table gives an empty
-    table. Word counts and training cover all training rows. A task has the counts of
-    HOT_WORDS words at hand; other words of a text are joined to the table of counts.
-    """
-    spark = docs.sparkSession
-    base = docs.select("doc_id", "text", F.coalesce(train_on, F.lit(False)).alias("b_train"))
-    training = base.filter("b_train").select("text")
-    counts = saved(word_counts(training), "word-counts")
-    total, kinds, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.length("word") == 0, F.col("c"))), F.lit(0))).first()
-    below = math.log10(total + kinds + 1)
-    value = {"ranks": read_ranks(ranks_path), "pattern": pattern}
-    symbol, rare, use = _symbols(counts, spark.sparkContext.broadcast(dict(value)))
-    value |= {"symbol": symbol, "rare": rare, "use": {k: n for k, n in use.items() if k not in symbol}}
-    p = _first_training(training, value, ends, seed)
-    for rate in RATES:
-        p = _train_everywhere(training, value, p, rate)
-    hot = {bytes(r["word"]): math.log10(r["c"] + 1) - below for r in counts.filter(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()}
-    sent = spark.sparkContext.broadcast(value | {"hot": hot, "params": p, "end": (math.log10(ends + 1) - below, int(ends > 0))})
+def _read_once(docs: DataFrame, value: dict) -> DataFrame:
+    """doc_id and b_train of each row with its symbols and what the base model needs of its words, as a table."""
+    sent = docs.sparkSession.sparkContext.broadcast(value)
 
     def start():
         from pyspark import TaskContext
 
         words = kept(sent, "words", Words)
-        model = kept(sent, "scorer", lambda v: A.Scorer(v["params"]))
         end, end_known = sent.value["end"]
         row = TaskContext.get().partitionId() << 33
 
-        def step(ids, texts, *rest):
+        def step(texts, *rest):
             nonlocal row
-            out = []
-            for lo in range(0, len(texts), few := _few(texts)):
-                each = [lower_words(t) for t in texts[lo : lo + few]]
-                words.learn(set().union(*each))
-                at, who, rows = words.read(each)
-                x, y, owner = A.windows(rows)
-                lp = np.concatenate([model.log_probs(x[i : i + 2048], y[i : i + 2048]).sum(1, dtype=np.float64) for i in range(0, len(x), 2048)])
+            out, chars = [], [len(t or "") for t in texts]
+            for lo in range(0, len(texts), few := _few(chars)):
+                each = list(map(lower_words, texts[lo : lo + few]))
+                at, who, symbols = words.read(each)
                 total = lambda v, w: np.bincount(w, weights=v, minlength=len(each))
                 b = words.base.take(at)
                 known = ~np.isnan(b)
@@ -321,19 +307,67 @@ def score_texts(docs: DataFrame, train_on: Column, ranks_path: str, pattern: str
                 names = list(map(words.names.__getitem__, (other % span).tolist()))
                 times = times.tolist()
                 out += zip(range(row, row + len(each)), [len(w) + 1 for w in each], (total(known, who).astype(int) + end_known).tolist(), (total(np.where(known, b, 0), who) + end).tolist(),
-                           (total(lp, owner) / math.log(10) + total(words.extra.take(at), who)).tolist(), [names[i:j] for i, j in zip(cut, cut[1:])], [times[i:j] for i, j in zip(cut, cut[1:])])
+                           total(words.extra.take(at), who).tolist(), [s.tobytes() for s in symbols], [names[i:j] for i, j in zip(cut, cut[1:])], [times[i:j] for i, j in zip(cut, cut[1:])])
                 row += len(each)
-            cols = list(map(list, zip(*out))) if out else [[] for _ in range(7)]
-            return cols[0], ids, *rest, *cols[1:]
+            cols = list(map(list, zip(*out))) if out else [[] for _ in range(8)]
+            return *rest, chars, *cols
 
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    first = saved(map_lists(base.select("doc_id", "text"), start, f"row long, doc_id {kind}, n_tokens long, known long, part double, attention_score double, others array<binary>, times array<int>"), "lm-first")
-    other = first.filter(F.size("others") > 0).select("row", F.inline(F.arrays_zip("others", "times"))).withColumnRenamed("others", "word")
+    return saved(map_lists(docs.select("text", "doc_id", "b_train"), start, f"doc_id {kind}, b_train boolean, chars int, row long, n_tokens long, known long, part double, rare double, symbols binary, others array<binary>, times array<int>"), "lm-symbols")
+
+
+def _attention_scores(table: DataFrame, p: dict) -> DataFrame:
+    """The rows of ``_read_once`` with the log10 probability of each under the model, as a table."""
+    sent = table.sparkSession.sparkContext.broadcast({"params": p})
+
+    def start():
+        model = kept(sent, "scorer", lambda v: A.Scorer(v["params"]))
+
+        def step(symbols, chars, rare, *rest):
+            score = []
+            for lo in range(0, len(symbols), few := _few(chars)):
+                x, y, owner = _windows(symbols[lo : lo + few])
+                lp = np.concatenate([model.log_probs(x[i : i + 2048], y[i : i + 2048]).sum(1, dtype=np.float64) for i in range(0, len(x), 2048)])
+                score += (np.bincount(owner, weights=lp) / math.log(10)).tolist()
+            return *rest, [a + b for a, b in zip(score, rare)]
+
+        return step
+
+    kind = table.schema["doc_id"].dataType.simpleString()
+    return saved(map_lists(table.select("symbols", "chars", "rare", "row", "doc_id", "n_tokens", "known", "part"), start, f"row long, doc_id {kind}, n_tokens long, known long, part double, attention_score double"), "lm-first")
+
+
+def score_texts(docs: DataFrame, train_on: Column, ranks_path: str, pattern: str, seed: int = 7) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score, attention_score, mixture_score for each row of ``docs``.
+
+    Tokens are the words with A-Z lower-cased, then one end. base_score is the sum
+    of log10((c + 1) / (N + V + 1)); score, and attention_score, the attention model's
+    log10 probability; mixture_score that of the equal mixture of both. NULL and empty texts are one end. Equal
+    texts give equal rows; other columns are ignored; an empty table gives an empty
+    table. Word counts and training cover all training rows. A task has the counts of
+    HOT_WORDS words at hand; other words of a text are joined to the table of counts.
+    """
+    spark = docs.sparkSession
+    base = docs.select("doc_id", "text", F.coalesce(train_on, F.lit(False)).alias("b_train"))
+    training = base.filter("b_train").select("text")
+    counts = saved(word_counts(training), "word-counts")
+    total, kinds, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.length("word") == 0, F.col("c"))), F.lit(0))).first()
+    below = math.log10(total + kinds + 1)
+    value = {"ranks": read_ranks(ranks_path), "pattern": pattern}
+    symbol, rare, use = _symbols(counts, spark.sparkContext.broadcast(dict(value)))
+    value |= {"symbol": symbol, "rare": rare, "use": {k: n for k, n in use.items() if k not in symbol}}
+    hot = {bytes(r["word"]): math.log10(r["c"] + 1) - below for r in counts.filter(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()}
+    table = _read_once(base, value | {"hot": hot, "end": (math.log10(ends + 1) - below, int(ends > 0))})
+    p = _first_training(training, value, ends, seed)
+    for rate in RATES:
+        p = _train_everywhere(table.filter("b_train"), p, rate)
+    first = _attention_scores(table, p)
+    other = table.filter(F.size("others") > 0).select("row", F.inline(F.arrays_zip("others", "times"))).withColumnRenamed("others", "word")
     found = other.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - below)).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"))
-    t = first.drop("others", "times").join(found, "row", "left")
+    t = first.join(found, "row", "left")
     base_score = F.col("part") + F.coalesce("more", F.lit(0.0))
     apart = F.abs(F.col("base_score") - F.col("attention_score"))
     return t.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),

@@ -289,6 +289,45 @@ def test_lm_trains_on_all_of_a_long_text(spark):
     assert got[2].score > 0.2 * got[2].base_score
 
 
+def test_lm_reads_texts_once_into_symbols(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    seen = []
+    monkeypatch.setattr(lm_score, "_train_everywhere", lambda table, p, rate: seen.append(table) or p)
+    rows = [*data.rows(), (900, "Long " * 9000, None, None, 45_000)]
+    lm_score.score_texts(data.table(spark, rows), F.col("doc_id") % 2 == 0, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    assert len(seen) == 2 and all("text" not in t.columns for t in seen)
+    encode = lm_score.subword_encoder(lm_score.read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)
+    lower = lambda t: [bytes(w).lower() for w in words(t)]
+    want = Counter((i, len(t or ""), len(encode(lower(t))[0])) for i, t, *_ in rows if i is not None and i % 2 == 0)
+    for t in seen:
+        assert Counter((r.doc_id, r.chars, len(r.symbols) // 2) for r in t.collect()) == want
+
+
+def test_attention_gradients_of_far_logits_and_padding():
+    import numpy as np
+
+    p = {k: v.astype(np.float64) for k, v in attention.start_parameters().items()}
+    x, y, _ = attention.windows([np.arange(3, 30, dtype=np.int16)])
+    near = attention.gradients(p, x, y)
+    p["c"] += 900  # the same probabilities, beyond the range of exp
+    p["m"] -= 900
+    far = attention.gradients(p, x, y)
+    assert np.isclose(near[0], far[0]) and all(np.allclose(near[1][k], far[1][k]) for k in p)
+    loss, g = attention.gradients(p, x, np.full_like(y, attention.PAD))
+    assert loss == 0 and all((v == 0).all() for v in g.values())
+
+
+def test_attention_sums_of_rows():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    rows, d = r.zipf(1.3, 500) % 40, r.standard_normal((500, 32)).astype(np.float32)
+    want = np.zeros((40, 32))
+    np.add.at(want, rows, d)
+    assert np.allclose(attention._sums(40, rows, d), want, atol=1e-4)
+
+
 def test_attention_windows_score_each_symbol_once():
     import numpy as np
 
